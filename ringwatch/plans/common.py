@@ -43,3 +43,16 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def load_split(spark: SparkSession, sf_dir: str, name: str, boundaries=None) -> DataFrame:
+    """A5: tail cut, one split as a range filter, ring ids attached."""
+    from ringwatch.operators.joins import attach_pattern_ids
+    from ringwatch.operators.split import compute_boundaries, select_split, truncate_tail
+    from ringwatch.plans.q_ingest import rings_with_copies
+
+    if name not in ("train", "validation", "test"):
+        raise ValueError(f"unknown split: {name}")
+    t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
+    b = boundaries or compute_boundaries(t, SPLIT_FRACTIONS)
+    return attach_pattern_ids(select_split(t, name, b), rings_with_copies(spark, sf_dir))

@@ -1,11 +1,11 @@
-"""H0: global running sums without a single-partition window.
+"""H0: running sums without a single-partition window.
 
-A window with ``orderBy`` and no ``partitionBy`` moves every row into one
-task. Here rows are range-partitioned on the order key (balanced by
-sampling, so a hot key range is split across tasks), each partition's
-totals are summed (one row per partition, a bounded table that is safe to
-broadcast), and each row adds the totals of all earlier partitions to a
-running sum taken inside its own partition.
+A window with ``orderBy`` and no (or a skewed) ``partitionBy`` moves every
+row of a group into one task. Here rows are range-partitioned on
+(group, order) — balanced by sampling, so one hot group is cut into many
+tasks — each (task, group) segment's totals are computed, the totals of the
+same group in earlier tasks are added as an offset, and the running sum
+inside a segment is a window over that segment only.
 """
 
 from __future__ import annotations
@@ -16,23 +16,27 @@ from pyspark.sql import functions as F
 
 def prefix_sum(df: DataFrame, order_cols: list[str], sum_cols: list[str],
                out_cols: list[str] | None = None, inclusive: bool = True,
-               num_partitions: int | None = None) -> DataFrame:
-    """Append running sums of ``sum_cols`` in ``order_cols`` order.
+               partition_cols: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Append running sums of ``sum_cols`` in ``order_cols`` order (within ``partition_cols`` groups).
 
-    ``order_cols`` must give a total order (unique rows); ``inclusive``
+    ``order_cols`` must order rows totally inside a group; ``inclusive``
     includes the current row. Output names default to ``cum_<col>``.
     """
     out_cols = out_cols or [f"cum_{c}" for c in sum_cols]
+    groups = list(partition_cols or [])
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
-    totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in sum_cols])
-    # ``totals`` has at most ``n`` rows: the one place a global window is fine.
-    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_off{i}")
-                                      for i, c in enumerate(sum_cols)])
-    local = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(
+    ranged = df.repartitionByRange(n, *groups, *order_cols).withColumn("_pid", F.spark_partition_id())
+    seg = ["_pid", *groups]
+    totals = ranged.groupBy(*seg).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    earlier = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*seg, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_off{i}")
+                                    for i, c in enumerate(sum_cols)])
+    if not groups:
+        # At most one row per task: always safe to broadcast.
+        offsets = F.broadcast(offsets)
+    local = Window.partitionBy(*seg).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
-    joined = ranged.join(F.broadcast(offsets), "_pid")
+    joined = ranged.join(offsets, seg)
     return joined.select(
         *df.columns,
         *[(F.coalesce(F.sum(c).over(local), F.lit(0)) + F.col(f"_off{i}")).alias(o)

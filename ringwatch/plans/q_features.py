@@ -28,10 +28,11 @@ def q_basic_features(spark, sf_dir):
     return round_doubles(df.select("txn_id", *BASIC_FEATURES))
 
 
-_HISTORY_SQL = f"""
-WITH base AS (
+def history_ctes(as_of_sql: str = SQL_AS_OF) -> str:
+    """CTEs ending in ``hist(txn_id, <E1-E9 unrounded>)`` for rows before ``as_of_sql``."""
+    return f"""base AS (
   SELECT txn_id, timestamp, from_account, to_account, CAST(round(amount_paid * 100) AS BIGINT) AS cents
-  FROM T WHERE timestamp < {SQL_AS_OF}),
+  FROM T WHERE timestamp < {as_of_sql}),
 f AS (
   SELECT *,
     CAST(row_number() OVER (PARTITION BY from_account, to_account ORDER BY timestamp, txn_id) = 1 AS INTEGER) AS new_out,
@@ -52,19 +53,27 @@ g AS (
                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS e7,
     count(*) OVER (PARTITION BY from_account ORDER BY timestamp
                    RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 24 HOURS PRECEDING) AS le24
-  FROM f)
-SELECT txn_id,
-  e1 AS sender_n_sent_before,
-  round(CAST(e2c AS DOUBLE) / 100.0, 6) AS sender_amount_sent_before,
-  CAST(e3 AS BIGINT) AS sender_distinct_out_before,
-  CAST(e4 AS BIGINT) AS sender_seconds_since_last_send,
-  e5 AS receiver_n_received_before,
-  round(CAST(e6c AS DOUBLE) / 100.0, 6) AS receiver_amount_received_before,
-  CAST(e7 AS BIGINT) AS receiver_distinct_in_before,
-  CAST(e1 - le24 AS BIGINT) AS sender_sent_last_24h,
-  round(CAST(e5 + 1 AS DOUBLE) / CAST(e1 + 1 AS DOUBLE), 6) AS in_out_ratio_before
-FROM g
-"""
+  FROM f),
+hist AS (
+  SELECT txn_id,
+    e1 AS sender_n_sent_before,
+    CAST(e2c AS DOUBLE) / 100.0 AS sender_amount_sent_before,
+    CAST(e3 AS BIGINT) AS sender_distinct_out_before,
+    CAST(e4 AS BIGINT) AS sender_seconds_since_last_send,
+    e5 AS receiver_n_received_before,
+    CAST(e6c AS DOUBLE) / 100.0 AS receiver_amount_received_before,
+    CAST(e7 AS BIGINT) AS receiver_distinct_in_before,
+    CAST(e1 - le24 AS BIGINT) AS sender_sent_last_24h,
+    CAST(e5 + 1 AS DOUBLE) / CAST(e1 + 1 AS DOUBLE) AS in_out_ratio_before
+  FROM g)"""
+
+
+_HISTORY_SQL = f"""WITH {history_ctes()}
+SELECT txn_id, sender_n_sent_before, round(sender_amount_sent_before, 6) AS sender_amount_sent_before,
+  sender_distinct_out_before, sender_seconds_since_last_send, receiver_n_received_before,
+  round(receiver_amount_received_before, 6) AS receiver_amount_received_before, receiver_distinct_in_before,
+  sender_sent_last_24h, round(in_out_ratio_before, 6) AS in_out_ratio_before
+FROM hist"""
 
 
 def _history(spark, sf_dir, strategy):

@@ -49,9 +49,10 @@ def q_topk_flags(spark, sf_dir):
     return top_k(scored_frame(spark, sf_dir, "amount"), KMAX).select("txn_id", "score", "rank")
 
 
-def evaluate_sql(model: str) -> str:
+def evaluate_sql(model: str, k_values=K_VALUES) -> str:
+    klist = ", ".join(str(k) for k in k_values)
     return scored_sql(model) + f""",
-ks AS (SELECT unnest([{_KLIST}]) AS k),
+ks AS (SELECT unnest([{klist}]) AS k),
 tot AS (SELECT count(*) AS n, sum(y) AS npos,
         sum(CASE WHEN y = 1 THEN CAST(round(amount * 100) AS BIGINT) ELSE 0 END) AS poscents FROM scored),
 ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, txn_id) AS rnk FROM scored),

@@ -10,6 +10,7 @@ would let NaN through.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,9 @@ class ContractError(ValueError):
 class Contract:
     name: str
     types: dict[str, tuple[type, ...] | None]        # column -> allowed Spark types (None: any)
-    rules: dict[str, Column] = field(default_factory=dict)  # rule name -> "row violates" predicate
+    # rule name -> builder of the "row violates" predicate (built lazily, so
+    # contracts can be defined before a SparkContext exists)
+    rules: dict[str, Callable[[], Column]] = field(default_factory=dict)
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -46,11 +49,11 @@ def _raw_contract() -> Contract:
                "receiving_currency", "payment_currency", "payment_format")
     types = {"timestamp": _TS, **{c: (T.StringType,) for c in strings},
              "amount_received": (T.DoubleType,), "amount_paid": (T.DoubleType,), "is_laundering": _INTEGRAL}
-    rules = {f"{c}_null": _isnull(c) for c in types}
+    rules = {f"{c}_null": (lambda c=c: _isnull(c)) for c in types}
     for c in ("amount_received", "amount_paid"):
-        rules[f"{c}_negative"] = F.col(c) < 0
-        rules[f"{c}_nan"] = _nan(c)
-    rules["is_laundering_not_binary"] = ~F.col("is_laundering").isin(0, 1)
+        rules[f"{c}_negative"] = lambda c=c: F.col(c) < 0
+        rules[f"{c}_nan"] = lambda c=c: _nan(c)
+    rules["is_laundering_not_binary"] = lambda: ~F.col("is_laundering").isin(0, 1)
     return Contract("raw_transactions", types, rules)
 
 
@@ -61,15 +64,15 @@ def _feature_contract() -> Contract:
     def col(name, allowed, nullable=False, lo=None, hi=None, binary=False, nan_check=False):
         types[name] = allowed
         if not nullable:
-            rules[f"{name}_null"] = _isnull(name)
+            rules[f"{name}_null"] = lambda: _isnull(name)
         if lo is not None:
-            rules[f"{name}_below_{lo}"] = F.col(name) < lo
+            rules[f"{name}_below_{lo}"] = lambda: F.col(name) < lo
         if hi is not None:
-            rules[f"{name}_above_{hi}"] = F.col(name) > hi
+            rules[f"{name}_above_{hi}"] = lambda: F.col(name) > hi
         if binary:
-            rules[f"{name}_not_binary"] = ~F.col(name).isin(0, 1)
+            rules[f"{name}_not_binary"] = lambda: ~F.col(name).isin(0, 1)
         if nan_check:
-            rules[f"{name}_nan"] = _nan(name)
+            rules[f"{name}_nan"] = lambda: _nan(name)
 
     col("hour", _INTEGRAL, lo=0, hi=23)
     col("weekday", _INTEGRAL, lo=1, hi=7)
@@ -108,7 +111,7 @@ def violation_counts(df: DataFrame, contract: Contract) -> DataFrame:
     """Tidy ``(rule, violations)``: one aggregate over the data, then an unpivot of one row."""
     check_schema(df, contract)
     names = list(contract.rules)
-    aggs = [F.sum(F.when(contract.rules[r], 1).otherwise(0)).cast("bigint").alias(r) for r in names]
+    aggs = [F.sum(F.when(contract.rules[r](), 1).otherwise(0)).cast("bigint").alias(r) for r in names]
     wide = df.agg(*aggs)
     return wide.unpivot([], names, "rule", "violations")
 
@@ -116,7 +119,7 @@ def violation_counts(df: DataFrame, contract: Contract) -> DataFrame:
 def _any_violation(contract: Contract) -> Column:
     cond = F.lit(False)
     for pred in contract.rules.values():
-        cond = cond | F.coalesce(pred, F.lit(False))
+        cond = cond | F.coalesce(pred(), F.lit(False))
     return cond
 
 

@@ -26,11 +26,12 @@ def summarise(df: DataFrame, approx_accounts: bool = False) -> DataFrame:
     payer = F.col("role") == 0
     distinct = (F.approx_count_distinct("account") if approx_accounts else F.countDistinct("account"))
     agg = r.agg(
-        F.sum(F.when(payer, 1).otherwise(0)).cast("bigint").alias("n_transactions"),
+        F.count(F.when(payer, 1)).cast("bigint").alias("n_transactions"),
         distinct.cast("bigint").alias("n_accounts"),
         F.min("timestamp").alias("date_min"),
         F.max("timestamp").alias("date_max"),
-        F.sum(F.when(payer, F.col("is_laundering")).otherwise(0)).cast("bigint").alias("n_laundering"))
+        F.coalesce(F.sum(F.when(payer, F.col("is_laundering")).otherwise(0)), F.lit(0)).cast("bigint")
+         .alias("n_laundering"))
     rate = F.when(F.col("n_transactions") > 0, F.col("n_laundering") / F.col("n_transactions")).otherwise(F.lit(0.0))
     return agg.select(
         "*", rate.alias("laundering_rate"),

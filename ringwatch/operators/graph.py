@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ringwatch.operators.prefix import prefix_sum
 from ringwatch.operators.sampling import fanout_sample
 from ringwatch.operators.summary import role_rows
-from ringwatch.sources.transfers import epoch_seconds
+from ringwatch.sources.transfers import epoch_seconds, ntz_lit
 
 NODE_FEATURES = ("f_out_degree", "f_in_degree", "f_value_out", "f_value_in", "f_distinct_out", "f_distinct_in")
 _UNB = Window.unboundedPreceding
@@ -24,7 +24,7 @@ _UNB = Window.unboundedPreceding
 
 def snapshot_edges(transfers: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Edges strictly before ``as_of``: src, dst, log amount, unix seconds."""
-    past = transfers.filter(F.col("timestamp") < F.lit(as_of).cast("timestamp_ntz"))
+    past = transfers.filter(F.col("timestamp") < ntz_lit(as_of))
     return past.select("txn_id", F.col("from_account").alias("src"), F.col("to_account").alias("dst"),
                        F.log1p("amount_paid").alias("log_amount"), epoch_seconds("timestamp").alias("unix_seconds"),
                        "timestamp")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringwatch.functions.money import from_cents, to_cents
-from ringwatch.sources.transfers import epoch_seconds
+from ringwatch.sources.transfers import epoch_seconds, ntz_lit
 
 VELOCITY_SECONDS = 24 * 3600
 
@@ -50,7 +50,7 @@ def cut_as_of(df: DataFrame, as_of: dt.datetime | None) -> DataFrame:
     """Drop rows at or after ``as_of`` (strict); a literal so it pushes down to the scan."""
     if as_of is None:
         return df
-    return df.filter(F.col("timestamp") < F.lit(as_of).cast("timestamp_ntz"))
+    return df.filter(F.col("timestamp") < ntz_lit(as_of))
 
 
 def build_account_history_features(df: DataFrame, as_of: dt.datetime | None,

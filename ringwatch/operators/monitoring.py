@@ -12,6 +12,7 @@ from ringwatch.operators.history import HISTORY_FEATURES, build_account_history_
 from ringwatch.operators.joins import bounded_broadcast
 from ringwatch.operators.metrics import evaluate
 from ringwatch.operators.sampling import fanout_sample
+from ringwatch.sources.transfers import ntz_lit
 
 
 def parity(a: DataFrame, b: DataFrame, key: str, cols: list[str]) -> DataFrame:
@@ -103,11 +104,11 @@ def alert_forecast(alerts: DataFrame, trailing_days: int = 7) -> DataFrame:
 
 def staleness(transfers: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Seconds since each account's last activity (either side) before ``as_of``."""
-    past = transfers.filter(F.col("timestamp") < F.lit(as_of).cast("timestamp_ntz"))
+    past = transfers.filter(F.col("timestamp") < ntz_lit(as_of))
     roles = past.select(F.explode(F.array("from_account", "to_account")).alias("account"), "timestamp")
     last = roles.groupBy("account").agg(F.max("timestamp").alias("last_seen"))
     return last.withColumn("age_seconds", F.timestamp_diff("SECOND", F.col("last_seen"),
-                                                           F.lit(as_of).cast("timestamp_ntz")))
+                                                           ntz_lit(as_of)))
 
 
 def leak_audit(transfers: DataFrame, as_of: dt.datetime, strategy: str = "bucketed") -> DataFrame:
@@ -116,7 +117,7 @@ def leak_audit(transfers: DataFrame, as_of: dt.datetime, strategy: str = "bucket
     perturbed (amounts x10, accounts renamed, labels flipped). Rows before
     ``as_of`` must come out identical; the result lists, per feature, how many
     of them changed, keeping only non-zero counts: empty means no leak."""
-    cut = F.lit(as_of).cast("timestamp_ntz")
+    cut = ntz_lit(as_of)
     later = F.col("timestamp") >= cut
 
     def perturb(c: str) -> Column:

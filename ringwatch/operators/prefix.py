@@ -1,18 +1,63 @@
 """H0: running sums without a single-partition window.
 
 A window with ``orderBy`` and no (or a skewed) ``partitionBy`` moves every
-row of a group into one task. Here rows are range-partitioned on
-(group, order) — balanced by sampling, so one hot group is cut into many
-tasks — each (task, group) segment's totals are computed, the totals of the
-same group in earlier tasks are added as an offset, and the running sum
+row of a group into one task. Here rows are cut into ``n`` ordered buckets of
+about equal size on (group, order) — so one hot group is spread over many
+tasks — each (bucket, group) segment's totals are computed, the totals of the
+same group in earlier buckets are added as an offset, and the running sum
 inside a segment is a window over that segment only.
+
+Bucket bounds are sampled once and applied as literals by a deterministic
+expression (a binary search over the bounds). Both uses of the bucket id —
+segment totals and the running sums — therefore agree even when Spark
+recomputes the input in separate stages or after an executor loss; a
+``repartitionByRange`` exchange would re-sample its bounds per exchange.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ringwatch.sources.transfers import typed_lit
+
+SAMPLES_PER_BUCKET = 40
+
+
+def sample_bounds(df: DataFrame, keys: list[str], n: int, seed: int = 11) -> list[tuple]:
+    """Up to ``n - 1`` ascending bound tuples on ``keys`` from a bounded sample
+    (about ``SAMPLES_PER_BUCKET`` rows per bucket reach the driver)."""
+    if n <= 1:
+        return []
+    total = df.count()
+    if total == 0:
+        return []
+    frac = min(1.0, SAMPLES_PER_BUCKET * n / total)
+    rows = [tuple(r) for r in df.select(*keys).sample(False, frac, seed).orderBy(*keys).collect()]
+    if not rows:
+        return []
+    bounds = []
+    for i in range(1, n):
+        b = rows[min(len(rows) - 1, (i * len(rows)) // n)]
+        if not bounds or b > bounds[-1]:
+            bounds.append(b)
+    return bounds
+
+
+def bucket_of(df: DataFrame, keys: list[str], bounds: list[tuple]) -> Column:
+    """Bucket index in ``[0, len(bounds)]``: the first bound >= key (binary search)."""
+    types = dict(df.dtypes)
+    key = F.struct(*[F.col(c).alias(c) for c in keys])
+    lits = [F.struct(*[typed_lit(v, types[c]).alias(c) for v, c in zip(b, keys)]) for b in bounds]
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key <= lits[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
+
+    return search(0, len(bounds))
+
 
 def prefix_sum(df: DataFrame, order_cols: list[str], sum_cols: list[str],
                out_cols: list[str] | None = None, inclusive: bool = True,
@@ -24,19 +69,21 @@ def prefix_sum(df: DataFrame, order_cols: list[str], sum_cols: list[str],
     """
     out_cols = out_cols or [f"cum_{c}" for c in sum_cols]
     groups = list(partition_cols or [])
+    keys = groups + list(order_cols)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *groups, *order_cols).withColumn("_pid", F.spark_partition_id())
+    bounds = sample_bounds(df, keys, n)
+    d = df.withColumn("_pid", bucket_of(df, keys, bounds))
     seg = ["_pid", *groups]
-    totals = ranged.groupBy(*seg).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    totals = d.groupBy(*seg).agg(*[F.sum(c).alias(c) for c in sum_cols])
     earlier = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*seg, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_off{i}")
                                     for i, c in enumerate(sum_cols)])
     if not groups:
-        # At most one row per task: always safe to broadcast.
+        # At most one row per bucket: always safe to broadcast.
         offsets = F.broadcast(offsets)
     local = Window.partitionBy(*seg).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
-    joined = ranged.join(offsets, seg)
+    joined = d.join(offsets, seg)
     return joined.select(
         *df.columns,
         *[(F.coalesce(F.sum(c).over(local), F.lit(0)) + F.col(f"_off{i}")).alias(o)

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.operators.prefix import prefix_sum
+from ringwatch.sources.transfers import ntz_lit
 
 SPLIT_NAMES = ("train", "validation", "test")
 
 
 def ts_lit(value: dt.datetime):
-    return F.lit(value).cast("timestamp_ntz")
+    return ntz_lit(value)
 
 
 def truncate_tail(df: DataFrame, cutoff: dt.datetime) -> DataFrame:

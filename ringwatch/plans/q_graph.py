@@ -18,6 +18,7 @@ from ringwatch.plans.catalog import register
 from ringwatch.plans.common import (AS_OF, SEED, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T,
                                     round_doubles)
 from ringwatch.plans.q_ingest import _BOUNDS_SQL
+from ringwatch.sources.transfers import ntz_lit
 
 NEXT_DAY = AS_OF + dt.timedelta(days=1)
 SQL_NEXT_DAY = "TIMESTAMP '2024-01-22 00:00:00'"
@@ -46,8 +47,8 @@ def _edges(spark, sf_dir):
 
 def _targets(spark, sf_dir):
     t = T(spark, sf_dir)
-    return t.filter((F.col("timestamp") >= F.lit(AS_OF).cast("timestamp_ntz")) &
-                    (F.col("timestamp") < F.lit(NEXT_DAY).cast("timestamp_ntz")))
+    return t.filter((F.col("timestamp") >= ntz_lit(AS_OF)) &
+                    (F.col("timestamp") < ntz_lit(NEXT_DAY)))
 
 
 def _nodes(spark, sf_dir):

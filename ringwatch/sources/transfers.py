@@ -49,6 +49,20 @@ TRANSFER_SCHEMA = T.StructType([
 # position, so the duplicated header name is harmless.
 _CSV_TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in SOURCE_COLUMNS])
 
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal built from text, so no time zone is involved."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def typed_lit(value, dtype: str) -> Column:
+    """Literal of a given Spark SQL type, zone-free for timestamps."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if dtype in ("timestamp_ntz", "timestamp") and hasattr(value, "hour"):
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
 def epoch_seconds(ts: Column | str) -> Column:
     """Whole seconds since 1970-01-01 for a TIMESTAMP_NTZ, independent of the session zone."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")

@@ -10,7 +10,7 @@ Two strategies give identical rows:
     Window functions partitioned by account. Two shuffles (payer, payee).
     Simple, but one hot account lands in one task.
 
-``bucketed`` (default, the scale path)
+``bucketed`` (the skew path)
     The running totals are split in two levels. A *bucket* is
     (account, minute, txn_id block); inside a bucket the running values come
     from a window partitioned by the whole bucket key, so no task ever holds
@@ -23,6 +23,13 @@ Two strategies give identical rows:
     aggregate (skew-safe) instead of a window over the pair. The 24-hour
     velocity count and the previous send time come from RANGE frames over the
     bucket table. Still two shuffles of the wide rows.
+
+``auto`` (default)
+    One cheap aggregate (map-side combined) finds the largest number of rows
+    any single account holds on either side. If it is at most
+    ``max_rows_per_key`` — a window partition that one task sorts and spills
+    comfortably — the plain plan runs; otherwise the bucketed plan does. The
+    check is the same idea as a size-checked broadcast.
 """
 
 from __future__ import annotations
@@ -53,10 +60,25 @@ def cut_as_of(df: DataFrame, as_of: dt.datetime | None) -> DataFrame:
     return df.filter(F.col("timestamp") < ntz_lit(as_of))
 
 
+# Largest per-account row count the plain strategy accepts in one window task.
+MAX_ROWS_PER_KEY = 2_000_000
+
+
+def largest_account(df: DataFrame) -> int:
+    """Most rows held by one account as payer or as payee (one aggregate job)."""
+    roles = df.select(F.explode(F.array(F.concat(F.lit("s:"), F.col("from_account")),
+                                        F.concat(F.lit("r:"), F.col("to_account")))).alias("k"))
+    top = roles.groupBy("k").count().agg(F.max("count")).first()[0]
+    return int(top or 0)
+
+
 def build_account_history_features(df: DataFrame, as_of: dt.datetime | None,
-                                   strategy: str = "bucketed", id_block: int = 1 << 17) -> DataFrame:
+                                   strategy: str = "auto", id_block: int = 1 << 17,
+                                   max_rows_per_key: int = MAX_ROWS_PER_KEY) -> DataFrame:
     """Append E1-E9 to every transfer strictly before ``as_of``."""
     df = cut_as_of(df, as_of)
+    if strategy == "auto":
+        strategy = "plain" if largest_account(df) <= max_rows_per_key else "bucketed"
     if strategy == "plain":
         return _plain(df)
     if strategy == "bucketed":
@@ -111,13 +133,18 @@ def _plain(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ bucketed
 
+def _block(id_block: int) -> Column:
+    """txn_id block number (integer division keeps the order of ids)."""
+    return F.expr(f"txn_id div {int(id_block)}").cast("bigint")
+
+
 def _first_seen_events(base: DataFrame, acct: str, other: str, id_block: int) -> DataFrame:
     """One row per (account, partner) pair at its first transfer, via an aggregate."""
     first = F.min(F.struct("timestamp", "txn_id")).alias("_f")
     return (base.groupBy(acct, other).agg(first)
             .select(F.col(acct), F.col("_f.timestamp").alias("timestamp"),
                     F.col("_f.txn_id").alias("txn_id"))
-            .withColumn("_sb", F.floor(F.col("txn_id") / F.lit(id_block)).cast("bigint")))
+            .withColumn("_sb", _block(id_block)))
 
 
 def _bucket_table(base: DataFrame, events: DataFrame, acct: str, sender: bool) -> DataFrame:
@@ -174,8 +201,7 @@ def _bucket_side(rows: DataFrame, base: DataFrame, acct: str, other: str, names:
 
 def _bucketed(df: DataFrame, id_block: int) -> DataFrame:
     cols = df.columns
-    sb = F.floor(F.col("txn_id") / F.lit(id_block)).cast("bigint")
-    rows = df.withColumn("_cents", to_cents("amount_paid")).withColumn("_sb", sb)
+    rows = df.withColumn("_cents", to_cents("amount_paid")).withColumn("_sb", _block(id_block))
     base = rows.select("txn_id", "timestamp", "from_account", "to_account", "_cents", "_sb")
     s = _bucket_side(rows, base, "from_account", "to_account",
                      ("sender_n_sent_before", "sender_amount_sent_before", "sender_distinct_out_before"),

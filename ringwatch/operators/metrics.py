@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ringwatch.functions.hashing import uniform_from_key
 from ringwatch.functions.money import from_cents, to_cents
 from ringwatch.operators.prefix import prefix_sum
+from ringwatch.session import ensure_checkpoint_dir
 
 DEFAULT_K_VALUES = (50, 100, 500, 1000, 5000)
 NO_PATTERN = -1
@@ -163,13 +164,20 @@ def pattern_recall(scored: DataFrame, k: int, threshold: float = 0.5) -> DataFra
 
 
 def evaluate(scored: DataFrame, k_values=DEFAULT_K_VALUES, patterns: bool = True, cost: bool = True,
-             hours_per_alert: float = HOURS_PER_ALERT, pattern_threshold: float = 0.5) -> DataFrame:
+             hours_per_alert: float = HOURS_PER_ALERT, pattern_threshold: float = 0.5,
+             materialize: bool = True) -> DataFrame:
     """H6: every metric as tidy rows ``(metric, k, value)``; ``k`` is null for global metrics."""
     if not 0 < pattern_threshold <= 1:
         raise ValueError(f"threshold must be in (0, 1], got {pattern_threshold}")
     ks = list(dict.fromkeys(int(k) for k in k_values))
     if any(k <= 0 for k in ks):
         raise ValueError("k must be positive")
+    if materialize:
+        # Several passes follow (totals, cutoffs, PR-AUC sample, final). Cut the
+        # lineage once with a reliable checkpoint in the session's checkpoint
+        # folder: the scored rows are computed once and survive executor loss.
+        ensure_checkpoint_dir(scored.sparkSession)
+        scored = scored.checkpoint(eager=True)
     n, p = _totals(scored)
     if p == 0:
         raise ValueError("PR-AUC is undefined with no positive examples")

@@ -25,21 +25,21 @@ SAMPLES_PER_BUCKET = 40
 
 
 def sample_bounds(df: DataFrame, keys: list[str], n: int, seed: int = 11) -> list[tuple]:
-    """Up to ``n - 1`` ascending bound tuples on ``keys`` from a bounded sample
-    (about ``SAMPLES_PER_BUCKET`` rows per bucket reach the driver)."""
+    """Up to ``n - 1`` ascending bound tuples on ``keys`` from a uniform sample of
+    ``SAMPLES_PER_BUCKET * n`` rows, taken in one pass (each task keeps its own
+    smallest random tags; no count job first)."""
     if n <= 1:
         return []
-    total = df.count()
-    if total == 0:
-        return []
-    frac = min(1.0, SAMPLES_PER_BUCKET * n / total)
-    rows = [tuple(r) for r in df.select(*keys).sample(False, frac, seed).orderBy(*keys).collect()]
+    m = SAMPLES_PER_BUCKET * n
+    sample = df.select(*keys, F.rand(seed).alias("_tag")).orderBy("_tag").limit(m).drop("_tag")
+    # Sorted by Spark (not Python), so the bounds follow Spark's ordering of the key types.
+    rows = [tuple(r) for r in sample.orderBy(*keys).collect()]
     if not rows:
         return []
     bounds = []
     for i in range(1, n):
         b = rows[min(len(rows) - 1, (i * len(rows)) // n)]
-        if not bounds or b > bounds[-1]:
+        if not bounds or b != bounds[-1]:
             bounds.append(b)
     return bounds
 

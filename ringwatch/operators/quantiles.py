@@ -25,12 +25,13 @@ def nearest_rank_col(n: Column, q: float) -> Column:
 
 
 def quantiles(df: DataFrame, value: str, spec: dict[str, tuple[str, float]],
-              groups: list[str] | None = None) -> DataFrame:
+              groups: list[str] | None = None, moments: bool = False) -> DataFrame:
     """One row per group with one column per ``spec`` entry.
 
     ``spec``: output name -> (method, q); method ``nearest`` (a data value) or
     ``linear`` (interpolated between neighbouring ranks; ``linear`` at 0.5 is
-    the median).
+    the median). ``moments`` adds ``n`` and ``mean`` per group, computed from
+    the same value counts.
     """
     g = list(groups or [])
     added = not g
@@ -38,9 +39,10 @@ def quantiles(df: DataFrame, value: str, spec: dict[str, tuple[str, float]],
         df, g = df.withColumn("_gq", F.lit(0)), ["_gq"]
     counts = value_counts(df, value, g)
     cum = prefix_sum(counts, [value], ["_n"], ["_cum"], partition_cols=g)
-    sizes = counts.groupBy(*g).agg(F.sum("_n").alias("_size"))
+    sizes = counts.groupBy(*g).agg(F.sum("_n").alias("_size"),
+                                   (F.sum(F.col(value) * F.col("_n")) / F.sum("_n")).alias("_mean"))
     cum = cum.join(sizes, g)
-    aggs = []
+    aggs = [F.first("_size").alias("n"), F.first("_mean").alias("mean")] if moments else []
     for name, (method, q) in spec.items():
         n = F.col("_size")
         if method == "nearest":

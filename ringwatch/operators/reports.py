@@ -48,19 +48,21 @@ def ring_sizes(rings: DataFrame) -> DataFrame:
     return per.join(acc, "pattern_id")
 
 
+def stack_columns(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Long form ``(*keys, feature, value)``: one narrow explode, so several
+    per-column statistics come out of one grouped pass."""
+    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
+    return df.select(*keys, F.explode(arr).alias("_s")).select(*keys, "_s.feature", "_s.value")
+
+
 def ring_shape(rings: DataFrame) -> DataFrame:
-    """Median and max of ring transfers, accounts and days."""
-    s = ring_sizes(rings)
-    parts = []
-    for c in ("transfers", "accounts", "days"):
-        q = quantiles(s, c, {f"median_{c}": ("linear", 0.5)})
-        parts.append(q)
-    mx = s.agg(*[F.max(c).cast("double").alias(f"max_{c}") for c in ("transfers", "accounts", "days")])
-    key = F.lit(0).alias("_g")
-    out = mx.select("*", key)
-    for q in parts:
-        out = out.join(q.select("*", key), "_g")
-    return out.drop("_g")
+    """Median and max of ring transfers, accounts and days (one stacked pass)."""
+    cols = ["transfers", "accounts", "days"]
+    q = quantiles(stack_columns(ring_sizes(rings).withColumn("_g", F.lit(0)), ["_g"], cols), "value",
+                  {"median": ("linear", 0.5), "max": ("nearest", 1.0)}, ["_g", "feature"])
+    wide = q.groupBy("_g").pivot("feature", cols).agg(F.first("median").alias("median"), F.first("max").alias("max"))
+    return wide.select(*[F.col(f"{c}_max").alias(f"max_{c}") for c in cols],
+                       *[F.col(f"{c}_median").alias(f"median_{c}") for c in cols])
 
 
 def label_coverage(with_ids: DataFrame) -> DataFrame:
@@ -80,15 +82,19 @@ FLAG_RATES = ("is_cross_currency", "is_self_transfer", "is_same_bank")
 
 
 def feature_by_class(features: DataFrame) -> DataFrame:
-    """Per label: rows, medians of key features, rates of the row flags."""
-    base = features.groupBy("is_laundering").agg(
-        F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(f"rate_{c}") for c in FLAG_RATES])
-    out = base
-    for c in FEATURE_MEDIANS:
-        q = quantiles(features.withColumn(c, F.col(c).cast("double")), c, {f"median_{c}": ("linear", 0.5)},
-                      ["is_laundering"])
-        out = out.join(q, "is_laundering")
-    return out
+    """Per label: rows, medians of key features, rates of the row flags.
+
+    Features and flags are stacked into one long column, counted once per
+    (label, feature, value), and medians and means both come from those counts.
+    """
+    cols = list(FEATURE_MEDIANS) + list(FLAG_RATES)
+    q = quantiles(stack_columns(features, ["is_laundering"], cols), "value", {"median": ("linear", 0.5)},
+                  ["is_laundering", "feature"], moments=True)
+    wide = q.groupBy("is_laundering").pivot("feature", cols).agg(
+        F.first("median").alias("median"), F.first("mean").alias("mean"), F.first("n").alias("n"))
+    return wide.select("is_laundering", F.col(f"{cols[0]}_n").cast("bigint").alias("rows"),
+                       *[F.col(f"{c}_mean").alias(f"rate_{c}") for c in FLAG_RATES],
+                       *[F.col(f"{c}_median").alias(f"median_{c}") for c in FEATURE_MEDIANS])
 
 
 def format_share(df: DataFrame) -> DataFrame:

@@ -45,14 +45,38 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
+def frozen_split(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
+    """A3 + A4: freeze the split of ``sf_dir`` once into a checksummed manifest in the
+    session's shared checkpoint folder, then read the boundaries back.
+
+    The folder name hashes the source files' identity (path, size, mtime) and
+    the split parameters, so changed data gets a new manifest.
+    """
+    import hashlib
+    import os
+
+    from ringwatch.session import shared_dir
+    from ringwatch.sources.manifest import build_manifest, frozen_boundaries, verify_manifest, write_manifest
+
+    src = os.path.join(sf_dir, "events.parquet")
+    st = os.stat(src) if os.path.exists(src) else None
+    ident = f"{os.path.abspath(src)}|{st.st_size if st else ''}|{st.st_mtime_ns if st else ''}|{TAIL_CUTOFF}|{SPLIT_FRACTIONS}"
+    folder = shared_dir(spark, "frozen-splits", hashlib.sha1(ident.encode()).hexdigest())
+    try:
+        verify_manifest(folder)
+    except (FileNotFoundError, ValueError):
+        write_manifest(build_manifest(T(spark, sf_dir), src, TAIL_CUTOFF, SPLIT_FRACTIONS), folder)
+    return frozen_boundaries(folder)
+
+
 def load_split(spark: SparkSession, sf_dir: str, name: str, boundaries=None) -> DataFrame:
     """A5: tail cut, one split as a range filter, ring ids attached."""
     from ringwatch.operators.joins import attach_pattern_ids
-    from ringwatch.operators.split import compute_boundaries, select_split, truncate_tail
+    from ringwatch.operators.split import select_split, truncate_tail
     from ringwatch.plans.q_ingest import rings_with_copies
 
     if name not in ("train", "validation", "test"):
         raise ValueError(f"unknown split: {name}")
     t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
-    b = boundaries or compute_boundaries(t, SPLIT_FRACTIONS)
+    b = boundaries or frozen_split(spark, sf_dir)
     return attach_pattern_ids(select_split(t, name, b), rings_with_copies(spark, sf_dir))

@@ -83,6 +83,13 @@ def _history(spark, sf_dir, strategy):
 
 @register("q_account_history", _HISTORY_SQL)
 def q_account_history(spark, sf_dir):
+    """Flagship: size-checked choice between the plain and the skew-proof plan."""
+    return _history(spark, sf_dir, "auto")
+
+
+@register("q_account_history_bucketed", _HISTORY_SQL)
+def q_account_history_bucketed(spark, sf_dir):
+    """The skew-proof plan forced, so it is checked against the oracle on every run."""
     return _history(spark, sf_dir, "bucketed")
 
 

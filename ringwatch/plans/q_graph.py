@@ -15,7 +15,7 @@ from ringwatch.operators.joins import asof_join
 from ringwatch.operators.sampling import fanout_sample, negative_subsample
 from ringwatch.operators.split import compute_boundaries, select_split, truncate_tail
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import (AS_OF, SEED, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T,
+from ringwatch.plans.common import (frozen_split, AS_OF, SEED, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T,
                                     round_doubles)
 from ringwatch.plans.q_ingest import _BOUNDS_SQL
 from ringwatch.sources.transfers import ntz_lit
@@ -187,7 +187,7 @@ SELECT tr.txn_id, tr.is_laundering FROM tr JOIN pd USING (day) LEFT JOIN neg USI
 WHERE tr.is_laundering = 1 OR nr <= {MAX_ROWS_PER_DAY} OR neg.rk <= greatest({MAX_ROWS_PER_DAY} - np, 0)""")
 def q_neg_subsample(spark, sf_dir):
     t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
-    train = select_split(t, "train", compute_boundaries(t, SPLIT_FRACTIONS))
+    train = select_split(t, "train", frozen_split(spark, sf_dir))
     return negative_subsample(train, MAX_ROWS_PER_DAY, SEED).select("txn_id", "is_laundering")
 
 

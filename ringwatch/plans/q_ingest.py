@@ -12,7 +12,7 @@ from ringwatch.operators.split import (assign_split, compute_boundaries, nearest
                                        snapshot_index, time_slice, truncate_tail)
 from ringwatch.operators.summary import summarise
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import (AS_OF, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T,
+from ringwatch.plans.common import (frozen_split, AS_OF, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T,
                                     T_with_pattern, round_doubles)
 from ringwatch.sources.manifest import ISO, split_manifest_frame
 from ringwatch.sources.patterns import rings_from_transfers
@@ -167,7 +167,7 @@ s AS (SELECT txn_id, CASE WHEN timestamp < train_end THEN 'train' WHEN timestamp
 SELECT txn_id, split FROM s""")
 def q_assign_split(spark, sf_dir):
     t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
-    return assign_split(t, compute_boundaries(t, SPLIT_FRACTIONS)).select("txn_id", "split")
+    return assign_split(t, frozen_split(spark, sf_dir)).select("txn_id", "split")
 
 
 @register("q_split_manifest", _BOUNDS_SQL + f""",

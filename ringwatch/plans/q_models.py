@@ -14,7 +14,7 @@ from ringwatch.operators.models import (PARITY_FEATURES, TREE_FEATURES, class_ba
 from ringwatch.operators.scaler import EdgeScaler
 from ringwatch.operators.split import compute_boundaries, select_split, truncate_tail
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import (AS_OF, K_VALUES, SEED, SPLIT_FRACTIONS, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T,
+from ringwatch.plans.common import (frozen_split, AS_OF, K_VALUES, SEED, SPLIT_FRACTIONS, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T,
                                     round_doubles)
 from ringwatch.plans.q_features import history_ctes
 from ringwatch.plans.q_ingest import _BOUNDS_SQL, rings_with_copies
@@ -30,7 +30,7 @@ SELECT CAST(sum(CASE WHEN is_laundering = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_p
     AS pos_weight FROM tr""")
 def q_class_balance(spark, sf_dir):
     t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
-    return round_doubles(class_balance(select_split(t, "train", compute_boundaries(t, SPLIT_FRACTIONS))))
+    return round_doubles(class_balance(select_split(t, "train", frozen_split(spark, sf_dir))))
 
 
 def _features(spark, sf_dir):
@@ -70,7 +70,7 @@ def q_scaler_transform(spark, sf_dir):
 def _model_frames(spark, sf_dir):
     """Features on the full record as of val_end, then the train and validation slices."""
     t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
-    b = compute_boundaries(t, SPLIT_FRACTIONS)
+    b = frozen_split(spark, sf_dir)
     feats = build_account_history_features(build_basic_features(t), b[1])
     feats = attach_pattern_ids(feats, rings_with_copies(spark, sf_dir))
     return select_split(feats, "train", b), select_split(feats, "validation", b)

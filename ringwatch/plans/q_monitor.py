@@ -12,7 +12,7 @@ from ringwatch.operators.graph import snapshot_edges
 from ringwatch.operators.reports import top_senders
 from ringwatch.operators.split import compute_boundaries, select_split, truncate_tail
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import AS_OF, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T, round_doubles
+from ringwatch.plans.common import frozen_split, AS_OF, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T, round_doubles
 from ringwatch.plans.q_features import history_ctes
 from ringwatch.plans.q_graph import _HASH
 from ringwatch.plans.q_ingest import _BOUNDS_SQL
@@ -92,7 +92,7 @@ SELECT bin, n_expected, n_actual, round((pa - pe) * ln(pa / pe), 6) AS contribut
   round(sum((pa - pe) * ln(pa / pe)) OVER (), 6) AS psi FROM p""")
 def q_psi(spark, sf_dir):
     t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
-    b = compute_boundaries(t, SPLIT_FRACTIONS)
+    b = frozen_split(spark, sf_dir)
     v = F.log1p("amount_paid")
     return round_doubles(psi(select_split(t, "train", b), select_split(t, "validation", b), v))
 

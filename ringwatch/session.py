@@ -60,5 +60,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A folder under the cluster's shared ``spark.checkpoint.dir`` (not the
+    per-application subfolder), for tables that later runs may reuse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        root = ensure_checkpoint_dir(spark)
+    return os.path.join(root, "ringwatch", *parts)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -62,34 +62,65 @@ def canonical_json(manifest: dict) -> str:
     return json.dumps(manifest, indent=2, sort_keys=True) + "\n"
 
 
+def _is_uri(path: str) -> bool:
+    return "://" in path or path.startswith("file:")
+
+
+def _write_text(path: str, text: str) -> None:
+    """Local folders use plain file IO; URIs (a cluster's shared folder) go through Spark."""
+    if _is_uri(path):
+        from pyspark.sql import SparkSession
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option(
+            "lineSep", "\u0000").text(path)
+        return
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        fh.write(text)
+
+
+def _read_text(path: str) -> str:
+    if _is_uri(path):
+        from pyspark.sql import SparkSession
+        from pyspark.sql.utils import AnalysisException
+        spark = SparkSession.getActiveSession()
+        try:
+            rows = spark.read.option("lineSep", "\u0000").text(path).collect()
+        except AnalysisException as e:  # path does not exist
+            raise FileNotFoundError(path) from e
+        return "".join(r.value for r in rows)
+    if not os.path.exists(path):
+        raise FileNotFoundError(path)
+    with open(path) as fh:
+        return fh.read()
+
+
 def write_manifest(manifest: dict, folder: str) -> str:
-    os.makedirs(folder, exist_ok=True)
     text = canonical_json(manifest)
-    with open(os.path.join(folder, MANIFEST_FILE), "w") as fh:
-        fh.write(text)
     digest = hashlib.sha256(text.encode()).hexdigest()
-    with open(os.path.join(folder, CHECKSUM_FILE), "w") as fh:
-        fh.write(f"{digest}  {MANIFEST_FILE}\n")
+    _write_text(os.path.join(folder, MANIFEST_FILE), text)
+    _write_text(os.path.join(folder, CHECKSUM_FILE), f"{digest}  {MANIFEST_FILE}\n")
     return digest
 
 
+def read_manifest(folder: str) -> dict:
+    return json.loads(_read_text(os.path.join(folder, MANIFEST_FILE)))
+
+
 def frozen_boundaries(folder: str) -> tuple[dt.datetime, dt.datetime]:
     """A4: read the boundaries back instead of recomputing them."""
-    with open(os.path.join(folder, MANIFEST_FILE)) as fh:
-        b = json.load(fh)["boundaries"]
+    b = read_manifest(folder)["boundaries"]
     return dt.datetime.fromisoformat(b["train_end"]), dt.datetime.fromisoformat(b["val_end"])
 
 
 def verify_manifest(folder: str) -> None:
     """The manifest must exist, have a recorded checksum, and match it."""
     mpath, cpath = os.path.join(folder, MANIFEST_FILE), os.path.join(folder, CHECKSUM_FILE)
-    if not os.path.exists(mpath):
-        raise FileNotFoundError(f"missing split manifest: {mpath}")
-    if not os.path.exists(cpath):
-        raise FileNotFoundError(f"missing checksum record: {cpath}")
-    with open(mpath, "rb") as fh:
-        digest = hashlib.sha256(fh.read()).hexdigest()
-    with open(cpath) as fh:
-        recorded = fh.read().split()[0]
+    text = _read_text(mpath)
+    try:
+        recorded = _read_text(cpath).split()[0]
+    except FileNotFoundError as e:
+        raise FileNotFoundError(f"missing checksum record: {cpath}") from e
+    digest = hashlib.sha256(text.encode()).hexdigest()
     if digest != recorded:
         raise ValueError(f"split manifest changed: {digest} != recorded {recorded}")

@@ -12,18 +12,15 @@ from ringwatch.plans.catalog import register
 from ringwatch.plans.common import AS_OF, T, round_doubles
 from ringwatch.plans.q_features import _HISTORY_SQL
 from ringwatch.session import ensure_checkpoint_dir
-from ringwatch.sources.transfers import TRANSFER_SCHEMA
-from ringwatch.streaming.history_stream import assemble_features, run_stream, write_replay_files
+from ringwatch.streaming.history_stream import assemble_features, replay_days
 
 
 @register("q_stream_history", _HISTORY_SQL)
 def q_stream_history(spark, sf_dir):
-    """Replay T (rows before AS_OF) day by day through the stateful stream, then
+    """Replay T (rows before AS_OF) as a daily feed through the stateful stream, then
     assemble the per-role outputs into the same rows as ``q_account_history``."""
     root = os.path.join(ensure_checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
-    src = os.path.join(root, "source")
     t = cut_as_of(T(spark, sf_dir), AS_OF)
-    write_replay_files(t, src)
-    run_stream(spark, src, TRANSFER_SCHEMA, os.path.join(root, "out"), os.path.join(root, "checkpoint"))
-    feats = assemble_features(spark, os.path.join(root, "out"))
+    out = replay_days(spark, t, root)
+    feats = assemble_features(spark, out)
     return round_doubles(feats.select("txn_id", *[c for c in feats.columns if c != "txn_id"]))

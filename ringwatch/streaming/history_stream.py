@@ -100,24 +100,31 @@ def role_stream(transfers: DataFrame) -> DataFrame:
                             F.explode(roles).alias("r")).select("txn_id", "ts_s", "cents", "r.*")
 
 
-def write_replay_files(transfers: DataFrame, path: str) -> list[str]:
-    """Write ``transfers`` as one chunk per calendar day, one write per chunk in
-    day order, so the file source sees them in event-time (modification-time)
-    order, the way a daily feed would land."""
+def replay_days(spark: SparkSession, transfers: DataFrame, root: str) -> str:
+    """Replay ``transfers`` as a daily feed and return the output folder.
+
+    Day by day, in event-time order: the day's rows land under
+    ``source/day=<d>`` (a normal parallel write, any number of files), then
+    the streaming query runs with ``availableNow`` from its checkpoint and
+    processes exactly the new day. Every run after the first restarts from
+    the checkpoint, so state recovery is exercised on each day boundary.
+    """
+    src, out, ckpt = (os.path.join(root, d) for d in ("source", "out", "checkpoint"))
     days = [r[0] for r in transfers.select(F.to_date("timestamp").alias("d")).distinct().orderBy("d").collect()]
-    out = []
-    for d in days:  # one small job per day: the replay is a test harness, not the scale path
-        p = os.path.join(path, f"day={d.isoformat()}")
-        transfers.filter(F.to_date("timestamp") == F.lit(d)).write.mode("overwrite").parquet(p)
-        out.append(p)
+    for d in days:  # one landing + one catch-up run per day
+        transfers.filter(F.to_date("timestamp") == F.lit(d)).write.mode("overwrite").parquet(
+            os.path.join(src, f"day={d.isoformat()}"))
+        run_stream(spark, src, transfers.schema, out, ckpt, files_per_trigger=None)
     return out
 
 
 def run_stream(spark: SparkSession, source: str, schema: T.StructType, out_path: str, checkpoint: str,
-               files_per_trigger: int = 1) -> None:
-    """Run the stateful stream over every file under ``source`` until caught up."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-              .option("recursiveFileLookup", "true").parquet(source))
+               files_per_trigger: int | None = None) -> None:
+    """Run the stateful stream over every new file under ``source`` until caught up."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    stream = reader.parquet(source)
     keyed = role_stream(stream).groupBy("account")
     result = keyed.applyInPandasWithState(_account_state, ROLE_SCHEMA, STATE_SCHEMA, "append",
                                           GroupStateTimeout.NoTimeout)

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringwatch.functions.money import from_cents, to_cents
-from ringwatch.sources.transfers import epoch_seconds, ntz_lit
+from ringwatch.sources.transfers import epoch_seconds, ntz_lit, seconds_between
 
 VELOCITY_SECONDS = 24 * 3600
 
@@ -119,7 +119,7 @@ def _plain(df: DataFrame) -> DataFrame:
         out.append(F.coalesce(F.sum("_first").over(before), F.lit(0)).cast("bigint").alias(dist))
         if sender:
             rng = Window.partitionBy(acct).orderBy("_ts_s").rangeBetween(_UNB, -VELOCITY_SECONDS)
-            out.append(F.timestamp_diff("SECOND", F.lag("timestamp").over(w), F.col("timestamp"))
+            out.append(seconds_between(F.lag("timestamp").over(w), F.col("timestamp"))
                        .alias("sender_seconds_since_last_send"))
             out.append(F.count(F.lit(1)).over(rng).alias("_le24"))
         return d.select(*[c for c in d.columns if c != "_first"], *out)
@@ -193,7 +193,7 @@ def _bucket_side(rows: DataFrame, base: DataFrame, acct: str, other: str, names:
            (F.col("_p0") + F.col("_p1")).alias(dist)]
     if sender:
         out += [F.when(F.col("_same0") + F.col("_n1") > 0, F.lit(0).cast("bigint"))
-                .otherwise(F.timestamp_diff("SECOND", F.col("_prev_ts"), F.col("timestamp")))
+                .otherwise(seconds_between("_prev_ts", "timestamp"))
                 .alias("sender_seconds_since_last_send"),
                 F.col("_le24")]
     return j.select(*cols, *out)

@@ -12,7 +12,7 @@ from ringwatch.operators.history import HISTORY_FEATURES, build_account_history_
 from ringwatch.operators.joins import bounded_broadcast
 from ringwatch.operators.metrics import evaluate
 from ringwatch.operators.sampling import fanout_sample
-from ringwatch.sources.transfers import ntz_lit
+from ringwatch.sources.transfers import ntz_lit, seconds_between
 
 
 def parity(a: DataFrame, b: DataFrame, key: str, cols: list[str]) -> DataFrame:
@@ -107,8 +107,7 @@ def staleness(transfers: DataFrame, as_of: dt.datetime) -> DataFrame:
     past = transfers.filter(F.col("timestamp") < ntz_lit(as_of))
     roles = past.select(F.explode(F.array("from_account", "to_account")).alias("account"), "timestamp")
     last = roles.groupBy("account").agg(F.max("timestamp").alias("last_seen"))
-    return last.withColumn("age_seconds", F.timestamp_diff("SECOND", F.col("last_seen"),
-                                                           ntz_lit(as_of)))
+    return last.withColumn("age_seconds", seconds_between(F.col("last_seen"), ntz_lit(as_of)))
 
 
 def leak_audit(transfers: DataFrame, as_of: dt.datetime, strategy: str = "bucketed") -> DataFrame:

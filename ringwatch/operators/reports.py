@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.operators.quantiles import quantiles
 from ringwatch.operators.summary import role_rows
+from ringwatch.sources.transfers import seconds_between
 
 
 def daily_rate(df: DataFrame, flag_factor: float = 10.0) -> DataFrame:
@@ -44,7 +45,7 @@ def ring_sizes(rings: DataFrame) -> DataFrame:
     acc = role_rows(rings, ["pattern_id"]).groupBy("pattern_id").agg(F.countDistinct("account").alias("accounts"))
     per = rings.groupBy("pattern_id").agg(
         F.count(F.lit(1)).alias("transfers"),
-        (F.timestamp_diff("SECOND", F.min("timestamp"), F.max("timestamp")) / F.lit(86400.0)).alias("days"))
+        (seconds_between(F.min("timestamp"), F.max("timestamp")) / F.lit(86400.0)).alias("days"))
     return per.join(acc, "pattern_id")
 
 

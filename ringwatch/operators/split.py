@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.operators.prefix import prefix_sum
-from ringwatch.sources.transfers import ntz_lit
+from ringwatch.sources.transfers import ntz_lit, whole_days_between
 
 SPLIT_NAMES = ("train", "validation", "test")
 
@@ -70,7 +70,7 @@ def min_timestamp(df: DataFrame) -> dt.datetime | None:
 def snapshot_index(df: DataFrame, origin: dt.datetime | None = None) -> DataFrame:
     """Whole 24-hour periods since ``origin`` (default: the first transfer, not midnight)."""
     origin = origin or min_timestamp(df)
-    return df.withColumn("snapshot", F.timestamp_diff("DAY", ts_lit(origin), F.col("timestamp")).cast("int"))
+    return df.withColumn("snapshot", whole_days_between(ts_lit(origin), F.col("timestamp")).cast("int"))
 
 
 def nearest_rank(n: int, q: float) -> int:

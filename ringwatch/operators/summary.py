@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringwatch.sources.transfers import whole_days_between
+
 
 def role_rows(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Each transfer twice: (account, role=0) for the payer, (account, role=1) for the payee.
@@ -35,5 +37,5 @@ def summarise(df: DataFrame, approx_accounts: bool = False) -> DataFrame:
     rate = F.when(F.col("n_transactions") > 0, F.col("n_laundering") / F.col("n_transactions")).otherwise(F.lit(0.0))
     return agg.select(
         "*", rate.alias("laundering_rate"),
-        F.timestamp_diff("DAY", F.col("date_min"), F.col("date_max")).alias("span_days"),
+        whole_days_between("date_min", "date_max").alias("span_days"),
         F.when(rate > 0, F.round(F.lit(1.0) / rate).cast("bigint")).alias("one_in"))

@@ -34,7 +34,7 @@ SELECT n_transactions, (SELECT count(DISTINCT account) FROM r) AS n_accounts,
   strftime(date_min, '%Y-%m-%dT%H:%M:%S') AS date_min, strftime(date_max, '%Y-%m-%dT%H:%M:%S') AS date_max,
   n_laundering,
   round(CASE WHEN n_transactions > 0 THEN n_laundering / n_transactions ELSE 0.0 END, 6) AS laundering_rate,
-  CAST(date_diff('day', date_min, date_max) AS BIGINT) AS span_days,
+  CAST(date_sub('day', date_min, date_max) AS BIGINT) AS span_days,
   CASE WHEN n_laundering > 0 THEN CAST(round(n_transactions / n_laundering) AS BIGINT) END AS one_in
 FROM a
 """)
@@ -192,7 +192,7 @@ def q_day_slice(spark, sf_dir):
 
 
 @register("q_snapshot_index", """
-SELECT txn_id, CAST(date_diff('day', (SELECT min(timestamp) FROM T), timestamp) AS INTEGER) AS snapshot FROM T""")
+SELECT txn_id, CAST(date_sub('day', (SELECT min(timestamp) FROM T), timestamp) AS INTEGER) AS snapshot FROM T""")
 def q_snapshot_index(spark, sf_dir):
     return snapshot_index(T(spark, sf_dir)).select("txn_id", "snapshot")
 

@@ -64,9 +64,21 @@ def typed_lit(value, dtype: str) -> Column:
 
 
 def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since 1970-01-01 for a TIMESTAMP_NTZ, independent of the session zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", epoch, F.col(ts) if isinstance(ts, str) else ts)
+    """Whole seconds since 1970-01-01 for a TIMESTAMP_NTZ, built from its fields
+    (date, hour, minute, second), so no session time zone or DST rule enters."""
+    t = F.col(ts) if isinstance(ts, str) else ts
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+
+def seconds_between(start: Column | str, end: Column | str) -> Column:
+    """Whole seconds from ``start`` to ``end`` (TIMESTAMP_NTZ, zone-free)."""
+    return epoch_seconds(end) - epoch_seconds(start)
+
+
+def whole_days_between(start: Column | str, end: Column | str) -> Column:
+    """Completed 24-hour periods from ``start`` to ``end`` (truncated toward zero)."""
+    return (seconds_between(start, end) / F.lit(86400)).cast("bigint")  # the cast truncates toward zero
 
 
 def truncate_to_minute(ts: Column) -> Column:
@@ -115,15 +127,17 @@ def load_transactions_csv(spark: SparkSession, path: str, strict: bool = True) -
     return parse_transfer_text(raw, strict=strict).select(*TRANSFER_COLUMNS)
 
 
-def write_transfers_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_transfers_parquet(df: DataFrame, path: str, mode: str = "overwrite", num_files: int | None = None) -> None:
     """Store transfers as Parquet partitioned by calendar day.
 
     Day partitions give partition pruning for the time slices every split and
-    snapshot uses; rows are sorted by (timestamp, txn_id) inside files so
-    min/max statistics make timestamp predicates skip row groups.
+    snapshot uses. Rows are range-partitioned on (timestamp, txn_id), so a day
+    is written by many tasks (never one task per day) and every file covers a
+    narrow time range; sorted files make min/max statistics skip row groups.
     """
+    n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.withColumn("event_date", F.to_date("timestamp"))
-       .repartition("event_date")
+       .repartitionByRange(n, "timestamp", "txn_id")
        .sortWithinPartitions("timestamp", "txn_id")
        .write.mode(mode).partitionBy("event_date").parquet(path))
 

@@ -47,7 +47,8 @@ def rows_of(pdf):
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    tz = os.environ.get("CHECK_TZ")
+    spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"

@@ -201,7 +201,8 @@ def q_asof_join(spark, sf_dir):
     t = T(spark, sf_dir)
     right = (t.groupBy(F.col("to_account").alias("from_account"), F.col("timestamp").alias("rts"))
              .agg(F.max_by("amount_paid", "txn_id").alias("last_in_amount"), F.max("txn_id").alias("last_in_txn_id")))
+    # Hour buckets: the skew-safe form (one hot payer is spread over its hours).
     j = asof_join(t.select("txn_id", "from_account", "timestamp"), right, ["from_account"], "timestamp", "rts",
-                  ["last_in_amount", "last_in_txn_id", "rts"])
+                  ["last_in_amount", "last_in_txn_id", "rts"], bucket_seconds=3600)
     return j.select("txn_id", "last_in_amount", "last_in_txn_id",
                     F.date_format("rts", "yyyy-MM-dd'T'HH:mm:ss").alias("last_in_time"))

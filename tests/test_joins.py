@@ -22,3 +22,18 @@ def test_asof_join_inclusive_backward(spark):
                                    ("b", dt.datetime(2022, 1, 1, 10), 3.0)], "k string, rt timestamp_ntz, v double")
     out = sorted((r.k, r.t.hour, r.v) for r in asof_join(left, right, ["k"], "t", "rt", ["v"]).collect())
     assert out == [("a", 10, 1.0), ("a", 12, 2.0), ("b", 9, None)]
+
+
+def test_bucketed_asof_equals_plain(spark):
+    import random
+    rng = random.Random(2)
+    base = dt.datetime(2022, 1, 1)
+    left = spark.createDataFrame([(f"k{rng.randrange(3)}", base + dt.timedelta(minutes=rng.randrange(600)), i)
+                                  for i in range(300)], "k string, t timestamp_ntz, lid long")
+    right = spark.createDataFrame([(f"k{rng.randrange(3)}", base + dt.timedelta(minutes=rng.randrange(600)), i, float(i))
+                                   for i in range(200)], "k string, rt timestamp_ntz, rid long, v double")
+    a = {r.lid: (r.v, r.rid) for r in asof_join(left, right, ["k"], "t", "rt", ["v", "rid"], tie="rid").collect()}
+    for b in (60, 3600, 86400):
+        got = {r.lid: (r.v, r.rid) for r in
+               asof_join(left, right, ["k"], "t", "rt", ["v", "rid"], tie="rid", bucket_seconds=b).collect()}
+        assert got == a, b

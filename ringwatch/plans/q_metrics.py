@@ -156,3 +156,29 @@ SELECT name, round(value, 6) AS value FROM (
 @register("q_metrics_flat", flat_sql("amount"))
 def q_metrics_flat(spark, sf_dir):
     return round_doubles(flatten_metrics(_eval(spark, sf_dir, "amount")))
+
+
+def run_baselines(spark, sf_dir, runs_path: str | None = None):
+    """H7: both baselines on the validation split through one evaluate each,
+    flattened (A7) and, when ``runs_path`` is given, appended to the runs table (A6)."""
+    from ringwatch.sources.tracking import log_metrics_frame
+
+    out = None
+    for model in ("random", "amount"):
+        flat = flatten_metrics(_eval(spark, sf_dir, model))
+        if runs_path:
+            log_metrics_frame(flat, runs_path, "baselines",
+                              {"model": model, "split": "validation", "seed": SEED, "kind": "baseline"},
+                              {"baseline": "true"})
+        flat = flat.select(F.lit(model).alias("model"), "name", "value")
+        out = flat if out is None else out.unionByName(flat)
+    return out
+
+
+@register("q_baselines_report", f"""
+SELECT * FROM (SELECT 'random' AS model, * FROM ({flat_sql('random')}))
+UNION ALL
+SELECT * FROM (SELECT 'amount' AS model, * FROM ({flat_sql('amount')}))""")
+def q_baselines_report(spark, sf_dir):
+    from ringwatch.session import shared_dir
+    return round_doubles(run_baselines(spark, sf_dir, shared_dir(spark, "runs")))

@@ -25,15 +25,18 @@ def keep_first_by_key(rings: DataFrame, key=MATCH_KEY, order=("pattern_id", "hop
     return rings.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def attach_pattern_ids(transfers: DataFrame, rings: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def attach_pattern_ids(transfers: DataFrame, rings: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """Left join on the 4-column natural key; unmatched rows get -1.
 
     The ring table is deduplicated first, so the join cannot multiply
-    transfers. Labelled rings are a small table; it is broadcast after a
-    size check, otherwise the join shuffles.
+    transfers. The keep-first step shuffles the ring table, so AQE sees its
+    real size and turns the join into a broadcast when it is small — a
+    runtime-checked bound, no extra job. ``max_broadcast_rows`` forces an
+    explicit count-and-hint instead.
     """
     lookup = keep_first_by_key(rings.select(*MATCH_KEY, "pattern_id", "hop")).select(*MATCH_KEY, "pattern_id")
-    lookup = bounded_broadcast(lookup, max_broadcast_rows)
+    if max_broadcast_rows is not None:
+        lookup = bounded_broadcast(lookup, max_broadcast_rows)
     return (transfers.join(lookup, list(MATCH_KEY), "left")
             .withColumn("pattern_id", F.coalesce(F.col("pattern_id"), F.lit(NO_PATTERN)).cast("int")))
 

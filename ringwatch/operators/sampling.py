@@ -22,12 +22,12 @@ def negative_subsample(df: DataFrame, max_rows_per_day: int, seed: int = 42) ->
     per_day = d.groupBy("_day").agg(F.count(F.lit(1)).alias("_rows"), F.sum("is_laundering").alias("_pos"))
     quota = F.when(F.col("_rows") > max_rows_per_day,
                    F.greatest(F.lit(max_rows_per_day) - F.col("_pos"), F.lit(0))).otherwise(F.col("_rows"))
-    per_day = per_day.select("_day", quota.cast("bigint").alias("_quota"))
-    neg = d.filter(F.col("is_laundering") == 0).select("_day", "_h", "txn_id", F.lit(1).alias("_one"))
+    per_day = per_day.select("_day", quota.cast("bigint").alias("_quota"))  # one row per day
+    # Full negative rows go through the ranking, so no join back on txn_id is needed.
+    neg = d.filter(F.col("is_laundering") == 0).withColumn("_one", F.lit(1))
     ranked = prefix_sum(neg, ["_h", "txn_id"], ["_one"], ["_rank"], partition_cols=["_day"])
-    keep = ranked.join(per_day, "_day").filter(F.col("_rank") <= F.col("_quota")).select("txn_id", F.lit(1).alias("_keep"))
-    out = d.join(keep, "txn_id", "left")
-    return out.filter((F.col("is_laundering") == 1) | F.col("_keep").isNotNull()).select(*df.columns)
+    kept = ranked.join(per_day, "_day").filter(F.col("_rank") <= F.col("_quota"))
+    return d.filter(F.col("is_laundering") == 1).select(*df.columns).unionByName(kept.select(*df.columns))
 
 
 def fanout_sample(edges: DataFrame, n: int, node: str = "dst", seed: int = 42, key: str = "txn_id") -> DataFrame:

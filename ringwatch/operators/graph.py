@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ringwatch.operators.prefix import prefix_sum
 from ringwatch.operators.sampling import fanout_sample
-from ringwatch.operators.summary import role_rows
 from ringwatch.sources.transfers import epoch_seconds, ntz_lit
 
 NODE_FEATURES = ("f_out_degree", "f_in_degree", "f_value_out", "f_value_in", "f_distinct_out", "f_distinct_in")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ringwatch.functions.basic import BASIC_FEATURES, build_basic_features
 from ringwatch.operators.history import HISTORY_FEATURES, build_account_history_features
 from ringwatch.plans.catalog import register
 from ringwatch.plans.common import AS_OF, SQL_AS_OF, T, round_doubles
 
+
 _BASIC_SQL = """
 SELECT txn_id,
   CAST(hour(timestamp) AS INTEGER) AS hour,

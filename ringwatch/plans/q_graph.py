@@ -13,10 +13,10 @@ from ringwatch.operators.graph import (NODE_FEATURES, edge_index, edge_inputs, n
 from ringwatch.operators.graph_stats import node_list
 from ringwatch.operators.joins import asof_join
 from ringwatch.operators.sampling import fanout_sample, negative_subsample
-from ringwatch.operators.split import compute_boundaries, select_split, truncate_tail
+from ringwatch.operators.split import select_split, truncate_tail
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import (frozen_split, AS_OF, SEED, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T,
-                                    round_doubles)
+from ringwatch.plans.common import (
+    AS_OF, SEED, SQL_AS_OF, SQL_TAIL_CUTOFF, T, TAIL_CUTOFF, frozen_split, round_doubles)
 from ringwatch.plans.q_ingest import _BOUNDS_SQL
 from ringwatch.sources.transfers import ntz_lit
 

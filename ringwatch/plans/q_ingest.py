@@ -8,12 +8,12 @@ from ringwatch.functions.basic import build_basic_features
 from ringwatch.operators.contracts import FEATURES, RAW_TRANSACTIONS, violation_counts
 from ringwatch.operators.history import build_account_history_features
 from ringwatch.operators.joins import attach_pattern_ids
-from ringwatch.operators.split import (assign_split, compute_boundaries, nearest_rank, select_split,
-                                       snapshot_index, time_slice, truncate_tail)
+from ringwatch.operators.split import assign_split, compute_boundaries, snapshot_index, time_slice, truncate_tail
 from ringwatch.operators.summary import summarise
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import (frozen_split, AS_OF, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T,
-                                    T_with_pattern, round_doubles)
+from ringwatch.plans.common import (
+    AS_OF, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, T, TAIL_CUTOFF, T_with_pattern, frozen_split,
+    round_doubles)
 from ringwatch.sources.manifest import ISO, split_manifest_frame
 from ringwatch.sources.patterns import rings_from_transfers
 from ringwatch.sources.transfers import TRANSFER_COLUMNS

@@ -12,10 +12,9 @@ from ringwatch.operators.metrics import evaluate, rank_by_amount, rank_randomly,
 from ringwatch.operators.models import (PARITY_FEATURES, TREE_FEATURES, class_balance, compare, feature_importance,
                                         fit_edge_scorer, fit_tree, score_with)
 from ringwatch.operators.scaler import EdgeScaler
-from ringwatch.operators.split import compute_boundaries, select_split, truncate_tail
+from ringwatch.operators.split import select_split, truncate_tail
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import (frozen_split, AS_OF, K_VALUES, SEED, SPLIT_FRACTIONS, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T,
-                                    round_doubles)
+from ringwatch.plans.common import AS_OF, K_VALUES, SEED, SQL_TAIL_CUTOFF, T, TAIL_CUTOFF, frozen_split, round_doubles
 from ringwatch.plans.q_features import history_ctes
 from ringwatch.plans.q_ingest import _BOUNDS_SQL, rings_with_copies
 

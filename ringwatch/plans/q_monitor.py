@@ -10,9 +10,9 @@ from ringwatch.operators.monitoring import (alert_forecast, alert_queue, capacit
                                             ego_network, leak_audit, parity, psi, staleness)
 from ringwatch.operators.graph import snapshot_edges
 from ringwatch.operators.reports import top_senders
-from ringwatch.operators.split import compute_boundaries, select_split, truncate_tail
+from ringwatch.operators.split import select_split, truncate_tail
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import frozen_split, AS_OF, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, TAIL_CUTOFF, T, round_doubles
+from ringwatch.plans.common import AS_OF, SQL_AS_OF, SQL_TAIL_CUTOFF, T, TAIL_CUTOFF, frozen_split, round_doubles
 from ringwatch.plans.q_features import history_ctes
 from ringwatch.plans.q_graph import _HASH
 from ringwatch.plans.q_ingest import _BOUNDS_SQL

@@ -5,8 +5,6 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import functions as F
-
 from ringwatch.operators.history import cut_as_of
 from ringwatch.plans.catalog import register
 from ringwatch.plans.common import AS_OF, T, round_doubles

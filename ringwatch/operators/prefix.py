@@ -7,11 +7,17 @@ tasks — each (bucket, group) segment's totals are computed, the totals of the
 same group in earlier buckets are added as an offset, and the running sum
 inside a segment is a window over that segment only.
 
-Bucket bounds are sampled once and applied as literals by a deterministic
-expression (a binary search over the bounds). Both uses of the bucket id —
-segment totals and the running sums — therefore agree even when Spark
-recomputes the input in separate stages or after an executor loss; a
-``repartitionByRange`` exchange would re-sample its bounds per exchange.
+Both uses of the bucket id — segment totals and the running sums — must see
+the same assignment even when Spark recomputes the input in separate stages
+or after an executor loss (two ``repartitionByRange`` exchanges would each
+re-sample their bounds). Two ways, by bucket count:
+
+* up to ``MAX_LITERAL_BUCKETS``: bounds are sampled once and applied as
+  literals by a deterministic expression (a binary search over the bounds);
+  nothing is written.
+* above it (a cluster-sized input): one ``repartitionByRange`` and a reliable
+  ``checkpoint()`` in the shared checkpoint folder; both uses read the same
+  materialised rows and partition ids.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from pyspark.sql import functions as F
 from ringwatch.sources.transfers import typed_lit
 
 SAMPLES_PER_BUCKET = 40
+MAX_LITERAL_BUCKETS = 512
 
 
 def sample_bounds(df: DataFrame, keys: list[str], n: int, seed: int = 11) -> list[tuple]:
@@ -71,8 +78,14 @@ def prefix_sum(df: DataFrame, order_cols: list[str], sum_cols: list[str],
     groups = list(partition_cols or [])
     keys = groups + list(order_cols)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sample_bounds(df, keys, n)
-    d = df.withColumn("_pid", bucket_of(df, keys, bounds))
+    if n <= MAX_LITERAL_BUCKETS:
+        bounds = sample_bounds(df, keys, n)
+        d = df.withColumn("_pid", bucket_of(df, keys, bounds))
+    else:
+        from ringwatch.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        d = (df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
+             .checkpoint(eager=True))
     seg = ["_pid", *groups]
     totals = d.groupBy(*seg).agg(*[F.sum(c).alias(c) for c in sum_cols])
     earlier = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -96,3 +96,24 @@ def test_account_renaming_is_invariant(make_transfers):
     a, b = _feats(make_transfers(rows)), _feats(make_transfers(renamed))
     for k in a:
         assert [a[k][c] for c in HISTORY_FEATURES] == [b[k][c] for c in HISTORY_FEATURES]
+
+
+def test_auto_switches_to_bucketed_for_hot_accounts(make_transfers):
+    from ringwatch.operators import history as H
+    df = make_transfers(_random_transfers(300, 21, accounts=3))
+    assert H.largest_account(df) > 50
+    plain = _feats(df, strategy="plain")
+    auto = _feats(df, strategy="auto", max_rows_per_key=50, id_block=4)
+    assert plain == auto
+
+
+def test_amounts_times_ten_scale_only_amount_features(make_transfers):
+    rows = _random_transfers(150, 5)
+    scaled = [r[:6] + (r[6] * 10,) + r[7:8] + (round(r[8] * 10, 2),) + r[9:] for r in rows]
+    a, b = _feats(make_transfers(rows)), _feats(make_transfers(scaled))
+    for k in a:
+        for c in HISTORY_FEATURES:
+            if "amount" in c:
+                assert b[k][c] == pytest.approx(a[k][c] * 10)
+            else:
+                assert b[k][c] == a[k][c]

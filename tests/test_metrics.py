@@ -96,3 +96,17 @@ def test_flatten_names(spark):
     names = {r.name for r in flatten_metrics(evaluate(s, (2,))).collect()}
     assert names == {"pr_auc", "base_rate", "n_rows", "n_positives", "precision_at_2", "lift_at_2",
                      "pattern_recall_at_2", "pattern_hit_rate_at_2", "value_missed_at_2"}
+
+
+def test_evaluate_invariant_to_partitioning(spark):
+    import random
+    rng = random.Random(6)
+    ys = [int(rng.random() < 0.2) for _ in range(500)]
+    scores = [round(rng.random(), 2) for _ in range(500)]  # many ties
+    pids = [rng.choice([-1, -1, 1, 2, 3]) for _ in range(500)]
+    s = scored(spark, ys, scores, pids)
+    a = tidy(evaluate(s, (10, 50, 100)))
+    b = tidy(evaluate(s.repartition(13).orderBy(F.rand(1)), (10, 50, 100)))
+    assert a.keys() == b.keys()
+    for key in a:
+        assert a[key] == pytest.approx(b[key])

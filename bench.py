@@ -23,6 +23,7 @@ from ringwatch.session import get_spark  # noqa: E402
 HEADLINE = [
     "q_account_history",        # flagship: E1-E9, skew-safe strategy
     "q_account_history_plain",  # same rows, plain windows
+    "q_account_history_skewed",  # one payer holds a third of all rows: bucketed plan
     "q_basic_features",
     "q_summary",
     "q_split_manifest",

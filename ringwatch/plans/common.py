@@ -80,3 +80,18 @@ def load_split(spark: SparkSession, sf_dir: str, name: str, boundaries=None) ->
     t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
     b = boundaries or frozen_split(spark, sf_dir)
     return attach_pattern_ids(select_split(t, name, b), rings_with_copies(spark, sf_dir))
+
+
+HOT_ACCOUNT = "A000000"
+
+
+def T_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T with a third of all transfers (txn_id % 3 = 0) sent by one hot payer:
+    the skew case every plan must survive."""
+    t = T(spark, sf_dir)
+    return t.withColumn("from_account", F.when(F.col("txn_id") % 3 == 0, F.lit(HOT_ACCOUNT))
+                        .otherwise(F.col("from_account")))
+
+
+SQL_T_SKEWED = f"""ts_ AS (SELECT * REPLACE (CASE WHEN txn_id % 3 = 0 THEN '{HOT_ACCOUNT}' ELSE from_account END
+                                   AS from_account) FROM T)"""

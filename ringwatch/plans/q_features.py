@@ -5,7 +5,7 @@ from __future__ import annotations
 from ringwatch.functions.basic import BASIC_FEATURES, build_basic_features
 from ringwatch.operators.history import HISTORY_FEATURES, build_account_history_features
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import AS_OF, SQL_AS_OF, T, round_doubles
+from ringwatch.plans.common import AS_OF, SQL_AS_OF, SQL_T_SKEWED, T, T_skewed, round_doubles
 
 
 _BASIC_SQL = """
@@ -27,11 +27,11 @@ def q_basic_features(spark, sf_dir):
     return round_doubles(df.select("txn_id", *BASIC_FEATURES))
 
 
-def history_ctes(as_of_sql: str = SQL_AS_OF) -> str:
-    """CTEs ending in ``hist(txn_id, <E1-E9 unrounded>)`` for rows before ``as_of_sql``."""
+def history_ctes(as_of_sql: str = SQL_AS_OF, source: str = "T") -> str:
+    """CTEs ending in ``hist(txn_id, <E1-E9 unrounded>)`` for rows of ``source`` before ``as_of_sql``."""
     return f"""base AS (
   SELECT txn_id, timestamp, from_account, to_account, CAST(round(amount_paid * 100) AS BIGINT) AS cents
-  FROM T WHERE timestamp < {as_of_sql}),
+  FROM {source} WHERE timestamp < {as_of_sql}),
 f AS (
   SELECT *,
     CAST(row_number() OVER (PARTITION BY from_account, to_account ORDER BY timestamp, txn_id) = 1 AS INTEGER) AS new_out,
@@ -67,7 +67,9 @@ hist AS (
   FROM g)"""
 
 
-_HISTORY_SQL = f"""WITH {history_ctes()}
+def history_sql(source_ctes: str = "", source: str = "T") -> str:
+    prefix = f"{source_ctes}, " if source_ctes else ""
+    return f"""WITH {prefix}{history_ctes(source=source)}
 SELECT txn_id, sender_n_sent_before, round(sender_amount_sent_before, 6) AS sender_amount_sent_before,
   sender_distinct_out_before, sender_seconds_since_last_send, receiver_n_received_before,
   round(receiver_amount_received_before, 6) AS receiver_amount_received_before, receiver_distinct_in_before,
@@ -75,8 +77,11 @@ SELECT txn_id, sender_n_sent_before, round(sender_amount_sent_before, 6) AS send
 FROM hist"""
 
 
-def _history(spark, sf_dir, strategy):
-    df = build_account_history_features(T(spark, sf_dir), AS_OF, strategy=strategy)
+_HISTORY_SQL = history_sql()
+
+
+def _history(spark, sf_dir, strategy, source=T):
+    df = build_account_history_features(source(spark, sf_dir), AS_OF, strategy=strategy)
     return round_doubles(df.select("txn_id", *HISTORY_FEATURES))
 
 
@@ -95,3 +100,10 @@ def q_account_history_bucketed(spark, sf_dir):
 @register("q_account_history_plain", _HISTORY_SQL)
 def q_account_history_plain(spark, sf_dir):
     return _history(spark, sf_dir, "plain")
+
+
+@register("q_account_history_skewed", history_sql(SQL_T_SKEWED, "ts_"))
+def q_account_history_skewed(spark, sf_dir):
+    """One payer holds a third of all rows; the bucketed plan spreads it over
+    (minute, id block) buckets instead of one window task."""
+    return _history(spark, sf_dir, "bucketed", T_skewed)

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringwatch.functions.hashing import uniform_from_key
-from ringwatch.functions.money import from_cents, to_cents
 from ringwatch.operators.prefix import prefix_sum
 from ringwatch.session import ensure_checkpoint_dir
 
@@ -66,9 +65,14 @@ def _cutoffs(scored: DataFrame, k_eff: list[int]) -> dict[int, tuple[float, int]
     return {r["rank"]: (r["score"], r["txn_id"]) for r in rows}
 
 
-def _in_top(cut: tuple[float, int]) -> Column:
+def _dbl(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def _in_top(cut: tuple[float, int]) -> str:
+    """SQL: the row is at or before the k-th row in (score desc, txn_id) order."""
     s, i = cut
-    return (F.col("score") > F.lit(s)) | ((F.col("score") == F.lit(s)) & (F.col("txn_id") <= F.lit(i)))
+    return f"(score > {_dbl(s)} OR (score = {_dbl(s)} AND txn_id <= {int(i)}))"
 
 
 def _totals(scored: DataFrame) -> tuple[int, int]:
@@ -87,22 +91,20 @@ def _totals(scored: DataFrame) -> tuple[int, int]:
 
 # ----------------------------------------------------------- metrics (H1-H5)
 
-def _precision_exprs(k: int, ke: int, cut: tuple[float, int]):
-    s = F.lit(cut[0])
-    above = F.sum(F.when(F.col("score") > s, 1).otherwise(0))
-    pos_above = F.sum(F.when(F.col("score") > s, F.col("y")).otherwise(0))
-    tied = F.sum(F.when(F.col("score") == s, 1).otherwise(0))
-    pos_tied = F.sum(F.when(F.col("score") == s, F.col("y")).otherwise(0))
-    caught = F.sum(F.when(_in_top(cut) & (F.col("y") == 1), to_cents("amount")).otherwise(0))
-    return [above.alias(f"a{k}"), pos_above.alias(f"pa{k}"), tied.alias(f"t{k}"),
-            pos_tied.alias(f"pt{k}"), caught.alias(f"c{k}")]
+def _precision_exprs(k: int, ke: int, cut: tuple[float, int]) -> list[str]:
+    """SQL aggregates for one k: rows and positives above / tied at the cutoff, value caught."""
+    s = _dbl(cut[0])
+    return [f"sum(CASE WHEN score > {s} THEN 1 ELSE 0 END) AS a{k}",
+            f"sum(CASE WHEN score > {s} THEN y ELSE 0 END) AS pa{k}",
+            f"sum(CASE WHEN score = {s} THEN 1 ELSE 0 END) AS t{k}",
+            f"sum(CASE WHEN score = {s} THEN y ELSE 0 END) AS pt{k}",
+            f"sum(CASE WHEN {_in_top(cut)} AND y = 1 THEN CAST(round(amount * 100) AS BIGINT) ELSE 0 END) AS c{k}"]
 
 
-def _precision_value(k: int, ke: int) -> Column:
-    slots = F.lit(ke) - F.col(f"a{k}")
-    tied_hits = F.when((F.col(f"t{k}") > 0) & (slots > 0),
-                       (F.col(f"pt{k}") * slots) / F.col(f"t{k}")).otherwise(F.lit(0.0))
-    return (F.col(f"pa{k}") + tied_hits) / F.lit(ke)
+def _precision_value(k: int, ke: int) -> str:
+    slots = f"({ke} - a{k})"
+    tied = f"CASE WHEN t{k} > 0 AND {slots} > 0 THEN (pt{k} * {slots}) / t{k} ELSE 0.0D END"
+    return f"((pa{k} + {tied}) / {ke})"
 
 
 def precision_at_k(scored: DataFrame, k_values=DEFAULT_K_VALUES) -> DataFrame:
@@ -111,11 +113,12 @@ def precision_at_k(scored: DataFrame, k_values=DEFAULT_K_VALUES) -> DataFrame:
         F.col("metric") == "precision_at_k").select("k", F.col("value").alias("precision"))
 
 
-def pr_auc_frame(scored: DataFrame) -> DataFrame:
-    """H2: average precision, tied scores as one step. One row ``pr_auc``."""
+def pr_auc_frame(scored: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """H2: average precision, tied scores as one step. One row ``pr_auc``.
+    ``max_rows`` (rows of ``scored``, if known) bounds the distinct scores."""
     groups = scored.groupBy("score").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     groups = groups.withColumn("_neg", -F.col("score"))
-    cum = prefix_sum(groups, ["_neg"], ["n", "pos"], ["cn", "cp"])
+    cum = prefix_sum(groups, ["_neg"], ["n", "pos"], ["cn", "cp"], max_rows=max_rows)
     return cum.agg((F.sum(F.col("pos") * F.col("cp") / F.col("cn")) / F.sum("pos")).alias("pr_auc"))
 
 
@@ -123,7 +126,7 @@ def pr_auc(scored: DataFrame) -> float:
     n, p = _totals(scored)
     if p == 0:
         raise ValueError("PR-AUC is undefined with no positive examples")
-    return float(pr_auc_frame(scored).first()[0])
+    return float(pr_auc_frame(scored, max_rows=n).first()[0])
 
 
 def _ring_frame(scored: DataFrame, ks: list[int], cuts: dict[int, tuple[float, int]], kes: dict[int, int],
@@ -132,29 +135,27 @@ def _ring_frame(scored: DataFrame, ks: list[int], cuts: dict[int, tuple[float, i
     ring = scored.filter(F.col("pattern_id") != NO_PATTERN)
     per = ring.groupBy("pattern_id").agg(
         F.count(F.lit(1)).alias("members"),
-        *[F.sum(F.when(_in_top(cuts[kes[k]]), 1).otherwise(0)).alias(f"f{k}") for k in ks])
-    aggs = [F.count(F.lit(1)).alias("n_patterns")]
+        *[F.expr(f"sum(CASE WHEN {_in_top(cuts[kes[k]])} THEN 1 ELSE 0 END)").alias(f"f{k}") for k in ks])
+    aggs = ["count(1) AS n_patterns"]
     for k in ks:
-        share = F.col(f"f{k}") / F.col("members")
-        aggs += [F.sum(F.when(share >= F.lit(threshold), 1).otherwise(0)).alias(f"cau{k}"),
-                 F.sum(F.when(F.col(f"f{k}") > 0, 1).otherwise(0)).alias(f"hit{k}")]
-    one = per.agg(*aggs)
-    n = F.col("n_patterns")
+        aggs += [f"sum(CASE WHEN f{k} / members >= {_dbl(threshold)} THEN 1 ELSE 0 END) AS cau{k}",
+                 f"sum(CASE WHEN f{k} > 0 THEN 1 ELSE 0 END) AS hit{k}"]
+    one = per.selectExpr(*aggs)
     rows = []
     for k in ks:
-        cau, hit = F.coalesce(F.col(f"cau{k}"), F.lit(0)), F.coalesce(F.col(f"hit{k}"), F.lit(0))
-        rows += [(k, "pattern_n_patterns", n.cast("double")),
-                 (k, "pattern_n_caught", cau.cast("double")),
-                 (k, "pattern_recall", F.when(n > 0, cau / n).otherwise(F.lit(0.0))),
-                 (k, "pattern_hit_rate", F.when(n > 0, hit / n).otherwise(F.lit(0.0))),
-                 (k, "pattern_threshold", F.lit(float(threshold)))]
+        cau, hit = f"coalesce(cau{k}, 0)", f"coalesce(hit{k}, 0)"
+        rows += [(k, "pattern_n_patterns", "n_patterns"),
+                 (k, "pattern_n_caught", cau),
+                 (k, "pattern_recall", f"CASE WHEN n_patterns > 0 THEN {cau} / n_patterns ELSE 0.0D END"),
+                 (k, "pattern_hit_rate", f"CASE WHEN n_patterns > 0 THEN {hit} / n_patterns ELSE 0.0D END"),
+                 (k, "pattern_threshold", _dbl(threshold))]
     return _explode_rows(one, rows)
 
 
-def _explode_rows(one_row: DataFrame, rows: list[tuple[int | None, str, Column]]) -> DataFrame:
-    arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(k).cast("bigint").alias("k"),
-                             v.cast("double").alias("value")) for k, m, v in rows])
-    return one_row.select(F.explode(arr).alias("r")).select("r.metric", "r.k", "r.value")
+def _explode_rows(one_row: DataFrame, rows: list[tuple[int | None, str, str]]) -> DataFrame:
+    """One-row frame -> tidy ``(metric, k, value)`` rows with one ``stack``."""
+    parts = [f"'{m}', CAST({'NULL' if k is None else int(k)} AS BIGINT), CAST({v} AS DOUBLE)" for k, m, v in rows]
+    return one_row.selectExpr(f"stack({len(rows)}, {', '.join(parts)}) AS (metric, k, value)")
 
 
 def pattern_recall(scored: DataFrame, k: int, threshold: float = 0.5) -> DataFrame:
@@ -183,23 +184,23 @@ def evaluate(scored: DataFrame, k_values=DEFAULT_K_VALUES, patterns: bool = True
         raise ValueError("PR-AUC is undefined with no positive examples")
     kes = {k: min(k, n) for k in ks}
     cuts = _cutoffs(scored, list(kes.values()))
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum("y").alias("p"),
-            F.sum(F.when(F.col("y") == 1, to_cents("amount")).otherwise(0)).alias("pc")]
+    aggs = ["count(1) AS n", "sum(y) AS p",
+            "sum(CASE WHEN y = 1 THEN CAST(round(amount * 100) AS BIGINT) ELSE 0 END) AS pc"]
     for k in ks:
         aggs += _precision_exprs(k, kes[k], cuts[kes[k]])
-    one = scored.agg(*aggs)
-    base = F.col("p") / F.col("n")
-    rows: list = [(None, "base_rate", base), (None, "n_rows", F.col("n")), (None, "n_positives", F.col("p"))]
+    one = scored.selectExpr(*aggs)
+    base = "(p / n)"
+    rows: list = [(None, "base_rate", base), (None, "n_rows", "n"), (None, "n_positives", "p")]
     for k in ks:
         prec = _precision_value(k, kes[k])
-        rows += [(k, "precision_at_k", prec), (k, "lift_at_k", F.when(base > 0, prec / base))]
+        rows += [(k, "precision_at_k", prec), (k, "lift_at_k", f"CASE WHEN {base} > 0 THEN {prec} / {base} END")]
         if cost:
-            rows += [(k, "cost_investigator_hours", F.lit(kes[k] * hours_per_alert)),
-                     (k, "cost_laundering_value_caught", from_cents(F.col(f"c{k}"))),
-                     (k, "cost_laundering_value_missed", from_cents(F.col("pc") - F.col(f"c{k}")))]
+            rows += [(k, "cost_investigator_hours", _dbl(kes[k] * hours_per_alert)),
+                     (k, "cost_laundering_value_caught", f"c{k} / 100.0D"),
+                     (k, "cost_laundering_value_missed", f"(pc - c{k}) / 100.0D")]
     out = _explode_rows(one, rows)
-    ap = pr_auc_frame(scored).select(F.lit("pr_auc").alias("metric"), F.lit(None).cast("bigint").alias("k"),
-                                     F.col("pr_auc").cast("double").alias("value"))
+    ap = pr_auc_frame(scored, max_rows=n).selectExpr("'pr_auc' AS metric", "CAST(NULL AS BIGINT) AS k",
+                                         "CAST(pr_auc AS DOUBLE) AS value")
     out = ap.unionByName(out)
     if patterns:
         out = out.unionByName(_ring_frame(scored, ks, cuts, kes, pattern_threshold))

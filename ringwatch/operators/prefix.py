@@ -29,6 +29,7 @@ from ringwatch.sources.transfers import typed_lit
 
 SAMPLES_PER_BUCKET = 40
 MAX_LITERAL_BUCKETS = 512
+ROWS_PER_BUCKET = 2_000_000  # rows one task sorts for its running sums
 
 
 def sample_bounds(df: DataFrame, keys: list[str], n: int, seed: int = 11) -> list[tuple]:
@@ -68,16 +69,25 @@ def bucket_of(df: DataFrame, keys: list[str], bounds: list[tuple]) -> Column:
 
 def prefix_sum(df: DataFrame, order_cols: list[str], sum_cols: list[str],
                out_cols: list[str] | None = None, inclusive: bool = True,
-               partition_cols: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+               partition_cols: list[str] | None = None, num_partitions: int | None = None,
+               max_rows: int | None = None) -> DataFrame:
     """Append running sums of ``sum_cols`` in ``order_cols`` order (within ``partition_cols`` groups).
 
     ``order_cols`` must order rows totally inside a group; ``inclusive``
     includes the current row. Output names default to ``cum_<col>``.
+    ``max_rows``, a known upper bound on the input's rows, sizes the bucket
+    count (about ``ROWS_PER_BUCKET`` rows each); a small input then needs a
+    single bucket and no sampling pass.
     """
     out_cols = out_cols or [f"cum_{c}" for c in sum_cols]
     groups = list(partition_cols or [])
     keys = groups + list(order_cols)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if num_partitions:
+        n = num_partitions
+    elif max_rows is not None:
+        n = max(1, -(-max_rows // ROWS_PER_BUCKET))
+    else:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if n <= MAX_LITERAL_BUCKETS:
         bounds = sample_bounds(df, keys, n)
         d = df.withColumn("_pid", bucket_of(df, keys, bounds))

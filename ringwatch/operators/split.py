@@ -92,7 +92,7 @@ def timestamp_quantiles(df: DataFrame, qs: list[float]) -> list[dt.datetime | No
     if n == 0:
         return [None for _ in qs]
     counts = df.groupBy("timestamp").agg(F.count(F.lit(1)).alias("n"))
-    cum = prefix_sum(counts, ["timestamp"], ["n"], ["cum"])
+    cum = prefix_sum(counts, ["timestamp"], ["n"], ["cum"], max_rows=n)  # distinct instants <= rows
     aggs = [F.min(F.when(F.col("cum") >= F.lit(nearest_rank(n, q)), F.col("timestamp"))).alias(f"q{i}")
             for i, q in enumerate(qs)]
     row = cum.agg(*aggs).first()

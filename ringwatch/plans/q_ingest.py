@@ -191,6 +191,25 @@ def q_day_slice(spark, sf_dir):
     return time_slice(T(spark, sf_dir), dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 21))
 
 
+@register("q_day_slice_stored", f"""SELECT {_T_COLS} FROM T
+WHERE timestamp >= TIMESTAMP '2024-01-20 00:00:00' AND timestamp < TIMESTAMP '2024-01-21 00:00:00'""")
+def q_day_slice_stored(spark, sf_dir):
+    """B10 on the stored layout: T written day-partitioned (sorted by time) into
+    the checkpoint folder, then the day slice prunes directories and pushes the
+    timestamp bounds into the Parquet scan."""
+    import datetime as dt
+    import os
+    import uuid
+
+    from ringwatch.session import ensure_checkpoint_dir
+    from ringwatch.sources.transfers import load_transfers_parquet, write_transfers_parquet
+
+    path = os.path.join(ensure_checkpoint_dir(spark), f"transfers-{uuid.uuid4().hex}")
+    write_transfers_parquet(T(spark, sf_dir), path)
+    stored = load_transfers_parquet(spark, path)
+    return time_slice(stored, dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 21)).select(*TRANSFER_COLUMNS)
+
+
 @register("q_snapshot_index", """
 SELECT txn_id, CAST(date_sub('day', (SELECT min(timestamp) FROM T), timestamp) AS INTEGER) AS snapshot FROM T""")
 def q_snapshot_index(spark, sf_dir):

@@ -39,8 +39,10 @@ def quantiles(df: DataFrame, value: str, spec: dict[str, tuple[str, float]],
         df, g = df.withColumn("_gq", F.lit(0)), ["_gq"]
     counts = value_counts(df, value, g)
     cum = prefix_sum(counts, [value], ["_n"], ["_cum"], partition_cols=g)
-    sizes = counts.groupBy(*g).agg(F.sum("_n").alias("_size"),
-                                   (F.sum(F.col(value) * F.col("_n")) / F.sum("_n")).alias("_mean"))
+    size_aggs = [F.sum("_n").alias("_size")]
+    if moments:
+        size_aggs.append((F.sum(F.col(value) * F.col("_n")) / F.sum("_n")).alias("_mean"))
+    sizes = counts.groupBy(*g).agg(*size_aggs)
     cum = cum.join(sizes, g)
     aggs = [F.first("_size").alias("n"), F.first("_mean").alias("mean")] if moments else []
     for name, (method, q) in spec.items():

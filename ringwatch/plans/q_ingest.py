@@ -8,7 +8,8 @@ from ringwatch.functions.basic import build_basic_features
 from ringwatch.operators.contracts import FEATURES, RAW_TRANSACTIONS, violation_counts
 from ringwatch.operators.history import build_account_history_features
 from ringwatch.operators.joins import attach_pattern_ids
-from ringwatch.operators.split import assign_split, compute_boundaries, snapshot_index, time_slice, truncate_tail
+from ringwatch.operators.split import assign_split, snapshot_index, time_slice, truncate_tail
+from ringwatch.operators.quantiles import quantiles
 from ringwatch.operators.summary import summarise
 from ringwatch.plans.catalog import register
 from ringwatch.plans.common import (
@@ -157,8 +158,14 @@ _BOUNDS_SQL = _boundary_sql()
 @register("q_boundaries", _BOUNDS_SQL + """
 SELECT strftime(train_end, '%Y-%m-%dT%H:%M:%S') AS train_end, strftime(val_end, '%Y-%m-%dT%H:%M:%S') AS val_end FROM b""")
 def q_boundaries(spark, sf_dir):
-    a, b = compute_boundaries(truncate_tail(T(spark, sf_dir), TAIL_CUTOFF), SPLIT_FRACTIONS)
-    return spark.range(1).select(F.lit(a.isoformat()).alias("train_end"), F.lit(b.isoformat()).alias("val_end"))
+    """D3 as one lazy plan: counts per instant, distributed running counts, and the
+    instant at each "nearest" rank (``compute_boundaries`` returns the same values as
+    literals for filters)."""
+    q1, q2 = SPLIT_FRACTIONS[0], SPLIT_FRACTIONS[0] + SPLIT_FRACTIONS[1]
+    b = quantiles(truncate_tail(T(spark, sf_dir), TAIL_CUTOFF), "timestamp",
+                  {"train_end": ("nearest", q1), "val_end": ("nearest", q2)})
+    iso = "yyyy-MM-dd'T'HH:mm:ss"
+    return b.select(F.date_format("train_end", iso).alias("train_end"), F.date_format("val_end", iso).alias("val_end"))
 
 
 @register("q_assign_split", _BOUNDS_SQL + f""",

@@ -62,7 +62,7 @@ def _assert_no_labels(features) -> None:
         raise ValueError(f"label columns used as features: {bad}")
 
 
-def fit_tree(train: DataFrame, features=TREE_FEATURES, seed: int = 42, max_iter: int = 30,
+def fit_tree(train: DataFrame, features=TREE_FEATURES, seed: int = 42, max_iter: int = 20,
              max_depth: int = 5, step_size: float = 0.1, subsampling: float = 1.0) -> PipelineModel:
     """K1 + K2: indexers fitted on training rows only, then a weighted GBT."""
     _assert_no_labels(features)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from ringwatch.operators.history import cut_as_of
+from ringwatch.operators.history import HISTORY_FEATURES, cut_as_of
 from ringwatch.plans.catalog import register
 from ringwatch.plans.common import AS_OF, T, round_doubles
 from ringwatch.plans.q_features import _HISTORY_SQL
@@ -21,4 +21,4 @@ def q_stream_history(spark, sf_dir):
     t = cut_as_of(T(spark, sf_dir), AS_OF)
     out = replay_days(spark, t, root)
     feats = assemble_features(spark, out)
-    return round_doubles(feats.select("txn_id", *[c for c in feats.columns if c != "txn_id"]))
+    return round_doubles(feats.select("txn_id", *HISTORY_FEATURES))

@@ -39,6 +39,7 @@ from ringwatch.sources.transfers import epoch_seconds
 
 ROLE_SCHEMA = T.StructType([
     T.StructField("txn_id", T.LongType()), T.StructField("role", T.IntegerType()),
+    T.StructField("cents", T.LongType()),
     T.StructField("late", T.IntegerType()), T.StructField("n_before", T.LongType()),
     T.StructField("cents_before", T.LongType()), T.StructField("distinct_before", T.LongType()),
     T.StructField("seconds_since", T.LongType()), T.StructField("last_24h", T.LongType()),
@@ -66,28 +67,29 @@ def _account_state(key: tuple, batches: Iterator[pd.DataFrame], state: GroupStat
     for ts, txn, role, partner, cents in zip(pdf["ts_s"].tolist(), pdf["txn_id"].tolist(), pdf["role"].tolist(),
                                             pdf["partner"].tolist(), pdf["cents"].tolist()):
         if hw_ts is not None and (ts, txn) < (hw_ts, hw_id):
-            out.append((txn, role, 1, None, None, None, None, None))
+            out.append((txn, role, cents, 1, None, None, None, None, None))
             continue
         hw_ts, hw_id = ts, txn
         if role == 0:
             cutoff = ts - VELOCITY_SECONDS
             queue = [t for t in queue if t > cutoff]
             since = None if last_send is None else ts - last_send
-            out.append((txn, 0, 0, n_sent, cents_sent, len(p_out), since, len(queue)))
+            out.append((txn, 0, cents, 0, n_sent, cents_sent, len(p_out), since, len(queue)))
             n_sent += 1
             cents_sent += cents
             p_out.add(partner)
             last_send = ts
             queue.append(ts)
         else:
-            out.append((txn, 1, 0, n_recv, cents_recv, len(p_in), None, None))
+            out.append((txn, 1, cents, 0, n_recv, cents_recv, len(p_in), None, None))
             n_recv += 1
             cents_recv += cents
             p_in.add(partner)
     state.update((n_sent, cents_sent, n_recv, cents_recv, last_send, hw_ts, hw_id,
                   json.dumps(sorted(p_out)), json.dumps(sorted(p_in)), json.dumps(queue)))
     yield pd.DataFrame(out, columns=[f.name for f in ROLE_SCHEMA.fields]).astype(
-        {"txn_id": "int64", "role": "int32", "late": "int32", "n_before": "Int64", "cents_before": "Int64",
+        {"txn_id": "int64", "role": "int32", "cents": "int64", "late": "int32", "n_before": "Int64",
+         "cents_before": "Int64",
          "distinct_before": "Int64", "seconds_since": "Int64", "last_24h": "Int64"})
 
 
@@ -100,7 +102,7 @@ def role_stream(transfers: DataFrame) -> DataFrame:
                             F.explode(roles).alias("r")).select("txn_id", "ts_s", "cents", "r.*")
 
 
-def replay_days(spark: SparkSession, transfers: DataFrame, root: str) -> str:
+def replay_days(spark: SparkSession, transfers: DataFrame, root: str, scorer=None) -> str:
     """Replay ``transfers`` as a daily feed and return the output folder.
 
     Day by day, in event-time order: the day's rows land under
@@ -114,13 +116,17 @@ def replay_days(spark: SparkSession, transfers: DataFrame, root: str) -> str:
     for d in days:  # one landing + one catch-up run per day
         transfers.filter(F.to_date("timestamp") == F.lit(d)).write.mode("overwrite").parquet(
             os.path.join(src, f"day={d.isoformat()}"))
-        run_stream(spark, src, transfers.schema, out, ckpt, files_per_trigger=None)
+        run_stream(spark, src, transfers.schema, out, ckpt, files_per_trigger=None, scorer=scorer)
     return out
 
 
 def run_stream(spark: SparkSession, source: str, schema: T.StructType, out_path: str, checkpoint: str,
-               files_per_trigger: int | None = None) -> None:
-    """Run the stateful stream over every new file under ``source`` until caught up."""
+               files_per_trigger: int | None = None, scorer=None) -> None:
+    """Run the stateful stream over every new file under ``source`` until caught up.
+
+    Each micro-batch writes ``decisions`` (one row per transfer: E1-E9, the
+    amount and, with ``scorer`` — a function adding a ``score`` column — the
+    score) and ``late`` (rows that arrived behind their account's mark)."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -130,11 +136,14 @@ def run_stream(spark: SparkSession, source: str, schema: T.StructType, out_path:
                                           GroupStateTimeout.NoTimeout)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        # Two outputs from one micro-batch: persist so the stateful plan runs once.
+        # Both role rows of a transfer come from the same input file, so they
+        # are in the same micro-batch: decisions are assembled batch-locally.
         batch.persist()
         try:
-            batch.filter(F.col("late") == 0).write.mode("overwrite").parquet(
-                os.path.join(out_path, "features", f"epoch={epoch}"))
+            decisions = _assemble(batch.filter(F.col("late") == 0))
+            if scorer is not None:
+                decisions = scorer(decisions)
+            decisions.write.mode("overwrite").parquet(os.path.join(out_path, "decisions", f"epoch={epoch}"))
             batch.filter(F.col("late") == 1).select("txn_id", "role").write.mode("overwrite").parquet(
                 os.path.join(out_path, "late", f"epoch={epoch}"))
         finally:
@@ -145,11 +154,11 @@ def run_stream(spark: SparkSession, source: str, schema: T.StructType, out_path:
     q.awaitTermination()
 
 
-def assemble_features(spark: SparkSession, out_path: str) -> DataFrame:
+def _assemble(r: DataFrame) -> DataFrame:
     """Join the payer-role and payee-role outputs per transfer into E1-E9."""
-    r = spark.read.parquet(os.path.join(out_path, "features")).drop("epoch")
     payer = r.filter(F.col("role") == 0).select(
-        "txn_id", F.col("n_before").alias("sender_n_sent_before"),
+        "txn_id", from_cents("cents").alias("amount_paid"),
+        F.col("n_before").alias("sender_n_sent_before"),
         from_cents("cents_before").alias("sender_amount_sent_before"),
         F.col("distinct_before").alias("sender_distinct_out_before"),
         F.col("seconds_since").alias("sender_seconds_since_last_send"),
@@ -160,4 +169,10 @@ def assemble_features(spark: SparkSession, out_path: str) -> DataFrame:
         F.col("distinct_before").alias("receiver_distinct_in_before"))
     j = payer.join(payee, "txn_id")
     ratio = (F.col("receiver_n_received_before") + 1).cast("double") / (F.col("sender_n_sent_before") + 1).cast("double")
-    return j.select("txn_id", *[ratio.alias(c) if c == "in_out_ratio_before" else F.col(c) for c in HISTORY_FEATURES])
+    return j.select("txn_id", "amount_paid",
+                    *[ratio.alias(c) if c == "in_out_ratio_before" else F.col(c) for c in HISTORY_FEATURES])
+
+
+def assemble_features(spark: SparkSession, out_path: str) -> DataFrame:
+    """All stored decisions: ``txn_id``, E1-E9 (and ``amount_paid``, ``score`` when present)."""
+    return spark.read.parquet(os.path.join(out_path, "decisions")).drop("epoch")

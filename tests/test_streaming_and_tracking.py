@@ -13,8 +13,12 @@ def test_stream_equals_batch(spark, make_transfers, tmp_path):
     rows = [transfer(i, ts(rng.randrange(0, 90)), f"A{rng.randrange(5)}", f"A{rng.randrange(5)}",
                      amount=round(rng.uniform(1, 50), 2)) for i in range(150)]
     tx = make_transfers(rows).repartition(3)  # several files per day
-    out = replay_days(spark, tx, str(tmp_path / "replay"))
-    s = {r.txn_id: r for r in assemble_features(spark, out).collect()}
+    from pyspark.sql import functions as F
+    scorer = lambda d: d.withColumn("score", F.col("amount_paid") * F.col("in_out_ratio_before"))
+    out = replay_days(spark, tx, str(tmp_path / "replay"), scorer=scorer)
+    decisions = assemble_features(spark, out)
+    assert "score" in decisions.columns and decisions.filter(F.col("score").isNull()).count() == 0
+    s = {r.txn_id: r for r in decisions.collect()}
     late = spark.read.parquet(str(tmp_path / "replay" / "out" / "late"))
     assert late.count() == 0
     b = {r.txn_id: r for r in build_account_history_features(tx, None).collect()}

@@ -160,3 +160,52 @@ def edge_index(edges: DataFrame) -> DataFrame:
     return (edges.join(ids.select(F.col("account").alias("src"), F.col("node_id").alias("src_id")), "src")
             .join(ids.select(F.col("account").alias("dst"), F.col("node_id").alias("dst_id")), "dst")
             .select("txn_id", "src_id", "dst_id"))
+
+
+def _state_after_day(e: DataFrame) -> DataFrame:
+    """Cumulative raw node totals per account *including* each of its active days."""
+    r, _ = _raw_node_sums(e, ["account", "day"])
+    daily = r.groupBy("account", "day").agg(
+        F.sum(F.when(F.col("role") == 0, 1).otherwise(0)).alias("n_out"),
+        F.sum(F.when(F.col("role") == 1, 1).otherwise(0)).alias("n_in"),
+        F.sum(F.when(F.col("role") == 0, F.col("log_amount")).otherwise(0.0)).alias("v_out"),
+        F.sum(F.when(F.col("role") == 1, F.col("log_amount")).otherwise(0.0)).alias("v_in"))
+    first = r.groupBy("account", "role", "partner").agg(F.min("day").alias("day"))
+    new = first.groupBy("account", "day").agg(
+        F.sum(F.when(F.col("role") == 0, 1).otherwise(0)).alias("d_out"),
+        F.sum(F.when(F.col("role") == 1, 1).otherwise(0)).alias("d_in"))
+    t = daily.join(new, ["account", "day"], "left").na.fill(0, ["d_out", "d_in"])
+    upto = Window.partitionBy("account").orderBy("day").rowsBetween(_UNB, 0)
+    return t.select("account", "day", *[F.sum(c).over(upto).alias(c)
+                                        for c in ("n_out", "n_in", "v_out", "v_in", "d_out", "d_in")])
+
+
+def neighbor_mean_by_day(transfers: DataFrame, cap: int = 15, seed: int = 42) -> DataFrame:
+    """J5 for every day at once (one hop): for each account active on day d,
+    its own state at the start of d (J4) and the mean state, at the start of
+    d, of its in-neighbours through capped edges (F6, ``cap`` per payee)
+    dated before d. No same-day edge is used.
+
+    Bounded work: a scored (account, d) joins at most ``cap`` capped edges;
+    neighbour states come from an as-of lookup over *distinct* (neighbour,
+    day) pairs, so even a hub neighbour contributes at most one row per day.
+    """
+    from ringwatch.operators.joins import asof_join
+
+    e = transfers.select("txn_id", F.col("from_account").alias("src"), F.col("to_account").alias("dst"),
+                         F.log1p("amount_paid").alias("log_amount"), F.to_date("timestamp").alias("day"))
+    own = node_features_by_day(transfers)
+    capped = fanout_sample(e, cap, node="dst", seed=seed).select(
+        F.col("dst").alias("account"), F.col("src").alias("u"), F.col("day").alias("_eday"))
+    pairs = own.select("account", "day").join(capped, "account").filter(F.col("_eday") < F.col("day"))
+    wanted = pairs.select("u", "day").distinct()
+    raw = ["n_out", "n_in", "v_out", "v_in", "d_out", "d_in"]
+    after = _state_after_day(e).select(F.col("account").alias("u"), F.date_add("day", 1).alias("_from"), *raw)
+    st = asof_join(wanted, after, ["u"], "day", "_from", raw)  # latest active day strictly before d
+    z = lambda c: F.log1p(F.coalesce(F.col(c), F.lit(0)).cast("double"))
+    st = st.select("u", "day", *[z(c).alias(f) for c, f in zip(raw, NODE_FEATURES)])
+    h1 = pairs.join(st, ["u", "day"]).groupBy("account", "day").agg(
+        *[F.avg(f).alias(f"h1_{f}") for f in NODE_FEATURES])
+    out = own.join(h1, ["account", "day"], "left")
+    return out.select("account", "day", *NODE_FEATURES,
+                      *[F.coalesce(F.col(f"h1_{f}"), F.lit(0.0)).alias(f"h1_{f}") for f in NODE_FEATURES])

@@ -80,3 +80,17 @@ def test_negative_subsample_exact_quota(make_transfers):
     for pos, n in per_day.values():
         assert n == 10 or (pos >= 10 and n == pos)
     assert out.filter(F.col("is_laundering") == 1).count() == 10  # every positive kept
+
+
+def test_neighbor_mean_by_day_uses_only_earlier_days(make_transfers):
+    from ringwatch.operators.graph import neighbor_mean_by_day
+    # day 1: X->A ; day 2: Y->A and A->B ; A on day 2 sees X only (Y is same-day)
+    tx = make_transfers([transfer(1, ts(1, 1), "X", "A"), transfer(2, ts(1, 2), "Y", "A"),
+                         transfer(3, ts(2, 2), "A", "B"), transfer(4, ts(0, 1), "W", "X")])
+    got = {(r.account, r.day.day): r for r in neighbor_mean_by_day(tx).collect()}
+    a2 = got[("A", 2)]
+    import math
+    assert a2.f_in_degree == math.log1p(1)             # only the day-1 edge counts
+    assert a2.h1_f_out_degree == math.log1p(1)         # X had sent once before day 2
+    assert a2.h1_f_in_degree == math.log1p(1)          # X had received once (from W) before day 2
+    assert got[("A", 1)].h1_f_out_degree == 0.0        # nothing before day 1

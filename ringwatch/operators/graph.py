@@ -180,6 +180,37 @@ def _state_after_day(e: DataFrame) -> DataFrame:
                                         for c in ("n_out", "n_in", "v_out", "v_in", "d_out", "d_in")])
 
 
+def _edges_by_day(transfers: DataFrame) -> DataFrame:
+    return transfers.select("txn_id", F.col("from_account").alias("src"), F.col("to_account").alias("dst"),
+                            F.log1p("amount_paid").alias("log_amount"), F.to_date("timestamp").alias("day"))
+
+
+_RAW = ["n_out", "n_in", "v_out", "v_in", "d_out", "d_in"]
+
+
+def _capped_in(e: DataFrame, cap: int, seed: int) -> DataFrame:
+    """F6 cap per payee over all edges: (account = payee, u = payer, _eday)."""
+    return fanout_sample(e, cap, node="dst", seed=seed).select(
+        F.col("dst").alias("account"), F.col("src").alias("u"), F.col("day").alias("_eday"))
+
+
+def _mean_state_at(points: DataFrame, capped: DataFrame, after: DataFrame, prefix: str) -> DataFrame:
+    """For (account, day) points: mean over capped in-edges dated before the day of
+    the payer's state at the start of that day; points without such edges get zeros."""
+    from ringwatch.operators.joins import asof_join
+
+    pairs = points.join(capped, "account").filter(F.col("_eday") < F.col("day"))
+    wanted = pairs.select("u", "day").distinct()
+    st = asof_join(wanted, after, ["u"], "day", "_from", _RAW)  # latest active day strictly before d
+    z = lambda c: F.log1p(F.coalesce(F.col(c), F.lit(0)).cast("double"))
+    st = st.select("u", "day", *[z(c).alias(f) for c, f in zip(_RAW, NODE_FEATURES)])
+    agg = pairs.join(st, ["u", "day"]).groupBy("account", "day").agg(
+        *[F.avg(f).alias(f"{prefix}{f}") for f in NODE_FEATURES])
+    return points.join(agg, ["account", "day"], "left").select(
+        "account", "day", *[F.coalesce(F.col(f"{prefix}{f}"), F.lit(0.0)).alias(f"{prefix}{f}")
+                            for f in NODE_FEATURES])
+
+
 def neighbor_mean_by_day(transfers: DataFrame, cap: int = 15, seed: int = 42) -> DataFrame:
     """J5 for every day at once (one hop): for each account active on day d,
     its own state at the start of d (J4) and the mean state, at the start of
@@ -190,22 +221,29 @@ def neighbor_mean_by_day(transfers: DataFrame, cap: int = 15, seed: int = 42) ->
     neighbour states come from an as-of lookup over *distinct* (neighbour,
     day) pairs, so even a hub neighbour contributes at most one row per day.
     """
-    from ringwatch.operators.joins import asof_join
-
-    e = transfers.select("txn_id", F.col("from_account").alias("src"), F.col("to_account").alias("dst"),
-                         F.log1p("amount_paid").alias("log_amount"), F.to_date("timestamp").alias("day"))
+    e = _edges_by_day(transfers)
     own = node_features_by_day(transfers)
-    capped = fanout_sample(e, cap, node="dst", seed=seed).select(
-        F.col("dst").alias("account"), F.col("src").alias("u"), F.col("day").alias("_eday"))
-    pairs = own.select("account", "day").join(capped, "account").filter(F.col("_eday") < F.col("day"))
-    wanted = pairs.select("u", "day").distinct()
-    raw = ["n_out", "n_in", "v_out", "v_in", "d_out", "d_in"]
-    after = _state_after_day(e).select(F.col("account").alias("u"), F.date_add("day", 1).alias("_from"), *raw)
-    st = asof_join(wanted, after, ["u"], "day", "_from", raw)  # latest active day strictly before d
-    z = lambda c: F.log1p(F.coalesce(F.col(c), F.lit(0)).cast("double"))
-    st = st.select("u", "day", *[z(c).alias(f) for c, f in zip(raw, NODE_FEATURES)])
-    h1 = pairs.join(st, ["u", "day"]).groupBy("account", "day").agg(
-        *[F.avg(f).alias(f"h1_{f}") for f in NODE_FEATURES])
-    out = own.join(h1, ["account", "day"], "left")
+    after = _state_after_day(e).select(F.col("account").alias("u"), F.date_add("day", 1).alias("_from"), *_RAW)
+    h1 = _mean_state_at(own.select("account", "day"), _capped_in(e, cap, seed), after, "h1_")
+    return own.join(h1, ["account", "day"]).select("account", "day", *NODE_FEATURES,
+                                                   *[f"h1_{f}" for f in NODE_FEATURES])
+
+
+def two_hop_mean_by_day(transfers: DataFrame, caps=(15, 10), seed: int = 42) -> DataFrame:
+    """J5 for every day at once (two hops): own state + mean, over at most
+    ``caps[1]`` capped in-edges before d, of each payer's one-hop mean at d
+    (itself over at most ``caps[0]`` capped edges). At most caps[0] x caps[1]
+    rows of work per scored account and day."""
+    e = _edges_by_day(transfers)
+    own = node_features_by_day(transfers)
+    after = _state_after_day(e).select(F.col("account").alias("u"), F.date_add("day", 1).alias("_from"), *_RAW)
+    c1, c2 = _capped_in(e, caps[0], seed), _capped_in(e, caps[1], seed)
+    targets = own.select("account", "day")
+    pairs2 = targets.join(c2, "account").filter(F.col("_eday") < F.col("day"))
+    points = pairs2.select(F.col("u").alias("account"), "day").distinct()
+    h1 = _mean_state_at(points, c1, after, "h1_").withColumnRenamed("account", "u")
+    h2 = pairs2.join(h1, ["u", "day"]).groupBy("account", "day").agg(
+        *[F.avg(f"h1_{f}").alias(f"h2_{f}") for f in NODE_FEATURES])
+    out = own.join(h2, ["account", "day"], "left")
     return out.select("account", "day", *NODE_FEATURES,
-                      *[F.coalesce(F.col(f"h1_{f}"), F.lit(0.0)).alias(f"h1_{f}") for f in NODE_FEATURES])
+                      *[F.coalesce(F.col(f"h2_{f}"), F.lit(0.0)).alias(f"h2_{f}") for f in NODE_FEATURES])

@@ -10,7 +10,7 @@ from ringwatch.functions.basic import amount_ratio, hour
 from ringwatch.functions.hashing import duckdb_uniform_from_key
 from ringwatch.operators.graph import (NODE_FEATURES, edge_index, edge_inputs, neighbor_mean, neighbor_mean_by_day,
                                        node_features, node_features_by_day, snapshot_edges, snapshot_nodes,
-                                       two_hop_mean)
+                                       two_hop_mean, two_hop_mean_by_day)
 from ringwatch.operators.graph_stats import node_list
 from ringwatch.operators.joins import asof_join
 from ringwatch.operators.sampling import fanout_sample, negative_subsample
@@ -141,29 +141,56 @@ def q_neighbor_mean_2hop(spark, sf_dir):
     return round_doubles(two_hop_mean(e, node_features(e, _nodes(spark, sf_dir)), CAPS, SEED))
 
 
-@register("q_neighbor_mean_by_day", f"""WITH {_BY_DAY_SQL},
-de2 AS (SELECT txn_id, from_account AS src, to_account AS dst, CAST(timestamp AS DATE) AS day FROM T),
-cap AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dst ORDER BY {_HASH}, txn_id) AS rn FROM de2)
-        WHERE rn <= {CAPS[0]}),
-pairs AS (SELECT b.account, b.day, c.src AS u FROM byday b JOIN cap c ON c.dst = b.account AND c.day < b.day),
-pd AS (SELECT DISTINCT u, day FROM pairs),
-so AS (SELECT p.u, p.day, count(d.src) AS n_out, coalesce(sum(d.la), 0) AS v_out, count(DISTINCT d.dst) AS d_out
-       FROM pd p LEFT JOIN de d ON d.src = p.u AND d.day < p.day GROUP BY 1, 2),
-si AS (SELECT p.u, p.day, count(d.dst) AS n_in, coalesce(sum(d.la), 0) AS v_in, count(DISTINCT d.src) AS d_in
-       FROM pd p LEFT JOIN de d ON d.dst = p.u AND d.day < p.day GROUP BY 1, 2),
-st AS (SELECT u, day, ln(1 + n_out) AS f_out_degree, ln(1 + n_in) AS f_in_degree, ln(1 + v_out) AS f_value_out,
+def _by_day_h1_sql(cap: int, points: str, name: str) -> str:
+    """CTEs ending in ``name(account, day, h1_*)``: one-hop mean state at the day
+    start over capped edges before the day, for the (account, day) rows of ``points``."""
+    return f"""{name}_cap AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dst ORDER BY {_HASH}, txn_id) AS rn
+        FROM de2) WHERE rn <= {cap}),
+{name}_pairs AS (SELECT p.account, p.day, c.src AS u FROM {points} p JOIN {name}_cap c ON c.dst = p.account AND c.day < p.day),
+{name}_pd AS (SELECT DISTINCT u, day FROM {name}_pairs),
+{name}_so AS (SELECT p.u, p.day, count(d.src) AS n_out, coalesce(sum(d.la), 0) AS v_out, count(DISTINCT d.dst) AS d_out
+       FROM {name}_pd p LEFT JOIN de d ON d.src = p.u AND d.day < p.day GROUP BY 1, 2),
+{name}_si AS (SELECT p.u, p.day, count(d.dst) AS n_in, coalesce(sum(d.la), 0) AS v_in, count(DISTINCT d.src) AS d_in
+       FROM {name}_pd p LEFT JOIN de d ON d.dst = p.u AND d.day < p.day GROUP BY 1, 2),
+{name}_st AS (SELECT u, day, ln(1 + n_out) AS f_out_degree, ln(1 + n_in) AS f_in_degree, ln(1 + v_out) AS f_value_out,
          ln(1 + v_in) AS f_value_in, ln(1 + d_out) AS f_distinct_out, ln(1 + d_in) AS f_distinct_in
-       FROM so JOIN si USING (u, day)),
-h1 AS (SELECT p.account, p.day, {', '.join(f'avg(st.{c}) AS h1_{c}' for c in _FC)}
-       FROM pairs p JOIN st ON st.u = p.u AND st.day = p.day GROUP BY 1, 2)
+       FROM {name}_so JOIN {name}_si USING (u, day)),
+{name}_agg AS (SELECT p.account, p.day, {', '.join(f'avg(st.{c}) AS h1_{c}' for c in _FC)}
+       FROM {name}_pairs p JOIN {name}_st st ON st.u = p.u AND st.day = p.day GROUP BY 1, 2),
+{name} AS (SELECT p.account, p.day, {', '.join(f'coalesce(a.h1_{c}, 0.0) AS h1_{c}' for c in _FC)}
+       FROM {points} p LEFT JOIN {name}_agg a ON a.account = p.account AND a.day = p.day)"""
+
+
+_DE2_SQL = "de2 AS (SELECT txn_id, from_account AS src, to_account AS dst, CAST(timestamp AS DATE) AS day FROM T)"
+
+
+@register("q_neighbor_mean_by_day", f"""WITH {_BY_DAY_SQL}, {_DE2_SQL},
+pts AS (SELECT account, day FROM byday),
+{_by_day_h1_sql(CAPS[0], 'pts', 'h1')}
 SELECT b.account, strftime(b.day, '%Y-%m-%d') AS day, {', '.join(f'round(b.{c}, 6) AS {c}' for c in _FC)},
-  {', '.join(f'round(coalesce(h1.h1_{c}, 0.0), 6) AS h1_{c}' for c in _FC)}
-FROM byday b LEFT JOIN h1 ON h1.account = b.account AND h1.day = b.day""")
+  {', '.join(f'round(h1.h1_{c}, 6) AS h1_{c}' for c in _FC)}
+FROM byday b JOIN h1 ON h1.account = b.account AND h1.day = b.day""")
 def q_neighbor_mean_by_day(spark, sf_dir):
     d = neighbor_mean_by_day(T(spark, sf_dir), CAPS[0], SEED)
     return round_doubles(d.withColumn("day", F.date_format("day", "yyyy-MM-dd")))
 
 
+@register("q_neighbor_mean_2hop_by_day", f"""WITH {_BY_DAY_SQL}, {_DE2_SQL},
+c2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dst ORDER BY {_HASH}, txn_id) AS rn FROM de2)
+       WHERE rn <= {CAPS[1]}),
+pairs2 AS (SELECT b.account, b.day, c.src AS u FROM byday b JOIN c2 c ON c.dst = b.account AND c.day < b.day),
+pts AS (SELECT DISTINCT u AS account, day FROM pairs2),
+{_by_day_h1_sql(CAPS[0], 'pts', 'h1')},
+h2 AS (SELECT p.account, p.day, {', '.join(f'avg(h1.h1_{c}) AS h2_{c}' for c in _FC)}
+       FROM pairs2 p JOIN h1 ON h1.account = p.u AND h1.day = p.day GROUP BY 1, 2)
+SELECT b.account, strftime(b.day, '%Y-%m-%d') AS day, {', '.join(f'round(b.{c}, 6) AS {c}' for c in _FC)},
+  {', '.join(f'round(coalesce(h2.h2_{c}, 0.0), 6) AS h2_{c}' for c in _FC)}
+FROM byday b LEFT JOIN h2 ON h2.account = b.account AND h2.day = b.day""")
+def q_neighbor_mean_2hop_by_day(spark, sf_dir):
+    d = two_hop_mean_by_day(T(spark, sf_dir), CAPS, SEED)
+    return round_doubles(d.withColumn("day", F.date_format("day", "yyyy-MM-dd")))
+
+
 _EDGE_COLS = ["log_amount", "hour", "is_same_bank", "amount_ratio"]
 
 

@@ -123,22 +123,27 @@ def two_hop_mean(edges: DataFrame, feats: DataFrame, caps=(15, 10), seed: int =
         "account", *cols, *[F.col(f"h2_h1_{c}").alias(f"h2_{c}") for c in cols])
 
 
-def edge_inputs(targets: DataFrame, by_day: DataFrame, edge_cols: list[str]) -> DataFrame:
-    """Payer vector (as of the transfer's day start) + payee vector + transfer features."""
+def edge_inputs(targets: DataFrame, by_day: DataFrame, edge_cols: list[str],
+                vector_cols: list[str] | None = None) -> DataFrame:
+    """Payer vector (as of the transfer's day start) + payee vector + transfer features.
+
+    ``vector_cols`` defaults to the six node features; a per-day table with
+    neighbour means (``two_hop_mean_by_day``) gives the graph model its
+    neighbourhood part as well.
+    """
+    vcols = list(vector_cols or NODE_FEATURES)
     t = targets.withColumn("day", F.to_date("timestamp"))
-    pay = by_day.select(F.col("account").alias("from_account"), "day",
-                        *[F.col(c).alias(f"src_{c}") for c in NODE_FEATURES])
-    rec = by_day.select(F.col("account").alias("to_account"), "day",
-                        *[F.col(c).alias(f"dst_{c}") for c in NODE_FEATURES])
+    pay = by_day.select(F.col("account").alias("from_account"), "day", *[F.col(c).alias(f"src_{c}") for c in vcols])
+    rec = by_day.select(F.col("account").alias("to_account"), "day", *[F.col(c).alias(f"dst_{c}") for c in vcols])
     j = t.join(pay, ["from_account", "day"], "left").join(rec, ["to_account", "day"], "left")
-    vec = [F.coalesce(F.col(f"{s}_{c}"), F.lit(0.0)).alias(f"{s}_{c}") for s in ("src", "dst") for c in NODE_FEATURES]
+    vec = [F.coalesce(F.col(f"{s}_{c}"), F.lit(0.0)).alias(f"{s}_{c}") for s in ("src", "dst") for c in vcols]
     return j.select("txn_id", *vec, *edge_cols, "is_laundering")
 
 
 def graph_off(inputs: DataFrame) -> DataFrame:
-    """The ablation: node parts zeroed, transfer features kept."""
-    node_cols = [f"{s}_{c}" for s in ("src", "dst") for c in NODE_FEATURES]
-    return inputs.select(*[F.lit(0.0).alias(c) if c in node_cols else F.col(c) for c in inputs.columns])
+    """The ablation: node parts (``src_*`` / ``dst_*``) zeroed, transfer features kept."""
+    return inputs.select(*[F.lit(0.0).alias(c) if c.startswith(("src_", "dst_")) else F.col(c)
+                           for c in inputs.columns])
 
 
 def node_index(edges: DataFrame) -> DataFrame:

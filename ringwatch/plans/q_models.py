@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ringwatch.functions.basic import build_basic_features
-from ringwatch.operators.graph import NODE_FEATURES, edge_inputs, graph_off, node_features_by_day
+from ringwatch.operators.graph import edge_inputs, graph_off, two_hop_mean_by_day
 from ringwatch.operators.history import build_account_history_features
 from ringwatch.operators.joins import attach_pattern_ids
 from ringwatch.operators.metrics import evaluate, rank_by_amount, rank_randomly, to_scored
@@ -14,6 +14,7 @@ from ringwatch.operators.models import (PARITY_FEATURES, TREE_FEATURES, class_ba
 from ringwatch.operators.scaler import EdgeScaler
 from ringwatch.operators.split import select_split, truncate_tail
 from ringwatch.plans.catalog import register
+from ringwatch.session import ensure_checkpoint_dir
 from ringwatch.plans.common import AS_OF, K_VALUES, SEED, SQL_TAIL_CUTOFF, T, TAIL_CUTOFF, frozen_split, round_doubles
 from ringwatch.plans.q_features import history_ctes
 from ringwatch.plans.q_ingest import _BOUNDS_SQL, rings_with_copies
@@ -92,16 +93,19 @@ def q_model_comparison(spark, sf_dir):
            "amount": evaluate(to_scored(valid, rank_by_amount()), K_VALUES)}
     tree = fit_tree(train, PARITY_FEATURES, SEED)
     res["tree"] = evaluate(score_with(tree, valid), K_VALUES)
-    by_day = node_features_by_day(T(spark, sf_dir))
+    # Node part per day: own state + two-hop neighbourhood mean at the day start.
+    by_day = two_hop_mean_by_day(T(spark, sf_dir))
+    vcols = [c for c in by_day.columns if c not in ("account", "day")]
     edge_cols = ["log_amount", "hour", "is_same_bank", "amount_ratio"]
-    node_cols = [f"{s}_{c}" for s in ("src", "dst") for c in NODE_FEATURES]
-    cols = node_cols + edge_cols
+    cols = [f"{s}_{c}" for s in ("src", "dst") for c in vcols] + edge_cols
 
     def inputs(df):
-        x = edge_inputs(df, by_day, edge_cols)
+        x = edge_inputs(df, by_day, edge_cols, vcols)
         return x.join(df.select("txn_id", "pattern_id", "amount_paid"), "txn_id")
 
-    tr_in, va_in = inputs(train), inputs(valid)
+    # Both graph models and their scoring read these inputs: materialise once.
+    ensure_checkpoint_dir(spark)
+    tr_in, va_in = inputs(train).checkpoint(eager=True), inputs(valid).checkpoint(eager=True)
     res["graph"] = evaluate(score_with(fit_edge_scorer(tr_in, cols, SEED), va_in), K_VALUES)
     res["graph_off"] = evaluate(score_with(fit_edge_scorer(graph_off(tr_in), cols, SEED), graph_off(va_in)), K_VALUES)
     return round_doubles(compare(res))

@@ -45,7 +45,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
-    spark = get_spark(f"local[{cpus}]", app="ringwatch-bench", shuffle_partitions=cpus * 2,
+    spark = get_spark(f"local[{cpus}]", app="ringwatch-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", cpus * 2)),
                       extra={"spark.driver.memory": "16g"})
     qs = queries()
     # Warm-up (untimed): JIT, whole-stage codegen caches, Python workers, on the

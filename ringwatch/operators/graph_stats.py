@@ -24,16 +24,26 @@ def degree_table(edges: DataFrame) -> DataFrame:
 
 
 def degree_summary(edges: DataFrame) -> DataFrame:
-    """Accounts, edges, mean, median (interpolated), max out, max in, p99 (nearest)."""
+    """Accounts, edges, mean, median (interpolated), max out, max in, p99 (nearest).
+
+    The plain aggregates and the rank-selected quantiles are two one-row
+    results; they are combined as long rows and pivoted, not joined.
+    """
     d = degree_table(edges)
-    stats = d.agg(F.count(F.lit(1)).alias("n_accounts"), F.sum("out_degree").alias("n_edges"),
-                  F.avg("degree").alias("mean_degree"), F.max("out_degree").alias("max_out_degree"),
-                  F.max("in_degree").alias("max_in_degree")).withColumn("_g", F.lit(0))
-    q = quantiles(d.withColumn("_g", F.lit(0)), "degree",
-                  {"median_degree": ("linear", 0.5), "p99_degree": ("nearest", 0.99)}, ["_g"])
-    return stats.join(q, "_g").select("n_accounts", "n_edges", "mean_degree", "median_degree",
-                                      "max_out_degree", "max_in_degree",
-                                      F.col("p99_degree").cast("double").alias("p99_degree"))
+    stats = d.agg(F.count(F.lit(1)).cast("double").alias("n_accounts"),
+                  F.sum("out_degree").cast("double").alias("n_edges"),
+                  F.avg("degree").alias("mean_degree"), F.max("out_degree").cast("double").alias("max_out_degree"),
+                  F.max("in_degree").cast("double").alias("max_in_degree"))
+    q = quantiles(d, "degree", {"median_degree": ("linear", 0.5), "p99_degree": ("nearest", 0.99)})
+    q = q.select(F.col("median_degree").cast("double"), F.col("p99_degree").cast("double"))
+    names_a, names_b = stats.columns, q.columns
+    long = (stats.unpivot([], names_a, "metric", "value")
+            .unionByName(q.unpivot([], names_b, "metric", "value")))
+    wide = long.groupBy().pivot("metric", names_a + names_b).agg(F.first("value"))
+    return wide.select(F.col("n_accounts").cast("bigint").alias("n_accounts"),
+                       F.col("n_edges").cast("bigint").alias("n_edges"), "mean_degree", "median_degree",
+                       F.col("max_out_degree").cast("bigint").alias("max_out_degree"),
+                       F.col("max_in_degree").cast("bigint").alias("max_in_degree"), "p99_degree")
 
 
 def degree_percentiles(edges: DataFrame, qs=(0.5, 0.75, 0.9, 0.99)) -> DataFrame:

@@ -70,11 +70,13 @@ def bucket_of(df: DataFrame, keys: list[str], bounds: list[tuple]) -> Column:
 def prefix_sum(df: DataFrame, order_cols: list[str], sum_cols: list[str],
                out_cols: list[str] | None = None, inclusive: bool = True,
                partition_cols: list[str] | None = None, num_partitions: int | None = None,
-               max_rows: int | None = None) -> DataFrame:
+               max_rows: int | None = None, total_cols: list[str] | None = None) -> DataFrame:
     """Append running sums of ``sum_cols`` in ``order_cols`` order (within ``partition_cols`` groups).
 
     ``order_cols`` must order rows totally inside a group; ``inclusive``
-    includes the current row. Output names default to ``cum_<col>``.
+    includes the current row. Output names default to ``cum_<col>``;
+    ``total_cols`` names optional extra columns holding each group's grand
+    totals (taken from the small per-bucket totals table, no extra join).
     ``max_rows``, a known upper bound on the input's rows, sizes the bucket
     count (about ``ROWS_PER_BUCKET`` rows each); a small input then needs a
     single bucket and no sampling pass.
@@ -82,14 +84,24 @@ def prefix_sum(df: DataFrame, order_cols: list[str], sum_cols: list[str],
     out_cols = out_cols or [f"cum_{c}" for c in sum_cols]
     groups = list(partition_cols or [])
     keys = groups + list(order_cols)
+    frame_end = 0 if inclusive else -1
     if num_partitions:
         n = num_partitions
     elif max_rows is not None:
         n = max(1, -(-max_rows // ROWS_PER_BUCKET))
     else:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = sample_bounds(df, keys, n) if 1 < n <= MAX_LITERAL_BUCKETS else []
+    if n <= MAX_LITERAL_BUCKETS and not bounds:
+        # One bucket (a small input by the caller's bound): running sums are a
+        # window per group, totals a whole-group window; no offsets, no join.
+        local = Window.partitionBy(*groups).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
+        whole = Window.partitionBy(*groups)
+        extra = [F.sum(c).over(whole).alias(t) for c, t in zip(sum_cols, total_cols or [])]
+        return df.select(*df.columns,
+                         *[F.coalesce(F.sum(c).over(local), F.lit(0)).alias(o) for c, o in zip(sum_cols, out_cols)],
+                         *extra)
     if n <= MAX_LITERAL_BUCKETS:
-        bounds = sample_bounds(df, keys, n)
         d = df.withColumn("_pid", bucket_of(df, keys, bounds))
     else:
         from ringwatch.session import ensure_checkpoint_dir
@@ -99,16 +111,18 @@ def prefix_sum(df: DataFrame, order_cols: list[str], sum_cols: list[str],
     seg = ["_pid", *groups]
     totals = d.groupBy(*seg).agg(*[F.sum(c).alias(c) for c in sum_cols])
     earlier = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*groups)  # over the per-bucket totals: (buckets x groups) rows
     offsets = totals.select(*seg, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_off{i}")
-                                    for i, c in enumerate(sum_cols)])
+                                    for i, c in enumerate(sum_cols)],
+                            *[F.sum(c).over(whole).alias(t) for c, t in zip(sum_cols, total_cols or [])])
     if not groups:
         # At most one row per bucket: always safe to broadcast.
         offsets = F.broadcast(offsets)
-    local = Window.partitionBy(*seg).orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, 0 if inclusive else -1)
+    local = Window.partitionBy(*seg).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
     joined = d.join(offsets, seg)
     return joined.select(
         *df.columns,
         *[(F.coalesce(F.sum(c).over(local), F.lit(0)) + F.col(f"_off{i}")).alias(o)
           for i, (c, o) in enumerate(zip(sum_cols, out_cols))],
+        *(total_cols or []),
     )

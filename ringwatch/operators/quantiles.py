@@ -34,16 +34,14 @@ def quantiles(df: DataFrame, value: str, spec: dict[str, tuple[str, float]],
     the same value counts.
     """
     g = list(groups or [])
-    added = not g
-    if added:  # a constant key keeps every step an equi-join / grouped window
-        df, g = df.withColumn("_gq", F.lit(0)), ["_gq"]
     counts = value_counts(df, value, g)
-    cum = prefix_sum(counts, [value], ["_n"], ["_cum"], partition_cols=g)
-    size_aggs = [F.sum("_n").alias("_size")]
+    sums, outs, tots = ["_n"], ["_cum"], ["_size"]
+    if moments:  # value x count, summed per group, gives the mean from the same pass
+        counts = counts.withColumn("_vn", F.col(value).cast("double") * F.col("_n"))
+        sums, outs, tots = ["_n", "_vn"], ["_cum", "_cumv"], ["_size", "_vsum"]
+    cum = prefix_sum(counts, [value], sums, outs, partition_cols=g, total_cols=tots)
     if moments:
-        size_aggs.append((F.sum(F.col(value) * F.col("_n")) / F.sum("_n")).alias("_mean"))
-    sizes = counts.groupBy(*g).agg(*size_aggs)
-    cum = cum.join(sizes, g)
+        cum = cum.withColumn("_mean", F.col("_vsum") / F.col("_size"))
     aggs = [F.first("_size").alias("n"), F.first("_mean").alias("mean")] if moments else []
     for name, (method, q) in spec.items():
         n = F.col("_size")
@@ -60,5 +58,4 @@ def quantiles(df: DataFrame, value: str, spec: dict[str, tuple[str, float]],
                         .cast("double").alias(name))
         else:
             raise ValueError(method)
-    out = cum.groupBy(*g).agg(*aggs)
-    return out.drop("_gq") if added else out
+    return cum.groupBy(*g).agg(*aggs)

@@ -94,3 +94,17 @@ def test_neighbor_mean_by_day_uses_only_earlier_days(make_transfers):
     assert a2.h1_f_out_degree == math.log1p(1)         # X had sent once before day 2
     assert a2.h1_f_in_degree == math.log1p(1)          # X had received once (from W) before day 2
     assert got[("A", 1)].h1_f_out_degree == 0.0        # nothing before day 1
+
+
+def test_sampling_is_deterministic_across_partitioning(make_transfers):
+    import random
+    rng = random.Random(12)
+    rows = [transfer(i, ts(rng.randrange(0, 96)), f"A{rng.randrange(30)}", f"H{rng.randrange(3)}",
+                     label=int(rng.random() < 0.1)) for i in range(400)]
+    a_df, b_df = make_transfers(rows), make_transfers(rows).repartition(7)
+    fa = {r.txn_id for r in fanout_sample(snapshot_edges(a_df, ts(200)), 15).collect()}
+    fb = {r.txn_id for r in fanout_sample(snapshot_edges(b_df, ts(200)), 15).collect()}
+    assert fa == fb and len(fa) == 45
+    na = {r.txn_id for r in negative_subsample(a_df, 50, seed=3).collect()}
+    nb = {r.txn_id for r in negative_subsample(b_df, 50, seed=3).collect()}
+    assert na == nb

@@ -48,7 +48,12 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
     tz = os.environ.get("CHECK_TZ")
-    spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.sql.session.timeZone": tz} if tz else None)
+    if os.environ.get("CHECK_BARE"):
+        # The driver's own session: none of the library's defaults.
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    else:
+        spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"

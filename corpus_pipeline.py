@@ -8,8 +8,9 @@ a shared table and hands the reread table to the next stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ringwatch.llm import exact_dedup, packing, quality, simhash
+from ringwatch.llm import exact_dedup, packing, pii, quality, simhash
 from ringwatch.llm.common import session, table, written
 
 
@@ -28,6 +29,15 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_copies(docs)
 
 
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by its kind; n_chars follows the new text."""
+    clean = pii.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    kind = docs.schema["n_chars"].dataType
+    return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces in sequences of at most 2048, ids included."""
     return packing.pack(docs)
@@ -37,6 +47,7 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_copies),
     ("simhash_near_dedup", near_copies),
+    ("pii", redact_personal_data),
     ("packing", pack_sequences),
 ]
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ringwatch.llm import exact_dedup, packing, quality, simhash, token_ids
+from ringwatch.llm import exact_dedup, merge_dropout, packing, pii, quality, simhash, token_ids, toxicity, unit_dedup, warc
 from ringwatch.llm.common import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,11 +27,26 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_files(table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@_register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_register("op3_simhash")
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+@_register("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
+@_register("op5_warc_derivatives")
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(table(spark, sf_dir, "pages"))
+
+
 @_register("op6_exact_dedup", """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
@@ -48,11 +63,21 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "padded_tokens")
 
 
+@_register("op8_merge_dropout")
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_dropout.round_trip(table(spark, sf_dir, "documents"))
+
+
 @_register("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+@_register("op10_unit_dedup")
+def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -141,7 +141,7 @@ def rank_table(tokens: DataFrame) -> np.ndarray:
     return rows["token"].to_numpy(dtype=np.int64)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], rank_of: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], rank_of: np.ndarray, block_tokens: int) -> Iterator[pa.RecordBatch]:
     """Blocks of documents that follow each other in their shard."""
     docs: list = []
     parts: list = []
@@ -155,7 +155,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], rank_of: np.ndarray) -> Iterator[
 
     for batch in batches:
         for own, seq, at, doc_id, raw in zip(*(batch.column(c).to_pylist() for c in TOKENS.names)):
-            if docs and (own != shard or seq != after or held >= BLOCK_TOKENS):
+            if docs and (own != shard or seq != after or held >= block_tokens):
                 yield close()
                 docs, parts, held = [], [], 0
             if not docs:
@@ -169,7 +169,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], rank_of: np.ndarray) -> Iterator[
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id: int = END_ID,
-                      id_col: str = "doc_id", text_col: str = "text") -> str:
+                      id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> str:
     """Encode ``docs`` into ``folder``: ``ranks`` (token by rank) and ``blocks``. Null texts count as empty;
     every document ends with ``end_id``. Null ids come first, repeated ids in the order of their texts."""
     spark = session(docs.sparkSession)
@@ -182,7 +182,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER,
     rank_of = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))
     spark.createDataFrame([(int(t), k) for k, t in enumerate(by_rank)], "token long, rank long").coalesce(1).write.parquet(f"{folder}/ranks")
-    (tokens.mapInArrow(lambda b: _blocks(b, rank_of), ddl(BLOCKS))
+    (tokens.mapInArrow(lambda b: _blocks(b, rank_of, block_tokens), ddl(BLOCKS))
      .write.partitionBy("shard").option("compression", "uncompressed").parquet(f"{folder}/blocks"))
     return folder
 
@@ -217,8 +217,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_files(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Write ``docs`` as token files in the shared folder and read them back: one row per document.
     An empty table gives empty files and an empty result."""
     spark = docs.sparkSession
-    return read_token_files(spark, write_token_files(docs, scratch(spark, "token-files"), tokenizer, end_id, id_col, text_col))
+    folder = scratch(spark, "token-files")
+    return read_token_files(spark, write_token_files(docs, folder, tokenizer, end_id, id_col, text_col, block_tokens))

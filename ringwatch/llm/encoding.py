@@ -10,11 +10,12 @@ same ids (tests compare them).
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
-#: Distinct words kept per worker; beyond that the table starts anew.
-WORDS_KEPT = 300_000
+#: Words of one generation of a worker's table; the table holds the newest two.
+GENERATION = 200_000
 
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _OTHER = f"[^ \\t-\\r0-9{_LETTERS}]"
@@ -28,16 +29,20 @@ _LOWER = {"word_bpe_49k.json"}
 _PLAIN = bytes([*range(9, 14), *range(32, 127), *range(0xC0, 0x100)])
 
 
-def byte_letters() -> list[str]:
+def byte_letters() -> dict[int, str]:
     """The printable letter for each byte, as byte-level vocabularies write it: printable bytes stand
     for themselves, the others for the letters from U+0100 on, in byte order."""
     own = {*range(33, 127), *range(161, 173), *range(174, 256)}
     other = iter(range(256, 512))
-    return [chr(b if b in own else next(other)) for b in range(256)]
+    return {b: chr(b if b in own else next(other)) for b in range(256)}
 
 
 class Encoder(dict):
-    """Maps a word to the little-endian 32-bit ids of its pieces; ``ids(text)`` gives a text's."""
+    """Maps a word to the little-endian 32-bit ids of its pieces; ``ids(text)`` gives a text's.
+
+    The table is the young generation. When it is full it becomes the old one;
+    a word found there moves on, so words in use stay and rare ones go.
+    """
 
     def __init__(self, name: str):
         import public_tokenizers
@@ -50,12 +55,16 @@ class Encoder(dict):
         self.words = re.compile(_PATTERNS[name]).findall
         self.lower = name in _LOWER
         self.letters = byte_letters()
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= WORDS_KEPT:
+        out = self.old.get(word)
+        if out is None:
+            spelled = word.encode().decode("latin-1").translate(self.letters)
+            out = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        if len(self) >= GENERATION:
+            self.old = dict(self)
             self.clear()
-        spelled = "".join([self.letters[b] for b in word.encode()])
-        out = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
         self[word] = out
         return out
 

@@ -219,8 +219,9 @@ def simhash_components(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_dis
     named = tree.join(groups, tree["node"] == groups["fp"]).select("fp", "root", "first_id")
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = named.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
-    full = (groups.join(named, groups["fp"] == named["_fp"], "left")
-            .select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
+    # Written first: then both sides of the last join are plain exchanges, and a fingerprint with many rows is split.
+    full = written(groups.join(named, groups["fp"] == named["_fp"], "left")
+                   .select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "fingerprint-components")
     return fp.join(full, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

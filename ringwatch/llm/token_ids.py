@@ -54,13 +54,17 @@ LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.ui
 def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of unsigned 32-bit values."""
     v = values.astype("<u4")
-    size = 1 + (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
+    width = 2 if not len(v) or v.max() < 1 << 16 else 4  # bytes that any code here may take
     code = np.zeros(-(-len(v) // 4) * 4, np.uint8)
-    code[:len(v)] = size - 1
+    for k in range(1, width):
+        code[:len(v)] += v >= np.uint32(1 << 8 * k)
     quad = code.reshape(-1, 4)
     control = quad[:, 0] | quad[:, 1] << 2 | quad[:, 2] << 4 | quad[:, 3] << 6
-    data = v.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
-    return control.tobytes(), data.tobytes()
+    raw = v.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    keep = np.ones(raw.shape, bool)
+    for k in range(1, width):
+        keep[:, k] = code[:len(v)] >= k
+    return control.tobytes(), raw[keep].tobytes()
 
 
 def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -123,8 +127,9 @@ def _long(raw: bytes) -> np.ndarray:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for raw in batch.column("ids").to_pylist():
-            own = np.bincount(np.frombuffer(raw, f"<u{raw[0]}", offset=1))
+        raw = batch.column("ids").to_pylist()
+        for width in (2, 4):
+            own = np.bincount(np.frombuffer(b"".join([r[1:] for r in raw if r[0] == width]), f"<u{width}"))
             if len(own) > len(total):
                 own[:len(total)] += total
                 total = own

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ringwatch.functions.hashing import uniform_from_key
 from ringwatch.operators.prefix import prefix_sum
 from ringwatch.operators.sampling import fanout_sample
 from ringwatch.sources.transfers import epoch_seconds, ntz_lit
@@ -72,17 +73,22 @@ def node_features(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame
                         z("d_out").alias("f_distinct_out"), z("d_in").alias("f_distinct_in"))
 
 
-def node_features_by_day(transfers: DataFrame) -> DataFrame:
-    """Node features at the start of every day an account is active.
+_RAW = ["n_out", "n_in", "v_out", "v_in", "d_out", "d_in"]
+
+
+def _z(c: str) -> Column:
+    return F.log1p(F.coalesce(F.col(c), F.lit(0)).cast("double"))
+
+
+def daily_state(e: DataFrame) -> DataFrame:
+    """Raw node totals per account on each of its active days: before the day
+    (``before_*``) and including it (``after_*``).
 
     Daily per-account totals (map-side combined) plus one row per
     (account, partner) pair on its first day give "new partners per day";
-    prefix sums over days *excluding* the day give the state at day start.
-    The per-account window runs over days, so even a hot account has at most
-    one row per day in it.
+    prefix sums over days give both views. The per-account window runs over
+    days, so even a hot account has at most one row per day in it.
     """
-    e = transfers.select(F.col("from_account").alias("src"), F.col("to_account").alias("dst"),
-                         F.log1p("amount_paid").alias("log_amount"), F.to_date("timestamp").alias("day"))
     r, _ = _raw_node_sums(e, ["account", "day"])
     daily = r.groupBy("account", "day").agg(
         F.sum(F.when(F.col("role") == 0, 1).otherwise(0)).alias("n_out"),
@@ -94,11 +100,25 @@ def node_features_by_day(transfers: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("role") == 0, 1).otherwise(0)).alias("d_out"),
         F.sum(F.when(F.col("role") == 1, 1).otherwise(0)).alias("d_in"))
     t = daily.join(new, ["account", "day"], "left").na.fill(0, ["d_out", "d_in"])
-    before = Window.partitionBy("account").orderBy("day").rowsBetween(_UNB, -1)
-    z = lambda c: F.log1p(F.coalesce(F.sum(c).over(before), F.lit(0)).cast("double"))
-    return t.select("account", "day", z("n_out").alias("f_out_degree"), z("n_in").alias("f_in_degree"),
-                    z("v_out").alias("f_value_out"), z("v_in").alias("f_value_in"),
-                    z("d_out").alias("f_distinct_out"), z("d_in").alias("f_distinct_in"))
+    days = Window.partitionBy("account").orderBy("day")
+    return t.select("account", "day",
+                    *[F.sum(c).over(days.rowsBetween(_UNB, -1)).alias(f"before_{c}") for c in _RAW],
+                    *[F.sum(c).over(days.rowsBetween(_UNB, 0)).alias(f"after_{c}") for c in _RAW])
+
+
+def _own_state(state: DataFrame) -> DataFrame:
+    return state.select("account", "day", *[_z(f"before_{c}").alias(f) for c, f in zip(_RAW, NODE_FEATURES)])
+
+
+def _later_state(state: DataFrame) -> DataFrame:
+    """Totals valid from the day after each active day on."""
+    return state.select(F.col("account").alias("u"), F.date_add("day", 1).alias("_from"),
+                        *[F.col(f"after_{c}").alias(c) for c in _RAW])
+
+
+def node_features_by_day(transfers: DataFrame) -> DataFrame:
+    """Node features at the start of every day an account is active."""
+    return _own_state(daily_state(_edges_by_day(transfers)))
 
 
 def neighbor_mean(edges: DataFrame, feats: DataFrame, cols: list[str], cap: int, seed: int = 42,
@@ -114,13 +134,14 @@ def neighbor_mean(edges: DataFrame, feats: DataFrame, cols: list[str], cap: int,
 
 
 def two_hop_mean(edges: DataFrame, feats: DataFrame, caps=(15, 10), seed: int = 42) -> DataFrame:
-    """J5 (two hops): own features + mean over in-neighbours of their one-hop means."""
+    """J5 (two hops): own features, the mean over in-neighbours (``h1_*``) and the mean
+    over in-neighbours of their own one-hop means (``h2_*``)."""
     cols = list(NODE_FEATURES)
     h1 = neighbor_mean(edges, feats, cols, caps[0], seed, prefix="h1_")
     h1cols = [f"h1_{c}" for c in cols]
     h2 = neighbor_mean(edges, h1, h1cols, caps[1], seed, prefix="h2_")
-    return feats.join(h2, "account").select(
-        "account", *cols, *[F.col(f"h2_h1_{c}").alias(f"h2_{c}") for c in cols])
+    return feats.join(h1, "account").join(h2, "account").select(
+        "account", *cols, *h1cols, *[F.col(f"h2_h1_{c}").alias(f"h2_{c}") for c in cols])
 
 
 def edge_inputs(targets: DataFrame, by_day: DataFrame, edge_cols: list[str],
@@ -167,48 +188,54 @@ def edge_index(edges: DataFrame) -> DataFrame:
             .select("txn_id", "src_id", "dst_id"))
 
 
-def _state_after_day(e: DataFrame) -> DataFrame:
-    """Cumulative raw node totals per account *including* each of its active days."""
-    r, _ = _raw_node_sums(e, ["account", "day"])
-    daily = r.groupBy("account", "day").agg(
-        F.sum(F.when(F.col("role") == 0, 1).otherwise(0)).alias("n_out"),
-        F.sum(F.when(F.col("role") == 1, 1).otherwise(0)).alias("n_in"),
-        F.sum(F.when(F.col("role") == 0, F.col("log_amount")).otherwise(0.0)).alias("v_out"),
-        F.sum(F.when(F.col("role") == 1, F.col("log_amount")).otherwise(0.0)).alias("v_in"))
-    first = r.groupBy("account", "role", "partner").agg(F.min("day").alias("day"))
-    new = first.groupBy("account", "day").agg(
-        F.sum(F.when(F.col("role") == 0, 1).otherwise(0)).alias("d_out"),
-        F.sum(F.when(F.col("role") == 1, 1).otherwise(0)).alias("d_in"))
-    t = daily.join(new, ["account", "day"], "left").na.fill(0, ["d_out", "d_in"])
-    upto = Window.partitionBy("account").orderBy("day").rowsBetween(_UNB, 0)
-    return t.select("account", "day", *[F.sum(c).over(upto).alias(c)
-                                        for c in ("n_out", "n_in", "v_out", "v_in", "d_out", "d_in")])
-
-
 def _edges_by_day(transfers: DataFrame) -> DataFrame:
     return transfers.select("txn_id", F.col("from_account").alias("src"), F.col("to_account").alias("dst"),
                             F.log1p("amount_paid").alias("log_amount"), F.to_date("timestamp").alias("day"))
 
 
-_RAW = ["n_out", "n_in", "v_out", "v_in", "d_out", "d_in"]
+def in_samples(e: DataFrame, cap: int, seed: int) -> DataFrame:
+    """Per payee, the F6 sample of its in-edges as it stands after each of its receiving days:
+    ``(account, _from, sample)`` with the ``cap`` edges of smallest (hash, txn_id) dated before ``_from``.
+
+    An edge is in day d's sample if it is dated before d and fewer than ``cap`` of the payee's edges
+    dated before d have a smaller hash, so an edge outside its own day's ``cap`` smallest never is:
+    a group limit per (payee, day) comes first, and the running smallest are carried over the days.
+    A payee's array holds at most ``cap`` edges per day of the time span.
+    """
+    day_top = fanout_sample(e.withColumn("_payee_day", F.struct("dst", "day")), cap, node="_payee_day", seed=seed)
+    edge = F.struct(uniform_from_key(seed, "txn_id").alias("h"), "txn_id", F.col("src").alias("u"))
+    per_day = day_top.groupBy("dst", "day").agg(F.collect_list(edge).alias("top"))
+    days = per_day.groupBy("dst").agg(F.sort_array(F.collect_list(F.struct("day", "top"))).alias("days"))
+    kind = "array<struct<h:double,txn_id:bigint,u:string>>"
 
+    def carry(acc, x):
+        now = F.slice(F.array_sort(F.concat(acc["now"], x["top"].cast(kind))), 1, cap)
+        return F.struct(now.alias("now"),
+                        F.concat(acc["seen"], F.array(F.struct(x["day"].alias("day"), now.alias("sample")))).alias("seen"))
+
+    start = F.struct(F.array().cast(kind).alias("now"), F.array().cast(f"array<struct<day:date,sample:{kind}>>").alias("seen"))
+    run = days.select(F.col("dst").alias("account"), F.explode(F.aggregate("days", start, carry, lambda a: a["seen"])).alias("s"))
+    return run.select("account", F.date_add("s.day", 1).alias("_from"), F.col("s.sample.u").alias("sample"))
+
+
+def _sampled_pairs(points: DataFrame, samples: DataFrame) -> DataFrame:
+    """(account, day, u): the payers in the account's sample at the start of the day, multi-edges counted each.
+    Both tables have at most one row per account and day, so the unsplit as-of join is bounded by the time span."""
+    from ringwatch.operators.joins import asof_join
 
-def _capped_in(e: DataFrame, cap: int, seed: int) -> DataFrame:
-    """F6 cap per payee over all edges: (account = payee, u = payer, _eday)."""
-    return fanout_sample(e, cap, node="dst", seed=seed).select(
-        F.col("dst").alias("account"), F.col("src").alias("u"), F.col("day").alias("_eday"))
+    found = asof_join(points, samples, ["account"], "day", "_from", ["sample"], bucket_seconds=None)
+    return found.select("account", "day", F.explode("sample").alias("u"))
 
 
-def _mean_state_at(points: DataFrame, capped: DataFrame, after: DataFrame, prefix: str) -> DataFrame:
-    """For (account, day) points: mean over capped in-edges dated before the day of
-    the payer's state at the start of that day; points without such edges get zeros."""
+def _mean_state_at(points: DataFrame, samples: DataFrame, after: DataFrame, prefix: str) -> DataFrame:
+    """For (account, day) points: mean over the sampled in-edges before the day of the
+    payer's state at the start of that day; points without such edges get zeros."""
     from ringwatch.operators.joins import asof_join
 
-    pairs = points.join(capped, "account").filter(F.col("_eday") < F.col("day"))
+    pairs = _sampled_pairs(points, samples)
     wanted = pairs.select("u", "day").distinct()
-    st = asof_join(wanted, after, ["u"], "day", "_from", _RAW)  # latest active day strictly before d
-    z = lambda c: F.log1p(F.coalesce(F.col(c), F.lit(0)).cast("double"))
-    st = st.select("u", "day", *[z(c).alias(f) for c, f in zip(_RAW, NODE_FEATURES)])
+    st = asof_join(wanted, after, ["u"], "day", "_from", _RAW, bucket_seconds=None)  # one row per payer and day
+    st = st.select("u", "day", *[_z(c).alias(f) for c, f in zip(_RAW, NODE_FEATURES)])
     agg = pairs.join(st, ["u", "day"]).groupBy("account", "day").agg(
         *[F.avg(f).alias(f"{prefix}{f}") for f in NODE_FEATURES])
     return points.join(agg, ["account", "day"], "left").select(
@@ -219,36 +246,36 @@ def _mean_state_at(points: DataFrame, capped: DataFrame, after: DataFrame, prefi
 def neighbor_mean_by_day(transfers: DataFrame, cap: int = 15, seed: int = 42) -> DataFrame:
     """J5 for every day at once (one hop): for each account active on day d,
     its own state at the start of d (J4) and the mean state, at the start of
-    d, of its in-neighbours through capped edges (F6, ``cap`` per payee)
-    dated before d. No same-day edge is used.
+    d, of its in-neighbours through the F6 sample (``cap`` per payee) of the
+    edges dated before d. Nothing dated d or later enters.
 
-    Bounded work: a scored (account, d) joins at most ``cap`` capped edges;
+    Bounded work: a scored (account, d) has at most ``cap`` sampled edges;
     neighbour states come from an as-of lookup over *distinct* (neighbour,
     day) pairs, so even a hub neighbour contributes at most one row per day.
     """
     e = _edges_by_day(transfers)
-    own = node_features_by_day(transfers)
-    after = _state_after_day(e).select(F.col("account").alias("u"), F.date_add("day", 1).alias("_from"), *_RAW)
-    h1 = _mean_state_at(own.select("account", "day"), _capped_in(e, cap, seed), after, "h1_")
+    state = daily_state(e)
+    own = _own_state(state)
+    h1 = _mean_state_at(own.select("account", "day"), in_samples(e, cap, seed), _later_state(state), "h1_")
     return own.join(h1, ["account", "day"]).select("account", "day", *NODE_FEATURES,
                                                    *[f"h1_{f}" for f in NODE_FEATURES])
 
 
 def two_hop_mean_by_day(transfers: DataFrame, caps=(15, 10), seed: int = 42) -> DataFrame:
-    """J5 for every day at once (two hops): own state + mean, over at most
-    ``caps[1]`` capped in-edges before d, of each payer's one-hop mean at d
-    (itself over at most ``caps[0]`` capped edges). At most caps[0] x caps[1]
-    rows of work per scored account and day."""
+    """J5 for every day at once (two hops): own state, one-hop mean (``h1_*``, over at most
+    ``caps[0]`` sampled edges before d) and the mean (``h2_*``), over at most ``caps[1]``
+    sampled in-edges before d, of each payer's one-hop mean at d. At most
+    caps[0] x caps[1] rows of work per scored account and day."""
     e = _edges_by_day(transfers)
-    own = node_features_by_day(transfers)
-    after = _state_after_day(e).select(F.col("account").alias("u"), F.date_add("day", 1).alias("_from"), *_RAW)
-    c1, c2 = _capped_in(e, caps[0], seed), _capped_in(e, caps[1], seed)
+    state = daily_state(e)
+    own = _own_state(state)
     targets = own.select("account", "day")
-    pairs2 = targets.join(c2, "account").filter(F.col("_eday") < F.col("day"))
-    points = pairs2.select(F.col("u").alias("account"), "day").distinct()
-    h1 = _mean_state_at(points, c1, after, "h1_").withColumnRenamed("account", "u")
-    h2 = pairs2.join(h1, ["u", "day"]).groupBy("account", "day").agg(
+    pairs2 = _sampled_pairs(targets, in_samples(e, caps[1], seed))
+    points = targets.unionByName(pairs2.select(F.col("u").alias("account"), "day")).distinct()
+    h1 = _mean_state_at(points, in_samples(e, caps[0], seed), _later_state(state), "h1_")
+    at_payer = h1.withColumnRenamed("account", "u")
+    h2 = pairs2.join(at_payer, ["u", "day"]).groupBy("account", "day").agg(
         *[F.avg(f"h1_{f}").alias(f"h2_{f}") for f in NODE_FEATURES])
-    out = own.join(h2, ["account", "day"], "left")
-    return out.select("account", "day", *NODE_FEATURES,
+    out = own.join(h1, ["account", "day"]).join(h2, ["account", "day"], "left")
+    return out.select("account", "day", *NODE_FEATURES, *[f"h1_{f}" for f in NODE_FEATURES],
                       *[F.coalesce(F.col(f"h2_{f}"), F.lit(0.0)).alias(f"h2_{f}") for f in NODE_FEATURES])

@@ -4,46 +4,40 @@ Every value for a transfer is computed from the same account's *earlier*
 transfers only, in the total order (timestamp, txn_id); rows at or after
 ``as_of`` are removed before anything is computed.
 
-Two strategies give identical rows:
-
-``plain``
-    Window functions partitioned by account. Two shuffles (payer, payee).
-    Simple, but one hot account lands in one task.
-
-``bucketed`` (the skew path)
-    The running totals are split in two levels. A *bucket* is
-    (account, minute, txn_id block); inside a bucket the running values come
-    from a window partitioned by the whole bucket key, so no task ever holds
-    more than one minute x ``id_block`` rows of one account. Bucket totals
-    (pre-aggregated with map-side combine, so a hot account never shuffles
-    raw rows for them) are prefix-summed per account in a table whose size is
-    bounded by distinct (account, minute) pairs, and joined back on the bucket
-    key, which the rows are already partitioned by. Distinct-partner counts
-    use one "first seen" event per (account, partner) pair, found by an
-    aggregate (skew-safe) instead of a window over the pair. The 24-hour
-    velocity count and the previous send time come from RANGE frames over the
-    bucket table. Still two shuffles of the wide rows.
-
-``auto`` (default)
-    One cheap aggregate (map-side combined) finds the largest number of rows
-    any single account holds on either side. If it is at most
-    ``max_rows_per_key`` — a window partition that one task sorts and spills
-    comfortably — the plain plan runs; otherwise the bucketed plan does. The
-    check is the same idea as a size-checked broadcast.
+One plan for every size, safe for an account with any share of the rows:
+
+* Rows fall into buckets (account, minute, txn_id block). Running values inside
+  a bucket come from a window over the bucket, so no task holds more than one
+  minute x ``id_block`` rows of one account.
+* Bucket totals are pre-aggregated (map-side combined). Offsets of a bucket
+  inside its minute come from a window over (account, minute), whose rows are
+  the minute's blocks.
+* Minute totals add the blocks up, so that table has one row per account and
+  minute, bounded by the time span whatever the number of rows or input
+  partitions. The only windows over a whole account run on it: prefix sums,
+  the previous send time, and the 24-hour velocity count (a RANGE frame).
+* Distinct-partner counts use one "first seen" event per (account, partner)
+  pair, found by an aggregate instead of a window over the pair.
+
+Bucket and minute tables are joined back on the bucket key, by which the rows
+are already partitioned.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringwatch.functions.money import from_cents, to_cents
+from ringwatch.functions.money import to_amount, unit_part, whole_part
 from ringwatch.sources.transfers import epoch_seconds, ntz_lit, seconds_between
 
 VELOCITY_SECONDS = 24 * 3600
+ID_BLOCK = 1 << 17
 
+# Output column names.
 SENDER_FEATURES = ("sender_n_sent_before", "sender_amount_sent_before",
                    "sender_distinct_out_before", "sender_seconds_since_last_send")
 RECEIVER_FEATURES = ("receiver_n_received_before", "receiver_amount_received_before",
@@ -51,166 +45,116 @@ RECEIVER_FEATURES = ("receiver_n_received_before", "receiver_amount_received_bef
 HISTORY_FEATURES = SENDER_FEATURES + RECEIVER_FEATURES + ("sender_sent_last_24h", "in_out_ratio_before")
 
 _UNB = Window.unboundedPreceding
+#: What is summed per row: rows, whole units and fractional units paid, first meetings.
+_SUMS = ("n", "w", "u", "p")
 
 
 def cut_as_of(df: DataFrame, as_of: dt.datetime | None) -> DataFrame:
-    """Drop rows at or after ``as_of`` (strict); a literal so it pushes down to the scan."""
+    """Drop rows at or after ``as_of`` (strict)."""
     if as_of is None:
         return df
     return df.filter(F.col("timestamp") < ntz_lit(as_of))
 
 
-# Largest per-account row count the plain strategy accepts in one window task.
-MAX_ROWS_PER_KEY = 2_000_000
+@dataclass(frozen=True)
+class Opening:
+    """What earlier transfers left behind, for rows that continue a history.
 
+    ``sent`` / ``received``: ``(account, timestamp, n, w, u, p)``, totals of an account at minutes
+    (rows, whole and fractional units paid, first meetings); older minutes may be added up at
+    their latest one, as long as sends of the last 24 hours keep their own minutes.
+    ``pairs``: ``(from_account, to_account)`` that have met.
+    """
 
-def largest_account(df: DataFrame) -> int:
-    """Most rows held by one account as payer or as payee (one aggregate job)."""
-    roles = df.select(F.explode(F.array(F.concat(F.lit("s:"), F.col("from_account")),
-                                        F.concat(F.lit("r:"), F.col("to_account")))).alias("k"))
-    top = roles.groupBy("k").count().agg(F.max("count")).first()[0]
-    return int(top or 0)
+    sent: DataFrame
+    received: DataFrame
+    pairs: DataFrame
 
 
-def build_account_history_features(df: DataFrame, as_of: dt.datetime | None,
-                                   strategy: str = "auto", id_block: int = 1 << 17,
-                                   max_rows_per_key: int = MAX_ROWS_PER_KEY) -> DataFrame:
-    """Append E1-E9 to every transfer strictly before ``as_of``."""
+def build_account_history_features(df: DataFrame, as_of: dt.datetime | None, id_block: int = ID_BLOCK,
+                                   opening: Opening | None = None) -> DataFrame:
+    """Append E1-E9 to every transfer strictly before ``as_of``. With ``opening``, everything in it
+    counts as earlier than the rows of ``df``."""
     df = cut_as_of(df, as_of)
-    if strategy == "auto":
-        strategy = "plain" if largest_account(df) <= max_rows_per_key else "bucketed"
-    if strategy == "plain":
-        return _plain(df)
-    if strategy == "bucketed":
-        return _bucketed(df, id_block)
-    raise ValueError(f"unknown strategy: {strategy}")
-
-
-def _finish(df: DataFrame, cols: list[str]) -> DataFrame:
+    cols = df.columns
+    rows = df.withColumns({"_w": whole_part("amount_paid"), "_u": unit_part("amount_paid"), "_sb": _block(id_block)})
+    base = rows.select("txn_id", "timestamp", "from_account", "to_account", "_w", "_u", "_sb")
+    s = _side(rows, base, "from_account", "to_account", SENDER_FEATURES[:3], True, id_block, opening)
+    r = _side(s, base, "to_account", "from_account", RECEIVER_FEATURES, False, id_block, opening)
     e1, e5 = F.col("sender_n_sent_before"), F.col("receiver_n_received_before")
-    return df.select(
-        *cols,
-        "sender_n_sent_before", "sender_amount_sent_before", "sender_distinct_out_before",
-        "sender_seconds_since_last_send",
-        "receiver_n_received_before", "receiver_amount_received_before", "receiver_distinct_in_before",
-        (e1 - F.col("_le24")).alias("sender_sent_last_24h"),
-        ((e5 + 1).cast("double") / (e1 + 1).cast("double")).alias("in_out_ratio_before"),
-    )
-
+    return r.select(*cols, *SENDER_FEATURES, *RECEIVER_FEATURES,
+                    (e1 - F.col("_le24")).alias("sender_sent_last_24h"),
+                    ((e5 + 1).cast("double") / (e1 + 1).cast("double")).alias("in_out_ratio_before"))
 
-# --------------------------------------------------------------------- plain
-
-def _plain(df: DataFrame) -> DataFrame:
-    cols = df.columns
-    d = df.withColumn("_cents", to_cents("amount_paid")).withColumn("_ts_s", epoch_seconds("timestamp"))
-
-    def side(d: DataFrame, acct: str, other: str, n: str, amt: str, dist: str, sender: bool) -> DataFrame:
-        w = Window.partitionBy(acct).orderBy("timestamp", "txn_id")
-        before = w.rowsBetween(_UNB, -1)
-        pair = Window.partitionBy(acct, other).orderBy("timestamp", "txn_id")
-        # Hash on the account alone also satisfies the (account, partner)
-        # window, so each side costs exactly one exchange.
-        d = d.repartition(acct)
-        out = [
-            (F.row_number().over(w) - 1).cast("bigint").alias(n),
-            from_cents(F.coalesce(F.sum("_cents").over(before), F.lit(0))).alias(amt),
-        ]
-        d = d.withColumn("_first", (F.row_number().over(pair) == 1).cast("int"))
-        out.append(F.coalesce(F.sum("_first").over(before), F.lit(0)).cast("bigint").alias(dist))
-        if sender:
-            rng = Window.partitionBy(acct).orderBy("_ts_s").rangeBetween(_UNB, -VELOCITY_SECONDS)
-            out.append(seconds_between(F.lag("timestamp").over(w), F.col("timestamp"))
-                       .alias("sender_seconds_since_last_send"))
-            out.append(F.count(F.lit(1)).over(rng).alias("_le24"))
-        return d.select(*[c for c in d.columns if c != "_first"], *out)
-
-    d = side(d, "from_account", "to_account", "sender_n_sent_before", "sender_amount_sent_before",
-             "sender_distinct_out_before", True)
-    d = side(d, "to_account", "from_account", "receiver_n_received_before",
-             "receiver_amount_received_before", "receiver_distinct_in_before", False)
-    return _finish(d, cols)
-
-
-# ------------------------------------------------------------------ bucketed
 
 def _block(id_block: int) -> Column:
     """txn_id block number (integer division keeps the order of ids)."""
     return F.expr(f"txn_id div {int(id_block)}").cast("bigint")
 
 
-def _first_seen_events(base: DataFrame, acct: str, other: str, id_block: int) -> DataFrame:
-    """One row per (account, partner) pair at its first transfer, via an aggregate."""
+def _z(c: Column) -> Column:
+    return F.coalesce(c, F.lit(0)).cast("bigint")
+
+
+def first_meetings(base: DataFrame, acct: str, other: str, opening: Opening | None = None) -> DataFrame:
+    """One row per (account, partner) pair at its first transfer, via an aggregate; pairs that met earlier are out."""
     first = F.min(F.struct("timestamp", "txn_id")).alias("_f")
-    return (base.groupBy(acct, other).agg(first)
-            .select(F.col(acct), F.col("_f.timestamp").alias("timestamp"),
-                    F.col("_f.txn_id").alias("txn_id"))
-            .withColumn("_sb", _block(id_block)))
+    met = base.groupBy(acct, other).agg(first)
+    if opening is not None:
+        met = met.join(opening.pairs, [acct, other], "left_anti")
+    return met.select(acct, other, F.col("_f.timestamp").alias("timestamp"), F.col("_f.txn_id").alias("txn_id"))
 
 
-def _bucket_table(base: DataFrame, events: DataFrame, acct: str, sender: bool) -> DataFrame:
-    """Per-bucket prefix totals: everything strictly before the bucket, per account."""
+def _bucket_offsets(base: DataFrame, events: DataFrame, acct: str, sender: bool, carried: DataFrame | None) -> DataFrame:
+    """Per bucket, totals of everything strictly before it in its account. ``carried`` minutes
+    come before any block of the same minute."""
     key = [acct, "timestamp", "_sb"]
-    u = (base.select(*key, F.lit(0).alias("_kind"), "_cents")
-         .unionByName(events.select(*key, F.lit(1).alias("_kind"), F.lit(0).cast("bigint").alias("_cents"))))
-    b = (u.groupBy(*key)
-         .agg(F.sum(1 - F.col("_kind")).alias("_bn"), F.sum("_cents").alias("_bc"), F.sum("_kind").alias("_bp"))
-         .repartition(acct))
-    before = Window.partitionBy(acct).orderBy("timestamp", "_sb").rowsBetween(_UNB, -1)
-    z = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
-    cols = [*key, z(F.sum("_bn").over(before)).alias("_n0"), z(F.sum("_bc").over(before)).alias("_c0"),
-            z(F.sum("_bp").over(before)).alias("_p0")]
+    u = (base.select(*key, F.lit(1).alias("_n"), "_w", "_u", F.lit(0).alias("_p"))
+         .unionByName(events.select(*key, F.lit(0).alias("_n"), F.lit(0).cast("bigint").alias("_w"),
+                                    F.lit(0).cast("bigint").alias("_u"), F.lit(1).alias("_p"))))
+    blocks = u.groupBy(*key).agg(*[F.sum(f"_{c}").alias(f"_b{c}") for c in _SUMS])
+    if carried is not None:
+        blocks = blocks.unionByName(carried.select(F.col("account").alias(acct), "timestamp", F.lit(-1).cast("bigint").alias("_sb"),
+                                                   *[F.col(c).cast("bigint").alias(f"_b{c}") for c in _SUMS]))
+    minutes = blocks.groupBy(acct, "timestamp").agg(*[F.sum(f"_b{c}").alias(f"_m{c}") for c in _SUMS])
+    before = Window.partitionBy(acct).orderBy("timestamp").rowsBetween(_UNB, -1)
+    out = [_z(F.sum(f"_m{c}").over(before)).alias(f"_m{c}0") for c in _SUMS]
     if sender:
-        b = b.withColumn("_ts_s", epoch_seconds("timestamp"))
-        same_ts = Window.partitionBy(acct, "timestamp").orderBy("_sb").rowsBetween(_UNB, -1)
+        minutes = minutes.withColumn("_ts_s", epoch_seconds("timestamp"))
         by_time = Window.partitionBy(acct).orderBy("_ts_s")
-        cols += [
-            z(F.sum("_bn").over(same_ts)).alias("_same0"),
-            z(F.sum("_bn").over(by_time.rangeBetween(_UNB, -VELOCITY_SECONDS))).alias("_le24"),
-            F.max("timestamp").over(by_time.rangeBetween(_UNB, -1)).alias("_prev_ts"),
-        ]
-    return b.select(*cols)
-
-
-def _bucket_side(rows: DataFrame, base: DataFrame, acct: str, other: str, names: tuple[str, str, str],
-                 sender: bool, id_block: int) -> DataFrame:
+        # A minute's row may hold first meetings only if it holds sends, so every row here is a send time.
+        out += [_z(F.sum("_mn").over(by_time.rangeBetween(_UNB, -VELOCITY_SECONDS))).alias("_le24"),
+                F.max("timestamp").over(by_time.rangeBetween(_UNB, -1)).alias("_prev_ts")]
+    minutes = minutes.select(acct, "timestamp", *out)
+    inside = Window.partitionBy(acct, "timestamp").orderBy("_sb").rowsBetween(_UNB, -1)
+    blocks = blocks.select(*key, *[_z(F.sum(f"_b{c}").over(inside)).alias(f"_s{c}0") for c in _SUMS])
+    extra = ["_le24", "_prev_ts"] if sender else []
+    return blocks.join(minutes, [acct, "timestamp"]).select(
+        *key, *[(F.col(f"_m{c}0") + F.col(f"_s{c}0")).alias(f"_{c}0") for c in _SUMS],
+        F.col("_sn0").alias("_same0"), *extra)
+
+
+def _side(rows: DataFrame, base: DataFrame, acct: str, other: str, names: tuple[str, ...], sender: bool,
+          id_block: int, opening: Opening | None) -> DataFrame:
     n, amt, dist = names
     key = [acct, "timestamp", "_sb"]
-    events = _first_seen_events(base, acct, other, id_block)
-    totals = _bucket_table(base, events, acct, sender)
+    events = first_meetings(base, acct, other, opening).drop(other).withColumn("_sb", _block(id_block))
+    carried = None if opening is None else opening.sent if sender else opening.received
+    offsets = _bucket_offsets(base, events, acct, sender, carried)
     cols = rows.columns
     u = (rows.withColumn("_kind", F.lit(0))
          .unionByName(events.withColumn("_kind", F.lit(1)), allowMissingColumns=True))
     # Rows before events on equal txn_id: a pair's own first transfer does
     # not count itself as a known partner.
     inner = Window.partitionBy(*key).orderBy("txn_id", "_kind").rowsBetween(_UNB, -1)
-    z = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
-    u = u.select("*", z(F.sum(1 - F.col("_kind")).over(inner)).alias("_n1"),
-                 z(F.sum("_cents").over(inner)).alias("_c1"),
-                 z(F.sum("_kind").over(inner)).alias("_p1")).filter(F.col("_kind") == 0)
-    j = u.join(totals, key, "inner")
+    u = u.select("*", _z(F.sum(1 - F.col("_kind")).over(inner)).alias("_n1"), _z(F.sum("_w").over(inner)).alias("_w1"),
+                 _z(F.sum("_u").over(inner)).alias("_u1"), _z(F.sum("_kind").over(inner)).alias("_p1"))
+    j = u.filter(F.col("_kind") == 0).join(offsets, key)
     out = [(F.col("_n0") + F.col("_n1")).alias(n),
-           from_cents(F.col("_c0") + F.col("_c1")).alias(amt),
+           to_amount(F.col("_w0") + F.col("_w1"), F.col("_u0") + F.col("_u1")).alias(amt),
            (F.col("_p0") + F.col("_p1")).alias(dist)]
     if sender:
         out += [F.when(F.col("_same0") + F.col("_n1") > 0, F.lit(0).cast("bigint"))
-                .otherwise(seconds_between("_prev_ts", "timestamp"))
-                .alias("sender_seconds_since_last_send"),
+                .otherwise(seconds_between("_prev_ts", "timestamp")).alias("sender_seconds_since_last_send"),
                 F.col("_le24")]
     return j.select(*cols, *out)
-
-
-def _bucketed(df: DataFrame, id_block: int) -> DataFrame:
-    cols = df.columns
-    rows = df.withColumn("_cents", to_cents("amount_paid")).withColumn("_sb", _block(id_block))
-    base = rows.select("txn_id", "timestamp", "from_account", "to_account", "_cents", "_sb")
-    s = _bucket_side(rows, base, "from_account", "to_account",
-                     ("sender_n_sent_before", "sender_amount_sent_before", "sender_distinct_out_before"),
-                     True, id_block)
-    r = _bucket_side(s, base, "to_account", "from_account",
-                     ("receiver_n_received_before", "receiver_amount_received_before",
-                      "receiver_distinct_in_before"), False, id_block)
-    return _finish(r, cols)
-
-
-def history_feature_columns() -> list[Column]:
-    return [F.col(c) for c in HISTORY_FEATURES]

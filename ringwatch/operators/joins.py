@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, ring-id attachment (C1), as-of join."""
+"""Join helpers: ring-id attachment (C1), as-of join."""
 
 from __future__ import annotations
 
@@ -8,16 +8,6 @@ from pyspark.sql import functions as F
 NO_PATTERN = -1
 MATCH_KEY = ("timestamp", "from_account", "to_account", "amount_paid")
 
-# Upper bound on rows we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it. Above ``max_rows`` the frame is
-    returned unhinted, so the planner (and AQE at runtime) picks a shuffle join."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def keep_first_by_key(rings: DataFrame, key=MATCH_KEY, order=("pattern_id", "hop")) -> DataFrame:
     """Deterministic keep-first: the row with the smallest ``order`` per key (file order)."""
@@ -25,36 +15,34 @@ def keep_first_by_key(rings: DataFrame, key=MATCH_KEY, order=("pattern_id", "hop
     return rings.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def attach_pattern_ids(transfers: DataFrame, rings: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def attach_pattern_ids(transfers: DataFrame, rings: DataFrame) -> DataFrame:
     """Left join on the 4-column natural key; unmatched rows get -1.
 
     The ring table is deduplicated first, so the join cannot multiply
     transfers. The keep-first step shuffles the ring table, so AQE sees its
-    real size and turns the join into a broadcast when it is small — a
-    runtime-checked bound, no extra job. ``max_broadcast_rows`` forces an
-    explicit count-and-hint instead.
+    real size and turns the join into a broadcast when it is small: a
+    runtime-checked bound in bytes, no extra job and no hint.
     """
     lookup = keep_first_by_key(rings.select(*MATCH_KEY, "pattern_id", "hop")).select(*MATCH_KEY, "pattern_id")
-    if max_broadcast_rows is not None:
-        lookup = bounded_broadcast(lookup, max_broadcast_rows)
     return (transfers.join(lookup, list(MATCH_KEY), "left")
             .withColumn("pattern_id", F.coalesce(F.col("pattern_id"), F.lit(NO_PATTERN)).cast("int")))
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str,
-              right_cols: list[str], tie: str | None = None, bucket_seconds: int | None = None) -> DataFrame:
+              right_cols: list[str], tie: str | None = None, bucket_seconds: int | None = 86400) -> DataFrame:
     """For every left row, the last right row with ``right_on <= left_on`` in the same ``by`` group.
 
-    Both sides are unioned and sorted once per group; a right row sorts
-    before a left row at the same instant (inclusive match). ``last(...,
-    ignorenulls)`` over an unbounded-preceding frame carries the latest right
-    values forward. No candidate pairs are formed.
+    Both sides are unioned and sorted once per (``by``, time bucket), so one hot
+    key is spread over its buckets; a right row sorts before a left row at the
+    same instant (inclusive match). ``last(..., ignorenulls)`` over an
+    unbounded-preceding frame carries the latest right values forward. A left
+    row whose bucket holds no earlier right row takes the last right row of the
+    latest earlier bucket, found on a per-key table with one row per bucket
+    (bounded by the time span). No candidate pairs are formed.
     ``tie`` orders right rows that share ``right_on`` (the last one wins).
 
-    With ``bucket_seconds`` the group is (``by``, time bucket), so one hot key
-    is spread over its buckets; a left row whose bucket holds no earlier right
-    row takes the last right row of the latest earlier bucket, found on a
-    per-key table with one row per bucket (bounded by the time span).
+    ``bucket_seconds=None`` sorts whole groups: only for tables whose rows per
+    key are bounded, such as one row per key and day.
     """
     if bucket_seconds:
         return _asof_bucketed(left, right, by, left_on, right_on, right_cols, tie, bucket_seconds)

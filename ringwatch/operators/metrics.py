@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringwatch.functions.hashing import uniform_from_key
+from ringwatch.functions.money import UNIT, unit_part, whole_part
 from ringwatch.operators.prefix import prefix_sum
 from ringwatch.session import ensure_checkpoint_dir
 
@@ -98,7 +99,8 @@ def _precision_exprs(k: int, ke: int, cut: tuple[float, int]) -> list[str]:
             f"sum(CASE WHEN score > {s} THEN y ELSE 0 END) AS pa{k}",
             f"sum(CASE WHEN score = {s} THEN 1 ELSE 0 END) AS t{k}",
             f"sum(CASE WHEN score = {s} THEN y ELSE 0 END) AS pt{k}",
-            f"sum(CASE WHEN {_in_top(cut)} AND y = 1 THEN CAST(round(amount * 100) AS BIGINT) ELSE 0 END) AS c{k}"]
+            f"sum(CASE WHEN {_in_top(cut)} AND y = 1 THEN _w ELSE 0 END) AS cw{k}",
+            f"sum(CASE WHEN {_in_top(cut)} AND y = 1 THEN _u ELSE 0 END) AS cu{k}"]
 
 
 def _precision_value(k: int, ke: int) -> str:
@@ -113,12 +115,11 @@ def precision_at_k(scored: DataFrame, k_values=DEFAULT_K_VALUES) -> DataFrame:
         F.col("metric") == "precision_at_k").select("k", F.col("value").alias("precision"))
 
 
-def pr_auc_frame(scored: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """H2: average precision, tied scores as one step. One row ``pr_auc``.
-    ``max_rows`` (rows of ``scored``, if known) bounds the distinct scores."""
+def pr_auc_frame(scored: DataFrame) -> DataFrame:
+    """H2: average precision, tied scores as one step. One row ``pr_auc``."""
     groups = scored.groupBy("score").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     groups = groups.withColumn("_neg", -F.col("score"))
-    cum = prefix_sum(groups, ["_neg"], ["n", "pos"], ["cn", "cp"], max_rows=max_rows)
+    cum = prefix_sum(groups, ["_neg"], ["n", "pos"], ["cn", "cp"])
     return cum.agg((F.sum(F.col("pos") * F.col("cp") / F.col("cn")) / F.sum("pos")).alias("pr_auc"))
 
 
@@ -126,7 +127,7 @@ def pr_auc(scored: DataFrame) -> float:
     n, p = _totals(scored)
     if p == 0:
         raise ValueError("PR-AUC is undefined with no positive examples")
-    return float(pr_auc_frame(scored, max_rows=n).first()[0])
+    return float(pr_auc_frame(scored).first()[0])
 
 
 def _ring_frame(scored: DataFrame, ks: list[int], cuts: dict[int, tuple[float, int]], kes: dict[int, int],
@@ -185,10 +186,10 @@ def evaluate(scored: DataFrame, k_values=DEFAULT_K_VALUES, patterns: bool = True
     kes = {k: min(k, n) for k in ks}
     cuts = _cutoffs(scored, list(kes.values()))
     aggs = ["count(1) AS n", "sum(y) AS p",
-            "sum(CASE WHEN y = 1 THEN CAST(round(amount * 100) AS BIGINT) ELSE 0 END) AS pc"]
+            "sum(CASE WHEN y = 1 THEN _w ELSE 0 END) AS pw", "sum(CASE WHEN y = 1 THEN _u ELSE 0 END) AS pu"]
     for k in ks:
         aggs += _precision_exprs(k, kes[k], cuts[kes[k]])
-    one = scored.selectExpr(*aggs)
+    one = scored.withColumns({"_w": whole_part("amount"), "_u": unit_part("amount")}).selectExpr(*aggs)
     base = "(p / n)"
     rows: list = [(None, "base_rate", base), (None, "n_rows", "n"), (None, "n_positives", "p")]
     for k in ks:
@@ -196,10 +197,10 @@ def evaluate(scored: DataFrame, k_values=DEFAULT_K_VALUES, patterns: bool = True
         rows += [(k, "precision_at_k", prec), (k, "lift_at_k", f"CASE WHEN {base} > 0 THEN {prec} / {base} END")]
         if cost:
             rows += [(k, "cost_investigator_hours", _dbl(kes[k] * hours_per_alert)),
-                     (k, "cost_laundering_value_caught", f"c{k} / 100.0D"),
-                     (k, "cost_laundering_value_missed", f"(pc - c{k}) / 100.0D")]
+                     (k, "cost_laundering_value_caught", f"cw{k} + cu{k} / {UNIT}.0D"),
+                     (k, "cost_laundering_value_missed", f"(pw - cw{k}) + (pu - cu{k}) / {UNIT}.0D")]
     out = _explode_rows(one, rows)
-    ap = pr_auc_frame(scored, max_rows=n).selectExpr("'pr_auc' AS metric", "CAST(NULL AS BIGINT) AS k",
+    ap = pr_auc_frame(scored).selectExpr("'pr_auc' AS metric", "CAST(NULL AS BIGINT) AS k",
                                          "CAST(pr_auc AS DOUBLE) AS value")
     out = ap.unionByName(out)
     if patterns:

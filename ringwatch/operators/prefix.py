@@ -1,122 +1,55 @@
 """H0: running sums without a single-partition window.
 
 A window with ``orderBy`` and no (or a skewed) ``partitionBy`` moves every
-row of a group into one task. Here rows are cut into ``n`` ordered buckets of
-about equal size on (group, order) — so one hot group is spread over many
-tasks — each (bucket, group) segment's totals are computed, the totals of the
-same group in earlier buckets are added as an offset, and the running sum
-inside a segment is a window over that segment only.
-
-Both uses of the bucket id — segment totals and the running sums — must see
-the same assignment even when Spark recomputes the input in separate stages
-or after an executor loss (two ``repartitionByRange`` exchanges would each
-re-sample their bounds). Two ways, by bucket count:
-
-* up to ``MAX_LITERAL_BUCKETS``: bounds are sampled once and applied as
-  literals by a deterministic expression (a binary search over the bounds);
-  nothing is written.
-* above it (a cluster-sized input): one ``repartitionByRange`` and a reliable
-  ``checkpoint()`` in the shared checkpoint folder; both uses read the same
-  materialised rows and partition ids.
+row of a group into one task. Here rows are range-partitioned on (group, order),
+so one hot group is spread over many tasks; each (partition, group) segment's
+totals are computed, the totals of the same group in earlier partitions are
+added as an offset, and the running sum inside a segment is a window over that
+segment only.
+
+Segment totals and running sums must see the same partition of a row even when
+Spark recomputes its input in separate stages or after an executor loss, so the
+ranged rows are checkpointed once, in the session's shared folder, and both uses
+read that. The plan is the same for every size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringwatch.sources.transfers import typed_lit
-
-SAMPLES_PER_BUCKET = 40
-MAX_LITERAL_BUCKETS = 512
-ROWS_PER_BUCKET = 2_000_000  # rows one task sorts for its running sums
-
-
-def sample_bounds(df: DataFrame, keys: list[str], n: int, seed: int = 11) -> list[tuple]:
-    """Up to ``n - 1`` ascending bound tuples on ``keys`` from a uniform sample of
-    ``SAMPLES_PER_BUCKET * n`` rows, taken in one pass (each task keeps its own
-    smallest random tags; no count job first)."""
-    if n <= 1:
-        return []
-    m = SAMPLES_PER_BUCKET * n
-    sample = df.select(*keys, F.rand(seed).alias("_tag")).orderBy("_tag").limit(m).drop("_tag")
-    # Sorted by Spark (not Python), so the bounds follow Spark's ordering of the key types.
-    rows = [tuple(r) for r in sample.orderBy(*keys).collect()]
-    if not rows:
-        return []
-    bounds = []
-    for i in range(1, n):
-        b = rows[min(len(rows) - 1, (i * len(rows)) // n)]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return bounds
-
-
-def bucket_of(df: DataFrame, keys: list[str], bounds: list[tuple]) -> Column:
-    """Bucket index in ``[0, len(bounds)]``: the first bound >= key (binary search)."""
-    types = dict(df.dtypes)
-    key = F.struct(*[F.col(c).alias(c) for c in keys])
-    lits = [F.struct(*[typed_lit(v, types[c]).alias(c) for v, c in zip(b, keys)]) for b in bounds]
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key <= lits[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return search(0, len(bounds))
+from ringwatch.session import ensure_checkpoint_dir
 
 
 def prefix_sum(df: DataFrame, order_cols: list[str], sum_cols: list[str],
                out_cols: list[str] | None = None, inclusive: bool = True,
                partition_cols: list[str] | None = None, num_partitions: int | None = None,
-               max_rows: int | None = None, total_cols: list[str] | None = None) -> DataFrame:
+               total_cols: list[str] | None = None) -> DataFrame:
     """Append running sums of ``sum_cols`` in ``order_cols`` order (within ``partition_cols`` groups).
 
     ``order_cols`` must order rows totally inside a group; ``inclusive``
     includes the current row. Output names default to ``cum_<col>``;
     ``total_cols`` names optional extra columns holding each group's grand
-    totals (taken from the small per-bucket totals table, no extra join).
-    ``max_rows``, a known upper bound on the input's rows, sizes the bucket
-    count (about ``ROWS_PER_BUCKET`` rows each); a small input then needs a
-    single bucket and no sampling pass.
+    totals (taken from the small per-segment totals table, no extra join).
+    ``num_partitions`` defaults to the session's shuffle partitions.
     """
     out_cols = out_cols or [f"cum_{c}" for c in sum_cols]
     groups = list(partition_cols or [])
     keys = groups + list(order_cols)
     frame_end = 0 if inclusive else -1
-    if num_partitions:
-        n = num_partitions
-    elif max_rows is not None:
-        n = max(1, -(-max_rows // ROWS_PER_BUCKET))
-    else:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sample_bounds(df, keys, n) if 1 < n <= MAX_LITERAL_BUCKETS else []
-    if n <= MAX_LITERAL_BUCKETS and not bounds:
-        # One bucket (a small input by the caller's bound): running sums are a
-        # window per group, totals a whole-group window; no offsets, no join.
-        local = Window.partitionBy(*groups).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
-        whole = Window.partitionBy(*groups)
-        extra = [F.sum(c).over(whole).alias(t) for c, t in zip(sum_cols, total_cols or [])]
-        return df.select(*df.columns,
-                         *[F.coalesce(F.sum(c).over(local), F.lit(0)).alias(o) for c, o in zip(sum_cols, out_cols)],
-                         *extra)
-    if n <= MAX_LITERAL_BUCKETS:
-        d = df.withColumn("_pid", bucket_of(df, keys, bounds))
-    else:
-        from ringwatch.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        d = (df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
-             .checkpoint(eager=True))
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
+    d = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
     seg = ["_pid", *groups]
     totals = d.groupBy(*seg).agg(*[F.sum(c).alias(c) for c in sum_cols])
     earlier = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*groups)  # over the per-bucket totals: (buckets x groups) rows
+    whole = Window.partitionBy(*groups)  # over the per-segment totals: at most (partitions + groups) rows
     offsets = totals.select(*seg, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_off{i}")
                                     for i, c in enumerate(sum_cols)],
                             *[F.sum(c).over(whole).alias(t) for c, t in zip(sum_cols, total_cols or [])])
     if not groups:
-        # At most one row per bucket: always safe to broadcast.
+        # At most one row per partition: always safe to broadcast.
         offsets = F.broadcast(offsets)
     local = Window.partitionBy(*seg).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
     joined = d.join(offsets, seg)

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringwatch.functions.hashing import uniform_from_key
-from ringwatch.operators.prefix import prefix_sum
+
+
+#: Equal slices of the hash range [0, 1) in which a day's negatives are counted.
+HASH_SLICES = 4096
 
 
 def negative_subsample(df: DataFrame, max_rows_per_day: int, seed: int = 42) -> DataFrame:
@@ -14,20 +17,27 @@ def negative_subsample(df: DataFrame, max_rows_per_day: int, seed: int = 42) ->
     ``max_rows_per_day`` rows keep exactly ``max(0, max_rows_per_day - positives)``
     negatives, the ones with the smallest (hash(seed, txn_id), txn_id).
 
-    A day is one huge group, so the k-th smallest hash is found by rank
-    selection (segmented prefix count over negatives, range-partitioned so a
-    day is split across tasks), not by a window over the day.
+    A day is one huge group, so no window runs over a day's rows: negatives are
+    counted per (day, hash slice) with map-side combine, running counts over that
+    small table (at most ``HASH_SLICES`` rows a day) tell which slices are in
+    whole and which one slice holds the quota's end, and only that slice's rows
+    (a 1/``HASH_SLICES`` share of the day's) are ranked.
     """
-    d = df.withColumn("_day", F.to_date("timestamp")).withColumn("_h", uniform_from_key(seed, "txn_id"))
-    per_day = d.groupBy("_day").agg(F.count(F.lit(1)).alias("_rows"), F.sum("is_laundering").alias("_pos"))
-    quota = F.when(F.col("_rows") > max_rows_per_day,
-                   F.greatest(F.lit(max_rows_per_day) - F.col("_pos"), F.lit(0))).otherwise(F.col("_rows"))
-    per_day = per_day.select("_day", quota.cast("bigint").alias("_quota"))  # one row per day
-    # Full negative rows go through the ranking, so no join back on txn_id is needed.
-    neg = d.filter(F.col("is_laundering") == 0).withColumn("_one", F.lit(1))
-    ranked = prefix_sum(neg, ["_h", "txn_id"], ["_one"], ["_rank"], partition_cols=["_day"])
-    kept = ranked.join(per_day, "_day").filter(F.col("_rank") <= F.col("_quota"))
-    return d.filter(F.col("is_laundering") == 1).select(*df.columns).unionByName(kept.select(*df.columns))
+    neg = (1 - F.col("is_laundering")).cast("bigint")
+    d = df.withColumns({"_day": F.to_date("timestamp"), "_h": uniform_from_key(seed, "txn_id")})
+    d = d.withColumn("_slice", F.floor(F.col("_h") * HASH_SLICES).cast("int"))
+    slices = d.groupBy("_day", "_slice").agg(F.count(F.lit(1)).alias("_rows"), F.sum(neg).alias("_neg"))
+    day = Window.partitionBy("_day")
+    rows, positives = F.sum("_rows").over(day), F.sum(F.col("_rows") - F.col("_neg")).over(day)
+    quota = F.when(rows > max_rows_per_day, F.greatest(F.lit(max_rows_per_day) - positives, F.lit(0))).otherwise(rows)
+    before = F.coalesce(F.sum("_neg").over(day.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    left = slices.select("_day", "_slice", "_neg", (quota - before).alias("_left"))
+    j = d.join(left, ["_day", "_slice"])
+    whole = j.filter((F.col("is_laundering") == 1) | (F.col("_left") >= F.col("_neg")))
+    edge = j.filter((F.col("is_laundering") == 0) & (F.col("_left") > 0) & (F.col("_left") < F.col("_neg")))
+    rank = F.row_number().over(Window.partitionBy("_day").orderBy("_h", "txn_id"))
+    edge = edge.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_left"))
+    return whole.select(*df.columns).unionByName(edge.select(*df.columns))
 
 
 def fanout_sample(edges: DataFrame, n: int, node: str = "dst", seed: int = 42, key: str = "txn_id") -> DataFrame:

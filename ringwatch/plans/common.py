@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ringwatch.operators.split import split_range
 from ringwatch.sources.transfers import TRANSFER_COLUMNS, transfers_from_events
 
 # Fixed values for the driver's transfers view T (FIXTURES.md §3).
@@ -21,9 +22,15 @@ SQL_TAIL_CUTOFF = "TIMESTAMP '2024-01-29 00:00:00'"
 SQL_AS_OF = "TIMESTAMP '2024-01-21 00:00:00'"
 
 
-def T(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transfers contract columns only (no pattern_id)."""
-    return transfers_from_events(spark, sf_dir).select(*TRANSFER_COLUMNS)
+def T(spark: SparkSession, sf_dir: str, start: dt.datetime | None = None, end: dt.datetime | None = None) -> DataFrame:
+    """Transfers contract columns only (no pattern_id), rows of ``[start, end)``; the bounds reach the scan."""
+    return transfers_from_events(spark, sf_dir, start=start, end=end).select(*TRANSFER_COLUMNS)
+
+
+def T_split(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One split of T before the tail, its bounds pushed into the scan."""
+    start, end = split_range(name, frozen_split(spark, sf_dir))
+    return T(spark, sf_dir, start, min(end or TAIL_CUTOFF, TAIL_CUTOFF))
 
 
 def T_with_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +84,9 @@ def load_split(spark: SparkSession, sf_dir: str, name: str, boundaries=None) ->
 
     if name not in ("train", "validation", "test"):
         raise ValueError(f"unknown split: {name}")
-    t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
     b = boundaries or frozen_split(spark, sf_dir)
+    start, end = split_range(name, b)
+    t = truncate_tail(T(spark, sf_dir, start, min(end or TAIL_CUTOFF, TAIL_CUTOFF)), TAIL_CUTOFF)
     return attach_pattern_ids(select_split(t, name, b), rings_with_copies(spark, sf_dir))
 
 

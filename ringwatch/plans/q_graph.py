@@ -43,7 +43,7 @@ nf AS (SELECT n.account, ln(1 + coalesce(n_out, 0)) AS f_out_degree, ln(1 + coal
 
 
 def _edges(spark, sf_dir):
-    return snapshot_edges(T(spark, sf_dir), AS_OF)
+    return snapshot_edges(T(spark, sf_dir, end=AS_OF), AS_OF)
 
 
 def _targets(spark, sf_dir):
@@ -133,20 +133,26 @@ def q_neighbor_mean_1hop(spark, sf_dir):
 @register("q_neighbor_mean_2hop", f"""WITH {_E_SQL}, {_NODES_SQL}, {_NF_SQL}, {_H1_SQL}, {_cap_sql('c2', CAPS[1])},
 h2a AS (SELECT c.dst AS account, {', '.join(f'avg(h1.h1_{c}) AS h2_{c}' for c in _FC)} FROM c2 c
         JOIN h1 ON h1.account = c.src GROUP BY 1)
-SELECT nf.account, {', '.join(f'round(nf.{c}, 6) AS {c}' for c in _FC)},
+SELECT h1.account, {', '.join(f'round(h1.{c}, 6) AS {c}' for c in _FC)},
+  {', '.join(f'round(h1.h1_{c}, 6) AS h1_{c}' for c in _FC)},
   {', '.join(f'round(coalesce(h2a.h2_{c}, 0.0), 6) AS h2_{c}' for c in _FC)}
-FROM nf LEFT JOIN h2a USING (account)""")
+FROM h1 LEFT JOIN h2a USING (account)""")
 def q_neighbor_mean_2hop(spark, sf_dir):
     e = _edges(spark, sf_dir)
     return round_doubles(two_hop_mean(e, node_features(e, _nodes(spark, sf_dir)), CAPS, SEED))
 
 
+def _pairs_sql(cap: int, points: str, name: str) -> str:
+    """``name(account, day, u)``: of the edges into the account dated before the day, the ``cap`` of smallest hash."""
+    return f"""{name} AS (SELECT p.account, p.day, e.src AS u FROM {points} p
+  JOIN de2 e ON e.dst = p.account AND e.day < p.day
+  QUALIFY row_number() OVER (PARTITION BY p.account, p.day ORDER BY {_HASH.replace('txn_id', 'e.txn_id')}, e.txn_id) <= {cap})"""
+
+
 def _by_day_h1_sql(cap: int, points: str, name: str) -> str:
-    """CTEs ending in ``name(account, day, h1_*)``: one-hop mean state at the day
-    start over capped edges before the day, for the (account, day) rows of ``points``."""
-    return f"""{name}_cap AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dst ORDER BY {_HASH}, txn_id) AS rn
-        FROM de2) WHERE rn <= {cap}),
-{name}_pairs AS (SELECT p.account, p.day, c.src AS u FROM {points} p JOIN {name}_cap c ON c.dst = p.account AND c.day < p.day),
+    """CTEs ending in ``name(account, day, h1_*)``: one-hop mean state at the day start,
+    for the (account, day) rows of ``points``, over the sample of the edges before that day."""
+    return f"""{_pairs_sql(cap, points, f'{name}_pairs')},
 {name}_pd AS (SELECT DISTINCT u, day FROM {name}_pairs),
 {name}_so AS (SELECT p.u, p.day, count(d.src) AS n_out, coalesce(sum(d.la), 0) AS v_out, count(DISTINCT d.dst) AS d_out
        FROM {name}_pd p LEFT JOIN de d ON d.src = p.u AND d.day < p.day GROUP BY 1, 2),
@@ -176,16 +182,15 @@ def q_neighbor_mean_by_day(spark, sf_dir):
 
 
 @register("q_neighbor_mean_2hop_by_day", f"""WITH {_BY_DAY_SQL}, {_DE2_SQL},
-c2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dst ORDER BY {_HASH}, txn_id) AS rn FROM de2)
-       WHERE rn <= {CAPS[1]}),
-pairs2 AS (SELECT b.account, b.day, c.src AS u FROM byday b JOIN c2 c ON c.dst = b.account AND c.day < b.day),
-pts AS (SELECT DISTINCT u AS account, day FROM pairs2),
+{_pairs_sql(CAPS[1], 'byday', 'pairs2')},
+pts AS (SELECT account, day FROM byday UNION SELECT u, day FROM pairs2),
 {_by_day_h1_sql(CAPS[0], 'pts', 'h1')},
 h2 AS (SELECT p.account, p.day, {', '.join(f'avg(h1.h1_{c}) AS h2_{c}' for c in _FC)}
        FROM pairs2 p JOIN h1 ON h1.account = p.u AND h1.day = p.day GROUP BY 1, 2)
 SELECT b.account, strftime(b.day, '%Y-%m-%d') AS day, {', '.join(f'round(b.{c}, 6) AS {c}' for c in _FC)},
+  {', '.join(f'round(h1.h1_{c}, 6) AS h1_{c}' for c in _FC)},
   {', '.join(f'round(coalesce(h2.h2_{c}, 0.0), 6) AS h2_{c}' for c in _FC)}
-FROM byday b LEFT JOIN h2 ON h2.account = b.account AND h2.day = b.day""")
+FROM byday b JOIN h1 ON h1.account = b.account AND h1.day = b.day LEFT JOIN h2 ON h2.account = b.account AND h2.day = b.day""")
 def q_neighbor_mean_2hop_by_day(spark, sf_dir):
     d = two_hop_mean_by_day(T(spark, sf_dir), CAPS, SEED)
     return round_doubles(d.withColumn("day", F.date_format("day", "yyyy-MM-dd")))
@@ -237,7 +242,7 @@ neg AS (SELECT txn_id, day, row_number() OVER (PARTITION BY day ORDER BY h, txn_
 SELECT tr.txn_id, tr.is_laundering FROM tr JOIN pd USING (day) LEFT JOIN neg USING (txn_id)
 WHERE tr.is_laundering = 1 OR nr <= {MAX_ROWS_PER_DAY} OR neg.rk <= greatest({MAX_ROWS_PER_DAY} - np, 0)""")
 def q_neg_subsample(spark, sf_dir):
-    t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
+    t = truncate_tail(T(spark, sf_dir, end=TAIL_CUTOFF), TAIL_CUTOFF)
     train = select_split(t, "train", frozen_split(spark, sf_dir))
     return negative_subsample(train, MAX_ROWS_PER_DAY, SEED).select("txn_id", "is_laundering")
 

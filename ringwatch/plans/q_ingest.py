@@ -105,6 +105,10 @@ def _feature_rules_sql() -> dict[str, str]:
 
 _FEATURE_SQL = f"""
 WITH base AS (SELECT * FROM T WHERE timestamp < {SQL_AS_OF}),
+firsts AS (SELECT *,
+    CAST(row_number() OVER (PARTITION BY from_account, to_account ORDER BY timestamp, txn_id) = 1 AS INTEGER) AS new_out,
+    CAST(row_number() OVER (PARTITION BY to_account, from_account ORDER BY timestamp, txn_id) = 1 AS INTEGER) AS new_in
+  FROM base),
 f AS (
   SELECT txn_id, is_laundering,
     hour(timestamp) AS hour, isodow(timestamp) AS weekday, ln(1 + amount_paid) AS log_amount,
@@ -115,15 +119,17 @@ f AS (
     row_number() OVER (PARTITION BY from_account ORDER BY timestamp, txn_id) - 1 AS sender_n_sent_before,
     coalesce(sum(amount_paid) OVER (PARTITION BY from_account ORDER BY timestamp, txn_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sender_amount_sent_before,
-    0 AS sender_distinct_out_before,
+    coalesce(sum(new_out) OVER (PARTITION BY from_account ORDER BY timestamp, txn_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sender_distinct_out_before,
     (row_number() OVER (PARTITION BY from_account ORDER BY timestamp, txn_id) - 1)
       - count(*) OVER (PARTITION BY from_account ORDER BY timestamp
           RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 24 HOURS PRECEDING) AS sender_sent_last_24h,
     row_number() OVER (PARTITION BY to_account ORDER BY timestamp, txn_id) - 1 AS receiver_n_received_before,
     coalesce(sum(amount_paid) OVER (PARTITION BY to_account ORDER BY timestamp, txn_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS receiver_amount_received_before,
-    0 AS receiver_distinct_in_before
-  FROM base),
+    coalesce(sum(new_in) OVER (PARTITION BY to_account ORDER BY timestamp, txn_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS receiver_distinct_in_before
+  FROM firsts),
 g AS (SELECT *, CAST(receiver_n_received_before + 1 AS DOUBLE) / (sender_n_sent_before + 1) AS in_out_ratio_before FROM f)
 {_rule_sql(_feature_rules_sql(), 'g')}
 """
@@ -131,13 +137,13 @@ g AS (SELECT *, CAST(receiver_n_received_before + 1 AS DOUBLE) / (sender_n_sent_
 
 @register("q_contract_features", _FEATURE_SQL)
 def q_contract_features(spark, sf_dir):
-    feats = build_account_history_features(build_basic_features(T(spark, sf_dir)), AS_OF)
+    feats = build_account_history_features(build_basic_features(T(spark, sf_dir, end=AS_OF)), AS_OF)
     return violation_counts(feats, FEATURES)
 
 
 @register("q_truncate_tail", f"SELECT {_T_COLS} FROM T WHERE timestamp < {SQL_TAIL_CUTOFF}")
 def q_truncate_tail(spark, sf_dir):
-    return truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
+    return truncate_tail(T(spark, sf_dir, end=TAIL_CUTOFF), TAIL_CUTOFF)
 
 
 def _boundary_sql() -> str:
@@ -162,7 +168,7 @@ def q_boundaries(spark, sf_dir):
     instant at each "nearest" rank (``compute_boundaries`` returns the same values as
     literals for filters)."""
     q1, q2 = SPLIT_FRACTIONS[0], SPLIT_FRACTIONS[0] + SPLIT_FRACTIONS[1]
-    b = quantiles(truncate_tail(T(spark, sf_dir), TAIL_CUTOFF), "timestamp",
+    b = quantiles(truncate_tail(T(spark, sf_dir, end=TAIL_CUTOFF), TAIL_CUTOFF), "timestamp",
                   {"train_end": ("nearest", q1), "val_end": ("nearest", q2)})
     iso = "yyyy-MM-dd'T'HH:mm:ss"
     return b.select(F.date_format("train_end", iso).alias("train_end"), F.date_format("val_end", iso).alias("val_end"))
@@ -173,7 +179,7 @@ s AS (SELECT txn_id, CASE WHEN timestamp < train_end THEN 'train' WHEN timestamp
        ELSE 'test' END AS split FROM T, b WHERE timestamp < {SQL_TAIL_CUTOFF})
 SELECT txn_id, split FROM s""")
 def q_assign_split(spark, sf_dir):
-    t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
+    t = truncate_tail(T(spark, sf_dir, end=TAIL_CUTOFF), TAIL_CUTOFF)
     return assign_split(t, frozen_split(spark, sf_dir)).select("txn_id", "split")
 
 
@@ -195,7 +201,8 @@ def q_split_manifest(spark, sf_dir):
 WHERE timestamp >= TIMESTAMP '2024-01-20 00:00:00' AND timestamp < TIMESTAMP '2024-01-21 00:00:00'""")
 def q_day_slice(spark, sf_dir):
     import datetime as dt
-    return time_slice(T(spark, sf_dir), dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 21))
+    a, b = dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 21)
+    return time_slice(T(spark, sf_dir, a, b), a, b)
 
 
 @register("q_day_slice_stored", f"""SELECT {_T_COLS} FROM T

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ringwatch.functions.hashing import duckdb_uniform_from_key
 from ringwatch.operators.metrics import (evaluate, flatten_metrics, pr_auc_frame, rank_by_amount, rank_randomly,
                                          to_scored, top_k)
+from ringwatch.functions.money import duckdb_sum
 from ringwatch.plans.catalog import register
 from ringwatch.plans.common import K_VALUES, SEED, SQL_TAIL_CUTOFF, load_split, round_doubles
 from ringwatch.plans.q_ingest import _BOUNDS_SQL, _RINGS_SQL
@@ -54,17 +55,17 @@ def evaluate_sql(model: str, k_values=K_VALUES) -> str:
     return scored_sql(model) + f""",
 ks AS (SELECT unnest([{klist}]) AS k),
 tot AS (SELECT count(*) AS n, sum(y) AS npos,
-        sum(CASE WHEN y = 1 THEN CAST(round(amount * 100) AS BIGINT) ELSE 0 END) AS poscents FROM scored),
+        sum(CASE WHEN y = 1 THEN {duckdb_sum('amount')} ELSE 0 END) AS posvalue FROM scored),
 ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, txn_id) AS rnk FROM scored),
-kk AS (SELECT k, least(k, n) AS ke, n, npos, poscents FROM ks, tot),
+kk AS (SELECT k, least(k, n) AS ke, n, npos, posvalue FROM ks, tot),
 cut AS (SELECT kk.*, r.score AS cutoff FROM kk JOIN ranked r ON r.rnk = kk.ke),
-pk AS (SELECT c.k, c.ke, c.n, c.npos, c.poscents,
+pk AS (SELECT c.k, c.ke, c.n, c.npos, c.posvalue,
     sum(CASE WHEN s.score > c.cutoff THEN 1 ELSE 0 END) AS above,
     sum(CASE WHEN s.score > c.cutoff THEN s.y ELSE 0 END) AS pos_above,
     sum(CASE WHEN s.score = c.cutoff THEN 1 ELSE 0 END) AS tied,
     sum(CASE WHEN s.score = c.cutoff THEN s.y ELSE 0 END) AS pos_tied,
-    sum(CASE WHEN s.rnk <= c.ke AND s.y = 1 THEN CAST(round(s.amount * 100) AS BIGINT) ELSE 0 END) AS caught
-  FROM cut c, ranked s GROUP BY c.k, c.ke, c.n, c.npos, c.poscents),
+    sum(CASE WHEN s.rnk <= c.ke AND s.y = 1 THEN {duckdb_sum('s.amount')} ELSE 0 END) AS caught
+  FROM cut c, ranked s GROUP BY c.k, c.ke, c.n, c.npos, c.posvalue),
 prec AS (SELECT *, (pos_above + CASE WHEN tied > 0 AND ke - above > 0
                                  THEN pos_tied * (ke - above) / tied ELSE 0.0 END) / ke AS p FROM pk),
 rr AS (SELECT k, pattern_id, count(*) AS members, sum(CASE WHEN rnk <= ke THEN 1 ELSE 0 END) AS flagged
@@ -83,8 +84,8 @@ tidy AS (
   UNION ALL SELECT 'precision_at_k', k, p FROM prec
   UNION ALL SELECT 'lift_at_k', k, CASE WHEN npos > 0 THEN p / (npos / n) END FROM prec
   UNION ALL SELECT 'cost_investigator_hours', k, ke * 0.5 FROM prec
-  UNION ALL SELECT 'cost_laundering_value_caught', k, CAST(caught AS DOUBLE) / 100.0 FROM prec
-  UNION ALL SELECT 'cost_laundering_value_missed', k, CAST(poscents - caught AS DOUBLE) / 100.0 FROM prec
+  UNION ALL SELECT 'cost_laundering_value_caught', k, CAST(caught AS DOUBLE) FROM prec
+  UNION ALL SELECT 'cost_laundering_value_missed', k, CAST(posvalue - caught AS DOUBLE) FROM prec
   UNION ALL SELECT 'pattern_n_patterns', k, CAST(np AS DOUBLE) FROM ring
   UNION ALL SELECT 'pattern_n_caught', k, CAST(nc AS DOUBLE) FROM ring
   UNION ALL SELECT 'pattern_recall', k, CASE WHEN np > 0 THEN nc / np ELSE 0.0 END FROM ring

@@ -29,32 +29,46 @@ SELECT CAST(sum(CASE WHEN is_laundering = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_p
   round(sum(CASE WHEN is_laundering = 0 THEN 1 ELSE 0 END) / sum(CASE WHEN is_laundering = 1 THEN 1 ELSE 0 END), 6)
     AS pos_weight FROM tr""")
 def q_class_balance(spark, sf_dir):
-    t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
+    t = truncate_tail(T(spark, sf_dir, end=TAIL_CUTOFF), TAIL_CUTOFF)
     return round_doubles(class_balance(select_split(t, "train", frozen_split(spark, sf_dir))))
 
 
 def _features(spark, sf_dir):
-    """Rows before AS_OF with row and history features (the scaler's training window)."""
-    return build_account_history_features(build_basic_features(T(spark, sf_dir)), AS_OF)
+    """Rows before val_end with row and history features, and their training part (before train_end)."""
+    train_end, val_end = frozen_split(spark, sf_dir)
+    f = build_account_history_features(build_basic_features(T(spark, sf_dir, end=val_end)), val_end)
+    return f, select_split(f, "train", (train_end, val_end))
 
 
-_FEAT_SQL = f"""WITH {history_ctes()},
-feat AS (SELECT h.*, CAST(hour(t.timestamp) AS INTEGER) AS hour, CAST(isodow(t.timestamp) AS INTEGER) AS weekday,
+def prepared_sql(c: str) -> str:
+    """The scaler's preparation of one column."""
+    return (f"CASE WHEN {c} IS NULL OR isnan(CAST({c} AS DOUBLE)) THEN 0.0 WHEN {c} > 0 THEN ln(1 + {c}) "
+            f"ELSE CAST({c} AS DOUBLE) END")
+
+
+def moments_sql(cols, source: str) -> str:
+    """(feature, mean, std) of prepared columns."""
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, coalesce(avg({c}), 0.0) AS mean, CASE WHEN stddev_samp({c}) IS NULL OR "
+        f"stddev_samp({c}) <= 1e-9 THEN 1.0 ELSE stddev_samp({c}) END AS std FROM {source}" for c in cols)
+
+
+_FEAT_SQL = _BOUNDS_SQL + f""", {history_ctes('(SELECT val_end FROM b)')},
+feat AS (SELECT h.*, t.timestamp < (SELECT train_end FROM b) AS in_train,
+    CAST(hour(t.timestamp) AS INTEGER) AS hour, CAST(isodow(t.timestamp) AS INTEGER) AS weekday,
     ln(1 + t.amount_paid) AS log_amount,
     CASE WHEN t.amount_paid > 0 THEN t.amount_received / t.amount_paid ELSE 1.0 END AS amount_ratio,
     CAST(t.from_bank = t.to_bank AS INTEGER) AS is_same_bank
   FROM hist h JOIN T t USING (txn_id)),
-prep AS (SELECT txn_id, {', '.join(
-    f"CASE WHEN {c} IS NULL OR isnan(CAST({c} AS DOUBLE)) THEN 0.0 WHEN {c} > 0 THEN ln(1 + {c}) "
-    f"ELSE CAST({c} AS DOUBLE) END AS {c}" for c in _PF)} FROM feat),
-mom AS ({' UNION ALL '.join(
-    f"SELECT '{c}' AS feature, coalesce(avg({c}), 0.0) AS mean, CASE WHEN stddev_samp({c}) IS NULL OR "
-    f"stddev_samp({c}) <= 1e-9 THEN 1.0 ELSE stddev_samp({c}) END AS std FROM prep" for c in _PF)})"""
+prep AS (SELECT txn_id, in_train, {', '.join(f"{prepared_sql(c)} AS {c}" for c in _PF)} FROM feat),
+fitted AS (SELECT * FROM prep WHERE in_train),
+mom AS ({moments_sql(_PF, 'fitted')})"""
 
 
 @register("q_scaler_fit", _FEAT_SQL + "\nSELECT feature, round(mean, 6) AS mean, round(std, 6) AS std FROM mom")
 def q_scaler_fit(spark, sf_dir):
-    return round_doubles(EdgeScaler.moments_frame(_features(spark, sf_dir), _PF))
+    """Moments of the training rows only."""
+    return round_doubles(EdgeScaler.moments_frame(_features(spark, sf_dir)[1], _PF))
 
 
 @register("q_scaler_transform", _FEAT_SQL + f"""
@@ -62,14 +76,15 @@ SELECT txn_id, {', '.join(f"round((p.{c} - (SELECT mean FROM mom WHERE feature =
                          f"(SELECT std FROM mom WHERE feature = '{c}'), 6) AS {c}" for c in _PF)}
 FROM prep p""")
 def q_scaler_transform(spark, sf_dir):
-    f = _features(spark, sf_dir)
-    sc = EdgeScaler.fit(f, _PF)
+    """Training and validation rows scaled by the training moments."""
+    f, train = _features(spark, sf_dir)
+    sc = EdgeScaler.fit(train, _PF)
     return round_doubles(sc.transform(f.select("txn_id", *_PF), _PF))
 
 
 def _model_frames(spark, sf_dir):
     """Features on the full record as of val_end, then the train and validation slices."""
-    t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
+    t = truncate_tail(T(spark, sf_dir, end=TAIL_CUTOFF), TAIL_CUTOFF)
     b = frozen_split(spark, sf_dir)
     feats = build_account_history_features(build_basic_features(t), b[1])
     feats = attach_pattern_ids(feats, rings_with_copies(spark, sf_dir))

@@ -5,29 +5,30 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ringwatch.functions.hashing import duckdb_uniform_from_key
 from ringwatch.operators.history import HISTORY_FEATURES, build_account_history_features
 from ringwatch.operators.monitoring import (alert_forecast, alert_queue, capacity_curve, champion_challenger,
                                             ego_network, leak_audit, parity, psi, staleness)
 from ringwatch.operators.graph import snapshot_edges
+from ringwatch.operators.metrics import rank_by_amount, rank_randomly
+from ringwatch.operators.scaler import EdgeScaler
 from ringwatch.operators.reports import top_senders
-from ringwatch.operators.split import select_split, truncate_tail
+from ringwatch.operators.split import select_split
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import AS_OF, SQL_AS_OF, SQL_TAIL_CUTOFF, T, TAIL_CUTOFF, frozen_split, round_doubles
+from ringwatch.plans.common import AS_OF, SEED, SQL_AS_OF, SQL_TAIL_CUTOFF, T, T_split, frozen_split, round_doubles
 from ringwatch.plans.q_features import history_ctes
-from ringwatch.plans.q_graph import _HASH
 from ringwatch.plans.q_ingest import _BOUNDS_SQL
 from ringwatch.plans.q_metrics import evaluate_sql, scored_frame
+from ringwatch.plans.q_models import moments_sql, prepared_sql
 
 _HF = list(HISTORY_FEATURES)
 
 
 @register("q_parity", "SELECT unnest([" + ", ".join(f"'{c}'" for c in _HF) + "]) AS feature, CAST(0 AS BIGINT) AS differing")
 def q_parity(spark, sf_dir):
-    """Plain and bucketed history strategies compared cell by cell."""
-    t = T(spark, sf_dir)
-    a = build_account_history_features(t, AS_OF, "plain")
-    b = build_account_history_features(t, AS_OF, "bucketed")
-    return parity(a, b, "txn_id", _HF)
+    """The history of whole id ranges and of ids scattered over many blocks, cell by cell."""
+    t = T(spark, sf_dir, end=AS_OF)
+    return parity(build_account_history_features(t, AS_OF), build_account_history_features(t, AS_OF, id_block=16), "txn_id", _HF)
 
 
 REASONS = ["sender_n_sent_before", "sender_distinct_out_before", "sender_sent_last_24h",
@@ -35,35 +36,39 @@ REASONS = ["sender_n_sent_before", "sender_distinct_out_before", "sender_sent_la
 QUEUE_K = 20
 
 
-@register("q_alert_queue", f"""WITH {history_ctes()},
-sf AS (SELECT t.txn_id, t.from_account, t.amount_paid AS score, h.* EXCLUDE (txn_id) FROM T t JOIN hist h USING (txn_id)),
+@register("q_alert_queue", _BOUNDS_SQL + f""", {history_ctes()},
+sf AS (SELECT t.txn_id, t.from_account, t.timestamp, t.amount_paid AS score, h.* EXCLUDE (txn_id) FROM T t JOIN hist h USING (txn_id)),
+prep AS (SELECT txn_id, from_account, score, timestamp < (SELECT train_end FROM b) AS in_train,
+  {', '.join(f"{prepared_sql(c)} AS {c}" for c in REASONS)} FROM sf),
+fitted AS (SELECT * FROM prep WHERE in_train),
+mom AS ({moments_sql(REASONS, 'fitted')}),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY from_account ORDER BY score DESC, txn_id) AS rn
-         FROM sf) WHERE rn = 1),
+         FROM prep) WHERE rn = 1),
 top AS (SELECT * FROM best ORDER BY score DESC, from_account LIMIT {QUEUE_K}),
-u AS ({' UNION ALL '.join(f"SELECT from_account, '{c}' AS name, CAST({c} AS DOUBLE) AS v FROM top" for c in REASONS)}),
-r AS (SELECT from_account, string_agg(name, ',' ORDER BY v DESC, name) AS reasons FROM (
-        SELECT *, row_number() OVER (PARTITION BY from_account ORDER BY v DESC, name) AS rn FROM u) WHERE rn <= 3
+u AS ({' UNION ALL '.join(f"SELECT from_account, '{c}' AS name, CAST({c} AS DOUBLE) AS raw FROM top" for c in REASONS)}),
+z AS (SELECT u.from_account, u.name, round((u.raw - mom.mean) / mom.std, 6) AS v FROM u JOIN mom ON mom.feature = u.name),
+why AS (SELECT from_account, string_agg(name, ',' ORDER BY v DESC, name) AS reasons FROM (
+        SELECT *, row_number() OVER (PARTITION BY from_account ORDER BY v DESC, name) AS rn FROM z) WHERE rn <= 3
       GROUP BY from_account)
-SELECT top.from_account AS account, top.score AS max_score, top.txn_id AS top_txn_id, r.reasons
-FROM top JOIN r USING (from_account)""")
+SELECT top.from_account AS account, top.score AS max_score, top.txn_id AS top_txn_id, why.reasons
+FROM top JOIN why USING (from_account)""")
 def q_alert_queue(spark, sf_dir):
-    f = build_account_history_features(T(spark, sf_dir), AS_OF).withColumn("score", F.col("amount_paid"))
-    return alert_queue(f, REASONS, QUEUE_K)
+    """Queue by the amount baseline (F4), reasons in training standard deviations."""
+    f = build_account_history_features(T(spark, sf_dir, end=AS_OF), AS_OF).withColumn("score", rank_by_amount())
+    scaler = EdgeScaler.fit(select_split(f, "train", frozen_split(spark, sf_dir)), REASONS)
+    return alert_queue(f, REASONS, scaler, QUEUE_K)
 
 
 @register("q_ego_network", f"""WITH e AS (SELECT txn_id, from_account AS src, to_account AS dst FROM T
                                    WHERE timestamp < {SQL_AS_OF}),
 seeds AS (SELECT from_account AS account FROM T GROUP BY 1 ORDER BY count(*) DESC, from_account LIMIT 3),
-h1 AS (SELECT txn_id, src, dst, 1 AS hop FROM (SELECT e.*, row_number() OVER (PARTITION BY src ORDER BY {_HASH}, txn_id)
-       AS rn FROM e WHERE src IN (SELECT account FROM seeds)) WHERE rn <= 15),
-h2 AS (SELECT txn_id, src, dst, 2 AS hop FROM (SELECT e.*, row_number() OVER (PARTITION BY src ORDER BY {_HASH}, txn_id)
-       AS rn FROM e WHERE src IN (SELECT DISTINCT dst FROM h1)) WHERE rn <= 15)
+h1 AS (SELECT txn_id, src, dst, 1 AS hop FROM e WHERE src IN (SELECT account FROM seeds)),
+h2 AS (SELECT txn_id, src, dst, 2 AS hop FROM e WHERE src IN (SELECT dst FROM h1))
 SELECT * FROM h1 UNION ALL SELECT * FROM h2""")
 def q_ego_network(spark, sf_dir):
-    t = T(spark, sf_dir)
-    seeds = top_senders(t, 3).select(F.col("from_account").alias("account"))
-    edges = snapshot_edges(t, AS_OF).select("txn_id", "src", "dst")
-    return ego_network(edges, seeds, hops=2, cap=15).select("txn_id", "src", "dst", F.col("hop").cast("int").alias("hop"))
+    seeds = top_senders(T(spark, sf_dir), 3).select(F.col("from_account").alias("account"))
+    edges = snapshot_edges(T(spark, sf_dir, end=AS_OF), AS_OF).select("txn_id", "src", "dst")
+    return ego_network(edges, seeds, hops=2).select("txn_id", "src", "dst", F.col("hop").cast("int").alias("hop"))
 
 
 CURVE_K = list(range(100, 2001, 100))
@@ -80,21 +85,35 @@ def q_capacity_curve(spark, sf_dir):
     return round_doubles(capacity_curve(scored_frame(spark, sf_dir, "amount"), CURVE_K))
 
 
-@register("q_psi", _BOUNDS_SQL + f""",
-s AS (SELECT CAST(least(greatest(floor(ln(1 + t.amount_paid)), 0), 10) AS INTEGER) AS bin,
-        CASE WHEN t.timestamp < b.train_end THEN 'e' WHEN t.timestamp < b.val_end THEN 'a' END AS side
-      FROM T t, b WHERE t.timestamp < {SQL_TAIL_CUTOFF}),
-cnt AS (SELECT bin, CAST(sum(CASE WHEN side = 'e' THEN 1 ELSE 0 END) AS BIGINT) AS n_expected,
-        CAST(sum(CASE WHEN side = 'a' THEN 1 ELSE 0 END) AS BIGINT) AS n_actual FROM s WHERE side IS NOT NULL GROUP BY bin),
-p AS (SELECT *, greatest(n_expected / sum(n_expected) OVER (), 1e-6) AS pe,
-        greatest(n_actual / sum(n_actual) OVER (), 1e-6) AS pa FROM cnt)
-SELECT bin, n_expected, n_actual, round((pa - pe) * ln(pa / pe), 6) AS contribution,
-  round(sum((pa - pe) * ln(pa / pe)) OVER (), 6) AS psi FROM p""")
+_PSI_SIDES = _BOUNDS_SQL + f""",
+s0 AS (SELECT t.*, CASE WHEN t.timestamp < b.train_end THEN 'e' WHEN t.timestamp < b.val_end THEN 'a' END AS side
+      FROM T t, b WHERE t.timestamp < {SQL_TAIL_CUTOFF})"""
+
+
+def _psi_sql(name: str, value: str) -> str:
+    return f"""SELECT '{name}' AS drift, bin, n_expected, n_actual, round((pa - pe) * ln(pa / pe), 6) AS contribution,
+  round(sum((pa - pe) * ln(pa / pe)) OVER (), 6) AS psi FROM (
+  SELECT *, greatest(n_expected / sum(n_expected) OVER (), 1e-6) AS pe, greatest(n_actual / sum(n_actual) OVER (), 1e-6) AS pa
+  FROM (SELECT bin, CAST(sum(CASE WHEN side = 'e' THEN 1 ELSE 0 END) AS BIGINT) AS n_expected,
+        CAST(sum(CASE WHEN side = 'a' THEN 1 ELSE 0 END) AS BIGINT) AS n_actual
+      FROM (SELECT side, CAST(least(greatest(floor({value}), 0), 10) AS INTEGER) AS bin FROM s0 WHERE side IS NOT NULL)
+      GROUP BY bin))"""
+
+
+@register("q_psi", f"""{_PSI_SIDES}
+{_psi_sql('log_amount', 'ln(1 + amount_paid)')}
+UNION ALL {_psi_sql('amount_score', 'amount_paid / 10')}
+UNION ALL {_psi_sql('random_score', f"10 * ({duckdb_uniform_from_key(SEED, 'txn_id')})")}""")
 def q_psi(spark, sf_dir):
-    t = truncate_tail(T(spark, sf_dir), TAIL_CUTOFF)
-    b = frozen_split(spark, sf_dir)
-    v = F.log1p("amount_paid")
-    return round_doubles(psi(select_split(t, "train", b), select_split(t, "validation", b), v))
+    """Drift from train to validation of a feature and of the scores of both baselines (in tenths of their range)."""
+    train, valid = T_split(spark, sf_dir, "train"), T_split(spark, sf_dir, "validation")
+    values = {"log_amount": F.log1p("amount_paid"), "amount_score": rank_by_amount() / 10,
+              "random_score": rank_randomly(train, SEED) * 10}
+    out = None
+    for name, v in values.items():
+        one = psi(train, valid, v).select(F.lit(name).alias("drift"), "*")
+        out = one if out is None else out.unionByName(one)
+    return round_doubles(out)
 
 
 def _pivot_sql(model: str, label: str) -> str:
@@ -114,11 +133,13 @@ def q_champion(spark, sf_dir):
     return round_doubles(cc)
 
 
-ALERT_AMOUNT = 90.0
+ALERT_AMOUNT = 99.9  # few enough alerts that some days have none
 
 
 @register("q_alert_forecast", f"""
-WITH d AS (SELECT CAST(timestamp AS DATE) AS day, count(*) AS alerts FROM T WHERE amount_paid > {ALERT_AMOUNT} GROUP BY 1)
+WITH a AS (SELECT CAST(timestamp AS DATE) AS day, count(*) AS n FROM T WHERE amount_paid > {ALERT_AMOUNT} GROUP BY 1),
+cal AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM a), (SELECT max(day) FROM a), INTERVAL 1 DAY)) AS DATE) AS day),
+d AS (SELECT cal.day, coalesce(a.n, 0) AS alerts FROM cal LEFT JOIN a USING (day))
 SELECT strftime(day, '%Y-%m-%d') AS day, CAST(isodow(day) AS INTEGER) AS weekday, alerts,
   round(avg(alerts) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS trailing_mean,
   round(avg(alerts) OVER (PARTITION BY isodow(day) ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6)
@@ -135,7 +156,7 @@ WITH r AS (SELECT from_account AS account, timestamp FROM T WHERE timestamp < {S
 SELECT account, strftime(max(timestamp), '%Y-%m-%dT%H:%M:%S') AS last_seen,
   CAST(date_diff('second', max(timestamp), {SQL_AS_OF}) AS BIGINT) AS age_seconds FROM r GROUP BY account""")
 def q_staleness(spark, sf_dir):
-    s = staleness(T(spark, sf_dir), AS_OF)
+    s = staleness(T(spark, sf_dir, end=AS_OF), AS_OF)
     return s.withColumn("last_seen", F.date_format("last_seen", "yyyy-MM-dd'T'HH:mm:ss"))
 
 

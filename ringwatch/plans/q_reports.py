@@ -135,7 +135,7 @@ SELECT is_laundering, count(*) AS rows,
   round(median(sender_sent_last_24h), 6) AS median_sender_sent_last_24h
 FROM f GROUP BY is_laundering""")
 def q_feature_by_class(spark, sf_dir):
-    feats = build_account_history_features(build_basic_features(T(spark, sf_dir)), AS_OF)
+    feats = build_account_history_features(build_basic_features(T(spark, sf_dir, end=AS_OF)), AS_OF)
     # The rank selection reads the features twice (bound sample, final pass):
     # materialise the feature table once in the shared checkpoint folder.
     ensure_checkpoint_dir(spark)

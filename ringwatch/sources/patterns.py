@@ -2,19 +2,18 @@
 
 The file is a sequence of blocks::
 
-    BEGIN LAUNDERING ATTEMPT - FAN-OUT:  Max 16-degree Fan-Out
-    2022/09/01 00:06,021174,800737690,012,80011F990,2848.96,Euro,2848.96,Euro,ACH,1
+    BEGIN LAUNDERING ATTEMPT - FAN-OUT:  Max 2-degree Fan-Out
+    2021/03/14 09:26,000535,ZQ81,007,KX22,314.15,Yen,314.15,Yen,Cheque,1
     ...
     END LAUNDERING ATTEMPT - FAN-OUT
 
-Spark reads it with ``lineSep`` set to the END marker, so **one record is one
-block** and blocks are split across tasks like any text file (a record that
-straddles a split boundary belongs to the split it starts in). Blocks are
-numbered in file order without a driver loop: records are counted per input
-split, the split counts are prefix-summed (one row per split), and each
-record adds its position inside its split.
+Spark reads it line by line. Lines are put in file order by (file, split start,
+position in the split), and one distributed running count over them numbers
+markers, rings and data lines; a data line then finds the marker above it in the
+small table of markers. So a ring of any size is read by many tasks, and no
+value holds a whole ring.
 
-Differences from a line-at-a-time reader, on purpose: data rows that sit
+On purpose, data rows that sit
 outside any well-formed BEGIN block (before the first BEGIN, between an END
 and the next BEGIN, or under a malformed BEGIN line) are not glued onto the
 previous ring but returned by :func:`parse_patterns_with_rejects` as rejects.
@@ -22,7 +21,7 @@ previous ring but returned by :func:`parse_patterns_with_rejects` as rejects.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwatch.operators.prefix import prefix_sum
@@ -40,52 +39,28 @@ PATTERN_TYPES = ("CYCLE", "GATHER-SCATTER", "BIPARTITE", "FAN-OUT", "SCATTER-GAT
 RING_COLUMNS = SOURCE_COLUMNS + ("pattern_id", "pattern_type", "pattern_detail", "hop")
 
 
-def _number_records(records: DataFrame) -> DataFrame:
-    """Add ``block_no`` = 0-based position of each record in file order."""
-    r = records.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_mid"))
-    # One row per input split: a bounded table (splits, not rows).
-    splits = r.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
-    order = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("_file", "_start", "_mid0",
-                           F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
-    j = r.join(F.broadcast(splits), ["_file", "_start"])
-    return j.select(*[c for c in records.columns],
-                    (F.col("_before") + F.col("_mid") - F.col("_mid0")).cast("int").alias("block_no"))
-
-
 def parse_patterns_with_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Return (rings, rejects). ``rings`` has the 11 source columns plus
     ``pattern_id, pattern_type, pattern_detail, hop``; ``rejects`` holds data
-    lines found outside a well-formed block, with their block number."""
-    rec = spark.read.option("lineSep", END_MARKER).text(path)
-    blocks = _number_records(rec.select("value", "_metadata"))
-    lines = (blocks.select("block_no", F.posexplode(F.split("value", "\n")).alias("pos", "raw"))
-             .select("block_no", "pos", F.trim("raw").alias("line"))
-             .filter(F.col("line") != ""))
-    is_begin = F.col("line").rlike(BEGIN_PATTERN)
-    # First well-formed BEGIN line of each record (a record holds at most one).
-    heads = (lines.filter(is_begin)
-             .groupBy("block_no")
-             .agg(F.min(F.struct("pos", "line")).alias("h"))
-             .select("block_no", F.col("h.pos").alias("begin_pos"),
-                     F.trim(F.regexp_extract("h.line", BEGIN_PATTERN, 1)).alias("pattern_type"),
-                     F.trim(F.regexp_extract("h.line", BEGIN_PATTERN, 2)).alias("pattern_detail")))
-    # Records that contain a BEGIN get consecutive pattern ids in file order.
-    heads = prefix_sum(heads.withColumn("_one", F.lit(1)), ["block_no"], ["_one"], ["_cum"])
-    heads = heads.withColumn("pattern_id", (F.col("_cum") - 1).cast("int")).drop("_one", "_cum")
-    fields = F.split("line", ",", -1)
-    data = lines.filter(~is_begin & ~F.col("line").startswith(END_MARKER) & (F.size(fields) == len(SOURCE_COLUMNS)))
-    data = data.join(heads, "block_no", "left")
-    inside = F.col("begin_pos").isNotNull() & (F.col("pos") > F.col("begin_pos"))
-    rejects = data.filter(~inside).select("block_no", "pos", "line")
-    rows = data.filter(inside)
-    hop = (F.row_number().over(Window.partitionBy("pattern_id").orderBy("pos")) - 1).cast("int")
+    lines found outside a well-formed block, with the number of the marker above them."""
+    line, fields = F.trim("value"), F.split("line", ",", -1)
+    begin, end = F.col("line").startswith(BEGIN_MARKER), F.col("line").startswith(END_MARKER)
+    lines = (spark.read.text(path)
+             .select(line.alias("line"), F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at"))
+             .filter("line <> ''")
+             .withColumns({"_marker": (begin | end).cast("int"), "_ring": F.col("line").rlike(BEGIN_PATTERN).cast("int")})
+             .withColumn("_data", ((F.col("_marker") == 0) & (F.size(fields) == len(SOURCE_COLUMNS))).cast("int")))
+    lines = prefix_sum(lines, ["_file", "_start", "_at"], ["_marker", "_ring", "_data"], ["_m", "_r", "_d"])
+    markers = lines.filter("_marker = 1").select(
+        "_m", (F.col("_ring") == 1).alias("_inside"), (F.col("_r") - 1).cast("int").alias("pattern_id"),
+        F.trim(F.regexp_extract("line", BEGIN_PATTERN, 1)).alias("pattern_type"),
+        F.trim(F.regexp_extract("line", BEGIN_PATTERN, 2)).alias("pattern_detail"), F.col("_d").alias("_d0"))
+    # Lines of one long ring share a marker: adaptive execution splits them.
+    data = lines.filter("_data = 1").join(markers, "_m", "left")
+    rejects = data.filter(~F.coalesce("_inside", F.lit(False))).select(F.col("_m").alias("marker_no"), "line")
     f = F.split("line", ",", -1)
-    parsed = rows.select(
+    parsed = data.filter("_inside").select(
         F.to_timestamp_ntz(F.trim(f[0]), F.lit(TIMESTAMP_TEXT_FORMAT)).alias("timestamp"),
         *[F.trim(f[i]).alias(c) for i, c in enumerate(SOURCE_COLUMNS) if c in
           ("from_bank", "from_account", "to_bank", "to_account", "receiving_currency",
@@ -93,7 +68,7 @@ def parse_patterns_with_rejects(spark: SparkSession, path: str) -> tuple[DataFra
         F.trim(f[5]).cast("double").alias("amount_received"),
         F.trim(f[7]).cast("double").alias("amount_paid"),
         F.trim(f[10]).cast("int").alias("is_laundering"),
-        "pattern_id", "pattern_type", "pattern_detail", hop.alias("hop"))
+        "pattern_id", "pattern_type", "pattern_detail", (F.col("_d") - F.col("_d0") - 1).cast("int").alias("hop"))
     return parsed.select(*RING_COLUMNS), rejects
 
 
@@ -105,36 +80,33 @@ def rings_from_transfers(t_with_pattern: DataFrame) -> DataFrame:
     """The ring table built from a transfers frame that carries ``pattern_id``
     (FIXTURES.md §3): shape from ``pattern_id % 8``, hop in (timestamp, txn_id) order."""
     types = F.array(*[F.lit(t) for t in PATTERN_TYPES])
-    ring = t_with_pattern.filter(F.col("pattern_id") >= 0)
-    hop = (F.row_number().over(Window.partitionBy("pattern_id").orderBy("timestamp", "txn_id")) - 1).cast("int")
+    ring = t_with_pattern.filter(F.col("pattern_id") >= 0).withColumn("_one", F.lit(1))
+    ring = prefix_sum(ring, ["timestamp", "txn_id"], ["_one"], ["_place"], partition_cols=["pattern_id"])
     return ring.select(*SOURCE_COLUMNS, "pattern_id",
                        F.element_at(types, (F.col("pattern_id") % 8 + 1).cast("int")).alias("pattern_type"),
-                       F.lit("").alias("pattern_detail"), hop.alias("hop"))
+                       F.lit("").alias("pattern_detail"), (F.col("_place") - 1).cast("int").alias("hop"))
 
 
-def render_patterns_text(rings: DataFrame) -> DataFrame:
-    """Inverse of the parser: one text record per ring, in ``pattern_id`` order.
+def write_patterns_text(rings: DataFrame, path: str) -> None:
+    """Write rings as text files whose name order is ``pattern_id`` order (the parser's inverse).
 
-    Used to round-trip ring tables through the text format. Each ring's lines
-    are gathered per ring (rings are small, bounded groups).
+    One row per line, markers included, range-partitioned on (ring, line): no value holds a
+    whole ring, a large ring is split over files, and the number of files follows the
+    session's shuffle partitions.
     """
     ts_text = F.date_format("timestamp", TIMESTAMP_TEXT_FORMAT)
     line = F.concat_ws(",", ts_text, "from_bank", "from_account", "to_bank", "to_account",
                        F.col("amount_received").cast("string"), "receiving_currency",
                        F.col("amount_paid").cast("string"), "payment_currency", "payment_format",
                        F.col("is_laundering").cast("string"))
-    g = (rings.groupBy("pattern_id", "pattern_type", "pattern_detail")
-         .agg(F.array_sort(F.collect_list(F.struct("hop", line.alias("line")))).alias("ls")))
-    head = F.concat(F.lit(BEGIN_MARKER + " - "), F.col("pattern_type"),
-                    F.when(F.col("pattern_detail") != "", F.concat(F.lit(": "), F.col("pattern_detail")))
-                     .otherwise(F.lit("")))
-    body = F.concat_ws("\n", F.transform("ls", lambda x: x["line"]))
-    text = F.concat(head, F.lit("\n"), body, F.lit("\n" + END_MARKER + " - "), F.col("pattern_type"))
-    return g.select("pattern_id", text.alias("value"))
-
-
-def write_patterns_text(rings: DataFrame, path: str, num_files: int = 4) -> None:
-    """Write ring blocks as text files whose name order is ``pattern_id`` order."""
-    (render_patterns_text(rings).repartitionByRange(num_files, "pattern_id")
-     .sortWithinPartitions("pattern_id").select("value")
-     .write.mode("overwrite").option("lineSep", "\n").text(path))
+    rows = rings.select("pattern_id", F.lit(1).alias("part"), "hop", line.alias("value"))
+    ring = rings.groupBy("pattern_id").agg(F.min("pattern_type").alias("t"), F.min("pattern_detail").alias("d"))
+    detail = F.when(F.col("d") != "", F.concat(F.lit(": "), F.col("d"))).otherwise(F.lit(""))
+    head = ring.select("pattern_id", F.lit(0).alias("part"), F.lit(0).alias("hop"),
+                       F.concat(F.lit(f"{BEGIN_MARKER} - "), F.col("t"), detail).alias("value"))
+    foot = ring.select("pattern_id", F.lit(2).alias("part"), F.lit(0).alias("hop"),
+                       F.concat(F.lit(f"{END_MARKER} - "), F.col("t")).alias("value"))
+    n = int(rings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (rows.unionByName(head).unionByName(foot).repartitionByRange(n, "pattern_id", "part", "hop")
+     .sortWithinPartitions("pattern_id", "part", "hop").select("value")
+     .write.mode("overwrite").text(path))

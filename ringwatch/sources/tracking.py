@@ -28,7 +28,7 @@ def log_run(spark: SparkSession, path: str, experiment: str, params: dict, metri
             tags: dict | None = None) -> str:
     """Append one run; returns its id."""
     run_id = uuid.uuid4().hex
-    row = (run_id, dt.datetime.utcnow().replace(microsecond=0), {k: str(v) for k, v in params.items()},
+    row = (run_id, dt.datetime.now(dt.UTC).replace(microsecond=0, tzinfo=None), {k: str(v) for k, v in params.items()},
            {k: float(v) for k, v in metrics.items()}, {k: str(v) for k, v in (tags or {}).items()}, experiment)
     spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").partitionBy("experiment").parquet(path)
     return run_id

@@ -147,9 +147,21 @@ def load_transfers_parquet(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*TRANSFER_COLUMNS, *[c for c in df.columns if c == "event_date"])
 
 
-def transfers_from_events(spark: SparkSession, sf_dir: str, with_pattern: bool = False) -> DataFrame:
-    """The transfers view T over the driver's ``events`` table (see FIXTURES.md §3)."""
+def _next_minute(value):
+    """The first whole minute at or after ``value``: floor(ts) < value means ts < that minute, and likewise for >=."""
+    import datetime as dt
+    floor = value.replace(second=0, microsecond=0)
+    return floor if floor == value else floor + dt.timedelta(minutes=1)
+
+
+def transfers_from_events(spark: SparkSession, sf_dir: str, with_pattern: bool = False, start=None, end=None) -> DataFrame:
+    """The transfers view T over the driver's ``events`` table (see FIXTURES.md §3), rows of
+    ``[start, end)`` only. The bounds are literals on the stored ``ts``, so they reach the scan."""
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if start is not None:
+        ev = ev.filter(F.col("ts") >= ntz_lit(_next_minute(start)))
+    if end is not None:
+        ev = ev.filter(F.col("ts") < ntz_lit(_next_minute(end)))
     k = F.get_json_object("props", "$.k").cast("bigint")
     ev = ev.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
     u, kk = F.col("user_id"), F.col("k")

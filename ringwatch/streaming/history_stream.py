@@ -1,178 +1,124 @@
-"""Account-history features over a replayed stream (Structured Streaming).
-
-Transfers arrive as Parquet files. Each transfer is exploded into a payer
-role row and a payee role row keyed by account; ``applyInPandasWithState``
-keeps, per account, the running counts and cent sums, the partner sets, the
-last send time and the queue of sends inside the last 24 hours. Inside one
-call the account's rows are processed in (timestamp, txn_id) order, so the
-output equals the batch job (E1-E8) row for row when files arrive in time
-order.
-
-Lateness: every account remembers the largest (timestamp, txn_id) it has
-applied. A row below that mark arrives too late to be applied without
-rewriting already-emitted answers; it is written to the ``late`` side table
-instead of being silently dropped. (No ``withWatermark``: Spark would drop
-such rows before the state function could route them.)
-
-State grows with the number of distinct partners per account (the partner
-sets); the 24-hour queue is bounded by one day of sends.
-
-Sinks are written per micro-batch under ``epoch=<id>`` with overwrite, so a
-retried batch replaces its own output (idempotent).
+"""Account-history features over a stream of transfers (Structured Streaming).
+
+Transfers arrive as Parquet files. Each micro-batch runs the batch plan of
+:mod:`ringwatch.operators.history` on its rows, opened with what earlier batches
+left behind, so a hot account is spread over tasks exactly as in the batch job
+and no row passes through Python. The state is three tables, one version per
+micro-batch, in the shared output folder:
+
+* ``sent`` / ``received``: totals per (account, minute), sends of the last 24
+  hours by the minute, everything older added up in one row per account;
+* ``pairs``: one row per (payer, payee) that have met;
+* ``marks``: per account the latest (timestamp, txn_id) applied.
+
+Lateness is decided once per transfer: one that lies behind the mark of either of
+its accounts can't be applied without rewriting answers already given, so it
+goes to the ``late`` table, whole, and touches neither account. Every arriving
+transfer is in exactly one of ``decisions`` and ``late``.
+
+All tables of a micro-batch are written under its epoch with overwrite, and a
+batch reads only the versions of the epoch before, so a retried batch replaces
+its own output. (No ``withWatermark``: Spark would drop late rows.)
 """
 
 from __future__ import annotations
 
-import json
-import os
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ringwatch.functions.money import from_cents, to_cents
-from ringwatch.operators.history import HISTORY_FEATURES, VELOCITY_SECONDS
+from ringwatch.functions.money import unit_part, whole_part
+from ringwatch.operators.history import (HISTORY_FEATURES, VELOCITY_SECONDS, Opening, build_account_history_features,
+                                         first_meetings)
 from ringwatch.sources.transfers import epoch_seconds
 
-ROLE_SCHEMA = T.StructType([
-    T.StructField("txn_id", T.LongType()), T.StructField("role", T.IntegerType()),
-    T.StructField("cents", T.LongType()),
-    T.StructField("late", T.IntegerType()), T.StructField("n_before", T.LongType()),
-    T.StructField("cents_before", T.LongType()), T.StructField("distinct_before", T.LongType()),
-    T.StructField("seconds_since", T.LongType()), T.StructField("last_24h", T.LongType()),
-])
-
-STATE_SCHEMA = T.StructType([
-    T.StructField("n_sent", T.LongType()), T.StructField("cents_sent", T.LongType()),
-    T.StructField("n_recv", T.LongType()), T.StructField("cents_recv", T.LongType()),
-    T.StructField("last_send", T.LongType()), T.StructField("hw_ts", T.LongType()), T.StructField("hw_id", T.LongType()),
-    T.StructField("partners_out", T.StringType()), T.StructField("partners_in", T.StringType()),
-    T.StructField("queue", T.StringType()),
-])
-
-
-def _account_state(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.exists:
-        (n_sent, cents_sent, n_recv, cents_recv, last_send, hw_ts, hw_id, p_out, p_in, queue) = state.get
-        p_out, p_in, queue = set(json.loads(p_out)), set(json.loads(p_in)), json.loads(queue)
-    else:
-        n_sent = cents_sent = n_recv = cents_recv = 0
-        last_send = hw_ts = hw_id = None
-        p_out, p_in, queue = set(), set(), []
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts_s", "txn_id", "role"], kind="stable")
-    out = []
-    for ts, txn, role, partner, cents in zip(pdf["ts_s"].tolist(), pdf["txn_id"].tolist(), pdf["role"].tolist(),
-                                            pdf["partner"].tolist(), pdf["cents"].tolist()):
-        if hw_ts is not None and (ts, txn) < (hw_ts, hw_id):
-            out.append((txn, role, cents, 1, None, None, None, None, None))
-            continue
-        hw_ts, hw_id = ts, txn
-        if role == 0:
-            cutoff = ts - VELOCITY_SECONDS
-            queue = [t for t in queue if t > cutoff]
-            since = None if last_send is None else ts - last_send
-            out.append((txn, 0, cents, 0, n_sent, cents_sent, len(p_out), since, len(queue)))
-            n_sent += 1
-            cents_sent += cents
-            p_out.add(partner)
-            last_send = ts
-            queue.append(ts)
-        else:
-            out.append((txn, 1, cents, 0, n_recv, cents_recv, len(p_in), None, None))
-            n_recv += 1
-            cents_recv += cents
-            p_in.add(partner)
-    state.update((n_sent, cents_sent, n_recv, cents_recv, last_send, hw_ts, hw_id,
-                  json.dumps(sorted(p_out)), json.dumps(sorted(p_in)), json.dumps(queue)))
-    yield pd.DataFrame(out, columns=[f.name for f in ROLE_SCHEMA.fields]).astype(
-        {"txn_id": "int64", "role": "int32", "cents": "int64", "late": "int32", "n_before": "Int64",
-         "cents_before": "Int64",
-         "distinct_before": "Int64", "seconds_since": "Int64", "last_24h": "Int64"})
-
-
-def role_stream(transfers: DataFrame) -> DataFrame:
-    """Payer and payee role rows of a (streaming) transfers frame, keyed by account."""
-    roles = F.array(
-        F.struct(F.col("from_account").alias("account"), F.lit(0).alias("role"), F.col("to_account").alias("partner")),
-        F.struct(F.col("to_account").alias("account"), F.lit(1).alias("role"), F.col("from_account").alias("partner")))
-    return transfers.select("txn_id", epoch_seconds("timestamp").alias("ts_s"), to_cents("amount_paid").alias("cents"),
-                            F.explode(roles).alias("r")).select("txn_id", "ts_s", "cents", "r.*")
-
-
-def replay_days(spark: SparkSession, transfers: DataFrame, root: str, scorer=None) -> str:
-    """Replay ``transfers`` as a daily feed and return the output folder.
-
-    Day by day, in event-time order: the day's rows land under
-    ``source/day=<d>`` (a normal parallel write, any number of files), then
-    the streaming query runs with ``availableNow`` from its checkpoint and
-    processes exactly the new day. Every run after the first restarts from
-    the checkpoint, so state recovery is exercised on each day boundary.
-    """
-    src, out, ckpt = (os.path.join(root, d) for d in ("source", "out", "checkpoint"))
-    days = [r[0] for r in transfers.select(F.to_date("timestamp").alias("d")).distinct().orderBy("d").collect()]
-    for d in days:  # one landing + one catch-up run per day
-        transfers.filter(F.to_date("timestamp") == F.lit(d)).write.mode("overwrite").parquet(
-            os.path.join(src, f"day={d.isoformat()}"))
-        run_stream(spark, src, transfers.schema, out, ckpt, files_per_trigger=None, scorer=scorer)
-    return out
+_TOTALS = "account string, timestamp timestamp_ntz, n bigint, w bigint, u bigint, p bigint"
+STATE = {"sent": _TOTALS, "received": _TOTALS, "pairs": "from_account string, to_account string",
+         "marks": "account string, timestamp timestamp_ntz, txn_id bigint"}
+
+
+def _state(spark: SparkSession, out_path: str, epoch: int) -> dict[str, DataFrame]:
+    """The state tables after ``epoch`` (empty before the first batch)."""
+    if epoch < 0:
+        return {name: spark.createDataFrame([], schema) for name, schema in STATE.items()}
+    return {name: spark.read.schema(schema).parquet(f"{out_path}/state/{name}/epoch={epoch}") for name, schema in STATE.items()}
+
+
+def _store(df: DataFrame, out_path: str, name: str, epoch: int) -> DataFrame:
+    path = f"{out_path}/{name}/epoch={epoch}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def split_late(batch: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(on time, late): a transfer behind the mark of its payer or payee is late, as a whole."""
+    here = F.struct(F.col("timestamp"), F.col("txn_id"))
+    for side in ("from_account", "to_account"):
+        m = marks.select(F.col("account").alias(side), F.struct("timestamp", "txn_id").alias(f"_mark_{side}"))
+        batch = batch.join(m, side, "left")
+    late = F.coalesce(here < F.col("_mark_from_account"), F.lit(False)) | F.coalesce(here < F.col("_mark_to_account"), F.lit(False))
+    keep = [c for c in batch.columns if not c.startswith("_mark_")]
+    return batch.filter(~late).select(*keep), batch.filter(late).select(*keep)
+
+
+def _totals(rows: DataFrame, acct: str, other: str, opening: Opening, carried: DataFrame, keep_day: bool) -> DataFrame:
+    """State totals after the batch; minutes older than a day before the newest are added up per account."""
+    new = (rows.select(F.col(acct).alias("account"), "timestamp", F.lit(1).alias("n"), whole_part("amount_paid").alias("w"),
+                       unit_part("amount_paid").alias("u"), F.lit(0).alias("p"))
+           .unionByName(first_meetings(rows, acct, other, opening).select(
+               F.col(acct).alias("account"), "timestamp", F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("w"),
+               F.lit(0).cast("bigint").alias("u"), F.lit(1).alias("p"))))
+    both = new.unionByName(carried)
+    group = ["account"]
+    if keep_day:
+        newest = both.agg(F.max(epoch_seconds("timestamp")).alias("_newest"))
+        both = both.join(F.broadcast(newest)).withColumn(  # one row
+            "_minute", F.when(epoch_seconds("timestamp") > F.col("_newest") - VELOCITY_SECONDS, F.col("timestamp")))
+        group = ["account", "_minute"]
+    return (both.groupBy(*group).agg(F.max("timestamp").alias("timestamp"), *[F.sum(c).cast("bigint").alias(c) for c in "nwup"])
+            .select("account", "timestamp", "n", "w", "u", "p"))
+
+
+def apply_batch(batch: DataFrame, out_path: str, epoch: int, scorer=None) -> None:
+    """One micro-batch: late rows out, decisions stored, state carried on."""
+    spark = batch.sparkSession
+    arrived = _store(batch, out_path, "arrived", epoch)
+    state = _state(spark, out_path, epoch - 1)
+    on_time, late = split_late(arrived, state["marks"])
+    _store(late, out_path, "late", epoch)
+    rows = _store(on_time, out_path, "on_time", epoch)
+    opening = Opening(state["sent"], state["received"], state["pairs"])
+    decisions = build_account_history_features(rows, None, opening=opening).select("txn_id", "amount_paid", *HISTORY_FEATURES)
+    _store(scorer(decisions) if scorer is not None else decisions, out_path, "decisions", epoch)
+    _store(_totals(rows, "from_account", "to_account", opening, state["sent"], True), out_path, "state/sent", epoch)
+    _store(_totals(rows, "to_account", "from_account", opening, state["received"], False), out_path, "state/received", epoch)
+    met = rows.select("from_account", "to_account").distinct()
+    _store(state["pairs"].unionByName(met.join(state["pairs"], ["from_account", "to_account"], "left_anti")), out_path, "state/pairs", epoch)
+    seen = rows.select(F.explode(F.array("from_account", "to_account")).alias("account"), "timestamp", "txn_id").unionByName(state["marks"])
+    mark = seen.groupBy("account").agg(F.max(F.struct("timestamp", "txn_id")).alias("m"))
+    _store(mark.select("account", "m.timestamp", "m.txn_id"), out_path, "state/marks", epoch)
 
 
 def run_stream(spark: SparkSession, source: str, schema: T.StructType, out_path: str, checkpoint: str,
                files_per_trigger: int | None = None, scorer=None) -> None:
-    """Run the stateful stream over every new file under ``source`` until caught up.
+    """Run the stream over every new file under ``source`` until caught up.
 
-    Each micro-batch writes ``decisions`` (one row per transfer: E1-E9, the
-    amount and, with ``scorer`` — a function adding a ``score`` column — the
-    score) and ``late`` (rows that arrived behind their account's mark)."""
+    Each micro-batch writes ``decisions`` (one row per transfer on time: E1-E9, the
+    amount and, with ``scorer``, a function adding a ``score`` column, the score)
+    and ``late`` (whole transfers behind a mark of their accounts)."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    stream = reader.parquet(source)
-    keyed = role_stream(stream).groupBy("account")
-    result = keyed.applyInPandasWithState(_account_state, ROLE_SCHEMA, STATE_SCHEMA, "append",
-                                          GroupStateTimeout.NoTimeout)
-
-    def sink(batch: DataFrame, epoch: int) -> None:
-        # Both role rows of a transfer come from the same input file, so they
-        # are in the same micro-batch: decisions are assembled batch-locally.
-        batch.persist()
-        try:
-            decisions = _assemble(batch.filter(F.col("late") == 0))
-            if scorer is not None:
-                decisions = scorer(decisions)
-            decisions.write.mode("overwrite").parquet(os.path.join(out_path, "decisions", f"epoch={epoch}"))
-            batch.filter(F.col("late") == 1).select("txn_id", "role").write.mode("overwrite").parquet(
-                os.path.join(out_path, "late", f"epoch={epoch}"))
-        finally:
-            batch.unpersist()
-
-    q = (result.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    q = (reader.parquet(source).writeStream.foreachBatch(lambda batch, epoch: apply_batch(batch, out_path, epoch, scorer))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def _assemble(r: DataFrame) -> DataFrame:
-    """Join the payer-role and payee-role outputs per transfer into E1-E9."""
-    payer = r.filter(F.col("role") == 0).select(
-        "txn_id", from_cents("cents").alias("amount_paid"),
-        F.col("n_before").alias("sender_n_sent_before"),
-        from_cents("cents_before").alias("sender_amount_sent_before"),
-        F.col("distinct_before").alias("sender_distinct_out_before"),
-        F.col("seconds_since").alias("sender_seconds_since_last_send"),
-        F.col("last_24h").alias("sender_sent_last_24h"))
-    payee = r.filter(F.col("role") == 1).select(
-        "txn_id", F.col("n_before").alias("receiver_n_received_before"),
-        from_cents("cents_before").alias("receiver_amount_received_before"),
-        F.col("distinct_before").alias("receiver_distinct_in_before"))
-    j = payer.join(payee, "txn_id")
-    ratio = (F.col("receiver_n_received_before") + 1).cast("double") / (F.col("sender_n_sent_before") + 1).cast("double")
-    return j.select("txn_id", "amount_paid",
-                    *[ratio.alias(c) if c == "in_out_ratio_before" else F.col(c) for c in HISTORY_FEATURES])
-
-
 def assemble_features(spark: SparkSession, out_path: str) -> DataFrame:
     """All stored decisions: ``txn_id``, E1-E9 (and ``amount_paid``, ``score`` when present)."""
-    return spark.read.parquet(os.path.join(out_path, "decisions")).drop("epoch")
+    return spark.read.parquet(f"{out_path}/decisions").drop("epoch")
+
+
+def late_transfers(spark: SparkSession, out_path: str) -> DataFrame:
+    """All transfers that came too late, as they arrived."""
+    return spark.read.parquet(f"{out_path}/late").drop("epoch")

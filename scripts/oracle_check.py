@@ -53,7 +53,7 @@ def main():
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
     else:
-        spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.sql.session.timeZone": tz} if tz else None)
+        spark = get_spark(os.environ.get("CHECK_MASTER", "local[8]"), shuffle_partitions=8, extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"

@@ -60,7 +60,7 @@ def test_two_hop_shapes_and_cap(make_transfers):
     e = snapshot_edges(make_transfers(rows), ts(5))
     assert fanout_sample(e, 15).filter(F.col("dst") == "HUB").count() == 15
     out = two_hop_mean(e, node_features(e))
-    assert out.count() == 42 and len(out.columns) == 13
+    assert out.count() == 42 and len(out.columns) == 19
 
 
 def test_edge_index_dense_ids(make_transfers):

@@ -25,7 +25,7 @@ def test_quantiles_nearest_and_linear(spark):
     assert r.med == 3.5 and r.p99 == 10.0 and r.p0 == 1.0
 
 
-def test_many_buckets_use_checkpointed_ranges(spark):
+def test_more_partitions_than_values(spark):
     rows = [(i, "ab"[i % 2], i % 7) for i in range(2000)]
     df = spark.createDataFrame(rows, "id long, g string, v long")
     got = {r.id: r.cum_v for r in prefix_sum(df, ["id"], ["v"], partition_cols=["g"], num_partitions=600).collect()}

@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ from ringwatch.llm.packing import ddl
 
 MODEL = "piece_bpe_32k.model"
 SEED, DROPOUT, VARIANTS = 8, 0.1, 4
-#: Segmentations kept per worker and variant; beyond that the table starts anew.
-WORDS_KEPT = 200_000
+#: Segmentations of one generation of a worker's table, per variant; the table holds the newest two.
+GENERATION = 100_000
 #: Words of up to so many characters keep their agenda in a list.
 SHORT = 32
 NEVER, MASK = 1 << 60, (1 << 64) - 1
@@ -100,24 +101,26 @@ class Pieces:
 
     def _short(self, word: str, key: int | None, limit: int) -> list[str]:
         """The agenda as a plain list, one place per pair: for a few characters a scan beats a queue."""
-        rank, part = self.rank, list(word)
-        agenda = [rank.get(a + b, NEVER) for a, b in zip(part, part[1:])]
+        rank, part = self.rank.get, list(word)
+        agenda = [rank(a + b, NEVER) for a, b in zip(part, part[1:])]
         begin = list(range(len(part)))
         while agenda:
             best = min(agenda)
             if best == NEVER:
                 break
             at = agenda.index(best)
-            if key is not None and skips(key, begin[at], best, limit):
-                agenda[at] = NEVER
-                continue
+            if key is not None:  # the same decision as skips(), in place
+                x = (key ^ (begin[at] << 32 | best)) * 0x9E3779B97F4A7C15 & MASK
+                if (x ^ x >> 32) * 0xBF58476D1CE4E5B9 & MASK < limit:
+                    agenda[at] = NEVER
+                    continue
             whole = part[at] + part.pop(at + 1)
             part[at] = whole
             del begin[at + 1], agenda[at]
             if at:
-                agenda[at - 1] = rank.get(part[at - 1] + whole, NEVER)
+                agenda[at - 1] = rank(part[at - 1] + whole, NEVER)
             if at < len(agenda):
-                agenda[at] = rank.get(whole + part[at + 1], NEVER)
+                agenda[at] = rank(whole + part[at + 1], NEVER)
         return part
 
     def _long(self, word: str, key: int | None, limit: int) -> list[str]:
@@ -161,17 +164,20 @@ class DropoutEncoder:
     def __init__(self, pieces: Pieces, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS):
         self.pieces, self.seed, self.variants = pieces, seed, variants if dropout > 0 else 1
         self.limit, self.dropout = int(dropout * 2**64), dropout
+        # Words in use move from the old generation to the young one, rare ones go with the old.
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.old: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
 
     def _word(self, word: str, variant: int) -> bytes:
-        table = self.known[variant]
-        out = table.get(word)
+        out = self.known[variant].get(word)
         if out is None:
-            key = xxhash.xxh64_intdigest(f"{variant}:{word}", self.seed) if self.dropout > 0 else None
-            out = np.array(self.pieces.segment(word, key, self.limit), "<u4").tobytes()
-            if len(table) >= WORDS_KEPT:
-                table.clear()
-            table[word] = out
+            out = self.old[variant].get(word)
+            if out is None:
+                key = xxhash.xxh64_intdigest(f"{variant}:{word}", self.seed) if self.dropout > 0 else None
+                out = array("I", self.pieces.segment(word, key, self.limit)).tobytes()
+            if len(self.known[variant]) >= GENERATION:
+                self.old[variant], self.known[variant] = self.known[variant], {}
+            self.known[variant][word] = out
         return out
 
     def encode(self, text: str, key: str) -> np.ndarray:
@@ -199,8 +205,8 @@ class DropoutEncoder:
             x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
             x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
             which = ((x ^ (x >> np.uint64(31))) % np.uint64(self.variants)).tolist()
-            known = self.known
-            raw = [known[v].get(w) or self._word(w, v) for w, v in zip(words, which)]
+            known, word = self.known, self._word
+            raw = [known[v].get(w) or word(w, v) for w, v in zip(words, which)]
         return np.frombuffer(b"".join(raw), "<u4")
 
 

@@ -52,7 +52,7 @@ def test_list_and_queue_agendas_agree(pieces):
 
 
 def test_full_tables_start_anew(pieces, monkeypatch):
-    monkeypatch.setattr(M, "WORDS_KEPT", 5)
+    monkeypatch.setattr(M, "GENERATION", 5)
     t = prose(4, 100)
     assert M.DropoutEncoder(pieces, seed=3).encode(t, "d").tolist() == M.DropoutEncoder(pieces, seed=3).encode(t, "d").tolist()
 

@@ -80,9 +80,9 @@ def _z(c: str) -> Column:
     return F.log1p(F.coalesce(F.col(c), F.lit(0)).cast("double"))
 
 
-def daily_state(e: DataFrame) -> DataFrame:
+def daily_state(e: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Raw node totals per account on each of its active days: before the day
-    (``before_*``) and including it (``after_*``).
+    (``before_*``) and including it (``after_*``); of ``accounts`` only, if given.
 
     Daily per-account totals (map-side combined) plus one row per
     (account, partner) pair on its first day give "new partners per day";
@@ -90,6 +90,8 @@ def daily_state(e: DataFrame) -> DataFrame:
     days, so even a hot account has at most one row per day in it.
     """
     r, _ = _raw_node_sums(e, ["account", "day"])
+    if accounts is not None:
+        r = r.join(accounts.select("account").distinct(), "account", "left_semi")
     daily = r.groupBy("account", "day").agg(
         F.sum(F.when(F.col("role") == 0, 1).otherwise(0)).alias("n_out"),
         F.sum(F.when(F.col("role") == 1, 1).otherwise(0)).alias("n_in"),
@@ -116,9 +118,9 @@ def _later_state(state: DataFrame) -> DataFrame:
                         *[F.col(f"after_{c}").alias(c) for c in _RAW])
 
 
-def node_features_by_day(transfers: DataFrame) -> DataFrame:
-    """Node features at the start of every day an account is active."""
-    return _own_state(daily_state(_edges_by_day(transfers)))
+def node_features_by_day(transfers: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
+    """Node features at the start of every day an account is active (of ``accounts`` only, if given)."""
+    return _own_state(daily_state(_edges_by_day(transfers), accounts))
 
 
 def neighbor_mean(edges: DataFrame, feats: DataFrame, cols: list[str], cap: int, seed: int = 42,

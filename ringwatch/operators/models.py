@@ -6,8 +6,9 @@
   training rows only.
 * K3 importances + artifact ablation.
 * K4 sweep: seeded random sample of a grid, temporal split only, PR-AUC on
-  validation as the objective, every trial logged (A6).
-* K5 edge scorer: weighted ``LogisticRegression`` over scaled J6 inputs.
+  validation as the objective, every trial logged (A6); for both models.
+* K5 edge scorer: weighted ``LogisticRegression`` over J6 inputs: node vectors and the
+  14 parity columns, scaled by the training rows' moments (D9/D10).
 * K6 comparison: every model through the same ``evaluate``.
 
 The numbers will differ from the reference's (different learners); the
@@ -20,14 +21,16 @@ import random
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwatch.functions.basic import BASIC_FEATURES
 from ringwatch.operators.history import HISTORY_FEATURES
-from ringwatch.operators.metrics import evaluate, pr_auc_frame
+from ringwatch.operators.metrics import pr_auc_frame
+from ringwatch.operators.scaler import EdgeScaler
+from ringwatch.session import ensure_checkpoint_dir
 
 # Feature sets of the comparison.
 CATEGORY_COLUMNS = ("payment_format", "receiving_currency")
@@ -93,31 +96,76 @@ def feature_importance(model: PipelineModel, features=TREE_FEATURES) -> DataFram
     return spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
 
 
-def sweep(train: DataFrame, valid: DataFrame, n_trials: int = 4, seed: int = 42, features=PARITY_FEATURES,
-          log_path: str | None = None, experiment: str = "tree_sweep") -> list[dict]:
-    """K4: seeded random search over a small grid; objective = PR-AUC on validation."""
-    grid = {"max_depth": [3, 4, 5, 6], "max_iter": [10, 20, 30], "step_size": [0.05, 0.1, 0.2],
-            "subsampling": [0.7, 1.0]}
+#: Trials of a sweep.
+TRIALS = 20
+TREE_GRID = {"max_depth": [3, 4, 5, 6], "max_iter": [10, 20, 30], "step_size": [0.05, 0.1, 0.2], "subsampling": [0.7, 1.0]}
+EDGE_GRID = {"reg_param": [0.001, 0.003, 0.01, 0.03, 0.1], "elastic_net": [0.0, 0.5, 1.0], "weight_power": [0.0, 0.5, 1.0]}
+
+
+def draw_trials(grid: dict[str, list], n_trials: int = TRIALS, seed: int = 42) -> list[dict]:
+    """Seeded sample of parameter settings."""
     rng = random.Random(seed)
-    trials = []
-    for i in range(n_trials):
-        p = {k: rng.choice(v) for k, v in grid.items()}
-        m = fit_tree(train, features, seed, **p)
-        ap = float(pr_auc_frame(score_with(m, valid)).first()[0])
-        trials.append({"trial": i, **p, "pr_auc": ap})
+    return [{k: rng.choice(v) for k, v in grid.items()} for _ in range(n_trials)]
+
+
+def _run_trials(trials: list[dict], fit, valid: DataFrame, log_path: str | None, experiment: str) -> list[dict]:
+    """Fit, score ``valid`` and log each trial; the objective is PR-AUC."""
+    from ringwatch.sources.tracking import log_run
+
+    out = []
+    for i, p in enumerate(trials):
+        scored = score_with(fit(p), valid)
+        check_alignment(scored, valid)
+        result = {"trial": i, **p, "pr_auc": float(pr_auc_frame(scored).first()[0])}
         if log_path:
-            from ringwatch.sources.tracking import log_run
-            log_run(valid.sparkSession, log_path, experiment, {"trial": i, **p}, {"pr_auc": ap}, {"kind": "sweep"})
-    return trials
+            log_run(valid.sparkSession, log_path, experiment, {"trial": i, **p}, {"pr_auc": result["pr_auc"]}, {"kind": "sweep"})
+        out.append(result)
+    return out
+
+
+def sweep(train: DataFrame, valid: DataFrame, n_trials: int = TRIALS, seed: int = 42, features=PARITY_FEATURES,
+          log_path: str | None = None, experiment: str = "tree_sweep") -> list[dict]:
+    """K4 for the tree."""
+    train, valid = materialised(train), materialised(valid)
+    return _run_trials(draw_trials(TREE_GRID, n_trials, seed), lambda p: fit_tree(train, features, seed, **p), valid, log_path, experiment)
 
 
-def fit_edge_scorer(train_inputs: DataFrame, input_cols: list[str], seed: int = 42) -> PipelineModel:
-    """K5: weighted logistic regression (weighted log-loss, the BCE analogue) over scaled inputs."""
-    w = pos_weight(train_inputs)
-    stages = [VectorAssembler(inputCols=input_cols, outputCol="raw", handleInvalid="keep"),
-              StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
+def sweep_edge_scorer(train_inputs: DataFrame, valid_inputs: DataFrame, input_cols: list[str], n_trials: int = TRIALS,
+                      seed: int = 42, log_path: str | None = None, experiment: str = "edge_sweep") -> list[dict]:
+    """K4 for the graph model."""
+    return _run_trials(draw_trials(EDGE_GRID, n_trials, seed), lambda p: fit_edge_scorer(train_inputs, input_cols, **p),
+                       valid_inputs, log_path, experiment)
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` computed once, in the session's shared checkpoint folder; several fits read it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def check_alignment(scored: DataFrame, rows: DataFrame, key: str = "txn_id") -> None:
+    """Every row has exactly one score: equal counts, and no row without a score."""
+    n, m, distinct = rows.count(), scored.count(), scored.select(key).distinct().count()
+    lost = rows.join(scored, key, "left_anti").count()
+    if n != m or m != distinct or lost:
+        raise ValueError(f"scores do not match their rows: {n} rows, {m} scores, {distinct} of different rows, {lost} rows without one")
+
+
+def scaled_inputs(train: DataFrame, valid: DataFrame, edge_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both frames with ``edge_cols`` scaled by the moments of ``train`` alone."""
+    scaler = EdgeScaler.fit(train, edge_cols)
+    return scaler.transform(train, edge_cols), scaler.transform(valid, edge_cols)
+
+
+def fit_edge_scorer(train_inputs: DataFrame, input_cols: list[str], reg_param: float = 0.01, elastic_net: float = 0.0,
+                    weight_power: float = 1.0) -> PipelineModel:
+    """K5: weighted logistic regression (weighted log-loss, the BCE analogue); positives weigh
+    ``(neg / pos) ** weight_power``."""
+    _assert_no_labels(input_cols)
+    w = pos_weight(train_inputs) ** weight_power
+    stages = [VectorAssembler(inputCols=input_cols, outputCol="features", handleInvalid="keep"),
               LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=50,
-                                 regParam=0.01)]
+                                 regParam=reg_param, elasticNetParam=elastic_net)]
     return Pipeline(stages=stages).fit(_weighted(train_inputs, w))
 
 
@@ -128,7 +176,3 @@ def compare(results: dict[str, DataFrame]) -> DataFrame:
         t = tidy.select(F.lit(name).alias("model"), "metric", "k", "value")
         out = t if out is None else out.unionByName(t)
     return out
-
-
-def evaluate_model(scored: DataFrame, k_values) -> DataFrame:
-    return evaluate(scored, k_values)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,28 +53,43 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
-def frozen_split(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
-    """A3 + A4: freeze the split of ``sf_dir`` once into a checksummed manifest in the
-    session's shared checkpoint folder, then read the boundaries back.
+def data_key(df: DataFrame, *cols: str) -> str:
+    """Digest of a table's rows over ``cols``: count, extremes and an order-free sum of row hashes.
+    New, missing or changed rows give another key, whatever the files they lie in."""
+    row = df.agg(F.count(F.lit(1)), F.min(cols[0]), F.max(cols[0]),
+                 F.sum(F.xxhash64(*cols).cast("decimal(20,0)"))).first()
+    return hashlib.sha256(repr(tuple(map(str, row))).encode()).hexdigest()[:32]
 
-    The folder name hashes the source files' identity (path, size, mtime) and
-    the split parameters, so changed data gets a new manifest.
-    """
-    import hashlib
-    import os
 
+def freeze(t: DataFrame, dataset: str) -> str:
+    """A3: the folder of the frozen split of ``t``, made when these rows have none yet."""
     from ringwatch.session import shared_dir
-    from ringwatch.sources.manifest import build_manifest, frozen_boundaries, verify_manifest, write_manifest
+    from ringwatch.sources.manifest import build_manifest, store_once
+
+    spark = t.sparkSession
+    folder = shared_dir(spark, "frozen-splits", f"{data_key(t, 'timestamp', 'is_laundering')}-{TAIL_CUTOFF:%Y%m%d%H%M}-"
+                        + "-".join(map(str, SPLIT_FRACTIONS)))
+    if not _stored(spark, folder):
+        store_once(build_manifest(t, dataset, TAIL_CUTOFF, SPLIT_FRACTIONS), folder)
+    return folder
 
-    src = os.path.join(sf_dir, "events.parquet")
-    st = os.stat(src) if os.path.exists(src) else None
-    ident = f"{os.path.abspath(src)}|{st.st_size if st else ''}|{st.st_mtime_ns if st else ''}|{TAIL_CUTOFF}|{SPLIT_FRACTIONS}"
-    folder = shared_dir(spark, "frozen-splits", hashlib.sha1(ident.encode()).hexdigest())
+
+def _stored(spark: SparkSession, folder: str) -> bool:
+    from ringwatch.sources.manifest import verify_manifest
     try:
-        verify_manifest(folder)
-    except (FileNotFoundError, ValueError):
-        write_manifest(build_manifest(T(spark, sf_dir), src, TAIL_CUTOFF, SPLIT_FRACTIONS), folder)
-    return frozen_boundaries(folder)
+        verify_manifest(spark, folder)
+    except FileNotFoundError:
+        return False
+    return True
+
+
+def frozen_split(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
+    """A3 + A4: freeze the split of these rows once into a checksummed manifest in the
+    session's shared folder, then read the boundaries back. The folder is named after
+    the rows themselves, so changed data gets a new manifest."""
+    from ringwatch.sources.manifest import frozen_boundaries
+
+    return frozen_boundaries(spark, freeze(T(spark, sf_dir), f"{sf_dir}/events.parquet"))
 
 
 def load_split(spark: SparkSession, sf_dir: str, name: str, boundaries=None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.functions.basic import amount_ratio, hour
 from ringwatch.functions.hashing import duckdb_uniform_from_key
-from ringwatch.operators.graph import (NODE_FEATURES, edge_index, edge_inputs, neighbor_mean, neighbor_mean_by_day,
+from ringwatch.operators.graph import (NODE_FEATURES, edge_index, edge_inputs, graph_off, neighbor_mean, neighbor_mean_by_day,
                                        node_features, node_features_by_day, snapshot_edges, snapshot_nodes,
                                        two_hop_mean, two_hop_mean_by_day)
 from ringwatch.operators.graph_stats import node_list
@@ -47,7 +47,7 @@ def _edges(spark, sf_dir):
 
 
 def _targets(spark, sf_dir):
-    t = T(spark, sf_dir)
+    t = T(spark, sf_dir, AS_OF, NEXT_DAY)
     return t.filter((F.col("timestamp") >= ntz_lit(AS_OF)) &
                     (F.col("timestamp") < ntz_lit(NEXT_DAY)))
 
@@ -210,12 +210,29 @@ SELECT tg.txn_id, {', '.join(f'round(coalesce(p.{c}, 0.0), 6) AS src_{c}' for c
 FROM tg LEFT JOIN byday p ON p.account = tg.from_account AND p.day = tg.day
         LEFT JOIN byday q ON q.account = tg.to_account AND q.day = tg.day""")
 def q_edge_inputs(spark, sf_dir):
+    return round_doubles(_day_inputs(spark, sf_dir))
+
+
+def _day_inputs(spark, sf_dir):
+    """J6 for the transfers of one day: node state from that day's past, of the scored accounts only."""
     tg = _targets(spark, sf_dir).select(
         "txn_id", "timestamp", "from_account", "to_account", "is_laundering",
         F.log1p("amount_paid").alias("log_amount"), hour().alias("hour"),
         (F.col("from_bank") == F.col("to_bank")).cast("int").alias("is_same_bank"),
         amount_ratio().alias("amount_ratio"))
-    return round_doubles(edge_inputs(tg, node_features_by_day(T(spark, sf_dir)), _EDGE_COLS))
+    scored = tg.select(F.explode(F.array("from_account", "to_account")).alias("account"))
+    return edge_inputs(tg, node_features_by_day(T(spark, sf_dir, end=NEXT_DAY), scored), _EDGE_COLS)
+
+
+@register("q_graph_off", f"""
+SELECT txn_id, {', '.join(f'0.0 AS {s}_{c}' for s in ('src', 'dst') for c in _FC)},
+  round(ln(1 + amount_paid), 6) AS log_amount, CAST(hour(timestamp) AS INTEGER) AS hour,
+  CAST(from_bank = to_bank AS INTEGER) AS is_same_bank,
+  round(CASE WHEN amount_paid > 0 THEN amount_received / amount_paid ELSE 1.0 END, 6) AS amount_ratio, is_laundering
+FROM T WHERE timestamp >= {SQL_AS_OF} AND timestamp < {SQL_NEXT_DAY}""")
+def q_graph_off(spark, sf_dir):
+    """The same rows with the node part zeroed."""
+    return round_doubles(graph_off(_day_inputs(spark, sf_dir)))
 
 
 @register("q_edge_index", f"""WITH {_E_SQL},

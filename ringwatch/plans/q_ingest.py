@@ -15,9 +15,9 @@ from ringwatch.plans.catalog import register
 from ringwatch.plans.common import (
     AS_OF, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, T, TAIL_CUTOFF, T_with_pattern, frozen_split,
     round_doubles)
-from ringwatch.sources.manifest import ISO, split_manifest_frame
+from ringwatch.sources.manifest import ISO, split_manifest_frame, store_once
 from ringwatch.sources.patterns import rings_from_transfers
-from ringwatch.sources.transfers import TRANSFER_COLUMNS
+from ringwatch.sources.transfers import SOURCE_COLUMNS, TRANSFER_COLUMNS, load_transactions_csv, write_transfers_csv
 
 _T_COLS = ", ".join(TRANSFER_COLUMNS)
 
@@ -208,22 +208,84 @@ def q_day_slice(spark, sf_dir):
 @register("q_day_slice_stored", f"""SELECT {_T_COLS} FROM T
 WHERE timestamp >= TIMESTAMP '2024-01-20 00:00:00' AND timestamp < TIMESTAMP '2024-01-21 00:00:00'""")
 def q_day_slice_stored(spark, sf_dir):
-    """B10 on the stored layout: T written day-partitioned (sorted by time) into
-    the checkpoint folder, then the day slice prunes directories and pushes the
-    timestamp bounds into the Parquet scan."""
+    """B10 on the stored layout: T written once day-partitioned (sorted by time) into the
+    shared folder, then the day slice prunes directories and pushes the timestamp
+    bounds into the Parquet scan."""
     import datetime as dt
-    import os
-    import uuid
 
-    from ringwatch.session import ensure_checkpoint_dir
+    from ringwatch.plans.common import data_key
+    from ringwatch.session import shared_dir
     from ringwatch.sources.transfers import load_transfers_parquet, write_transfers_parquet
 
-    path = os.path.join(ensure_checkpoint_dir(spark), f"transfers-{uuid.uuid4().hex}")
-    write_transfers_parquet(T(spark, sf_dir), path)
+    t = T(spark, sf_dir)
+    path = shared_dir(spark, "transfers", data_key(t, *TRANSFER_COLUMNS))
+    store_once(t, path, write_transfers_parquet)
     stored = load_transfers_parquet(spark, path)
     return time_slice(stored, dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 21)).select(*TRANSFER_COLUMNS)
 
 
+_SRC_COLS = ", ".join(SOURCE_COLUMNS)
+
+
+@register("q_load_csv", f"SELECT {_SRC_COLS} FROM T")
+def q_load_csv(spark, sf_dir):
+    """A1: T written as the source's CSV (repeated header name, text timestamps), then loaded by position."""
+    import uuid
+
+    from ringwatch.session import shared_dir
+
+    path = shared_dir(spark, f"csv-{uuid.uuid4().hex}")
+    write_transfers_csv(T(spark, sf_dir), path)
+    return load_transactions_csv(spark, path).select(*SOURCE_COLUMNS)
+
+
+@register("q_split_integrity", """
+SELECT * FROM (VALUES ('as frozen', 'accepted'), ('text changed', 'rejected'), ('checksum missing', 'rejected')) v(manifest, verdict)""")
+def q_split_integrity(spark, sf_dir):
+    """The frozen split passes; copies of it with a changed text or without the checksum don't."""
+    import uuid
+
+    from ringwatch.plans.common import freeze
+    from ringwatch.session import shared_dir
+    from ringwatch.sources.manifest import MANIFEST_SCHEMA, verify_manifest
+
+    folder = freeze(T(spark, sf_dir), f"{sf_dir}/events.parquet")
+    row = spark.read.schema(MANIFEST_SCHEMA).parquet(folder)
+    copies = {"as frozen": row, "text changed": row.withColumn("manifest", F.regexp_replace("manifest", "2024", "2025")),
+              "checksum missing": row.withColumn("sha256", F.lit(None).cast("string"))}
+    verdicts = []
+    for name, copy in copies.items():
+        path = shared_dir(spark, f"integrity-{uuid.uuid4().hex}")
+        copy.write.parquet(path)
+        try:
+            verify_manifest(spark, path)
+            verdicts.append((name, "accepted"))
+        except (ValueError, FileNotFoundError):
+            verdicts.append((name, "rejected"))
+    return spark.createDataFrame(verdicts, "manifest string, verdict string")
+
+
+@register("q_split_refrozen", _BOUNDS_SQL + """,
+c2 AS (SELECT timestamp FROM T WHERE timestamp < TIMESTAMP '2024-01-15 00:00:00'), n2 AS (SELECT count(*) AS n FROM c2),
+r2 AS (SELECT timestamp, row_number() OVER (ORDER BY timestamp) AS rn FROM c2),
+b2 AS (SELECT max(CASE WHEN rn = CAST(floor((n - 1) * CAST(0.6 AS DOUBLE) + 0.5) AS BIGINT) + 1 THEN timestamp END) AS train_end,
+  max(CASE WHEN rn = CAST(floor((n - 1) * CAST(0.8 AS DOUBLE) + 0.5) AS BIGINT) + 1 THEN timestamp END) AS val_end FROM r2, n2)
+SELECT 'all rows' AS data, strftime(train_end, '%Y-%m-%dT%H:%M:%S') AS train_end, strftime(val_end, '%Y-%m-%dT%H:%M:%S') AS val_end FROM b
+UNION ALL SELECT 'first half', strftime(train_end, '%Y-%m-%dT%H:%M:%S'), strftime(val_end, '%Y-%m-%dT%H:%M:%S') FROM b2""")
+def q_split_refrozen(spark, sf_dir):
+    """A3/A4: other rows under the same name get their own frozen boundaries, the first ones stay."""
+    import datetime as dt
+
+    from ringwatch.plans.common import freeze
+    from ringwatch.sources.manifest import frozen_boundaries
+
+    name = f"{sf_dir}/events.parquet"
+    first = freeze(T(spark, sf_dir), name)
+    half = freeze(T(spark, sf_dir, end=dt.datetime(2024, 1, 15)), name)
+    rows = [(k, *(x.isoformat() for x in frozen_boundaries(spark, f))) for k, f in (("all rows", first), ("first half", half))]
+    return spark.createDataFrame(rows, "data string, train_end string, val_end string")
+
+
 @register("q_snapshot_index", """
 SELECT txn_id, CAST(date_sub('day', (SELECT min(timestamp) FROM T), timestamp) AS INTEGER) AS snapshot FROM T""")
 def q_snapshot_index(spark, sf_dir):

@@ -9,7 +9,7 @@ from ringwatch.operators.metrics import (evaluate, flatten_metrics, pr_auc_frame
                                          to_scored, top_k)
 from ringwatch.functions.money import duckdb_sum
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import K_VALUES, SEED, SQL_TAIL_CUTOFF, load_split, round_doubles
+from ringwatch.plans.common import T, K_VALUES, SEED, SQL_TAIL_CUTOFF, load_split, round_doubles
 from ringwatch.plans.q_ingest import _BOUNDS_SQL, _RINGS_SQL
 
 KMAX = max(K_VALUES)
@@ -181,5 +181,27 @@ SELECT * FROM (SELECT 'random' AS model, * FROM ({flat_sql('random')}))
 UNION ALL
 SELECT * FROM (SELECT 'amount' AS model, * FROM ({flat_sql('amount')}))""")
 def q_baselines_report(spark, sf_dir):
+    import uuid
+
+    from ringwatch.session import shared_dir
+    return round_doubles(run_baselines(spark, sf_dir, shared_dir(spark, f"runs-{uuid.uuid4().hex}")))
+
+
+@register("q_run_tracking", """
+SELECT 'transfers' AS experiment, 'T' AS data, '2' AS phase, name, value FROM (
+  SELECT 'n_rows' AS name, CAST(count(*) AS DOUBLE) AS value FROM T
+  UNION ALL SELECT 'positives', CAST(sum(is_laundering) AS DOUBLE) FROM T)""")
+def q_run_tracking(spark, sf_dir):
+    """A run with its parameters, metrics and tags is logged and read back, beside another experiment's."""
+    import uuid
+
     from ringwatch.session import shared_dir
-    return round_doubles(run_baselines(spark, sf_dir, shared_dir(spark, "runs")))
+    from ringwatch.sources.tracking import log_metrics_frame, log_run, read_runs
+
+    path = shared_dir(spark, f"runs-{uuid.uuid4().hex}")
+    flat = T(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("is_laundering").alias("positives")).unpivot(
+        [], ["n_rows", "positives"], "name", "value")
+    log_metrics_frame(flat, path, "transfers", {"data": "T"}, {"phase": "2"})
+    log_run(spark, path, "other", {"data": "none"}, {"n_rows": 0.0})
+    return read_runs(spark, path, "transfers").select(
+        "experiment", F.col("params")["data"].alias("data"), F.col("tags")["phase"].alias("phase"), F.explode("metrics").alias("name", "value"))

@@ -46,8 +46,9 @@ def get_spark(master: str | None = None, app: str = "ringwatch",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (a bare local
-    test session) do we make a private scratch folder.
+    The cluster's setting always wins. Only a local session (one machine, one
+    process) without it gets a private scratch folder; anywhere else its absence
+    is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ringwatch-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,25 +1,23 @@
-"""Freeze a temporal split into a manifest; read it back; check it.
+"""Freeze a temporal split; read it back; check it.
 
-The manifest is a tiny document (three splits), built from aggregates; the
-JSON text is canonical (sorted keys, fixed indent) so its SHA-256 identifies
-the split.
+The frozen split is a one-row table in a shared folder: the manifest as JSON,
+built by Spark from the per-split statistics, and its SHA-256. A table appears
+under its name only when complete (written aside, then renamed), so of several
+writers one wins and readers never see half a table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
-import json
-import os
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwatch.operators.split import compute_boundaries, split_stats, tail_rows_dropped, truncate_tail
 
-MANIFEST_FILE = "frozen_split.json"
-CHECKSUM_FILE = "frozen_split.sha256"
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
+MANIFEST_SCHEMA = "manifest string, sha256 string"
 
 
 def split_manifest_frame(df: DataFrame, tail_cutoff: dt.datetime, fractions=(0.6, 0.2),
@@ -28,6 +26,8 @@ def split_manifest_frame(df: DataFrame, tail_cutoff: dt.datetime, fractions=(0.6
     dropped = tail_rows_dropped(df, tail_cutoff)
     kept = truncate_tail(df, tail_cutoff)
     b = boundaries or compute_boundaries(kept, fractions)
+    if b[0] is None:
+        raise ValueError("no rows before the tail cutoff")
     stats = split_stats(kept, b)
     return stats.select(
         "split", "transactions", "laundering", "laundering_rate",
@@ -37,90 +37,57 @@ def split_manifest_frame(df: DataFrame, tail_cutoff: dt.datetime, fractions=(0.6
 
 
 def build_manifest(df: DataFrame, dataset: str, tail_cutoff: dt.datetime, fractions=(0.6, 0.2),
-                   tail_reason: str = "post-period rows dropped before splitting") -> dict:
-    frame = split_manifest_frame(df, tail_cutoff, fractions)
-    rows = frame.collect()  # three rows
-    if not rows:
-        raise ValueError("no rows before the tail cutoff")
-    r0 = rows[0]
-    splits = {r["split"]: {"transactions": int(r["transactions"]), "laundering": int(r["laundering"]),
-                           "laundering_rate": float(r["laundering_rate"]), "first": r["first"],
-                           "last": r["last"]} for r in rows}
-    return {
-        "dataset": dataset,
-        "method": "temporal, boundaries at row quantiles of the timestamp",
-        "fractions": {"train": fractions[0], "validation": fractions[1]},
-        "tail_cutoff": tail_cutoff.isoformat(),
-        "tail_rows_dropped": int(r0["tail_rows_dropped"]),
-        "tail_reason": tail_reason,
-        "boundaries": {"train_end": r0["train_end"], "val_end": r0["val_end"]},
-        "splits": {k: splits[k] for k in sorted(splits)},
-    }
-
-
-def canonical_json(manifest: dict) -> str:
-    return json.dumps(manifest, indent=2, sort_keys=True) + "\n"
-
-
-def _is_uri(path: str) -> bool:
-    return "://" in path or path.startswith("file:")
-
-
-def _write_text(path: str, text: str) -> None:
-    """Local folders use plain file IO; URIs (a cluster's shared folder) go through Spark."""
-    if _is_uri(path):
-        from pyspark.sql import SparkSession
-        spark = SparkSession.getActiveSession()
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option(
-            "lineSep", "\u0000").text(path)
+                   tail_reason: str = "later than the documented period") -> DataFrame:
+    """One row ``(manifest, sha256)``: the manifest as JSON and the digest of that text."""
+    per_split = split_manifest_frame(df, tail_cutoff, fractions)
+    # The manifest's keys.
+    one = F.struct("first", "last", "laundering", "laundering_rate", "transactions")
+    whole = per_split.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("split", one)))).alias("splits"),  # three entries
+                          F.max("train_end").alias("train_end"), F.max("val_end").alias("val_end"),
+                          F.max("tail_rows_dropped").alias("tail_rows_dropped"))
+    text = F.to_json(F.struct(
+        F.lit(dataset).alias("dataset"), F.lit("cut by time at quantiles of the row order").alias("method"),
+        F.struct(F.lit(fractions[0]).alias("train"), F.lit(fractions[1]).alias("validation")).alias("fractions"),
+        F.lit(tail_cutoff.isoformat()).alias("tail_cutoff"), "tail_rows_dropped", F.lit(tail_reason).alias("tail_reason"),
+        F.struct("train_end", "val_end").alias("boundaries"), "splits"))
+    return whole.select(text.alias("manifest")).withColumn("sha256", F.sha2("manifest", 256))
+
+
+def store_once(df: DataFrame, path: str, write=lambda df, path: df.write.parquet(path)) -> None:
+    """Write ``df`` to ``path`` unless a complete table is there; of several writers one wins."""
+    spark = df.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target):
         return
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w") as fh:
-        fh.write(text)
-
-
-def _read_text(path: str) -> str:
-    if _is_uri(path):
-        from pyspark.sql import SparkSession
-        from pyspark.sql.utils import AnalysisException
-        spark = SparkSession.getActiveSession()
-        try:
-            rows = spark.read.option("lineSep", "\u0000").text(path).collect()
-        except AnalysisException as e:  # path does not exist
-            raise FileNotFoundError(path) from e
-        return "".join(r.value for r in rows)
-    if not os.path.exists(path):
-        raise FileNotFoundError(path)
-    with open(path) as fh:
-        return fh.read()
-
-
-def write_manifest(manifest: dict, folder: str) -> str:
-    text = canonical_json(manifest)
-    digest = hashlib.sha256(text.encode()).hexdigest()
-    _write_text(os.path.join(folder, MANIFEST_FILE), text)
-    _write_text(os.path.join(folder, CHECKSUM_FILE), f"{digest}  {MANIFEST_FILE}\n")
-    return digest
-
-
-def read_manifest(folder: str) -> dict:
-    return json.loads(_read_text(os.path.join(folder, MANIFEST_FILE)))
-
-
-def frozen_boundaries(folder: str) -> tuple[dt.datetime, dt.datetime]:
+    aside = f"{path}-{uuid.uuid4().hex}"
+    write(df, aside)
+    source = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(aside)
+    if fs.exists(target) or not fs.rename(source, target):
+        fs.delete(source, True)
+
+
+def read_manifest(spark: SparkSession, folder: str):
+    """The stored row; ``FileNotFoundError`` if nothing is stored."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        raise FileNotFoundError(f"no frozen split in {folder}")
+    row = spark.read.schema(MANIFEST_SCHEMA).parquet(folder).select(
+        "*", F.sha2("manifest", 256).alias("actual"), F.get_json_object("manifest", "$.boundaries.train_end").alias("train_end"),
+        F.get_json_object("manifest", "$.boundaries.val_end").alias("val_end")).first()
+    if row is None or row["sha256"] is None:
+        raise FileNotFoundError(f"no recorded checksum in {folder}")
+    return row
+
+
+def frozen_boundaries(spark: SparkSession, folder: str) -> tuple[dt.datetime, dt.datetime]:
     """A4: read the boundaries back instead of recomputing them."""
-    b = read_manifest(folder)["boundaries"]
-    return dt.datetime.fromisoformat(b["train_end"]), dt.datetime.fromisoformat(b["val_end"])
+    row = read_manifest(spark, folder)
+    return dt.datetime.fromisoformat(row["train_end"]), dt.datetime.fromisoformat(row["val_end"])
 
 
-def verify_manifest(folder: str) -> None:
+def verify_manifest(spark: SparkSession, folder: str) -> None:
     """The manifest must exist, have a recorded checksum, and match it."""
-    mpath, cpath = os.path.join(folder, MANIFEST_FILE), os.path.join(folder, CHECKSUM_FILE)
-    text = _read_text(mpath)
-    try:
-        recorded = _read_text(cpath).split()[0]
-    except FileNotFoundError as e:
-        raise FileNotFoundError(f"missing checksum record: {cpath}") from e
-    digest = hashlib.sha256(text.encode()).hexdigest()
-    if digest != recorded:
-        raise ValueError(f"split manifest changed: {digest} != recorded {recorded}")
+    row = read_manifest(spark, folder)
+    if row["actual"] != row["sha256"]:
+        raise ValueError(f"the frozen split in {folder} was changed: its digest is {row['actual']}, recorded was {row['sha256']}")

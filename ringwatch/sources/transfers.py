@@ -127,6 +127,28 @@ def load_transactions_csv(spark: SparkSession, path: str, strict: bool = True) -
     return parse_transfer_text(raw, strict=strict).select(*TRANSFER_COLUMNS)
 
 
+#: The header of the source file.
+CSV_HEADER = ("Timestamp,From Bank,Account,To Bank,Account,Amount Received,Receiving Currency,Amount Paid,"
+              "Payment Currency,Payment Format,Is Laundering")
+
+
+def write_transfers_csv(df: DataFrame, path: str) -> None:
+    """Transfers as CSV text files in the source's layout, each with the header line."""
+    import pyarrow as pa
+
+    header = CSV_HEADER
+    text = F.concat_ws(",", F.date_format("timestamp", TIMESTAMP_TEXT_FORMAT), *[F.col(c).cast("string") for c in SOURCE_COLUMNS[1:]])
+
+    schema = pa.schema([("value", pa.string())])
+
+    def with_header(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([header])], schema=schema)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string())], schema=schema)
+
+    df.select(text.alias("value")).mapInArrow(with_header, "value string").write.text(path)
+
+
 def write_transfers_parquet(df: DataFrame, path: str, mode: str = "overwrite", num_files: int | None = None) -> None:
     """Store transfers as Parquet partitioned by calendar day.
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import transfer, ts
 from ringwatch.operators.split import (assign_split, compute_boundaries, nearest_rank, select_split,
                                        snapshot_index, truncate_tail)
-from ringwatch.sources.manifest import build_manifest, frozen_boundaries, verify_manifest, write_manifest
+from ringwatch.sources.manifest import build_manifest, frozen_boundaries, read_manifest, store_once, verify_manifest
 
 
 def _hourly(make_transfers, n=1000):
@@ -60,17 +61,32 @@ def test_snapshot_index_counts_24h_periods_from_first_row(make_transfers):
     assert got == {1: 0, 2: 0, 3: 1}
 
 
-def test_manifest_round_trip_and_checksum(make_transfers, tmp_path):
+def test_manifest_round_trip_and_checksum(spark, make_transfers, tmp_path):
     df = _hourly(make_transfers)
     m = build_manifest(df, "hourly", dt.datetime(2022, 10, 10), (0.6, 0.2))
-    assert set(m["splits"]) == {"train", "validation", "test"}
-    write_manifest(m, str(tmp_path))
-    verify_manifest(str(tmp_path))
-    b = frozen_boundaries(str(tmp_path))
-    assert b == compute_boundaries(truncate_tail(df, dt.datetime(2022, 10, 10)))
-    (tmp_path / "frozen_split.json").write_text((tmp_path / "frozen_split.json").read_text().replace("hourly", "x"))
+    folder = f"{tmp_path}/frozen"
+    with pytest.raises(FileNotFoundError):
+        verify_manifest(spark, folder)
+    store_once(m, folder)
+    store_once(m.withColumn("manifest", F.lit("another")), folder)  # the first stays
+    verify_manifest(spark, folder)
+    doc = json.loads(read_manifest(spark, folder)["manifest"])
+    assert set(doc["splits"]) == {"train", "validation", "test"} and doc["dataset"] == "hourly"
+    assert set(doc) == {"dataset", "method", "fractions", "tail_cutoff", "tail_rows_dropped", "tail_reason", "boundaries", "splits"}
+    assert frozen_boundaries(spark, folder) == compute_boundaries(truncate_tail(df, dt.datetime(2022, 10, 10)))
+    row = spark.read.parquet(folder)
+    row.withColumn("manifest", F.regexp_replace("manifest", "hourly", "x")).write.parquet(f"{tmp_path}/changed")
     with pytest.raises(ValueError):
-        verify_manifest(str(tmp_path))
-    (tmp_path / "frozen_split.sha256").unlink()
+        verify_manifest(spark, f"{tmp_path}/changed")
+    row.withColumn("sha256", F.lit(None).cast("string")).write.parquet(f"{tmp_path}/bare")
     with pytest.raises(FileNotFoundError):
-        verify_manifest(str(tmp_path))
+        verify_manifest(spark, f"{tmp_path}/bare")
+
+
+def test_changed_rows_get_another_key(make_transfers):
+    from ringwatch.plans.common import data_key
+    df = _hourly(make_transfers, 50)
+    key = data_key(df, "timestamp", "is_laundering")
+    assert key == data_key(df.repartition(7), "timestamp", "is_laundering")
+    assert key != data_key(df.filter("txn_id <> 20"), "timestamp", "is_laundering")
+    assert key != data_key(df.withColumn("is_laundering", F.lit(1)), "timestamp", "is_laundering")

@@ -21,9 +21,9 @@ from ringwatch.plans.catalog import queries  # noqa: E402
 from ringwatch.session import get_spark  # noqa: E402
 
 HEADLINE = [
-    "q_account_history",        # flagship: E1-E9, skew-safe strategy
-    "q_account_history_plain",  # same rows, plain windows
-    "q_account_history_skewed",  # one payer holds a third of all rows: bucketed plan
+    "q_account_history",        # flagship: E1-E9
+    "q_account_history_plain",  # same plan, one id block
+    "q_account_history_skewed",  # one payer holds a third of all rows, ids scattered
     "q_basic_features",
     "q_summary",
     "q_split_manifest",
@@ -38,6 +38,12 @@ HEADLINE = [
     "q_psi",
     "q_alert_queue",
     "q_feature_by_class",
+    # The heaviest plans; left out of round 1.
+    "q_neighbor_mean_2hop_by_day",
+    "q_leak_audit",
+    "q_feature_gain",
+    "q_model_comparison",
+    "q_stream_history",
 ]
 
 

@@ -23,6 +23,7 @@ from ringwatch.functions.money import UNIT, unit_part, whole_part
 from ringwatch.operators.prefix import prefix_sum
 from ringwatch.session import ensure_checkpoint_dir
 
+# The k of the reports, the mark of rows outside rings, hours per alert.
 DEFAULT_K_VALUES = (50, 100, 500, 1000, 5000)
 NO_PATTERN = -1
 HOURS_PER_ALERT = 0.5
@@ -111,10 +112,22 @@ def _precision_value(k: int, ke: int) -> str:
 
 def precision_at_k(scored: DataFrame, k_values=DEFAULT_K_VALUES) -> DataFrame:
     """H1: tie-safe precision for every k: ``(k, precision)``."""
-    return evaluate(scored, k_values, patterns=False, cost=False).filter(
+    return evaluate(scored, k_values, patterns=False, cost=False, average_precision=False).filter(
         F.col("metric") == "precision_at_k").select("k", F.col("value").alias("precision"))
 
 
+def lift_at_k(scored: DataFrame, k_values=DEFAULT_K_VALUES) -> DataFrame:
+    """H4: precision over the base rate for every k: ``(k, lift)``."""
+    return evaluate(scored, k_values, patterns=False, cost=False, average_precision=False).filter(
+        F.col("metric") == "lift_at_k").select("k", F.col("value").alias("lift"))
+
+
+def cost_at_k(scored: DataFrame, k_values=DEFAULT_K_VALUES) -> DataFrame:
+    """H5: hours, value caught and value missed for every k, as metric rows."""
+    return evaluate(scored, k_values, patterns=False, cost=True, average_precision=False).filter(
+        F.col("metric").startswith("cost_"))
+
+
 def pr_auc_frame(scored: DataFrame) -> DataFrame:
     """H2: average precision, tied scores as one step. One row ``pr_auc``."""
     groups = scored.groupBy("score").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
@@ -126,7 +139,7 @@ def pr_auc_frame(scored: DataFrame) -> DataFrame:
 def pr_auc(scored: DataFrame) -> float:
     n, p = _totals(scored)
     if p == 0:
-        raise ValueError("PR-AUC is undefined with no positive examples")
+        raise ValueError("average precision needs at least one positive row")
     return float(pr_auc_frame(scored).first()[0])
 
 
@@ -159,21 +172,21 @@ def _explode_rows(one_row: DataFrame, rows: list[tuple[int | None, str, str]]) -
     return one_row.selectExpr(f"stack({len(rows)}, {', '.join(parts)}) AS (metric, k, value)")
 
 
-def pattern_recall(scored: DataFrame, k: int, threshold: float = 0.5) -> DataFrame:
-    """H3 at one k: ``n_patterns, n_caught, recall, hit_rate, threshold`` as metric rows."""
-    return evaluate(scored, (k,), patterns=True, cost=False, pattern_threshold=threshold).filter(
+def pattern_recall(scored: DataFrame, k_values=DEFAULT_K_VALUES, threshold: float = 0.5) -> DataFrame:
+    """H3 for every k: ``n_patterns, n_caught, recall, hit_rate, threshold`` as metric rows."""
+    return evaluate(scored, k_values, patterns=True, cost=False, average_precision=False, pattern_threshold=threshold).filter(
         F.col("metric").startswith("pattern_"))
 
 
 def evaluate(scored: DataFrame, k_values=DEFAULT_K_VALUES, patterns: bool = True, cost: bool = True,
              hours_per_alert: float = HOURS_PER_ALERT, pattern_threshold: float = 0.5,
-             materialize: bool = True) -> DataFrame:
+             materialize: bool = True, average_precision: bool = True) -> DataFrame:
     """H6: every metric as tidy rows ``(metric, k, value)``; ``k`` is null for global metrics."""
     if not 0 < pattern_threshold <= 1:
-        raise ValueError(f"threshold must be in (0, 1], got {pattern_threshold}")
+        raise ValueError(f"a ring counts as caught from a share above 0 up to 1, not {pattern_threshold}")
     ks = list(dict.fromkeys(int(k) for k in k_values))
     if any(k <= 0 for k in ks):
-        raise ValueError("k must be positive")
+        raise ValueError("every k is 1 or more")
     if materialize:
         # Several passes follow (totals, cutoffs, PR-AUC sample, final). Cut the
         # lineage once with a reliable checkpoint in the session's checkpoint
@@ -182,7 +195,7 @@ def evaluate(scored: DataFrame, k_values=DEFAULT_K_VALUES, patterns: bool = True
         scored = scored.checkpoint(eager=True)
     n, p = _totals(scored)
     if p == 0:
-        raise ValueError("PR-AUC is undefined with no positive examples")
+        raise ValueError("average precision needs at least one positive row")
     kes = {k: min(k, n) for k in ks}
     cuts = _cutoffs(scored, list(kes.values()))
     aggs = ["count(1) AS n", "sum(y) AS p",
@@ -200,9 +213,9 @@ def evaluate(scored: DataFrame, k_values=DEFAULT_K_VALUES, patterns: bool = True
                      (k, "cost_laundering_value_caught", f"cw{k} + cu{k} / {UNIT}.0D"),
                      (k, "cost_laundering_value_missed", f"(pw - cw{k}) + (pu - cu{k}) / {UNIT}.0D")]
     out = _explode_rows(one, rows)
-    ap = pr_auc_frame(scored).selectExpr("'pr_auc' AS metric", "CAST(NULL AS BIGINT) AS k",
-                                         "CAST(pr_auc AS DOUBLE) AS value")
-    out = ap.unionByName(out)
+    if average_precision:
+        out = pr_auc_frame(scored).selectExpr("'pr_auc' AS metric", "CAST(NULL AS BIGINT) AS k",
+                                              "CAST(pr_auc AS DOUBLE) AS value").unionByName(out)
     if patterns:
         out = out.unionByName(_ring_frame(scored, ks, cuts, kes, pattern_threshold))
     return out

@@ -68,7 +68,7 @@ def ego_network(edges: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFrame:
 
 def capacity_curve(scored: DataFrame, k_values: list[int]) -> DataFrame:
     """Precision, lift and cost at many k, from one evaluate."""
-    t = evaluate(scored, k_values, patterns=False, cost=True)
+    t = evaluate(scored, k_values, patterns=False, cost=True, average_precision=False)
     return (t.filter(F.col("k").isNotNull()).groupBy("k").pivot(
         "metric", ["precision_at_k", "lift_at_k", "cost_investigator_hours", "cost_laundering_value_caught",
                    "cost_laundering_value_missed"]).agg(F.first("value")))

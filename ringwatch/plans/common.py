@@ -92,8 +92,8 @@ def frozen_split(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.date
     return frozen_boundaries(spark, freeze(T(spark, sf_dir), f"{sf_dir}/events.parquet"))
 
 
-def load_split(spark: SparkSession, sf_dir: str, name: str, boundaries=None) -> DataFrame:
-    """A5: tail cut, one split as a range filter, ring ids attached."""
+def load_split(spark: SparkSession, sf_dir: str, name: str, boundaries=None, rings: bool = True) -> DataFrame:
+    """A5: tail cut, one split as a range filter, ring ids attached (C1) unless ``rings`` is false."""
     from ringwatch.operators.joins import attach_pattern_ids
     from ringwatch.operators.split import select_split, truncate_tail
     from ringwatch.plans.q_ingest import rings_with_copies
@@ -103,7 +103,8 @@ def load_split(spark: SparkSession, sf_dir: str, name: str, boundaries=None) ->
     b = boundaries or frozen_split(spark, sf_dir)
     start, end = split_range(name, b)
     t = truncate_tail(T(spark, sf_dir, start, min(end or TAIL_CUTOFF, TAIL_CUTOFF)), TAIL_CUTOFF)
-    return attach_pattern_ids(select_split(t, name, b), rings_with_copies(spark, sf_dir))
+    rows = select_split(t, name, b)
+    return attach_pattern_ids(rows, rings_with_copies(spark, sf_dir)) if rings else rows
 
 
 HOT_ACCOUNT = "A000000"

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ringwatch.functions.hashing import duckdb_uniform_from_key
-from ringwatch.operators.metrics import (evaluate, flatten_metrics, pr_auc_frame, rank_by_amount, rank_randomly,
-                                         to_scored, top_k)
+from ringwatch.operators.metrics import (cost_at_k, evaluate, flatten_metrics, lift_at_k, pattern_recall, pr_auc_frame,
+                                         precision_at_k, rank_by_amount, rank_randomly, to_scored, top_k)
 from ringwatch.functions.money import duckdb_sum
 from ringwatch.plans.catalog import register
-from ringwatch.plans.common import T, K_VALUES, SEED, SQL_TAIL_CUTOFF, load_split, round_doubles
+from ringwatch.plans.common import K_VALUES, SEED, SQL_TAIL_CUTOFF, T, load_split, round_doubles
 from ringwatch.plans.q_ingest import _BOUNDS_SQL, _RINGS_SQL
 
 KMAX = max(K_VALUES)
@@ -27,20 +27,20 @@ scored AS (
   WHERE t.timestamp < {SQL_TAIL_CUTOFF} AND t.timestamp >= b.train_end AND t.timestamp < b.val_end)"""
 
 
-def scored_frame(spark, sf_dir, model: str):
-    v = load_split(spark, sf_dir, "validation")
+def scored_frame(spark, sf_dir, model: str, rings: bool = True):
+    v = load_split(spark, sf_dir, "validation", rings=rings)
     score = rank_by_amount() if model == "amount" else rank_randomly(v, SEED)
     return to_scored(v, score)
 
 
 @register("q_rank_amount", scored_sql("amount") + "\nSELECT txn_id, score FROM scored")
 def q_rank_amount(spark, sf_dir):
-    return scored_frame(spark, sf_dir, "amount").select("txn_id", "score")
+    return scored_frame(spark, sf_dir, "amount", rings=False).select("txn_id", "score")
 
 
 @register("q_rank_random", scored_sql("random") + "\nSELECT txn_id, round(score, 6) AS score FROM scored")
 def q_rank_random(spark, sf_dir):
-    return round_doubles(scored_frame(spark, sf_dir, "random").select("txn_id", "score"))
+    return round_doubles(scored_frame(spark, sf_dir, "random", rings=False).select("txn_id", "score"))
 
 
 @register("q_topk_flags", scored_sql("amount") + f"""
@@ -114,31 +114,29 @@ def q_evaluate_random(spark, sf_dir):
 @register("q_precision_at_k", evaluate_sql("amount") +
           "\nSELECT k, round(value, 6) AS precision FROM tidy WHERE metric = 'precision_at_k'")
 def q_precision_at_k(spark, sf_dir):
-    t = _eval(spark, sf_dir, "amount")
-    return round_doubles(t.filter(F.col("metric") == "precision_at_k").select("k", F.col("value").alias("precision")))
+    return round_doubles(precision_at_k(scored_frame(spark, sf_dir, "amount", rings=False), K_VALUES))
 
 
 @register("q_lift_at_k", evaluate_sql("amount") +
           "\nSELECT k, round(value, 6) AS lift FROM tidy WHERE metric = 'lift_at_k'")
 def q_lift_at_k(spark, sf_dir):
-    t = _eval(spark, sf_dir, "amount")
-    return round_doubles(t.filter(F.col("metric") == "lift_at_k").select("k", F.col("value").alias("lift")))
+    return round_doubles(lift_at_k(scored_frame(spark, sf_dir, "amount", rings=False), K_VALUES))
 
 
 @register("q_cost_at_k", evaluate_sql("amount") + _tidy_out("WHERE metric LIKE 'cost_%'"))
 def q_cost_at_k(spark, sf_dir):
-    return round_doubles(_eval(spark, sf_dir, "amount").filter(F.col("metric").startswith("cost_")))
+    return round_doubles(cost_at_k(scored_frame(spark, sf_dir, "amount", rings=False), K_VALUES))
 
 
 @register("q_pattern_recall", evaluate_sql("random") + _tidy_out("WHERE metric LIKE 'pattern_%'"))
 def q_pattern_recall(spark, sf_dir):
-    return round_doubles(_eval(spark, sf_dir, "random").filter(F.col("metric").startswith("pattern_")))
+    return round_doubles(pattern_recall(scored_frame(spark, sf_dir, "random"), K_VALUES))
 
 
 @register("q_pr_auc", evaluate_sql("amount") + """
 SELECT 'amount' AS model, round(value, 6) AS pr_auc FROM tidy WHERE metric = 'pr_auc'""")
 def q_pr_auc(spark, sf_dir):
-    ap = pr_auc_frame(scored_frame(spark, sf_dir, "amount"))
+    ap = pr_auc_frame(scored_frame(spark, sf_dir, "amount", rings=False))
     return round_doubles(ap.select(F.lit("amount").alias("model"), F.col("pr_auc").cast("double").alias("pr_auc")))
 
 

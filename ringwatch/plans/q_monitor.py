@@ -82,7 +82,7 @@ SELECT k, round(max(CASE WHEN metric = 'precision_at_k' THEN value END), 6) AS p
   round(max(CASE WHEN metric = 'cost_laundering_value_missed' THEN value END), 6) AS cost_laundering_value_missed
 FROM tidy WHERE k IS NOT NULL GROUP BY k""")
 def q_capacity_curve(spark, sf_dir):
-    return round_doubles(capacity_curve(scored_frame(spark, sf_dir, "amount"), CURVE_K))
+    return round_doubles(capacity_curve(scored_frame(spark, sf_dir, "amount", rings=False), CURVE_K))
 
 
 _PSI_SIDES = _BOUNDS_SQL + f""",
@@ -129,7 +129,8 @@ SELECT model, round(pr_auc, 6) AS pr_auc, round(precision_at_k, 6) AS precision_
   CAST(model = 'challenger' AND precision_at_k > (SELECT precision_at_k FROM champion) AS INTEGER) AS promote
 FROM both_""")
 def q_champion(spark, sf_dir):
-    cc = champion_challenger(scored_frame(spark, sf_dir, "amount"), scored_frame(spark, sf_dir, "random"), 100)
+    cc = champion_challenger(scored_frame(spark, sf_dir, "amount", rings=False),
+                              scored_frame(spark, sf_dir, "random", rings=False), 100)
     return round_doubles(cc)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -27,22 +28,26 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that functions
-    pickled by module name load from any working directory."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
+    pickled by module name load from any working directory. The archive lies in the
+    shared folder, written through Spark's file system."""
+    sc = spark.sparkContext
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    if not os.path.isdir(top):  # already running from a shipped archive
+    if sc.applicationId in _SHIPPED or not os.path.isdir(top):  # sent, or running from the archive itself
         return
-    target = os.path.join(tempfile.mkdtemp(prefix="ringwatch-ship-"), "ringwatch_pkg.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for folder, _, names in os.walk(top):
             for n in names:
                 if n.endswith(".py"):
                     full = os.path.join(folder, n)
-                    z.write(full, os.path.join("ringwatch", os.path.relpath(full, top)))
-    spark.sparkContext.addPyFile(target)
-    _SHIPPED.add(app)
+                    z.write(full, os.path.join(os.path.basename(top), os.path.relpath(full, top)))
+    target = f"{shared_root(spark)}/llm/{sc.applicationId}-{os.path.basename(top)}.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    out.write(packed.getvalue())
+    out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
 
 
 def shared_root(spark: SparkSession) -> str:

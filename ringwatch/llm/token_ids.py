@@ -182,7 +182,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER,
     # Ranges of (id, text digest): a repeated id can be split, too.
     ordered = ordered.withColumn("tie", F.xxhash64("text"))
     ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    tokens = written(ordered.mapInArrow(lambda b: _tokenise(b, tokenizer, end_id), ddl(TOKENS)), "token-ids", "zstd")
+    tokens = written(ordered.mapInArrow(lambda b: _tokenise(b, tokenizer, end_id), ddl(TOKENS)), "token-ids")
     by_rank = rank_table(tokens)
     rank_of = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))

@@ -11,7 +11,9 @@ pieces, and characters without a piece become byte pieces.
 Pieces never cross from a word into the space before the next one, so words (and,
 where the model has no mixed pieces, runs of letters and of other characters)
 are segmented on their own. Each occurrence of a word takes one of ``VARIANTS``
-segmentations, chosen by a hash of (seed, document, place in the document).
+segmentations, chosen by a hash of (seed, document, place in the document). A
+batch's words that are new to a worker go through their agendas together, as
+arrays: each round takes every word's best pair.
 """
 
 from __future__ import annotations
@@ -86,6 +88,126 @@ class Pieces:
         for r, piece in enumerate(sorted(self.id, key=lambda p: (-self.score[self.id[p]], self.id[p]))):
             self.rank[piece] = r
         self.words = segments(list(self.id)).findall
+        self._pair_table()
+
+    def _symbol(self, part: str) -> int | None:
+        """Number of a part: its id; a single character without a piece has a number past the ids."""
+        i = self.id.get(part)
+        return i if i is not None else len(self.bytes) + ord(part) if len(part) == 1 else None
+
+    def _pair_table(self):
+        """Open-addressing table from pairs of parts to the rank of the piece they make."""
+        self.made = np.array([self.id[p] for p in self.rank], np.int64)  # id by rank
+        pairs = {}
+        for piece, r in self.rank.items():
+            for k in range(1, len(piece)):
+                a, b = self._symbol(piece[:k]), self._symbol(piece[k:])
+                if a is not None and b is not None:
+                    pairs[a << 22 | b] = r
+        self.slots = 1 << max(10, (4 * len(pairs)).bit_length())
+        self.pair_key, self.pair_rank = np.full(self.slots, -1, np.int64), np.full(self.slots, NEVER, np.int64)
+        todo = np.array(list(pairs), np.int64)
+        ranks = np.array(list(pairs.values()), np.int64)
+        at = self._slot(todo)
+        self.probes = 0
+        while len(todo):  # each round, the first of those that share a free slot takes it
+            free = self.pair_key[at] < 0
+            first = np.zeros(len(todo), bool)
+            first[np.flatnonzero(free)[np.unique(at[free], return_index=True)[1]]] = True
+            self.pair_key[at[first]], self.pair_rank[at[first]] = todo[first], ranks[first]
+            todo, ranks, at = todo[~first], ranks[~first], (at[~first] + 1) & (self.slots - 1)
+            self.probes += 1
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(32)).astype(np.int64) & (self.slots - 1)
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the piece that each pair makes, ``NEVER`` where it makes none."""
+        key = left << 22 | right
+        at = self._slot(key)
+        out = np.full(key.shape, NEVER, np.int64)
+        open_ = np.arange(len(key))
+        for _ in range(self.probes):
+            have = self.pair_key[at]
+            hit = have == key[open_]
+            out[open_[hit]] = self.pair_rank[at[hit]]
+            go = ~hit & (have >= 0)
+            open_, at = open_[go], (at[go] + 1) & (self.slots - 1)
+            if not len(open_):
+                break
+        return out
+
+    def segment_many(self, words: list[str], keys: np.ndarray | None, limit: int) -> list[bytes]:
+        """Little-endian 32-bit ids of each word; the same as ``segment`` word by word."""
+        out: list[bytes] = [b""] * len(words)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        for low, high in ((0, 8), (8, 16), (16, SHORT)):
+            which = np.flatnonzero((size > low) & (size <= high))
+            for k in range(0, len(which), 1 << 16):
+                part = which[k:k + (1 << 16)]
+                ids = self._agendas([words[i] for i in part.tolist()], size[part], high, None if keys is None else keys[part], limit)
+                for i, raw in zip(part.tolist(), ids):
+                    out[i] = raw
+        for i in np.flatnonzero(size > SHORT).tolist():
+            out[i] = array("I", self.segment(words[i], None if keys is None else int(keys[i]), limit)).tobytes()
+        return out
+
+    def _agendas(self, words: list[str], size: np.ndarray, width: int, keys: np.ndarray | None, limit: int) -> list[bytes]:
+        n, columns = len(words), np.arange(width)
+        points = np.frombuffer("".join([w.ljust(width, "\0") for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds, inverse = np.unique(points, return_inverse=True)
+        part = np.array([self._symbol(chr(c)) for c in kinds.tolist()], np.int64)[inverse].reshape(n, width)
+        begin = np.broadcast_to(columns, (n, width)).copy()
+        agenda = np.full((n, width), NEVER, np.int64)  # at j: the pair of parts j and j + 1
+        pair = columns[:-1] < size[:, None] - 1
+        agenda[:, :-1][pair] = self.ranks_of(part[:, :-1][pair], part[:, 1:][pair])
+        left = size.copy()
+        final = np.zeros((n, width), np.int64)
+        live = np.arange(n)
+        while len(live):
+            at = agenda.argmin(axis=1)
+            row = np.arange(len(live))
+            best = agenda[row, at]
+            done = best == NEVER
+            if done.any():
+                final[live[done]] = part[done]
+                size[live[done]] = left[done]
+                go = ~done
+                live, part, begin, agenda, left, at, best = (x[go] for x in (live, part, begin, agenda, left, at, best))
+                if not len(live):
+                    break
+                row = np.arange(len(live))
+            if keys is not None:
+                x = (keys[live] ^ (begin[row, at].astype(np.uint64) << np.uint64(32) | best.astype(np.uint64))) * np.uint64(0x9E3779B97F4A7C15)
+                skip = (x ^ x >> np.uint64(32)) * np.uint64(0xBF58476D1CE4E5B9) <= np.uint64(limit - 1) if limit else np.zeros(len(live), bool)
+                agenda[row[skip], at[skip]] = NEVER
+                row, at, best = row[~skip], at[~skip], best[~skip]
+                if not len(row):
+                    continue
+            part[row, at] = self.made[best]
+            moved = columns[1:-1] > at[:, None]  # the parts behind the merged pair move up
+            for x, end in ((part, 0), (begin, 0), (agenda, NEVER)):
+                some = x[row]
+                some[:, 1:-1] = np.where(moved, some[:, 2:], some[:, 1:-1])
+                some[:, -1] = end
+                x[row] = some
+            left[row] -= 1
+            for side in (at - 1, at):
+                ok = (side >= 0) & (side < left[row] - 1)
+                r, c = row[ok], side[ok]
+                agenda[r, c] = self.ranks_of(part[r, c], part[r, c + 1])
+            last = at >= left[row] - 1
+            agenda[row[last], at[last]] = NEVER
+        flat = final[columns < size[:, None]]
+        ends = np.cumsum(size)
+        raw = flat.astype("<u4").tobytes()
+        out = [raw[4 * (e - k):4 * e] for e, k in zip(ends.tolist(), size.tolist())]
+        for i in np.unique(np.searchsorted(ends, np.flatnonzero(flat >= len(self.bytes)), side="right")).tolist():
+            own = flat[ends[i] - size[i]:ends[i]].tolist()  # characters without a piece: spelled in bytes
+            out[i] = array("I", [t for x in own for t in ([x] if x < len(self.bytes) else
+                                 [self.byte[b] for b in chr(x - len(self.bytes)).encode("utf-8", "replace")])]).tobytes()
+        return out
 
     def segment(self, word: str, key: int | None, limit: int) -> list[int]:
         """Ids of one word. ``key`` None: no dropout; else a merge is skipped if its hash is below ``limit``."""
@@ -158,6 +280,10 @@ class Pieces:
         return raw.decode("utf-8")[1:]
 
 
+#: Stands for the character that the model writes for a space, where a text has it itself (no text has a surrogate).
+LITERAL = "\udfff"
+
+
 class DropoutEncoder:
     """Encodes texts for one seed and dropout; keeps the segmentations of words it has met."""
 
@@ -167,47 +293,64 @@ class DropoutEncoder:
         # Words in use move from the old generation to the young one, rare ones go with the old.
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.old: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-
-    def _word(self, word: str, variant: int) -> bytes:
-        out = self.known[variant].get(word)
-        if out is None:
-            out = self.old[variant].get(word)
-            if out is None:
-                key = xxhash.xxh64_intdigest(f"{variant}:{word}", self.seed) if self.dropout > 0 else None
-                out = array("I", self.pieces.segment(word, key, self.limit)).tobytes()
-            if len(self.known[variant]) >= GENERATION:
-                self.old[variant], self.known[variant] = self.known[variant], {}
-            self.known[variant][word] = out
+        self.literal = array("I", [pieces.byte[b] for b in SPACE.encode()]).tobytes()
+
+    def _learn(self, variant: int, new: set[str]) -> dict[str, bytes]:
+        """Segmentations of words that the young generation lacks."""
+        old, known = self.old[variant], self.known[variant]
+        out = {w: old[w] for w in new if w in old}
+        words = sorted(new - out.keys() - {LITERAL})
+        keys = None
+        if self.dropout > 0:
+            keys = np.array([xxhash.xxh64_intdigest(f"{variant}:{w}", self.seed) for w in words], np.uint64)
+        out.update(zip(words, self.pieces.segment_many(words, keys, self.limit)))
+        if len(known) + len(out) > GENERATION:
+            self.old[variant], self.known[variant] = known, {}
+        self.known[variant].update(out)
+        out[LITERAL] = self.literal
         return out
 
     def encode(self, text: str, key: str) -> np.ndarray:
         """Ids of ``text``; ``key`` (the document) and the place choose each word's variant."""
+        return self.encode_batch([text], [key])[0]
+
+    def encode_batch(self, texts: list[str], keys: list[str]) -> list[np.ndarray]:
+        found, new = [], [set() for _ in range(self.variants)]
+        for text, key in zip(texts, keys):
+            words = self._words(text)
+            which = self._variants(len(words), key)
+            known = self.known
+            raw = [known[v].get(w) for w, v in zip(words, which)]
+            lost = [(i, words[i], which[i]) for i, r in enumerate(raw) if r is None] if None in raw else []
+            for _, w, v in lost:
+                new[v].add(w)
+            found.append((raw, lost))
+        learnt = [self._learn(v, words) for v, words in enumerate(new)]
+        out = []
+        for raw, lost in found:
+            for i, w, v in lost:
+                raw[i] = learnt[v][w]
+            out.append(np.frombuffer(b"".join(raw), "<u4"))
+        return out
+
+    def _words(self, text: str) -> list[str]:
         if not text:
-            return np.zeros(0, "<u4")
-        if SPACE in text:  # the character itself must not be read as a space: spelled in bytes
-            out = []
-            mark = np.array([self.pieces.byte[b] for b in SPACE.encode()], "<u4")
-            first = True
-            for part in text.split(SPACE):
-                if not first:
-                    out.append(mark)
-                out.append(self._plain((SPACE if first else "") + part.replace(" ", SPACE), key))
-                first = False
-            return np.concatenate(out)
-        return self._plain(SPACE + text.replace(" ", SPACE), key)
-
-    def _plain(self, text: str, key: str) -> np.ndarray:
-        words = self.pieces.words(text)
+            return []
+        if SPACE not in text:
+            return self.pieces.words(SPACE + text.replace(" ", SPACE))
+        out = []
+        for k, part in enumerate(text.split(SPACE)):  # the character itself must not be read as a space
+            out += [LITERAL] if k else []
+            out += self.pieces.words(("" if k else SPACE) + part.replace(" ", SPACE))
+        return out
+
+    def _variants(self, n: int, key: str) -> list[int]:
         if self.variants == 1:
-            raw = [self._word(w, 0) for w in words]
-        else:
-            x = np.arange(len(words), dtype=np.uint64) + np.uint64(xxhash.xxh64_intdigest(key, self.seed))
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            which = ((x ^ (x >> np.uint64(31))) % np.uint64(self.variants)).tolist()
-            known, word = self.known, self._word
-            raw = [known[v].get(w) or word(w, v) for w, v in zip(words, which)]
-        return np.frombuffer(b"".join(raw), "<u4")
+            return [0] * n
+        x = np.arange(n, dtype=np.uint64) + np.uint64(xxhash.xxh64_intdigest(key, self.seed))
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return ((x ^ (x >> np.uint64(31))) % np.uint64(self.variants)).tolist()
 
 
 _WORKER: dict[tuple, DropoutEncoder] = {}
@@ -237,9 +380,8 @@ def encode(docs: DataFrame, seed: int = SEED, dropout: float = DROPOUT, variants
     def run(batches):
         enc = worker_encoder(seed, dropout, variants)
         for batch in batches:
-            ids = [enc.encode(t, str(d)).tobytes()
-                   for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())]
-            yield arrow(ENCODED, doc_id=batch.column("doc_id"), ids=ids)
+            ids = enc.encode_batch(batch.column("text").to_pylist(), [str(d) for d in batch.column("doc_id").to_pylist()])
+            yield arrow(ENCODED, doc_id=batch.column("doc_id"), ids=[x.tobytes() for x in ids])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, ddl(ENCODED))
 

@@ -51,6 +51,15 @@ def test_list_and_queue_agendas_agree(pieces):
             assert pieces._short(w, key, limit) == pieces._long(w, key, limit)
 
 
+def test_agendas_of_many_words_agree_with_one_by_one(pieces):
+    words = sorted({*prose(3, 400).split(), "▁▁▁word", "aaaaaaaa", "日本", "...!!", "x", "a" * 40, "😀", "é" * 9, "\x00\x01", "²."})
+    keys = np.arange(len(words), dtype=np.uint64) * np.uint64(0x123456789ABCDEF)
+    for limit in (0, int(0.1 * 2**64), int(0.5 * 2**64), 2**64):
+        want = [np.array(pieces.segment(w, int(k), limit), "<u4").tobytes() for w, k in zip(words, keys)]
+        assert pieces.segment_many(words, keys, limit) == want
+    assert pieces.segment_many(words, None, 0) == [np.array(pieces.segment(w, None, 0), "<u4").tobytes() for w in words]
+
+
 def test_full_tables_start_anew(pieces, monkeypatch):
     monkeypatch.setattr(M, "GENERATION", 5)
     t = prose(4, 100)

@@ -4,8 +4,12 @@ A text is cut into units: at line ends, and within a line after a sentence mark
 followed by a space. Units are normalised (case, white space, edge punctuation),
 hashed to 128 bits and grouped over the whole corpus. The earliest occurrence,
 by (doc_id, offset), stays; every other occurrence is removed, and reported with
-its place in the original text. Units of fewer than ``MIN_WORDS`` words are
-neither grouped nor removed: short phrases recur in clean prose.
+its place in the original text. Units of fewer than ``min_words`` words are
+neither grouped nor removed: headings and short phrases recur in clean prose.
+
+The default of 12 words comes from the sf0.1 documents: of documents that share a
+passage of 50 words or more with an earlier one, 98 % have a unit removed, of the
+others 6 % (with 5 words: 99 % and 39 %, the latter by common short lines).
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 from ringwatch.llm.common import id_and_text, session, written
 from ringwatch.llm.packing import ddl
 
-MIN_WORDS = 5
+MIN_WORDS = 12
 #: Where a unit ends: after a line feed, or after a sentence mark and the spaces behind it.
 _END = re.compile(r"\n|[.!?]+[ \t]+")
 _EDGES = b" \t\r\x0b\x0c.,;:!?\"'()[]"

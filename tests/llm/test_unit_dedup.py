@@ -4,7 +4,7 @@ from ringwatch.llm import unit_dedup as U
 from tests.llm.conftest import prose
 
 
-def plain(pairs, min_words=U.MIN_WORDS):
+def plain(pairs, min_words=5):
     """Removed units by a straight reading: units in order of (id, offset), the first of each form stays."""
     first, out = {}, []
     found = [(i is None, i or 0, i, s, e, t) for i, t in pairs for s, e in U.unit_spans(t or "")]
@@ -33,7 +33,7 @@ def test_normal_form():
 def test_passage_inside_lines_is_found_with_offsets(docs):
     passage = "Alpha beta gamma delta epsilon zeta. Eta theta iota kappa lambda mu nu. Xi omicron pi rho sigma tau."
     a, b = f"start here {passage} and on", f"{prose(3, 30)}\nlead words. {passage} tail"
-    rows = U.repeated_units(docs([(1, a), (2, b), (3, prose(9, 80))])).collect()
+    rows = U.repeated_units(docs([(1, a), (2, b), (3, prose(9, 80))]), 5).collect()
     assert {r.doc_id for r in rows} == {2} and {r.keep_doc_id for r in rows} == {1}
     assert all(U.normalised(b[r.start:r.end]) == U.normalised(a[r.keep_start:r.keep_start + r.end - r.start]) for r in rows)
     assert "Eta theta" in "".join(b[r.start:r.end] for r in rows)
@@ -41,7 +41,7 @@ def test_passage_inside_lines_is_found_with_offsets(docs):
 
 def test_corner_cases(corner, docs):
     df, pairs = corner
-    got = sorted(((r.doc_id, r.start, r.end, r.keep_doc_id, r.keep_start) for r in U.repeated_units(df).collect()), key=str)
+    got = sorted(((r.doc_id, r.start, r.end, r.keep_doc_id, r.keep_start) for r in U.repeated_units(df, 5).collect()), key=str)
     assert got == plain(pairs)
     assert U.repeated_units(docs([])).count() == 0 and U.drop_repeated_units(docs([])).count() == 0
 
@@ -49,7 +49,7 @@ def test_corner_cases(corner, docs):
 def test_one_line_in_every_document(docs):
     line = "this very line stands in every document"
     pairs = [(i, f"{line}\n{prose(i, 30)}") for i in range(300)]
-    rows = U.repeated_units(docs(pairs)).collect()
+    rows = U.repeated_units(docs(pairs), 5).collect()
     assert sorted(((r.doc_id, r.start, r.end, r.keep_doc_id, r.keep_start) for r in rows), key=str) == plain(pairs)
     assert {r.doc_id for r in rows if r.group_size == 300} == set(range(1, 300))
 
@@ -59,5 +59,11 @@ def test_cleaned_texts(corner):
     gone = defaultdict(list)
     for i, s, e, *_ in plain(pairs):
         gone[i].append((s, e))
-    got = sorted(((r.doc_id, r.text) for r in U.drop_repeated_units(df).collect()), key=str)
+    got = sorted(((r.doc_id, r.text) for r in U.drop_repeated_units(df, 5).collect()), key=str)
     assert got == sorted(((i, U.without(t or "", gone[i]) if i is not None else t or "") for i, t in pairs), key=str)
+
+
+def test_short_units_stay(docs):
+    short, long = "a line of six words only", "a line of more than a dozen words, which stands in two documents"
+    rows = U.repeated_units(docs([(1, f"{short}\n{long}"), (2, f"x\n{long}\n{short}")])).collect()
+    assert [(r.doc_id, r.words) for r in rows] == [(2, 13)]

@@ -18,6 +18,7 @@ arrays: each round takes every word's best pair.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 import zlib
@@ -27,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ringwatch.llm.common import arrow, id_and_text, session
 from ringwatch.llm.packing import ddl
@@ -35,7 +35,7 @@ from ringwatch.llm.packing import ddl
 MODEL = "piece_bpe_32k.model"
 SEED, DROPOUT, VARIANTS = 8, 0.1, 4
 #: Segmentations of one generation of a worker's table, per variant; the table holds the newest two.
-GENERATION = 100_000
+GENERATION = 150_000
 #: Words of up to so many characters keep their agenda in a list.
 SHORT = 32
 NEVER, MASK = 1 << 60, (1 << 64) - 1
@@ -88,6 +88,9 @@ class Pieces:
         for r, piece in enumerate(sorted(self.id, key=lambda p: (-self.score[self.id[p]], self.id[p]))):
             self.rank[piece] = r
         self.words = segments(list(self.id)).findall
+        self.byte_text = np.frombuffer(b"".join(self.bytes), np.uint8)  # all pieces' bytes, in order of ids
+        self.byte_size = np.array([len(b) for b in self.bytes], np.int64)
+        self.byte_start = np.cumsum(self.byte_size) - self.byte_size
         self._pair_table()
 
     def _symbol(self, part: str) -> int | None:
@@ -276,8 +279,10 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of the ids, the space that encoding put before it removed."""
-        raw = b"".join(map(self.bytes.__getitem__, ids.tolist()))
-        return raw.decode("utf-8")[1:]
+        size = self.byte_size[ids]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.byte_start[ids] - ends + size, size)
+        return self.byte_text[at].tobytes().decode("utf-8")[1:]
 
 
 #: Stands for the character that the model writes for a space, where a text has it itself (no text has a surrogate).
@@ -315,22 +320,32 @@ class DropoutEncoder:
         return self.encode_batch([text], [key])[0]
 
     def encode_batch(self, texts: list[str], keys: list[str]) -> list[np.ndarray]:
-        found, new = [], [set() for _ in range(self.variants)]
+        found: list = []
+        new: list[set[str]] = [set() for _ in range(self.variants)]
+        look = [table.get for table in self.known]
         for text, key in zip(texts, keys):
             words = self._words(text)
-            which = self._variants(len(words), key)
-            known = self.known
-            raw = [known[v].get(w) for w, v in zip(words, which)]
-            lost = [(i, words[i], which[i]) for i, r in enumerate(raw) if r is None] if None in raw else []
-            for _, w, v in lost:
-                new[v].add(w)
-            found.append((raw, lost))
+            if self.variants == 1:
+                raw, which = list(map(look[0], words)), None
+            else:
+                which = self._variants(len(words), key)
+                raw = [look[v](w) for w, v in zip(words, which)]
+            try:
+                found.append(b"".join(raw))
+            except TypeError:  # some words are new
+                lost = [(i, words[i], which[i] if which else 0) for i, r in enumerate(raw) if r is None]
+                for _, w, v in lost:
+                    new[v].add(w)
+                found.append((raw, lost))
         learnt = [self._learn(v, words) for v, words in enumerate(new)]
         out = []
-        for raw, lost in found:
-            for i, w, v in lost:
-                raw[i] = learnt[v][w]
-            out.append(np.frombuffer(b"".join(raw), "<u4"))
+        for got in found:
+            if isinstance(got, tuple):
+                raw, lost = got
+                for i, w, v in lost:
+                    raw[i] = learnt[v][w]
+                got = b"".join(raw)
+            out.append(np.frombuffer(got, "<u4"))
         return out
 
     def _words(self, text: str) -> list[str]:
@@ -345,8 +360,6 @@ class DropoutEncoder:
         return out
 
     def _variants(self, n: int, key: str) -> list[int]:
-        if self.variants == 1:
-            return [0] * n
         x = np.arange(n, dtype=np.uint64) + np.uint64(xxhash.xxh64_intdigest(key, self.seed))
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -399,8 +412,21 @@ def decode(encoded: DataFrame) -> DataFrame:
     return encoded.mapInArrow(run, ddl(DECODED))
 
 
+ROUND_TRIP = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("decoded_sha256", pa.string())])
+
+
 def round_trip(docs: DataFrame, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_pieces, ids_crc32, and the SHA-256 of the text decoded from the ids."""
-    return decode(encode(docs, seed, dropout, variants, id_col, text_col)).select(
-        "doc_id", "n_pieces", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+    """One row per document: doc_id, n_pieces, ids_crc32, and the SHA-256 of the text decoded from the
+    ids; the same as ``decode(encode(docs))`` in one pass, so that ids need not leave the task."""
+    session(docs.sparkSession)
+
+    def run(batches):
+        enc = worker_encoder(seed, dropout, variants)
+        for batch in batches:
+            ids = enc.encode_batch(batch.column("text").to_pylist(), [str(d) for d in batch.column("doc_id").to_pylist()])
+            yield arrow(ROUND_TRIP, doc_id=batch.column("doc_id"), n_pieces=[len(x) for x in ids],
+                        ids_crc32=[zlib.crc32(x.tobytes()) for x in ids],
+                        decoded_sha256=[hashlib.sha256((enc.pieces.decode(x) if len(x) else "").encode()).hexdigest() for x in ids])
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, ddl(ROUND_TRIP))

@@ -74,3 +74,5 @@ def test_corner_cases(corner, docs):
     assert sorted((r.doc_id is not None, r.doc_id or 0, r.decoded_sha256) for r in rows) == want
     assert all((r.n_pieces == 0) == (r.decoded_sha256 == hashlib.sha256(b"").hexdigest()) for r in rows)
     assert M.round_trip(docs([])).count() == 0
+    two = sorted((str(r.doc_id), r.n_pieces, r.ids_crc32, hashlib.sha256(r.text.encode()).hexdigest()) for r in M.decode(M.encode(df)).collect())
+    assert two == sorted((str(r.doc_id), r.n_pieces, r.ids_crc32, r.decoded_sha256) for r in rows)

@@ -3,6 +3,7 @@ import hashlib
 import numpy as np
 
 from ringwatch.llm import exact_dedup as E
+from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 
 def brute(pairs):

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from ringwatch.llm import merge_dropout as M
-from tests.llm.conftest import prose
+from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 TEXTS = ["", " ", "  a  b ", "\n\n  x", "日本語 ▁ text▁", "▁", "▁▁ a", "<s> </s> <0x41> <unk>", "naïve 😀 café", "a\tb", "\x00\x01", "x² x².y 1/2",
          prose(1, 200), "w" * 3000, "don't stop-gap it's 3.14 e.g. (a)[b]{c}"]

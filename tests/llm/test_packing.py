@@ -5,7 +5,7 @@ import numpy as np
 
 from ringwatch.llm import packing as P
 from ringwatch.llm.encoding import encoder
-from tests.llm.conftest import prose
+from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 
 def test_assign_fills_the_cheapest_and_cuts_only_when_it_must():

@@ -4,9 +4,9 @@ import pytest
 
 import corpus_pipeline as C
 from ringwatch.llm import exact_dedup, packing, pii, quality, simhash
-from tests.llm.conftest import prose
 from tests.llm.test_packing import check
 from tests.llm.test_simhash import groups
+from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 
 def brute(pairs, detector, order):

@@ -1,7 +1,7 @@
 from collections import Counter
 
 from ringwatch.llm import quality as Q
-from tests.llm.conftest import prose
+from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 
 def plain(text):

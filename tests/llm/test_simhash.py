@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 
 from ringwatch.llm import simhash as S
-from tests.llm.conftest import prose
+from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 
 def plain(text, k=4):

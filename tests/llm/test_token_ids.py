@@ -6,7 +6,7 @@ import pytest
 
 from ringwatch.llm import token_ids as K
 from ringwatch.llm.encoding import encoder
-from tests.llm.conftest import prose
+from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 TEXTS = ["", " ", "\n\n  a", "I'm you'll IT'S 12ab  \t x", "naïve café × ÷ ß ÿ", "日本語 text", "a\xa0b", "x <|endoftext|> y", "''s'S 'tis", "a_b__c 1_2",
          "\x1cq", "ＡＢ İ Σς", "µ ª ² ¼", "  lead trail  ", "x" * 300, "0" * 50, "!?.,;:'\"()[]{}", prose(1, 300)]

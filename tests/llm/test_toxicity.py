@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 
 from ringwatch.llm import toxicity as X
-from tests.llm.conftest import prose
+from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 TERMS = ["idiot", "worthless", "scum", "moron", "disgusting", "trash"]
 

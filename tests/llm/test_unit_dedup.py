@@ -1,7 +1,7 @@
 from collections import defaultdict
 
 from ringwatch.llm import unit_dedup as U
-from tests.llm.conftest import prose
+from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 
 def plain(pairs, min_words=5):

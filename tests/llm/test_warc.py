@@ -3,6 +3,7 @@ import json
 import pytest
 
 from ringwatch.llm import warc as W
+from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 SCHEMA = "page_id long, url string, html string, record string, name string"
 PAGE = ('<!DOCTYPE html><html lang="fr"><head><title>A &amp; B</title><style>p{x}</style><script>var t="</p>";</script></head>'

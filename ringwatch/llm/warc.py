@@ -32,7 +32,7 @@ from ringwatch.llm.common import arrow, scratch, session
 from ringwatch.llm.packing import ddl
 
 FILE_BYTES = 4 << 20
-GZIP_LEVEL = 4
+GZIP_LEVEL = 2
 VERSION = "WARC/1.1"
 SPACE_ID = uuid.uuid5(uuid.NAMESPACE_URL, "urn:ringwatch:warc")
 #: Date of responses whose source names none.
@@ -85,7 +85,7 @@ def response_record(page_id: int | None, url: str, page: str) -> bytes:
 _DROP = re.compile(r"<!--.*?-->|<(script|style|noscript|template|svg)\b[^>]*>.*?</\1\s*>", re.S | re.I)
 _BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|main|aside|blockquote|pre|title|head|body|html)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[A-Za-z/!?][^>]*>")
-_BLANK = re.compile(r"[ \t\r\x0b\x0c\xa0]+")
+_BLANK = re.compile(r"[ \t\r\x0b\x0c\xa0]{2,}|[\t\r\x0b\x0c\xa0]")  # single spaces stay as they are
 _TITLE = re.compile(r"<title[^>]*>([^<]*)", re.I)
 _LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 _LINK = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)

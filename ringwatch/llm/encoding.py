@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 
 #: Words of one generation of a worker's table; the table holds the newest two.
-GENERATION = 400_000
+GENERATION = 300_000
 
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _OTHER = f"[^ \\t-\\r0-9{_LETTERS}]"

@@ -14,8 +14,9 @@ from array import array
 
 import numpy as np
 
-#: Words of one generation of a worker's table; the table holds the newest two.
-GENERATION = 300_000
+#: Words of one generation of a worker's table; the table holds the newest two. Byte-level words
+#: come with and without a space and in either case, so there are more of them.
+GENERATION = {"byte_bpe_50k.json": 400_000, "word_bpe_49k.json": 300_000}
 
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _OTHER = f"[^ \\t-\\r0-9{_LETTERS}]"
@@ -56,13 +57,14 @@ class Encoder(dict):
         self.lower = name in _LOWER
         self.letters = byte_letters()
         self.old: dict[str, bytes] = {}
+        self.generation = GENERATION[name]
 
     def __missing__(self, word: str) -> bytes:
         out = self.old.get(word)
         if out is None:
             spelled = word.encode().decode("latin-1").translate(self.letters)
             out = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        if len(self) >= GENERATION:
+        if len(self) >= self.generation:
             self.old = dict(self)
             self.clear()
         self[word] = out

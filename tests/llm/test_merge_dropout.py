@@ -66,6 +66,22 @@ def test_full_tables_start_anew(pieces, monkeypatch):
     assert M.DropoutEncoder(pieces, seed=3).encode(t, "d").tolist() == M.DropoutEncoder(pieces, seed=3).encode(t, "d").tolist()
 
 
+def test_each_occurrence_draws_its_own_skips(pieces, monkeypatch):
+    text = " ".join(["international the"] * 1000)
+    enc = M.DropoutEncoder(pieces, dropout=0.3)
+    words = enc._words(text)
+    keys = enc._keys(len(words), "d")
+    own = [pieces.segment(w, int(k), enc.limit) for w, k in zip(words, keys)]
+    for tree in (0, M.TREE):  # with and without trees: the same as every occurrence's own agenda
+        monkeypatch.setattr(M, "TREE", tree)
+        assert M.DropoutEncoder(pieces, dropout=0.3).encode(text, "d").tolist() == [i for ids in own for i in ids]
+    kinds = [{tuple(ids) for w, ids in zip(words, own) if w == word} for word in set(words)]
+    assert min(map(len, kinds)) > 3 and max(map(len, kinds)) > 50
+    word = words[0]
+    for merge in pieces._agendas([word], np.array([len(word)]), len(word), None, 0)[2].tolist():  # each merge is skipped at the asked rate
+        assert abs(np.mean([M.skips(int(k), merge >> 32, merge & 0xFFFFFFFF, enc.limit) for k in keys[::2]]) - 0.3) < 0.07
+
+
 def test_corner_cases(corner, docs):
     import hashlib
     df, pairs = corner

@@ -4,8 +4,13 @@ A text is cut into units: at line ends, and within a line after a sentence mark
 followed by a space. Units are normalised (case, white space, edge punctuation),
 hashed to 128 bits and grouped over the whole corpus. The earliest occurrence,
 by (doc_id, offset), stays; every other occurrence is removed, and reported with
-its place in the original text. Units of fewer than ``min_words`` words are
-neither grouped nor removed: headings and short phrases recur in clean prose.
+its place in the original text. Units of fewer than ``min_words`` words are not
+grouped on their own (headings and short phrases recur in clean prose), but with
+their neighbours: for each, the least run of consecutive units of ``min_words``
+words or more that begins with it, and the one that ends with it. The short units
+of a run that came before are removed, so a repeated passage of that many words
+goes whole, however short its lines are, and each unit gone has an earlier copy.
+Units without words are passed over.
 
 The default of 12 words comes from the sf0.1 documents: of documents that share a
 passage of 50 words or more with an earlier one, 98 % have a unit removed, of the
@@ -16,13 +21,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.llm.common import id_and_text, session, written
-from ringwatch.llm.packing import ddl
 
 MIN_WORDS = 12
 #: Where a unit ends: after a line feed, or after a sentence mark and the spaces behind it.
@@ -30,7 +36,8 @@ _END = re.compile(r"\n|[.!?]+[ \t]+")
 _EDGES = b" \t\r\x0b\x0c.,;:!?\"'()[]"
 
 UNITS = pa.schema([("digest", pa.binary()), ("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
-                   ("words", pa.int32())])
+                   ("words", pa.int32()), ("row", pa.int64()),
+                   ("parts", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("words", pa.int32())])))])
 
 
 def unit_spans(text: str) -> list[tuple[int, int]]:
@@ -50,25 +57,58 @@ def normalised(unit: str) -> tuple[bytes, int]:
     return b" ".join(words).strip(_EDGES), len(words)
 
 
-def units(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per unit of ``min_words`` words or more: digest, doc_id, start, end (code points), words."""
+def runs(found: list[tuple[int, int, bytes, int]], min_words: int) -> set[tuple[int, int]]:
+    """(first, last) of the least runs of ``min_words`` words that begin or end with a short unit."""
+    out, before = set(), [0]
+    for *_, n in found:
+        before.append(before[-1] + n)
+    for i, (*_, n) in enumerate(found):
+        if n < min_words:
+            last = bisect_left(before, before[i] + min_words) - 1
+            if last < len(found):
+                out.add((i, last))
+            first = bisect_right(before, before[i + 1] - min_words) - 1
+            if first >= 0:
+                out.add((first, i))
+    return out
+
+
+def units(docs: DataFrame, min_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per unit of ``min_words`` words or more: digest, doc_id, start, end (code points), words, row (the
+    document's number); and one per run of ``runs``, its units in ``parts`` (null for a unit). A bound given by the
+    caller is taken literally: shorter units stay out, and there are no runs."""
+    with_runs, min_words = min_words is None, MIN_WORDS if min_words is None else min_words
 
     def run(batches):
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in UNITS]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                row += 1
+                found = []
                 for start, end in unit_spans(text):
                     form, n = normalised(text[start:end])
+                    if n:
+                        found.append((start, end, form, n))
                     if n >= min_words:
-                        for column, value in zip(out, (hashlib.blake2b(form, digest_size=16).digest(), doc_id, start, end, n)):
+                        for column, value in zip(out, (hashlib.blake2b(form, digest_size=16).digest(), doc_id, start, end, n, row, None)):
                             column.append(value)
+                for first, last in sorted(runs(found, min_words)) if with_runs else ():
+                    part = found[first:last + 1]
+                    digest = hashlib.blake2b(b"\n".join(p[2] for p in part), digest_size=16, person=b"run").digest()
+                    parts = [{"start": s, "end": e, "words": n} for s, e, _, n in part]
+                    for column, value in zip(out, (digest, doc_id, part[0][0], part[-1][1], sum(p[3] for p in part), row, parts)):
+                        column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, UNITS)], schema=UNITS)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, ddl(UNITS))
+    return id_and_text(docs, id_col, text_col).mapInArrow(
+        run, "digest binary, doc_id long, start long, end long, words int, row long, "
+             "parts array<struct<start: long, end: long, words: int>>")
 
 
-def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per unit to remove: doc_id, start, end, words, keep_doc_id, keep_start, group_size.
+def repeated_units(docs: DataFrame, min_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per unit to remove: doc_id, start, end, words, keep_doc_id, keep_start, group_size. A short unit's
+    last three are those of the run that came first among its repeated ones.
 
     Null ids rank last, so a unit of a document with an id stays if there is
     one; ties in id (repeated rows) go by offset, and of equal (id, offset) the
@@ -77,14 +117,24 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     """
     session(docs.sparkSession)
     rows = written(units(docs, min_words, id_col, text_col), "units", "zstd")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start", F.col("parts.start").alias("starts"))
     groups = (rows.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("group_size"))
               .where("group_size > 1").select("digest", F.col("first.doc_id").alias("keep_doc_id"),
-                                              F.col("first.start").alias("keep_start"), "group_size"))
+                                              F.col("first.start").alias("keep_start"), F.col("first.starts").alias("keep_starts"), "group_size"))
     # A unit may hold a third of all rows: the rows' side of the join is split by adaptive execution.
-    return (rows.join(groups, "digest")
-            .where(~(F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start"))))
-            .select("doc_id", "start", "end", "words", "keep_doc_id", "keep_start", "group_size"))
+    again = (rows.join(groups, "digest")
+             .where(~(F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start")))))
+    out = ("doc_id", "start", "end", "words", "keep_doc_id", "keep_start", "group_size")
+    # Runs overlap: each short unit once, by document row and place.
+    short = (again.where("parts IS NOT NULL")
+             .select("row", "doc_id", "keep_doc_id", "group_size", F.explode(F.arrays_zip("parts", "keep_starts")).alias("p"))
+             .where(F.col("p.parts.words") < (MIN_WORDS if min_words is None else min_words))
+             .groupBy("row", "doc_id", F.col("p.parts.start").alias("start"), F.col("p.parts.end").alias("end"),
+                      F.col("p.parts.words").alias("words"))
+             .agg(F.min(F.struct(F.col("keep_doc_id").isNull().alias("none"), "keep_doc_id",
+                                 F.col("p.keep_starts").alias("keep_start"), "group_size")).alias("keep")))
+    return again.where("parts IS NULL").select(*out).unionByName(
+        short.select("doc_id", "start", "end", "words", "keep.keep_doc_id", "keep.keep_start", "keep.group_size"))
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
@@ -96,7 +146,7 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def drop_repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeated_units(docs: DataFrame, min_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, text without the removed units, and the removed spans (start, end) in the original.
     A document's spans are no more than its own units, so they fit where its text does."""
     gone = (repeated_units(docs, min_words, id_col, text_col).where("doc_id IS NOT NULL").groupBy("doc_id")

@@ -67,3 +67,19 @@ def test_short_units_stay(docs):
     short, long = "a line of six words only", "a line of more than a dozen words, which stands in two documents"
     rows = U.repeated_units(docs([(1, f"{short}\n{long}"), (2, f"x\n{long}\n{short}")])).collect()
     assert [(r.doc_id, r.words) for r in rows] == [(2, 13)]
+
+
+def test_passage_of_short_lines_goes_whole(docs):
+    words = prose(7, 90).replace(".", "").split()
+    verse = "".join(" ".join(words[k:k + 5]) + "\n" for k in range(0, 90, 5))
+    long = "here follows one line with rather more than a dozen words in it\n"
+    a, b = f"first its own heading\n{verse}\n{long}so it ends.\n", f"another one\nand more\n{verse}{long}so it ends.\nnot this\n"
+    df = docs([(1, a), (2, b), (3, "so it ends.\nelsewhere")])
+    rows = U.repeated_units(df).collect()
+    assert {r.doc_id for r in rows} == {2} and {r.keep_doc_id for r in rows} == {1}
+    assert len({r.start for r in rows}) == len(rows) == 20
+    for r in rows:
+        form = U.normalised(b[r.start:r.end])[0]
+        assert U.normalised(a[r.keep_start:].split("\n")[0])[0] == form
+    got = {r.doc_id: r.text for r in U.drop_repeated_units(df).collect()}
+    assert got == {1: a, 2: "another one\nand more\nnot this\n", 3: "so it ends.\nelsewhere"}

@@ -3,8 +3,9 @@
 The library's ``encode`` keeps alignments of every character, which costs most
 of its time. Here a text of plain Latin characters is cut into words by the
 tokenizer's own pattern, and the library's model segments each distinct word
-once per worker; any other text goes through ``encode`` whole. Both give the
-same ids (tests compare them).
+once per worker; any other text, and any that holds the string of an added token
+(``<|endoftext|>``, which keeps its own id), goes through ``encode`` whole. Both
+give the same ids (tests compare them).
 """
 
 from __future__ import annotations
@@ -51,7 +52,8 @@ class Encoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
         self.model = self.tokenizer.model
         self.words = re.compile(_PATTERNS[name]).findall
         self.lower = name in _LOWER
@@ -75,7 +77,7 @@ class Encoder(dict):
             plain = not text.encode("latin-1").translate(None, _PLAIN)
         except UnicodeEncodeError:
             plain = False
-        if not plain:
+        if not plain or self.added(text):
             text = text.encode("utf-8", "replace").decode()
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.__getitem__, self.words(text.lower() if self.lower else text)))

@@ -21,6 +21,17 @@ def test_ids_equal_the_library(name):
         assert np.frombuffer(enc.ids(t), "<u4").tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_strings_of_added_tokens_keep_their_ids(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library, enc = Tokenizer.from_file(public_tokenizers.path(name)), encoder(name)
+    for t in TEXTS + ["one <|endoftext|> two", "<|endoftext|>", "<|startoftext|>a<|endoftext|><|endoftext|>", "日本<|endoftext|>", "<|ENDOFTEXT|> <|endof"]:
+        assert np.frombuffer(enc.ids(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
+    assert len(np.frombuffer(enc.ids("<|endoftext|>"), "<u4")) == 1
+
+
 def test_codes_round_trip():
     r = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 5, 1000):

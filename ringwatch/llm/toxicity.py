@@ -54,7 +54,7 @@ class Automaton:
         self.terms = terms
         letters = sorted({c for t in terms for c in t})
         self.other = len(letters) + 1  # 0: no letter
-        self.classes = np.full(0x250, 0, np.uint8)
+        self.classes = np.full(0x250, 0, np.uint16)
         for cp in range(0x250):
             if chr(cp).isalnum():
                 self.classes[cp] = self.other
@@ -131,9 +131,12 @@ class Automaton:
         """(text number, start, end, term, edits) of every word in reach of a term, and the words of each text."""
         joined = "\n".join(t.lower() if len(t.lower()) == len(t) else t for t in texts) + "\n"
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        cls = np.full(len(points), self.other, np.uint8)
+        cls = np.empty(len(points), np.uint16)
         small = points < 0x250
         cls[small] = self.classes[points[small]]
+        kinds, inverse = np.unique(points[~small], return_inverse=True)
+        large = [self.code.get(chr(c), self.other if chr(c).isalnum() else 0) for c in kinds.tolist()]
+        cls[~small] = np.array(large, np.uint16)[inverse]
         inside = cls > 0
         edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
         starts, ends = edge[::2], edge[1::2]
@@ -156,8 +159,8 @@ class Automaton:
             to = self.next[state, letter]
             unknown = to < 0
             if unknown.any():
-                code = np.unique(state[unknown].astype(np.int64) * 256 + letter[unknown])
-                for s, c in zip((code // 256).tolist(), (code % 256).tolist()):
+                code = np.unique(state[unknown].astype(np.int64) << 16 | letter[unknown])
+                for s, c in zip((code >> 16).tolist(), (code & 0xFFFF).tolist()):
                     self._step(s, c)
                 to = self.next[state, letter]
             keep = to > 0

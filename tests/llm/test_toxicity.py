@@ -105,3 +105,16 @@ def test_corner_cases(spark, corner, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert X.toxicity(df, none).count() == len(pairs)
     assert X.toxicity(docs([]), lab).count() == 0
+
+
+def test_punctuation_and_letters_of_any_script():
+    from ringwatch.llm import toxicity
+
+    auto = toxicity.Automaton(["idiot", "bad", "дурак", "ηλίθιος", "笨蛋东西", *(chr(0x4E00 + k) * 3 for k in range(400))])
+    texts = ["“idiot” ‘bad’", "idiot—bad…", "bad\u200b 😀idiot😀", "ты Дурак, дурaк!", "ηλίθιος", "笨蛋东西", chr(0x4E00 + 399) * 3, "дура"]
+    where, start, end, term, edits, words = auto.hits(texts)
+    got = [(i, texts[i][s:e].lower(), auto.terms[t], d) for i, s, e, t, d in zip(*(x.tolist() for x in (where, start, end, term, edits)))]
+    assert got == [(0, "idiot", "idiot", 0), (0, "bad", "bad", 0), (1, "idiot", "idiot", 0), (1, "bad", "bad", 0), (2, "bad", "bad", 0),
+                   (2, "idiot", "idiot", 0), (3, "дурак", "дурак", 0), (3, "дурaк", "дурак", 1), (4, "ηλίθιος", "ηλίθιος", 0),
+                   (5, "笨蛋东西", "笨蛋东西", 0), (6, chr(0x4E00 + 399) * 3, chr(0x4E00 + 399) * 3, 0), (7, "дура", "дурак", 1)]
+    assert words.tolist() == [2, 2, 2, 3, 1, 1, 1, 1]

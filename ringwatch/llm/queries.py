@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ringwatch.llm import exact_dedup, merge_dropout, packing, pii, quality, simhash, token_ids, toxicity, unit_dedup, warc
+from ringwatch.llm import (collocations, exact_dedup, interpolated_lm, merge_dropout, packing, periodic_runs, pii, quality, simhash,
+                           token_ids, toxicity, unit_dedup, warc)
 from ringwatch.llm.common import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +79,40 @@ def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unit_dedup.repeated_units(table(spark, sf_dir, "documents"))
 
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@_register("op11_collocations", f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\n-\r]')) AS piece FROM documents),
+cut AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang),
+at AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut),
+grams AS (SELECT lang, w[i:i + k - 1] AS p FROM at, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, p, count(*)::HUGEINT AS a FROM grams GROUP BY lang, p HAVING count(*) >= 10),
+longer AS (SELECT lang, part, max(a) AS most FROM (SELECT lang, unnest([p[1:2], p[2:3]]) AS part, a FROM f WHERE len(p) = 3) GROUP BY lang, part),
+cuts AS (SELECT c.lang, c.p, c.a, k, l.a AS l, r.a AS r, 1000000 * c.a * c.a // (l.a * r.a) AS score
+  FROM f c, (SELECT unnest([1, 2]) AS k) JOIN f l ON l.lang = c.lang AND l.p = c.p[1:k] JOIN f r ON r.lang = c.lang AND r.p = c.p[k + 1:]
+  WHERE len(c.p) > k),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+kept AS (SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.part = b.p
+  WHERE o.most IS NULL OR 100 * o.most < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@_register("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
+@_register("op13_lm_scores")
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

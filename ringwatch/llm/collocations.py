@@ -40,8 +40,8 @@ WAVE_PHRASES = 1 << 22
 SLICE = 1 << 16
 RADIX = 256
 
-_NUMBERED = pa.schema([("block", pa.int64()), ("grp", pa.string()), ("codes", pa.binary()), ("ids", pa.binary()), ("kinds", pa.int64())])
-_NUMBERED_DDL = "block long, grp string, codes binary, ids binary, kinds long"
+_NUMBERED = pa.schema([("block", pa.int64()), ("codes", pa.binary()), ("ids", pa.binary()), ("kinds", pa.int64())])
+_NUMBERED_DDL = "block long, codes binary, ids binary, kinds long"
 _KEYS_DDL = "bucket long, n long, a binary, b binary"
 _OUT = pa.schema([("kind", pa.string()), *B.SENT_PHRASES])
 _OUT_DDL = "kind string, " + B.SENT_PHRASES_DDL
@@ -159,37 +159,35 @@ def numbered_blocks(docs: DataFrame, least: int, text_col: str, lang_col: str):
     occurrences in their language, 0 for others; words are (id, lang, word, f), sizes (lang, n)."""
     rows = docs.select(F.lit(0).cast("long").alias("key"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("grp"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    made = B.blocks(rows, lambda batch: batch.column("grp").to_pylist(), BREAKS, BLANKS)
+    made = B.blocks(rows, BREAKS, BLANKS)
     table, buckets = B.word_table(made, scoped=True, least=least, keep_words=True)
 
     def join(block: pa.Table, back: pa.Table) -> pa.Table:
-        words = block.column("words")[0].values
-        ids, = B.in_block_order(words, back, buckets, ("ids",))
-        return pa.table([block.column("block"), block.column("grp"), block.column("codes"),
-                         pa.array([B.pack(ids)], pa.binary()), pa.array([len(ids)], pa.int64())], schema=_NUMBERED)
+        hashes = B.word_hashes(B.unpack_words(block.column("words")[0].as_py()))
+        ids = B.in_block_order(hashes, back, buckets, "ids")
+        return pa.table([block.column("block"), block.column("codes"), pa.array([B.pack(ids)], pa.binary()),
+                         pa.array([len(hashes)], pa.int64())], schema=_NUMBERED)
 
     def spread(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                words = batch.column("words")[i].values
-                if words is not None and len(words):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(B.unpack(batch.column("ids")[i].as_py())), pa.array([batch.column("grp")[i].as_py()] * len(words), pa.string()),
-                         words.cast(pa.string()), pa.array(B.unpack(batch.column("totals")[i].as_py()))], names=["id", "lang", "word", "f"])
+            for row in B.rows_of(batch):
+                words = B.unpack_words(row["words"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(B.unpack(row["ids"])), pa.array([row["grp"]] * len(words), pa.string()),
+                     words.cast(pa.large_string()).cast(pa.string()), pa.array(B.unpack(row["totals"]))], names=["id", "lang", "word", "f"])
 
     answers = table.where("block >= 0").select("block", "bucket", "ids")
-    whole = made.where("kinds > 0").select("block", "grp", "words", "codes")
-    numbered = written(whole.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, _NUMBERED_DDL), "numbered", "zstd")
+    whole = made.where("kinds > 0").select("block", "words", "codes")
+    numbered = written(whole.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, _NUMBERED_DDL), "numbered")
     words = written(table.where("block < 0").select("grp", "ids", "totals", "words").mapInArrow(
         spread, "id long, lang string, word string, f long"), "frequent")
     sizes = made.groupBy(F.col("grp").alias("lang")).agg(F.sum("tokens").alias("n"))
     return numbered, words, sizes, int(made.agg(F.sum("tokens")).first()[0] or 0)
 
 
-def tokens(batch: pa.RecordBatch, i: int) -> np.ndarray:
+def tokens(row: dict) -> np.ndarray:
     """Word numbers of one block's texts, 0 for rare words and breaks."""
-    ids = np.append(B.unpack(batch.column("ids")[i].as_py(), batch.column("kinds")[i].as_py()), 0)
-    return ids[np.frombuffer(batch.column("codes")[i].as_py(), "<i4")]
+    return np.append(B.unpack(row["ids"], row["kinds"]), 0)[B.block_codes(row["codes"])]
 
 
 def candidate_keys(sent: DataFrame, least: int, pairs: bool) -> DataFrame:
@@ -198,9 +196,7 @@ def candidate_keys(sent: DataFrame, least: int, pairs: bool) -> DataFrame:
     def settle(table: pa.Table) -> pa.Table:
         a, b, counts, _ = B.received(table, pairs)
         x, y, _, place = B.phrases(a, b)
-        total = np.zeros(len(x), np.int64)
-        np.add.at(total, place, counts)
-        safe = total >= least
+        safe = np.bincount(place, counts[0], len(x)) >= least
         x, y = x[safe], y[safe] if pairs else None
         return pa.table([pa.array([table.column("bucket")[0].as_py()], pa.int64()), pa.array([len(x)], pa.int64()),
                          pa.array([B.pack(np.diff(x, prepend=np.uint64(0)))], pa.binary()),
@@ -258,8 +254,8 @@ def counted(numbered: DataFrame, sent: DataFrame, span: int, size: int, least: i
             mark = marks.value if marks else None
             seen = False
             for batch in batches:
-                for i in range(batch.num_rows):
-                    text = tokens(batch, i)
+                for row in B.rows_of(batch):
+                    text = tokens(row)
                     at, state = trie.accepted(trie.codes(text))
                     if not len(at):
                         continue
@@ -274,13 +270,13 @@ def counted(numbered: DataFrame, sent: DataFrame, span: int, size: int, least: i
                     after = after[mark[place >> 3] >> (place & 7) & 1 == 1]
                     if len(after):
                         x, y, n, _ = B.phrases(text[after - 1].astype(np.uint64) * np.uint64(span) + text[after].astype(np.uint64), text[after + 1])
-                        out = B.sent_phrases(batch.column("block")[i].as_py(), "", x, y, np.minimum(n, least), emit_longer)
+                        out = B.sent_phrases(row["block"], x, y, np.minimum(n, least), emit_longer)
                         yield pa.RecordBatch.from_arrays([pa.array(["longer"] * out.num_rows), *out.columns], schema=_OUT)
             if seen:
                 mine = found[trie.leaf]
                 parts = [mine[x:x + SLICE] for x in range(0, len(mine), SLICE)]
                 n = len(parts)
-                yield arrow(_OUT, kind=["counts"] * n, bucket=list(range(n)), block=[TaskContext.get().partitionId()] * n, grp=[""] * n,
+                yield arrow(_OUT, kind=["counts"] * n, bucket=list(range(n)), block=[TaskContext.get().partitionId()] * n,
                             a=[b"\0"] * n, b=[b"\0"] * n, counts=[B.pack(p) for p in parts])
 
         def add(table: pa.Table) -> pa.Table:
@@ -290,7 +286,7 @@ def counted(numbered: DataFrame, sent: DataFrame, span: int, size: int, least: i
             rows = np.column_stack([rows, np.zeros((len(rows), 3 - size), np.int64)])
             return pa.table([*(pa.array(rows[:, k]) for k in range(3)), pa.array(total)], names=["id1", "id2", "id3", "f"])
 
-        got = written(numbered.mapInArrow(run, _OUT_DDL), "pass", "zstd")
+        got = written(numbered.mapInArrow(run, _OUT_DDL), "pass")
         (got.where("kind = 'counts'").select("bucket", "counts").groupBy("bucket")
          .applyInArrow(add, "id1 long, id2 long, id3 long, f long").where(F.col("f") >= least).write.mode("append").parquet(counts_at))
         if emit_longer:
@@ -312,12 +308,12 @@ def counted_phrases(docs: DataFrame, least: int = 10, text_col: str = "text", la
 
     def pairs(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                text = tokens(batch, i)
+            for row in B.rows_of(batch):
+                text = tokens(row)
                 both = np.flatnonzero((text[:-1] > 0) & (text[1:] > 0))
                 if len(both):
                     a, _, n, _ = B.phrases(text[both].astype(np.uint64) * np.uint64(span) + text[both + 1].astype(np.uint64))
-                    yield B.sent_phrases(batch.column("block")[i].as_py(), "", a, None, np.minimum(n, least), buckets)
+                    yield B.sent_phrases(row["block"], a, None, np.minimum(n, least), buckets)
 
     two, longer = counted(numbered, numbered.mapInArrow(pairs, B.SENT_PHRASES_DDL), span, 2, least, wave, buckets)
     three, _ = counted(numbered, longer, span, 3, least, wave)

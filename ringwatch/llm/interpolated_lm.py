@@ -11,8 +11,8 @@ The score then uses the counts of all training texts.
 All counts come from whole training texts, by exchange between blocks and buckets
 (``wordblocks``): a block sends its distinct words, then its distinct pairs, and gets the
 totals and its own fold's counts back, so no table of counts is ever broadcast. Words
-are compared as strings; a pair's key is exact while the corpus has fewer than 2^32
-different words. The expectation step needs, per held-out pair, only its two estimates; the
+are compared as strings, pairs by a 64-bit hash of their words' hashes (of n different pairs
+about n^2 / 2^65 share one, and then their counts). The expectation step needs, per held-out pair, only its two estimates; the
 pairs are summed up in cells (bucket, estimates to a sixteenth of a power of two, with
 their mean logarithm), a bounded table whatever the corpus, on which the driver runs
 the iterations.
@@ -26,8 +26,11 @@ further columns, whatever their names, are not read.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,12 +44,10 @@ NULL_ID = -(1 << 63)
 #: Cells of one power of two; rounds of expectation maximisation, at most; change that ends it.
 STEPS, ROUNDS, CLOSE = 16, 200, 1e-9
 
-_COUNTED = pa.schema([("block", pa.int64()), ("grp", pa.string()), ("ids", pa.binary()), ("codes", pa.binary()), ("kinds", pa.int64()),
-                      ("numbers", pa.binary()), ("c1", pa.binary()), ("own1", pa.binary())])
-_COUNTED_DDL = "block long, grp string, ids binary, codes binary, kinds long, numbers binary, c1 binary, own1 binary"
-_PAIRED = pa.schema([*_COUNTED, ("pairs", pa.int64()), ("c2", pa.binary()), ("own2", pa.binary())])
-_PAIRED_DDL = _COUNTED_DDL + ", pairs long, c2 binary, own2 binary"
-_BACK_DDL = "block long, bucket long, n long, c2 binary, own2 binary"
+_BLOCK = pa.schema([("block", pa.int64()), ("kinds", pa.int64()), ("ids", pa.binary()), ("codes", pa.binary()),
+                    ("c1", pa.binary()), ("pairs", pa.int64()), ("c2", pa.binary())])
+_BLOCK_DDL = "block long, kinds long, ids binary, codes binary, c1 binary, pairs long, c2 binary"
+_BACK_DDL = "block long, bucket long, totals binary"
 _CELLS_DDL = "bucket long, q2 long, q1 long, weight long, log2 double, log1 double"
 _NOTHING = -(1 << 40)
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -54,8 +55,7 @@ SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens
 SCORES_DDL = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def trained(fold: str) -> bool:
-    return int(fold) != TEST_FOLD
+TRAIN = [f for f in range(FOLDS) if f != TEST_FOLD]
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -63,11 +63,26 @@ def bucket_of(context: np.ndarray) -> np.ndarray:
     return np.frexp(context.astype(np.float64))[1]
 
 
-def tokens_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(token, context) of a block's texts: places in its words, ``kinds`` for the end; a text's first context is the end too."""
-    codes = np.frombuffer(row["codes"], "<i4").astype(np.int64)
-    codes[codes < 0] = row["kinds"]
-    return codes, np.append(row["kinds"], codes[:-1])
+def folds_of(ids: np.ndarray) -> np.ndarray:
+    return np.array([zlib.crc32(b"" if i == NULL_ID else str(i).encode()) % FOLDS for i in ids.tolist()], np.int64)
+
+
+def tokens_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(token, context, ends, fold) of a block's texts: places in its words, ``kinds`` for the end; a text's first
+    context is the end too."""
+    token = B.block_codes(row["codes"])
+    ends = np.flatnonzero(token < 0)
+    token[ends] = row["kinds"]
+    fold = np.repeat(folds_of(np.frombuffer(row["ids"], "<i8")), np.diff(np.append(-1, ends)))
+    return token, np.append(row["kinds"], token[:-1]), ends, fold
+
+
+def own_pairs(row: dict):
+    """(token, context) of a block's distinct pairs, their counts (fold, pair), and each position's place among them."""
+    token, context, _, fold = tokens_of(row)
+    size = row["kinds"] + 1
+    both, _, _, place = B.phrases(context * size + token)
+    return both % size, both // size, np.bincount(fold * len(both) + place, minlength=FOLDS * len(both)).reshape(FOLDS, -1), place
 
 
 def fit_weights(cells: np.ndarray, uniform: float) -> np.ndarray:
@@ -96,112 +111,109 @@ def fit_weights(cells: np.ndarray, uniform: float) -> np.ndarray:
     return out
 
 
-def _rows(batch: pa.RecordBatch):
-    for i in range(batch.num_rows):
-        yield {f: batch.column(f)[i].as_py() for f in batch.schema.names}
-
+def pair_hashes(words: bytes, token: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """64-bit keys of pairs, from those of their words; the end has its own. No key is zero."""
+    own = np.append(B.word_hashes(B.unpack_words(words)), np.uint64(0x632BE59BD9B4E019))
+    return np.maximum(B.mixed(own[context], own[token]), np.uint64(1))
 
-def _pair_keys(row: dict, token: np.ndarray, context: np.ndarray, span: int) -> np.ndarray:
-    numbers = np.append(B.unpack(row["numbers"], row["kinds"]), 0).astype(np.uint64)
-    return (numbers[context] + np.uint64(1)) * np.uint64(span) + numbers[token]
 
-
-def word_counts(docs: DataFrame, id_col: str, text_col: str):
-    """(blocks with numbers and counts of their words, totals): training tokens ``N``, different ones ``V``,
-    tokens and texts per fold, the number of tokens of all texts, and one above the greatest word number."""
-    fold = (F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))) % FOLDS).cast("string")
-    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("key"), fold.alias("grp"),
+def counted_blocks(docs: DataFrame, id_col: str, text_col: str):
+    """(blocks with the counts of their words and pairs, totals): training tokens ``N``, different ones ``V``, and
+    texts and tokens per fold."""
+    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("key"), F.lit("").alias("grp"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    made = B.blocks(rows, lambda batch: batch.column("grp").to_pylist())
-    sizes = {r.grp: (r.t + r.d, r.d) for r in made.groupBy("grp").agg(F.sum("tokens").alias("t"), F.sum("docs").alias("d")).collect()}
-    table, buckets = B.word_table(made, scoped=False, counted=trained)
-    found = table.where("block < 0").agg(F.sum("n"), F.max("top")).first()
-    texts = sum(d for g, (_, d) in sizes.items() if trained(g))
-    totals = {"N": sum(t for g, (t, _) in sizes.items() if trained(g)), "V": (found[0] or 0) + (texts > 0), "texts": texts,
-              "folds": sizes, "all": sum(t for t, _ in sizes.values()), "span": (found[1] or 0) + 1}
-
-    def join(block: pa.Table, back: pa.Table) -> pa.Table:
-        counts = B.in_block_order(block.column("words")[0].values, back, buckets, ("ids", "totals", "own"))
-        return pa.table([*(block.column(c) for c in ("block", "grp", "ids", "codes", "kinds")),
-                         *(pa.array([B.pack(x)], pa.binary()) for x in counts)], schema=_COUNTED)
+    made = B.blocks(rows)
 
-    answers = table.where("block >= 0").select("block", "bucket", "ids", "totals", "own")
-    whole = made.select("block", "grp", "ids", "words", "codes", "kinds")
-    return written(whole.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, _COUNTED_DDL), "counted", "zstd"), totals
+    def count(row: dict) -> np.ndarray:
+        token, _, _, fold = tokens_of(row)
+        size = row["kinds"] + 1
+        return np.bincount(fold * size + token, minlength=FOLDS * size).reshape(FOLDS, size)[:, :-1]
 
-
-def pair_counts(counted: DataFrame, totals: dict) -> DataFrame:
-    """The blocks with, for each of their distinct pairs in the order of its key, the training and own-fold counts."""
-    buckets, span = part_of(totals["all"], B.BUCKET_PHRASES), totals["span"]
+    def measure(batches):
+        for batch in batches:
+            for row in B.rows_of(batch):
+                _, _, ends, fold = tokens_of(row)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(FOLDS)), pa.array(np.bincount(fold, minlength=FOLDS)),
+                                                  pa.array(np.bincount(fold[ends], minlength=FOLDS))], names=["fold", "tokens", "texts"])
+
+    sizes = {r.fold: r for r in made.select("ids", "codes", "kinds").mapInArrow(measure, "fold long, tokens long, texts long")
+             .groupBy("fold").agg(F.sum("tokens").alias("tokens"), F.sum("texts").alias("texts")).collect()}
+    tokens = np.array([sizes[f].tokens if sizes else 0 for f in range(FOLDS)], np.int64)
+    texts = np.array([sizes[f].texts if sizes else 0 for f in range(FOLDS)], np.int64)
+    table, word_buckets = B.word_table(made, False, count, FOLDS, TRAIN, least=1)
+    found = table.where("block < 0").agg(F.sum("n")).first()[0] or 0
+    totals = {"N": int(tokens[TRAIN].sum()), "V": found + int(texts[TRAIN].sum() > 0), "tokens": tokens, "texts": texts}
+    pair_buckets = part_of(int(tokens.sum()), B.BUCKET_PHRASES)
 
     def send(batches):
         for batch in batches:
-            for row in _rows(batch):
-                a, _, n, _ = B.phrases(_pair_keys(row, *tokens_of(row), span))
-                yield B.sent_phrases(row["block"], row["grp"], a, None, n, buckets)
-
-    def settle(table: pa.Table) -> pa.Table:
-        a, _, n, each = B.received(table)
-        grps = table.column("grp").to_pylist()
-        known = sorted(set(grps))
-        g = np.repeat([known.index(x) for x in grps], each)
-        distinct, place = np.unique(a, return_inverse=True)
-        own = np.zeros((len(distinct), len(known)), np.int64)
-        np.add.at(own, (place, g), n)
-        total = own[:, [trained(x) for x in known]].sum(axis=1, dtype=np.int64)
+            for row in B.rows_of(batch):
+                token, context, counts, _ = own_pairs(row)
+                keys = pair_hashes(row["words"], token, context)
+                order = np.argsort(keys)
+                yield B.sent_phrases(row["block"], keys[order], None, counts[:, order], pair_buckets)
+
+    def settle(sent: pa.Table) -> pa.Table:
+        key, _, counts, each = B.received(sent, folds=FOLDS)
+        distinct, place = np.unique(key, return_inverse=True)
+        total = np.stack([np.bincount(place, f, len(distinct)) for f in counts]).astype(np.int64)
         at = np.append(0, np.cumsum(each))
-        spans = list(zip(at[:-1], at[1:]))
-        return pa.table([table.column("block"), table.column("bucket"), pa.array(each),
-                         pa.array([B.pack(total[place[x:y]]) for x, y in spans], pa.binary()),
-                         pa.array([B.pack(own[place[x:y], g[x:y]]) for x, y in spans], pa.binary())],
-                        names=["block", "bucket", "n", "c2", "own2"])
+        return pa.table([sent.column("block"), sent.column("bucket"),
+                         pa.array([B.pack(total[:, place[x:y]]) for x, y in zip(at, at[1:])], pa.binary())], names=["block", "bucket", "totals"])
 
     def join(block: pa.Table, back: pa.Table) -> pa.Table:
-        row = next(_rows(block.to_batches()[0]))
-        a, _, _, _ = B.phrases(_pair_keys(row, *tokens_of(row), span))
-        to = B.mixed(a) % np.uint64(buckets)
-        order = np.argsort(to, kind="stable")
-        counts = np.zeros((2, len(a)), np.int64)
-        first = np.searchsorted(to[order], back.column("bucket").to_numpy().astype(np.uint64))
-        for x, n, c2, own2 in zip(first, *(back.column(c).to_pylist() for c in ("n", "c2", "own2"))):
-            counts[0, order[x:x + n]] = B.unpack(c2, n)
-            counts[1, order[x:x + n]] = B.unpack(own2, n)
-        return pa.table([*block.columns, pa.array([len(a)], pa.int64()), pa.array([B.pack(counts[0])], pa.binary()),
-                         pa.array([B.pack(counts[1])], pa.binary())], schema=_PAIRED)
-
-    back = counted.mapInArrow(send, B.SENT_PHRASES_DDL).groupBy("bucket").applyInArrow(settle, _BACK_DDL)
-    return written(counted.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(join, _PAIRED_DDL), "paired", "zstd")
-
-
-def held_out_cells(paired: DataFrame, totals: dict) -> np.ndarray:
+        row = next(B.rows_of(block))
+        token, context, _, _ = own_pairs(row)
+        keys = pair_hashes(row["words"], token, context)
+        order = np.argsort(keys)
+        by_word, by_pair = (back.filter(pa.compute.equal(back.column("pair"), k)) for k in (False, True))
+        c1 = B.in_block_order(B.word_hashes(B.unpack_words(row["words"])), by_word, word_buckets, "totals", FOLDS)
+        c2 = np.zeros((FOLDS, len(keys)), np.int64)
+        c2[:, order] = B.in_block_order(B.mixed(keys[order]), by_pair, pair_buckets, "totals", FOLDS)
+        return pa.table([*(block.column(c) for c in ("block", "kinds", "ids", "codes")), pa.array([B.pack(c1)], pa.binary()),
+                         pa.array([len(keys)]), pa.array([B.pack(c2)], pa.binary())], schema=_BLOCK)
+
+    pairs = made.select("block", "kinds", "ids", "words", "codes").mapInArrow(send, B.SENT_PHRASES_DDL).groupBy("bucket").applyInArrow(settle, _BACK_DDL)
+    answers = (table.where("block >= 0").select("block", "bucket", "totals", F.lit(False).alias("pair"))
+               .unionByName(pairs.withColumn("pair", F.lit(True))))
+    whole = made.select("block", "kinds", "ids", "words", "codes")
+    return written(whole.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, _BLOCK_DDL), "counted"), totals
+
+
+def counts_of(row: dict, totals: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Totals (fold, word) and (fold, pair) of a block's words, the end among them, and pairs."""
+    c1 = B.unpack(row["c1"], FOLDS * row["kinds"]).reshape(FOLDS, -1)
+    return np.column_stack([c1, totals["texts"]]), B.unpack(row["c2"], FOLDS * row["pairs"]).reshape(FOLDS, -1)
+
+
+def held_out_cells(blocks: DataFrame, totals: dict) -> np.ndarray:
     """Cells of all held-out pairs of the training folds: bucket, weight, pair estimate, word estimate."""
 
     def run(batches):
         for batch in batches:
-            for row in _rows(batch):
-                if not trained(row["grp"]):
-                    continue
-                tokens, texts = totals["folds"][row["grp"]]
-                token, context = tokens_of(row)
-                a, _, n, place = B.phrases(_pair_keys(row, token, context, totals["span"]))
-                one = np.zeros(len(a), np.int64)
-                one[place] = np.arange(len(place))
-                token, context = token[one], context[one]
-                c1 = np.append(B.unpack(row["c1"], row["kinds"]), totals["texts"]) - np.append(B.unpack(row["own1"], row["kinds"]), texts)
-                pair = B.unpack(row["c2"], len(a)) - B.unpack(row["own2"], len(a))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    log2 = np.where(pair > 0, np.log2(pair) - np.log2(c1[context]), 0.0)
-                    log1 = np.where(c1[token] > 0, np.log2(c1[token]) - np.log2(totals["N"] - tokens), 0.0)
-                q2 = np.where(pair > 0, np.floor(log2 * STEPS), _NOTHING).astype(np.int64)
-                q1 = np.where(c1[token] > 0, np.floor(log1 * STEPS), _NOTHING).astype(np.int64)
-                cell, back = np.unique(np.column_stack([bucket_of(c1[context]), q2, q1]), axis=0, return_inverse=True)
-                back = back.ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(cell[:, k]) for k in range(3)), pa.array(np.bincount(back, n).astype(np.int64)),
-                     pa.array(np.bincount(back, n * log2)), pa.array(np.bincount(back, n * log1))],
-                    names=["bucket", "q2", "q1", "weight", "log2", "log1"])
-
-    rows = (paired.mapInArrow(run, _CELLS_DDL).groupBy("bucket", "q2", "q1")
+            for row in B.rows_of(batch):
+                tokens, contexts, counts, _ = own_pairs(row)
+                by_word, by_pair = counts_of(row, totals)
+                for fold in TRAIN:
+                    here = np.flatnonzero(counts[fold])
+                    if not len(here):
+                        continue
+                    others = [f for f in TRAIN if f != fold]
+                    n, token, context = counts[fold, here], tokens[here], contexts[here]
+                    c1, pair = by_word[others].sum(axis=0), by_pair[others][:, here].sum(axis=0)
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        log2 = np.where(pair > 0, np.log2(pair) - np.log2(c1[context]), 0.0)
+                        log1 = np.where(c1[token] > 0, np.log2(c1[token]) - np.log2(totals["tokens"][others].sum()), 0.0)
+                    q2 = np.where(pair > 0, np.floor(log2 * STEPS + 1e-9), _NOTHING).astype(np.int64)
+                    q1 = np.where(c1[token] > 0, np.floor(log1 * STEPS + 1e-9), _NOTHING).astype(np.int64)
+                    cell, back = np.unique(np.column_stack([bucket_of(c1[context]), q2, q1]), axis=0, return_inverse=True)
+                    back = back.ravel()
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(cell[:, k]) for k in range(3)), pa.array(np.bincount(back, n).astype(np.int64)),
+                         pa.array(np.bincount(back, n * log2)), pa.array(np.bincount(back, n * log1))],
+                        names=["bucket", "q2", "q1", "weight", "log2", "log1"])
+
+    rows = (blocks.mapInArrow(run, _CELLS_DDL).groupBy("bucket", "q2", "q1")
             .agg(F.sum("weight").alias("weight"), F.sum("log2").alias("log2"), F.sum("log1").alias("log1"))
             .orderBy("bucket", "q2", "q1").collect())
     return np.array([(r.bucket, r.weight, 2.0 ** (r.log2 / r.weight) if r.q2 != _NOTHING else 0.0,
@@ -212,28 +224,26 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one unigrams) and
     score, the model's log10 probability of the text with its end."""
     session(docs.sparkSession)
-    counted, totals = word_counts(docs, id_col, text_col)
-    paired = pair_counts(counted, totals)
+    blocks, totals = counted_blocks(docs, id_col, text_col)
     N, V = totals["N"], totals["V"]
     uniform = 1.0 / (V + 1)
-    weights = fit_weights(held_out_cells(paired, totals), uniform)
+    weights = fit_weights(held_out_cells(blocks, totals), uniform)
 
     def run(batches):
         for batch in batches:
-            for row in _rows(batch):
-                token, context = tokens_of(row)
-                a, _, _, place = B.phrases(_pair_keys(row, token, context, totals["span"]))
-                c1 = np.append(B.unpack(row["c1"], row["kinds"]), totals["texts"])
-                c2 = B.unpack(row["c2"], len(a))[place]
+            for row in B.rows_of(batch):
+                token, context, ends, fold = tokens_of(row)
+                _, _, _, place = own_pairs(row)
+                by_word, by_pair = counts_of(row, totals)
+                c1, c2 = by_word[TRAIN].sum(axis=0), by_pair[TRAIN].sum(axis=0)[place]
                 lam = weights[bucket_of(c1[context])]
                 p = (lam[:, 0] * (c2 / np.maximum(c1[context], 1)) + lam[:, 1] * (c1[token] / max(N, 1)) + lam[:, 2] * uniform
                      if N else np.ones(len(token)))
-                starts = np.append(0, np.flatnonzero(token == row["kinds"])[:-1] + 1)
-                base = np.log10((c1[token] + 1) / (N + V + 1))
+                starts = np.append(0, ends[:-1] + 1)
                 ids = np.frombuffer(row["ids"], "<i8")
-                n = len(ids)
-                yield arrow(SCORES, doc_id=pa.array(ids, mask=ids == NULL_ID), held_out=[not trained(row["grp"])] * n,
+                yield arrow(SCORES, doc_id=pa.array(ids, mask=ids == NULL_ID), held_out=fold[ends] == TEST_FOLD,
                             n_tokens=np.diff(np.append(starts, len(token))), n_known=np.add.reduceat((c1[token] > 0).astype(np.int64), starts),
-                            train_tokens=[N] * n, base_score=np.add.reduceat(base, starts), score=np.add.reduceat(np.log10(p), starts))
+                            train_tokens=[N] * len(ids), base_score=np.add.reduceat(np.log10((c1[token] + 1) / (N + V + 1)), starts),
+                            score=np.add.reduceat(np.log10(p), starts))
 
-    return paired.mapInArrow(run, SCORES_DDL)
+    return blocks.mapInArrow(run, SCORES_DDL)

@@ -84,19 +84,25 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 
 @_register("op11_collocations", f"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\n-\r]')) AS piece FROM documents),
-cut AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
-sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang),
-at AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut),
-grams AS (SELECT lang, w[i:i + k - 1] AS p FROM at, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w)),
-f AS (SELECT lang, p, count(*)::HUGEINT AS a FROM grams GROUP BY lang, p HAVING count(*) >= 10),
-longer AS (SELECT lang, part, max(a) AS most FROM (SELECT lang, unnest([p[1:2], p[2:3]]) AS part, a FROM f WHERE len(p) = 3) GROUP BY lang, part),
-cuts AS (SELECT c.lang, c.p, c.a, k, l.a AS l, r.a AS r, 1000000 * c.a * c.a // (l.a * r.a) AS score
-  FROM f c, (SELECT unnest([1, 2]) AS k) JOIN f l ON l.lang = c.lang AND l.p = c.p[1:k] JOIN f r ON r.lang = c.lang AND r.p = c.p[k + 1:]
-  WHERE len(c.p) > k),
-best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
-kept AS (SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.part = b.p
-  WHERE o.most IS NULL OR 100 * o.most < 50 * b.a),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+cut AS (SELECT lang, row_number() OVER () AS id, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+words AS (SELECT lang, id, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM cut),
+seq AS (SELECT lang, w1, lead(w1) OVER s AS w2, lead(w1, 2) OVER s AS w3 FROM words WINDOW s AS (PARTITION BY id ORDER BY i)),
+sizes AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+f1 AS (SELECT lang, w1, count(*)::HUGEINT AS a FROM seq GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*)::HUGEINT AS a FROM seq WHERE w2 IS NOT NULL GROUP BY ALL HAVING a >= 10),
+f3 AS (SELECT lang, w1, w2, w3, count(*)::HUGEINT AS a FROM seq WHERE w3 IS NOT NULL GROUP BY ALL HAVING a >= 10),
+longer AS (SELECT lang, w1, w2, max(a) AS most FROM (SELECT lang, w1, w2, a FROM f3 UNION ALL SELECT lang, w2, w3, a FROM f3) GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.a, 1 AS k, x.a AS l, y.a AS r
+  FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2
+    LEFT JOIN longer o ON o.lang = c.lang AND o.w1 = c.w1 AND o.w2 = c.w2 WHERE o.most IS NULL OR 100 * o.most < 50 * c.a
+  UNION ALL SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.a, 1, x.a, y.a
+  FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+  UNION ALL SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.a, 2, x.a, y.a
+  FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w3),
+scored AS (SELECT *, 1000000 * a * a // (l * r) AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
 SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
 FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""")
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

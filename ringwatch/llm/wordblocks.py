@@ -15,7 +15,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -23,33 +22,41 @@ from pyspark.sql import functions as F
 
 from ringwatch.llm.common import part_of, written
 
-#: Words of a block, at least, unless its task ends; and of one bucket, on average.
-BLOCK_WORDS, BUCKET_WORDS, BUCKET_PHRASES, BUCKET_BYTES = 1 << 19, 1 << 19, 1 << 20, 1 << 25
+#: Words of a block, at least, unless its task ends; words, phrases and bytes of words of one bucket, on average.
+BLOCK_WORDS, BUCKET_WORDS, BUCKET_PHRASES, BUCKET_BYTES = 1 << 20, 1 << 19, 1 << 20, 1 << 25
 BLANKS = b" \t\n\x0b\x0c\r"
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 BLOCKS = pa.schema([("block", pa.int64()), ("grp", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64()),
                     ("kinds", pa.int64()), ("word_bytes", pa.int64()), ("ids", pa.binary()),
-                    ("words", pa.list_(pa.binary())), ("codes", pa.binary())])
+                    ("words", pa.binary()), ("codes", pa.binary())])
 BLOCKS_DDL = ("block long, grp string, docs long, tokens long, kinds long, word_bytes long, ids binary, "
-              "words array<binary>, codes binary")
-SENT_WORDS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("grp", pa.string()),
-                        ("words", pa.list_(pa.binary())), ("counts", pa.binary())])
-SENT_WORDS_DDL = "bucket long, block long, grp string, words array<binary>, counts binary"
+              "words binary, codes binary")
+SENT_WORDS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("grp", pa.string()), ("words", pa.binary()),
+                        ("counts", pa.binary())])
+SENT_WORDS_DDL = "bucket long, block long, grp string, words binary, counts binary"
 WORDS_BACK = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("grp", pa.string()), ("n", pa.int64()),
-                        ("top", pa.int64()), ("ids", pa.binary()), ("totals", pa.binary()), ("own", pa.binary()), ("words", pa.list_(pa.binary()))])
-WORDS_BACK_DDL = ("block long, bucket long, grp string, n long, top long, ids binary, totals binary, own binary, "
-                  "words array<binary>")
-SENT_PHRASES = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("grp", pa.string()),
+                        ("top", pa.int64()), ("ids", pa.binary()), ("totals", pa.binary()), ("words", pa.binary())])
+WORDS_BACK_DDL = "block long, bucket long, grp string, n long, top long, ids binary, totals binary, words binary"
+SENT_PHRASES = pa.schema([("bucket", pa.int64()), ("block", pa.int64()),
                           ("a", pa.binary()), ("b", pa.binary()), ("counts", pa.binary())])
-SENT_PHRASES_DDL = "bucket long, block long, grp string, a binary, b binary, counts binary"
+SENT_PHRASES_DDL = "bucket long, block long, a binary, b binary, counts binary"
+_ZSTD = pa.Codec("zstd", 1)
+
+
+def squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + _ZSTD.compress(data, asbytes=True)
+
+
+def spread(data: bytes) -> bytes:
+    return _ZSTD.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Non-negative integers as byte planes, lowest first; planes that are all zero at the top are left out."""
-    v = np.ascontiguousarray(values, "<u8")
+    """Non-negative integers as byte planes, lowest first, compressed; planes that are all zero at the top are left out."""
+    v = np.ascontiguousarray(values, "<u8").ravel()
     planes = (int(v.max()).bit_length() + 7) // 8 if len(v) else 0
-    return bytes([planes]) + v.view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()
+    return bytes([planes]) + squeezed(v.view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()) if planes else b"\0"
 
 
 def unpack(data: bytes, n: int | None = None) -> np.ndarray:
@@ -57,12 +64,30 @@ def unpack(data: bytes, n: int | None = None) -> np.ndarray:
     planes = data[0]
     if not planes:
         return np.zeros(n or 0, np.int64)
-    got = np.frombuffer(data, np.uint8, offset=1).reshape(planes, -1)
+    got = np.frombuffer(spread(data[1:]), np.uint8).reshape(planes, -1)
     out = np.zeros((got.shape[1], 8), np.uint8)
     out[:, :planes] = got.T
     return out.view("<i8").ravel()
 
 
+def pack_words(words: pa.Array) -> bytes:
+    """Words (large binary) as one value: lengths, then bytes."""
+    words = pa.concat_arrays([words])
+    lengths = pack(np.diff(np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1])) if len(words) else b"\0"
+    flat = b"".join(words.to_pylist())
+    return len(words).to_bytes(8, "little") + len(lengths).to_bytes(8, "little") + lengths + squeezed(flat)
+
+
+def unpack_words(data: bytes) -> pa.Array:
+    n, cut_at = int.from_bytes(data[:8], "little"), 16 + int.from_bytes(data[8:16], "little")
+    offsets = np.append(0, np.cumsum(unpack(data[16:cut_at], n)))
+    return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(spread(data[cut_at:]))])
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in words.to_pylist()], np.uint64)
+
+
 def mixed(a: np.ndarray, b: np.ndarray | None = None) -> np.ndarray:
     """A 64-bit hash of each key (a, b)."""
     x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -102,38 +127,38 @@ def cut(texts: pa.Array, blanks: bytes = BLANKS, breaks: bytes = b"", lower: boo
 
 
 def _block(number: int, grp: str, parts: list) -> pa.RecordBatch:
-    """One block of (codes, vocabulary, ids, words) parts: their vocabularies become one."""
+    """One block of (codes, vocabulary, ids, words) parts: their vocabularies become one, the commonest words first."""
     joined = pa.concat_arrays([v for _, v, _, _ in parts]).dictionary_encode()
     new = joined.indices.to_numpy(zero_copy_only=False)
     codes, at = [], 0
     for c, v, _, _ in parts:
-        mine = np.append(new[at:at + len(v)], -1)
-        codes.append(mine[c].astype("<i4"))
+        codes.append(np.append(new[at:at + len(v)], -1)[c])
         at += len(v)
     codes = np.concatenate(codes)
-    words = joined.dictionary.cast(pa.binary())
+    words = joined.dictionary
+    order = np.argsort(-word_counts(codes, len(words)), kind="stable")
+    rank = np.full(len(words) + 1, -1)
+    rank[order] = np.arange(len(words))
     n = sum(w for *_, w in parts)
     return pa.RecordBatch.from_arrays(
         [pa.array([number]), pa.array([grp], pa.string()), pa.array([sum(len(i) for _, _, i, _ in parts)]), pa.array([n]),
          pa.array([len(words)]), pa.array([words.nbytes]), pa.array([b"".join(i.tobytes() for _, _, i, _ in parts)], pa.binary()),
-         pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), pa.array([codes.tobytes()], pa.binary())],
+         pa.array([pack_words(words.take(pa.array(order)))], pa.binary()), pa.array([pack(rank[codes] + 1)], pa.binary())],
         schema=BLOCKS)
 
 
-def blocks(docs: DataFrame, grouped: Callable, breaks: bytes = b"", blanks: bytes = BLANKS,
-           block_words: int | None = None) -> DataFrame:
-    """The blocks of ``docs`` (id long, group column ``grp``, text), written once. ``codes`` are 32-bit
-    places in ``words``, with -1 after every text and, where ``breaks`` are given, at breaks.
-    ``grouped`` maps a batch to its group names, one per row. ``ids`` are the 64-bit numbers of the
-    column ``key``, in the order of the texts' ends. A text is never cut; a block has one text at least."""
-    least = block_words or BLOCK_WORDS
+def blocks(docs: DataFrame, breaks: bytes = b"", blanks: bytes = BLANKS) -> DataFrame:
+    """The blocks of ``docs`` (key long, group name grp, text), written once. ``block_codes`` gives the places
+    of its texts' words in ``words``, with -1 after every text and, where ``breaks`` are given, at breaks; ``ids`` are
+    the keys, as 64-bit numbers, in the order of the texts. A text is never cut; a block has one text at least."""
+    least = BLOCK_WORDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list] = {}
         held: dict[str, int] = {}
         number = TaskContext.get().partitionId() << 24
         for batch in batches:
-            names = np.array(grouped(batch), object)
+            names = np.array(batch.column("grp").to_pylist(), object)
             for name in sorted(set(names)):
                 rows = pa.array(np.flatnonzero(names == name))
                 part = batch.take(rows)
@@ -154,102 +179,96 @@ def blocks(docs: DataFrame, grouped: Callable, breaks: bytes = b"", blanks: byte
             yield _block(number, name, waiting[name])
             number += 1
 
-    return written(docs.mapInArrow(run, BLOCKS_DDL), "blocks", "zstd")
+    return written(docs.mapInArrow(run, BLOCKS_DDL), "blocks")
+
+
+def block_codes(data: bytes) -> np.ndarray:
+    return unpack(data) - 1
+
+
+def word_counts(codes: np.ndarray, kinds: int) -> np.ndarray:
+    return np.bincount(codes[codes >= 0], minlength=kinds)
 
 
-def _lists(values: list) -> pa.Array:
-    """Binary arrays, one per row, as a list column."""
-    at = np.append(0, np.cumsum([len(v) for v in values])).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(at), pa.concat_arrays(values) if values else pa.array([], pa.binary()))
+def _spans(to: np.ndarray):
+    """(names, places of each) of the buckets in ``to``; places keep their order."""
+    order = np.argsort(to, kind="stable")
+    names, first = np.unique(to[order], return_index=True)
+    return names.astype(np.int64), [order[x:y] for x, y in zip(first, np.append(first[1:], len(order)))]
 
 
-def word_table(made: DataFrame, scoped: bool, counted: Callable[[str], bool] = lambda g: True, least: int = 0,
-               keep_words: bool = False) -> tuple[DataFrame, int]:
-    """Exchange of words, written once, and its number of buckets. One row per (block, bucket): number, total and own-group count of each word that
-    the block sent there, in its order. ``scoped``: a word counts per group, else over all groups that
-    ``counted`` accepts. Words with a total of ``least`` or more have numbers from 1 on, others 0. Rows with block -1
-    sum up a bucket (and group): the greatest number (``top``), how many different words have a total above
-    zero (``n``) and, with ``keep_words``, the numbered words, their numbers and totals."""
+def word_table(made: DataFrame, scoped: bool, counted: Callable[[dict], np.ndarray] | None = None, folds: int = 1,
+               learnt: list[int] | None = None, least: int = 0, keep_words: bool = False) -> tuple[DataFrame, int]:
+    """Exchange of words, written once, and its number of buckets.
+
+    ``counted`` gives a block's counts as a table (fold, word), by default all in one fold. One row per (block, bucket)
+    answers the words that the block sent there, in its order: numbers and totals (fold, word). ``scoped``: a word
+    counts per group, else over all. Words with ``least`` occurrences or more in the folds ``learnt`` (all by
+    default) have numbers from 1 on, others 0. Rows with block -1 sum up a bucket (and group): the greatest number
+    (``top``), how many words have a count in those folds (``n``), and with ``keep_words`` the numbered words,
+    their numbers and totals."""
     size = made.agg(F.sum("kinds"), F.sum("word_bytes")).first()
     buckets = max(part_of(size[0] or 0, BUCKET_WORDS), part_of(size[1] or 0, BUCKET_BYTES))
+    use = list(range(folds)) if learnt is None else learnt
 
     def send(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                words = batch.column("words")[i].values
+            for row in rows_of(batch):
+                words = unpack_words(row["words"])
                 if not len(words):
                     continue
-                counts = word_counts(np.frombuffer(batch.column("codes")[i].as_py(), "<i4"), len(words))
-                to = np.array([xxhash.xxh64_intdigest(w) for w in words.to_pylist()], np.uint64) % np.uint64(buckets)
-                order = np.argsort(to, kind="stable")
-                names, first = np.unique(to[order], return_index=True)
-                spans = list(zip(first, np.append(first[1:], len(order))))
-                taken = [words.take(pa.array(order[x:y])) for x, y in spans]
+                counts = counted(row) if counted else word_counts(block_codes(row["codes"]), len(words))[None]
+                names, spans = _spans(word_hashes(words) % np.uint64(buckets))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names.astype(np.int64)), pa.array([batch.column("block")[i].as_py()] * len(names), pa.int64()),
-                     pa.array([batch.column("grp")[i].as_py()] * len(names), pa.string()), _lists(taken),
-                     pa.array([pack(counts[order[x:y]]) for x, y in spans], pa.binary())], schema=SENT_WORDS)
+                    [pa.array(names), pa.array([row["block"]] * len(names), pa.int64()), pa.array([row["grp"]] * len(names), pa.string()),
+                     pa.array([pack_words(words.take(pa.array(x))) for x in spans], pa.binary()),
+                     pa.array([pack(counts[:, x]) for x in spans], pa.binary())], schema=SENT_WORDS)
 
     def settle(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        lists = pa.concat_arrays(table.column("words").chunks)
-        coded = lists.flatten().dictionary_encode()
+        lists = [unpack_words(w) for w in table.column("words").to_pylist()]
+        coded = pa.concat_arrays(lists).dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        each = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        each = np.array([len(x) for x in lists])
         grps = table.column("grp").to_pylist()
-        known = sorted(set(grps))
+        known = sorted(set(grps)) if scoped else [None]
         place = {g: k for k, g in enumerate(known)}
-        g = np.repeat([place[x] for x in grps], each)
-        counts = np.concatenate([unpack(c, k) for c, k in zip(table.column("counts").to_pylist(), each)])
-        cells = code * len(known) + g
-        own = np.zeros(len(coded.dictionary) * len(known), np.int64)
-        np.add.at(own, cells, counts)
-        if scoped:
-            total, key = own, cells
-        else:
-            use = np.array([counted(x) for x in known])
-            total, key = own.reshape(-1, len(known))[:, use].sum(axis=1, dtype=np.int64), code
-        numbered = total >= max(least, 1) if least else np.ones(len(total), bool)
-        if scoped:
-            numbered &= own > 0
-        number = np.zeros(len(total), np.int64)
-        number[numbered] = np.arange(int(numbered.sum())) * buckets + bucket + 1
+        key = code * len(known) + (np.repeat([place[x] for x in grps], each) if scoped else 0)
+        counts = np.concatenate([unpack(c, folds * k).reshape(folds, k) for c, k in zip(table.column("counts").to_pylist(), each)], axis=1)
+        size = len(coded.dictionary) * len(known)
+        total = np.stack([np.bincount(key, f, size).astype(np.int64) for f in counts])
+        seen = total[use].sum(axis=0)
+        numbered = np.flatnonzero((seen >= least) & (total.any(axis=0)))
+        number = np.zeros(size, np.int64)
+        number[numbered] = np.arange(len(numbered)) * buckets + bucket + 1
         at = np.append(0, np.cumsum(each))
-        rows = [(b, grps[r], int(each[r]), 0, pack(number[key[at[r]:at[r + 1]]]), pack(total[key[at[r]:at[r + 1]]]),
-                 b"\0" if scoped else pack(own[cells[at[r]:at[r + 1]]]), None)
-                for r, b in enumerate(table.column("block").to_pylist())]
-        for k, name in enumerate(known if scoped else [None]):
-            mine = np.flatnonzero(numbered)
-            mine = mine[mine % len(known) == k] if scoped else mine
-            mine = mine if keep_words else mine[:0]
-            words = coded.dictionary.take(pa.array(mine // len(known) if scoped else mine)).cast(pa.binary())
-            rows.append((-1, name, int((total > 0).sum()), int(number.max(initial=0)), pack(number[mine]), pack(total[mine]), b"\0", words))
-        cols = list(zip(*rows))
-        words = pa.array([None if w is None else w.to_pylist() for w in cols[7]], pa.list_(pa.binary()))
-        return pa.table([pa.array(cols[0], pa.int64()), pa.array([bucket] * len(rows), pa.int64()), pa.array(cols[1], pa.string()),
-                         pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()),
-                         *(pa.array(cols[k], pa.binary()) for k in (4, 5, 6)), words], schema=WORDS_BACK)
-
-    sent = made.select("block", "grp", "words", "codes").mapInArrow(send, SENT_WORDS_DDL)
-    return written(sent.groupBy("bucket").applyInArrow(settle, WORDS_BACK_DDL), "words", "zstd"), buckets
-
-
-def word_counts(codes: np.ndarray, kinds: int) -> np.ndarray:
-    return np.bincount(codes[codes >= 0], minlength=kinds)
-
-
-def in_block_order(words: pa.Array, back: pa.Table, buckets: int, columns: tuple[str, ...]) -> list[np.ndarray]:
-    """The answers of ``word_table`` to one block, put back into the order of its words."""
-    out = [np.zeros(len(words), np.int64) for _ in columns]
-    if not len(words):
-        return out
-    to = np.array([xxhash.xxh64_intdigest(w) for w in words.to_pylist()], np.uint64) % np.uint64(buckets)
-    order = np.argsort(to, kind="stable")
-    names = back.column("bucket").to_numpy().astype(np.uint64)
-    lo, hi = (np.searchsorted(to[order], names, side) for side in ("left", "right"))
-    for k, name in enumerate(columns):
-        for x, y, data in zip(lo, hi, back.column(name).to_pylist()):
-            out[k][order[x:y]] = unpack(data, y - x)
+        rows = []
+        for r, block in enumerate(table.column("block").to_pylist()):
+            mine = key[at[r]:at[r + 1]]
+            rows.append((block, bucket, grps[r], int(each[r]), 0, pack(number[mine]), pack(total[:, mine]), None))
+        for k, name in enumerate(known):
+            mine = numbered[numbered % len(known) == k] if keep_words else numbered[:0]
+            rows.append((-1, bucket, name, int((seen[k::len(known)] > 0).sum()), int(number.max(initial=0)), pack(number[mine]),
+                         pack(seen[mine]), pack_words(coded.dictionary.take(pa.array(mine // len(known))))))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), WORDS_BACK)], schema=WORDS_BACK)
+
+    sent = made.select("block", "grp", "kinds", "ids", "words", "codes").mapInArrow(send, SENT_WORDS_DDL)
+    return written(sent.groupBy("bucket").applyInArrow(settle, WORDS_BACK_DDL), "words"), buckets
+
+
+def rows_of(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    for i in range(batch.num_rows):
+        yield {f: batch.column(f)[i].as_py() for f in batch.schema.names}
+
+
+def in_block_order(hashes: np.ndarray, back: pa.Table, buckets: int, column: str, folds: int = 1) -> np.ndarray:
+    """The answers to one block, put back into the order in which their hashes are given: (fold, key)."""
+    out = np.zeros((folds, len(hashes)), np.int64)
+    if back.num_rows:
+        names, spans = _spans(hashes % np.uint64(buckets))
+        answers = dict(zip(back.column("bucket").to_pylist(), back.column(column).to_pylist()))
+        for name, x in zip(names.tolist(), spans):
+            out[:, x] = unpack(answers[name], folds * len(x)).reshape(folds, -1)
     return out
 
 
@@ -266,23 +285,21 @@ def phrases(a: np.ndarray, b: np.ndarray | None = None):
     return x[new], y[new], np.bincount(place, minlength=int(new.sum())), place
 
 
-def sent_phrases(block: int, grp: str, a: np.ndarray, b: np.ndarray | None, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """A block's distinct phrases (sorted by (a, b)) as one row per bucket; ``a`` as differences."""
-    to = mixed(a, b) % np.uint64(buckets)
-    order = np.argsort(to, kind="stable")
-    names, first = np.unique(to[order], return_index=True)
-    spans = [order[x:y] for x, y in zip(first, np.append(first[1:], len(order)))]
+def sent_phrases(block: int, a: np.ndarray, b: np.ndarray | None, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A block's distinct phrases (sorted by (a, b)) as one row per bucket; ``a`` as differences, counts as (fold, phrase)."""
+    names, spans = _spans(mixed(a, b) % np.uint64(buckets))
+    counts = np.atleast_2d(counts)
     return pa.RecordBatch.from_arrays(
-        [pa.array(names.astype(np.int64)), pa.array([block] * len(names), pa.int64()), pa.array([grp] * len(names), pa.string()),
+        [pa.array(names), pa.array([block] * len(names), pa.int64()),
          pa.array([pack(np.diff(a[s].astype(np.uint64), prepend=np.uint64(0))) for s in spans], pa.binary()),
          pa.array([b"\0" if b is None else pack(b[s]) for s in spans], pa.binary()),
-         pa.array([pack(counts[s]) for s in spans], pa.binary())], schema=SENT_PHRASES)
+         pa.array([pack(counts[:, s]) for s in spans], pa.binary())], schema=SENT_PHRASES)
 
 
-def received(table: pa.Table, pairs: bool = False):
-    """(a, b, counts, rows per message) of the messages to one bucket."""
+def received(table: pa.Table, two: bool = False, folds: int = 1):
+    """(a, b, counts (fold, phrase), phrases per message) of the messages to one bucket; no ``a`` is zero."""
     a = [np.cumsum(unpack(x).view(np.uint64), dtype=np.uint64) for x in table.column("a").to_pylist()]
     n = [len(x) for x in a]
-    b = [unpack(x, k) for x, k in zip(table.column("b").to_pylist(), n)] if pairs else None
-    counts = [unpack(x, k) for x, k in zip(table.column("counts").to_pylist(), n)]
-    return np.concatenate(a), np.concatenate(b) if pairs else None, np.concatenate(counts), np.array(n)
+    b = [unpack(x, k) for x, k in zip(table.column("b").to_pylist(), n)] if two else None
+    counts = [unpack(x, folds * k).reshape(folds, k) for x, k in zip(table.column("counts").to_pylist(), n)]
+    return np.concatenate(a), np.concatenate(b) if two else None, np.concatenate(counts, axis=1), np.array(n)

@@ -39,7 +39,7 @@ def plain_model(pairs):
             l2 = math.log2(pair / context) if pair else None
             l1 = math.log2(word / rest) if word else None
             bucket = context.bit_length()
-            cell = cells[bucket, None if l2 is None else math.floor(l2 * 16 + 1e-12), None if l1 is None else math.floor(l1 * 16 + 1e-12)]
+            cell = cells[bucket, None if l2 is None else math.floor(l2 * 16 + 1e-9), None if l1 is None else math.floor(l1 * 16 + 1e-9)]
             cell[0] += n
             cell[1] += n * (l2 or 0)
             cell[2] += n * (l1 or 0)

@@ -164,7 +164,7 @@ def numbered_blocks(docs: DataFrame, least: int, text_col: str, lang_col: str):
 
     def join(block: pa.Table, back: pa.Table) -> pa.Table:
         hashes = B.word_hashes(B.unpack_words(block.column("words")[0].as_py()))
-        ids = B.in_block_order(hashes, back, buckets, "ids")
+        ids = B.in_block_order(hashes % np.uint64(buckets), back, "ids")
         return pa.table([block.column("block"), block.column("codes"), pa.array([B.pack(ids)], pa.binary()),
                          pa.array([len(hashes)], pa.int64())], schema=_NUMBERED)
 

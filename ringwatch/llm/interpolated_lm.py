@@ -11,8 +11,8 @@ The score then uses the counts of all training texts.
 All counts come from whole training texts, by exchange between blocks and buckets
 (``wordblocks``): a block sends its distinct words, then its distinct pairs, and gets the
 totals and its own fold's counts back, so no table of counts is ever broadcast. Words
-are compared as strings, pairs by a 64-bit hash of their words' hashes (of n different pairs
-about n^2 / 2^65 share one, and then their counts). The expectation step needs, per held-out pair, only its two estimates; the
+are compared as strings, pairs by a 56-bit hash of their words' hashes (of n different pairs
+about n^2 / 2^57 share one, and then their counts). The expectation step needs, per held-out pair, only its two estimates; the
 pairs are summed up in cells (bucket, estimates to a sixteenth of a power of two, with
 their mean logarithm), a bounded table whatever the corpus, on which the driver runs
 the iterations.
@@ -111,10 +111,15 @@ def fit_weights(cells: np.ndarray, uniform: float) -> np.ndarray:
     return out
 
 
-def pair_hashes(words: bytes, token: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """64-bit keys of pairs, from those of their words; the end has its own. No key is zero."""
-    own = np.append(B.word_hashes(B.unpack_words(words)), np.uint64(0x632BE59BD9B4E019))
-    return np.maximum(B.mixed(own[context], own[token]), np.uint64(1))
+def pair_keys(hashes: np.ndarray, token: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """56-bit keys of pairs, from the hashes of the block's words; the end has its own. No key is zero."""
+    own = np.append(hashes, np.uint64(0x632BE59BD9B4E019))
+    return np.maximum(B.mixed(own[context], own[token]) >> np.uint64(8), np.uint64(1))
+
+
+def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Equal ranges of the keys, so that those of one bucket differ in fewer bits."""
+    return keys // np.uint64(-(-(1 << 56) // buckets))
 
 
 def counted_blocks(docs: DataFrame, id_col: str, text_col: str):
@@ -149,9 +154,9 @@ def counted_blocks(docs: DataFrame, id_col: str, text_col: str):
         for batch in batches:
             for row in B.rows_of(batch):
                 token, context, counts, _ = own_pairs(row)
-                keys = pair_hashes(row["words"], token, context)
+                keys = pair_keys(B.word_hashes(B.unpack_words(row["words"])), token, context)
                 order = np.argsort(keys)
-                yield B.sent_phrases(row["block"], keys[order], None, counts[:, order], pair_buckets)
+                yield B.sent_phrases(row["block"], keys[order], None, counts[:, order], pair_buckets, buckets_of(keys[order], pair_buckets))
 
     def settle(sent: pa.Table) -> pa.Table:
         key, _, counts, each = B.received(sent, folds=FOLDS)
@@ -159,19 +164,20 @@ def counted_blocks(docs: DataFrame, id_col: str, text_col: str):
         total = np.stack([np.bincount(place, f, len(distinct)) for f in counts]).astype(np.int64)
         at = np.append(0, np.cumsum(each))
         return pa.table([sent.column("block"), sent.column("bucket"),
-                         pa.array([B.pack(total[:, place[x:y]]) for x, y in zip(at, at[1:])], pa.binary())], names=["block", "bucket", "totals"])
+                         pa.array([B.pack_counts(total[:, place[x:y]]) for x, y in zip(at, at[1:])], pa.binary())], names=["block", "bucket", "totals"])
 
     def join(block: pa.Table, back: pa.Table) -> pa.Table:
         row = next(B.rows_of(block))
         token, context, _, _ = own_pairs(row)
-        keys = pair_hashes(row["words"], token, context)
+        hashes = B.word_hashes(B.unpack_words(row["words"]))
+        keys = pair_keys(hashes, token, context)
         order = np.argsort(keys)
         by_word, by_pair = (back.filter(pa.compute.equal(back.column("pair"), k)) for k in (False, True))
-        c1 = B.in_block_order(B.word_hashes(B.unpack_words(row["words"])), by_word, word_buckets, "totals", FOLDS)
+        c1 = B.in_block_order(hashes % np.uint64(word_buckets), by_word, "totals", FOLDS)
         c2 = np.zeros((FOLDS, len(keys)), np.int64)
-        c2[:, order] = B.in_block_order(B.mixed(keys[order]), by_pair, pair_buckets, "totals", FOLDS)
-        return pa.table([*(block.column(c) for c in ("block", "kinds", "ids", "codes")), pa.array([B.pack(c1)], pa.binary()),
-                         pa.array([len(keys)]), pa.array([B.pack(c2)], pa.binary())], schema=_BLOCK)
+        c2[:, order] = B.in_block_order(buckets_of(keys[order], pair_buckets), by_pair, "totals", FOLDS)
+        return pa.table([*(block.column(c) for c in ("block", "kinds", "ids", "codes")), pa.array([B.pack_counts(c1)], pa.binary()),
+                         pa.array([len(keys)]), pa.array([B.pack_counts(c2)], pa.binary())], schema=_BLOCK)
 
     pairs = made.select("block", "kinds", "ids", "words", "codes").mapInArrow(send, B.SENT_PHRASES_DDL).groupBy("bucket").applyInArrow(settle, _BACK_DDL)
     answers = (table.where("block >= 0").select("block", "bucket", "totals", F.lit(False).alias("pair"))
@@ -182,8 +188,8 @@ def counted_blocks(docs: DataFrame, id_col: str, text_col: str):
 
 def counts_of(row: dict, totals: dict) -> tuple[np.ndarray, np.ndarray]:
     """Totals (fold, word) and (fold, pair) of a block's words, the end among them, and pairs."""
-    c1 = B.unpack(row["c1"], FOLDS * row["kinds"]).reshape(FOLDS, -1)
-    return np.column_stack([c1, totals["texts"]]), B.unpack(row["c2"], FOLDS * row["pairs"]).reshape(FOLDS, -1)
+    c1 = B.unpack_counts(row["c1"], FOLDS, row["kinds"])
+    return np.column_stack([c1, totals["texts"]]), B.unpack_counts(row["c2"], FOLDS, row["pairs"])
 
 
 def held_out_cells(blocks: DataFrame, totals: dict) -> np.ndarray:

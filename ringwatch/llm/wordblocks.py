@@ -70,6 +70,28 @@ def unpack(data: bytes, n: int | None = None) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """A table (fold, key) of counts, nearly all zero: its cells in the order of the keys, as fold (and whether the key
+    is a new one) and count less one. Every key has a cell; up to 127 folds."""
+    if len(counts) == 1:
+        return pack(counts)
+    fold_last = np.ascontiguousarray(counts.T)
+    key, fold = np.nonzero(fold_last)
+    new = np.append(True, key[1:] != key[:-1])[:len(key)]
+    cells = squeezed((fold + 128 * new).astype(np.uint8).tobytes())
+    return len(cells).to_bytes(8, "little") + cells + pack(fold_last[key, fold] - 1)
+
+
+def unpack_counts(data: bytes, folds: int, n: int) -> np.ndarray:
+    if folds == 1:
+        return unpack(data, n)[None]
+    size = int.from_bytes(data[:8], "little")
+    cells = np.frombuffer(spread(data[8:8 + size]), np.uint8)
+    out = np.zeros((folds, n), np.int64)
+    out[cells & 127, np.cumsum(cells >> 7, dtype=np.int64) - 1] = unpack(data[8 + size:], len(cells)) + 1
+    return out
+
+
 def pack_words(words: pa.Array) -> bytes:
     """Words (large binary) as one value: lengths, then bytes."""
     words = pa.concat_arrays([words])
@@ -222,7 +244,7 @@ def word_table(made: DataFrame, scoped: bool, counted: Callable[[dict], np.ndarr
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names), pa.array([row["block"]] * len(names), pa.int64()), pa.array([row["grp"]] * len(names), pa.string()),
                      pa.array([pack_words(words.take(pa.array(x))) for x in spans], pa.binary()),
-                     pa.array([pack(counts[:, x]) for x in spans], pa.binary())], schema=SENT_WORDS)
+                     pa.array([pack_counts(counts[:, x]) for x in spans], pa.binary())], schema=SENT_WORDS)
 
     def settle(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -234,7 +256,7 @@ def word_table(made: DataFrame, scoped: bool, counted: Callable[[dict], np.ndarr
         known = sorted(set(grps)) if scoped else [None]
         place = {g: k for k, g in enumerate(known)}
         key = code * len(known) + (np.repeat([place[x] for x in grps], each) if scoped else 0)
-        counts = np.concatenate([unpack(c, folds * k).reshape(folds, k) for c, k in zip(table.column("counts").to_pylist(), each)], axis=1)
+        counts = np.concatenate([unpack_counts(c, folds, k) for c, k in zip(table.column("counts").to_pylist(), each)], axis=1)
         size = len(coded.dictionary) * len(known)
         total = np.stack([np.bincount(key, f, size).astype(np.int64) for f in counts])
         seen = total[use].sum(axis=0)
@@ -245,7 +267,7 @@ def word_table(made: DataFrame, scoped: bool, counted: Callable[[dict], np.ndarr
         rows = []
         for r, block in enumerate(table.column("block").to_pylist()):
             mine = key[at[r]:at[r + 1]]
-            rows.append((block, bucket, grps[r], int(each[r]), 0, pack(number[mine]), pack(total[:, mine]), None))
+            rows.append((block, bucket, grps[r], int(each[r]), 0, pack(number[mine]), pack_counts(total[:, mine]), None))
         for k, name in enumerate(known):
             mine = numbered[numbered % len(known) == k] if keep_words else numbered[:0]
             rows.append((-1, bucket, name, int((seen[k::len(known)] > 0).sum()), int(number.max(initial=0)), pack(number[mine]),
@@ -261,14 +283,14 @@ def rows_of(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
         yield {f: batch.column(f)[i].as_py() for f in batch.schema.names}
 
 
-def in_block_order(hashes: np.ndarray, back: pa.Table, buckets: int, column: str, folds: int = 1) -> np.ndarray:
-    """The answers to one block, put back into the order in which their hashes are given: (fold, key)."""
-    out = np.zeros((folds, len(hashes)), np.int64)
+def in_block_order(to: np.ndarray, back: pa.Table, column: str, folds: int = 1) -> np.ndarray:
+    """The answers to one block (fold, key), put back into the order of its keys, whose buckets are ``to``."""
+    out = np.zeros((folds, len(to)), np.int64)
     if back.num_rows:
-        names, spans = _spans(hashes % np.uint64(buckets))
+        names, spans = _spans(to)
         answers = dict(zip(back.column("bucket").to_pylist(), back.column(column).to_pylist()))
         for name, x in zip(names.tolist(), spans):
-            out[:, x] = unpack(answers[name], folds * len(x)).reshape(folds, -1)
+            out[:, x] = unpack_counts(answers[name], folds, len(x))
     return out
 
 
@@ -285,15 +307,17 @@ def phrases(a: np.ndarray, b: np.ndarray | None = None):
     return x[new], y[new], np.bincount(place, minlength=int(new.sum())), place
 
 
-def sent_phrases(block: int, a: np.ndarray, b: np.ndarray | None, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """A block's distinct phrases (sorted by (a, b)) as one row per bucket; ``a`` as differences, counts as (fold, phrase)."""
-    names, spans = _spans(mixed(a, b) % np.uint64(buckets))
+def sent_phrases(block: int, a: np.ndarray, b: np.ndarray | None, counts: np.ndarray, buckets: int,
+                 to: np.ndarray | None = None) -> pa.RecordBatch:
+    """A block's distinct phrases (sorted by (a, b)) as one row per bucket, by hash or as ``to`` says; ``a`` as
+    differences, counts as (fold, phrase)."""
+    names, spans = _spans(mixed(a, b) % np.uint64(buckets) if to is None else to)
     counts = np.atleast_2d(counts)
     return pa.RecordBatch.from_arrays(
         [pa.array(names), pa.array([block] * len(names), pa.int64()),
          pa.array([pack(np.diff(a[s].astype(np.uint64), prepend=np.uint64(0))) for s in spans], pa.binary()),
          pa.array([b"\0" if b is None else pack(b[s]) for s in spans], pa.binary()),
-         pa.array([pack(counts[:, s]) for s in spans], pa.binary())], schema=SENT_PHRASES)
+         pa.array([pack_counts(counts[:, s]) for s in spans], pa.binary())], schema=SENT_PHRASES)
 
 
 def received(table: pa.Table, two: bool = False, folds: int = 1):
@@ -301,5 +325,5 @@ def received(table: pa.Table, two: bool = False, folds: int = 1):
     a = [np.cumsum(unpack(x).view(np.uint64), dtype=np.uint64) for x in table.column("a").to_pylist()]
     n = [len(x) for x in a]
     b = [unpack(x, k) for x, k in zip(table.column("b").to_pylist(), n)] if two else None
-    counts = [unpack(x, folds * k).reshape(folds, k) for x, k in zip(table.column("counts").to_pylist(), n)]
+    counts = [unpack_counts(x, folds, k) for x, k in zip(table.column("counts").to_pylist(), n)]
     return np.concatenate(a), np.concatenate(b) if two else None, np.concatenate(counts, axis=1), np.array(n)

@@ -45,9 +45,9 @@ NULL_ID = -(1 << 63)
 STEPS, ROUNDS, CLOSE = 16, 200, 1e-9
 
 _BLOCK = pa.schema([("block", pa.int64()), ("kinds", pa.int64()), ("ids", pa.binary()), ("codes", pa.binary()),
-                    ("c1", pa.binary()), ("pairs", pa.int64()), ("c2", pa.binary())])
-_BLOCK_DDL = "block long, kinds long, ids binary, codes binary, c1 binary, pairs long, c2 binary"
-_BACK_DDL = "block long, bucket long, totals binary"
+                    ("c1", pa.binary()), ("own1", pa.binary()), ("c2", pa.binary()), ("own2", pa.binary())])
+_BLOCK_DDL = "block long, kinds long, ids binary, codes binary, c1 binary, own1 binary, c2 binary, own2 binary"
+_BACK_DDL = "block long, bucket long, totals binary, own binary"
 _CELLS_DDL = "bucket long, q2 long, q1 long, weight long, log2 double, log1 double"
 _NOTHING = -(1 << 40)
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -111,6 +111,13 @@ def fit_weights(cells: np.ndarray, uniform: float) -> np.ndarray:
     return out
 
 
+def own_words(row: dict) -> np.ndarray:
+    """Counts (fold, word) of a block's words."""
+    token, _, _, fold = tokens_of(row)
+    size = row["kinds"] + 1
+    return np.bincount(fold * size + token, minlength=FOLDS * size).reshape(FOLDS, size)[:, :-1]
+
+
 def pair_keys(hashes: np.ndarray, token: np.ndarray, context: np.ndarray) -> np.ndarray:
     """56-bit keys of pairs, from the hashes of the block's words; the end has its own. No key is zero."""
     own = np.append(hashes, np.uint64(0x632BE59BD9B4E019))
@@ -129,11 +136,6 @@ def counted_blocks(docs: DataFrame, id_col: str, text_col: str):
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     made = B.blocks(rows)
 
-    def count(row: dict) -> np.ndarray:
-        token, _, _, fold = tokens_of(row)
-        size = row["kinds"] + 1
-        return np.bincount(fold * size + token, minlength=FOLDS * size).reshape(FOLDS, size)[:, :-1]
-
     def measure(batches):
         for batch in batches:
             for row in B.rows_of(batch):
@@ -145,7 +147,7 @@ def counted_blocks(docs: DataFrame, id_col: str, text_col: str):
              .groupBy("fold").agg(F.sum("tokens").alias("tokens"), F.sum("texts").alias("texts")).collect()}
     tokens = np.array([sizes[f].tokens if sizes else 0 for f in range(FOLDS)], np.int64)
     texts = np.array([sizes[f].texts if sizes else 0 for f in range(FOLDS)], np.int64)
-    table, word_buckets = B.word_table(made, False, count, FOLDS, TRAIN, least=1)
+    table, word_buckets = B.word_table(made, False, own_words, FOLDS, TRAIN, least=1)
     found = table.where("block < 0").agg(F.sum("n")).first()[0] or 0
     totals = {"N": int(tokens[TRAIN].sum()), "V": found + int(texts[TRAIN].sum() > 0), "tokens": tokens, "texts": texts}
     pair_buckets = part_of(int(tokens.sum()), B.BUCKET_PHRASES)
@@ -161,35 +163,46 @@ def counted_blocks(docs: DataFrame, id_col: str, text_col: str):
     def settle(sent: pa.Table) -> pa.Table:
         key, _, counts, each = B.received(sent, folds=FOLDS)
         distinct, place = np.unique(key, return_inverse=True)
-        total = np.stack([np.bincount(place, f, len(distinct)) for f in counts]).astype(np.int64)
         at = np.append(0, np.cumsum(each))
+        k, f = B.cells(counts)
+        of_fold = np.bincount(place[k] * FOLDS + f, counts[f, k], FOLDS * len(distinct)).astype(np.int64).reshape(-1, FOLDS)
+        total = of_fold[:, TRAIN].sum(axis=1)[place]
+        own = of_fold[place[k], f]
+        edge = np.searchsorted(k, at)
         return pa.table([sent.column("block"), sent.column("bucket"),
-                         pa.array([B.pack_counts(total[:, place[x:y]]) for x, y in zip(at, at[1:])], pa.binary())], names=["block", "bucket", "totals"])
+                         pa.array([B.pack(total[x:y]) for x, y in zip(at, at[1:])], pa.binary()),
+                         pa.array([B.pack(own[x:y]) for x, y in zip(edge, edge[1:])], pa.binary())],
+                        names=["block", "bucket", "totals", "own"])
 
     def join(block: pa.Table, back: pa.Table) -> pa.Table:
         row = next(B.rows_of(block))
-        token, context, _, _ = own_pairs(row)
+        token, context, counts, _ = own_pairs(row)
         hashes = B.word_hashes(B.unpack_words(row["words"]))
-        keys = pair_keys(hashes, token, context)
-        order = np.argsort(keys)
         by_word, by_pair = (back.filter(pa.compute.equal(back.column("pair"), k)) for k in (False, True))
-        c1 = B.in_block_order(hashes % np.uint64(word_buckets), by_word, "totals", FOLDS)
-        c2 = np.zeros((FOLDS, len(keys)), np.int64)
-        c2[:, order] = B.in_block_order(buckets_of(keys[order], pair_buckets), by_pair, "totals", FOLDS)
-        return pa.table([*(block.column(c) for c in ("block", "kinds", "ids", "codes")), pa.array([B.pack_counts(c1)], pa.binary()),
-                         pa.array([len(keys)]), pa.array([B.pack_counts(c2)], pa.binary())], schema=_BLOCK)
+        out = []
+        for tally, to, answers in ((own_words(row), hashes % np.uint64(word_buckets), by_word), (counts, None, by_pair)):
+            order = slice(None)
+            if to is None:
+                keys = pair_keys(hashes, token, context)
+                order = np.argsort(keys)
+                to = buckets_of(keys[order], pair_buckets)
+            total, own = np.zeros(tally.shape[1], np.int64), np.zeros(tally.shape, np.int64)
+            total[order] = B.in_block_order(to, answers, "totals")
+            own[:, order] = B.in_block_order(to, answers, "own", tally[:, order])
+            k, f = B.cells(tally)
+            out += [B.pack(total), B.pack(own[f, k])]
+        return pa.table([*(block.column(c) for c in ("block", "kinds", "ids", "codes")), *(pa.array([x], pa.binary()) for x in out)], schema=_BLOCK)
 
     pairs = made.select("block", "kinds", "ids", "words", "codes").mapInArrow(send, B.SENT_PHRASES_DDL).groupBy("bucket").applyInArrow(settle, _BACK_DDL)
-    answers = (table.where("block >= 0").select("block", "bucket", "totals", F.lit(False).alias("pair"))
+    answers = (table.where("block >= 0").select("block", "bucket", "totals", "own", F.lit(False).alias("pair"))
                .unionByName(pairs.withColumn("pair", F.lit(True))))
     whole = made.select("block", "kinds", "ids", "words", "codes")
     return written(whole.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, _BLOCK_DDL), "counted"), totals
 
 
-def counts_of(row: dict, totals: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Totals (fold, word) and (fold, pair) of a block's words, the end among them, and pairs."""
-    c1 = B.unpack_counts(row["c1"], FOLDS, row["kinds"])
-    return np.column_stack([c1, totals["texts"]]), B.unpack_counts(row["c2"], FOLDS, row["pairs"])
+def word_totals(row: dict, totals: dict) -> np.ndarray:
+    """Training counts of a block's words, and of the end."""
+    return np.append(B.unpack(row["c1"], row["kinds"]), totals["texts"][TRAIN].sum())
 
 
 def held_out_cells(blocks: DataFrame, totals: dict) -> np.ndarray:
@@ -199,17 +212,24 @@ def held_out_cells(blocks: DataFrame, totals: dict) -> np.ndarray:
         for batch in batches:
             for row in B.rows_of(batch):
                 tokens, contexts, counts, _ = own_pairs(row)
-                by_word, by_pair = counts_of(row, totals)
+                all1, all2 = word_totals(row, totals), B.unpack(row["c2"], len(tokens))
+                words = own_words(row)
+                k, f = B.cells(words)
+                of_fold = np.zeros(words.shape, np.int64)
+                of_fold[f, k] = B.unpack(row["own1"], len(k))
+                of_fold = np.column_stack([of_fold, totals["texts"]])
+                pairs, folds = B.cells(counts)
+                own2 = B.unpack(row["own2"], len(pairs))
                 for fold in TRAIN:
-                    here = np.flatnonzero(counts[fold])
+                    here = np.flatnonzero(folds == fold)
                     if not len(here):
                         continue
-                    others = [f for f in TRAIN if f != fold]
-                    n, token, context = counts[fold, here], tokens[here], contexts[here]
-                    c1, pair = by_word[others].sum(axis=0), by_pair[others][:, here].sum(axis=0)
+                    at = pairs[here]
+                    n, token, context = counts[fold, at], tokens[at], contexts[at]
+                    c1, pair = all1 - of_fold[fold], all2[at] - own2[here]
                     with np.errstate(divide="ignore", invalid="ignore"):
                         log2 = np.where(pair > 0, np.log2(pair) - np.log2(c1[context]), 0.0)
-                        log1 = np.where(c1[token] > 0, np.log2(c1[token]) - np.log2(totals["tokens"][others].sum()), 0.0)
+                        log1 = np.where(c1[token] > 0, np.log2(c1[token]) - np.log2(totals["N"] - totals["tokens"][fold]), 0.0)
                     q2 = np.where(pair > 0, np.floor(log2 * STEPS + 1e-9), _NOTHING).astype(np.int64)
                     q1 = np.where(c1[token] > 0, np.floor(log1 * STEPS + 1e-9), _NOTHING).astype(np.int64)
                     cell, back = np.unique(np.column_stack([bucket_of(c1[context]), q2, q1]), axis=0, return_inverse=True)
@@ -240,8 +260,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             for row in B.rows_of(batch):
                 token, context, ends, fold = tokens_of(row)
                 _, _, _, place = own_pairs(row)
-                by_word, by_pair = counts_of(row, totals)
-                c1, c2 = by_word[TRAIN].sum(axis=0), by_pair[TRAIN].sum(axis=0)[place]
+                c1 = word_totals(row, totals)
+                c2 = B.unpack(row["c2"], int(place.max()) + 1)[place]
                 lam = weights[bucket_of(c1[context])]
                 p = (lam[:, 0] * (c2 / np.maximum(c1[context], 1)) + lam[:, 1] * (c1[token] / max(N, 1)) + lam[:, 2] * uniform
                      if N else np.ones(len(token)))

@@ -36,8 +36,8 @@ SENT_WORDS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("grp", p
                         ("counts", pa.binary())])
 SENT_WORDS_DDL = "bucket long, block long, grp string, words binary, counts binary"
 WORDS_BACK = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("grp", pa.string()), ("n", pa.int64()),
-                        ("top", pa.int64()), ("ids", pa.binary()), ("totals", pa.binary()), ("words", pa.binary())])
-WORDS_BACK_DDL = "block long, bucket long, grp string, n long, top long, ids binary, totals binary, words binary"
+                        ("top", pa.int64()), ("ids", pa.binary()), ("totals", pa.binary()), ("own", pa.binary()), ("words", pa.binary())])
+WORDS_BACK_DDL = "block long, bucket long, grp string, n long, top long, ids binary, totals binary, own binary, words binary"
 SENT_PHRASES = pa.schema([("bucket", pa.int64()), ("block", pa.int64()),
                           ("a", pa.binary()), ("b", pa.binary()), ("counts", pa.binary())])
 SENT_PHRASES_DDL = "bucket long, block long, a binary, b binary, counts binary"
@@ -92,6 +92,11 @@ def unpack_counts(data: bytes, folds: int, n: int) -> np.ndarray:
     return out
 
 
+def cells(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, folds) of the cells that are not zero, by key."""
+    return np.nonzero(np.ascontiguousarray(counts.T))
+
+
 def pack_words(words: pa.Array) -> bytes:
     """Words (large binary) as one value: lengths, then bytes."""
     words = pa.concat_arrays([words])
@@ -224,9 +229,9 @@ def word_table(made: DataFrame, scoped: bool, counted: Callable[[dict], np.ndarr
     """Exchange of words, written once, and its number of buckets.
 
     ``counted`` gives a block's counts as a table (fold, word), by default all in one fold. One row per (block, bucket)
-    answers the words that the block sent there, in its order: numbers and totals (fold, word). ``scoped``: a word
-    counts per group, else over all. Words with ``least`` occurrences or more in the folds ``learnt`` (all by
-    default) have numbers from 1 on, others 0. Rows with block -1 sum up a bucket (and group): the greatest number
+    answers the words that the block sent there, in its order: numbers, totals over the folds ``learnt`` (all by
+    default) and, with several folds, the fold's total for each cell of the message. ``scoped``: a word
+    counts per group, else over all. Words with ``least`` occurrences or more in those folds have numbers from 1 on, others 0. Rows with block -1 sum up a bucket (and group): the greatest number
     (``top``), how many words have a count in those folds (``n``), and with ``keep_words`` the numbered words,
     their numbers and totals."""
     size = made.agg(F.sum("kinds"), F.sum("word_bytes")).first()
@@ -267,11 +272,12 @@ def word_table(made: DataFrame, scoped: bool, counted: Callable[[dict], np.ndarr
         rows = []
         for r, block in enumerate(table.column("block").to_pylist()):
             mine = key[at[r]:at[r + 1]]
-            rows.append((block, bucket, grps[r], int(each[r]), 0, pack(number[mine]), pack_counts(total[:, mine]), None))
+            k, f = cells(counts[:, at[r]:at[r + 1]]) if folds > 1 else (mine[:0], mine[:0])
+            rows.append((block, bucket, grps[r], int(each[r]), 0, pack(number[mine]), pack(seen[mine]), pack(total[f, mine[k]]), None))
         for k, name in enumerate(known):
             mine = numbered[numbered % len(known) == k] if keep_words else numbered[:0]
             rows.append((-1, bucket, name, int((seen[k::len(known)] > 0).sum()), int(number.max(initial=0)), pack(number[mine]),
-                         pack(seen[mine]), pack_words(coded.dictionary.take(pa.array(mine // len(known))))))
+                         pack(seen[mine]), b"\0", pack_words(coded.dictionary.take(pa.array(mine // len(known))))))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), WORDS_BACK)], schema=WORDS_BACK)
 
     sent = made.select("block", "grp", "kinds", "ids", "words", "codes").mapInArrow(send, SENT_WORDS_DDL)
@@ -283,14 +289,19 @@ def rows_of(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
         yield {f: batch.column(f)[i].as_py() for f in batch.schema.names}
 
 
-def in_block_order(to: np.ndarray, back: pa.Table, column: str, folds: int = 1) -> np.ndarray:
-    """The answers to one block (fold, key), put back into the order of its keys, whose buckets are ``to``."""
-    out = np.zeros((folds, len(to)), np.int64)
+def in_block_order(to: np.ndarray, back: pa.Table, column: str, counts: np.ndarray | None = None) -> np.ndarray:
+    """The answers to one block, put back into the order of its keys, whose buckets are ``to``; with ``counts``, the
+    answers for their cells, as a table like it."""
+    out = np.zeros(len(to) if counts is None else counts.shape, np.int64)
     if back.num_rows:
         names, spans = _spans(to)
         answers = dict(zip(back.column("bucket").to_pylist(), back.column(column).to_pylist()))
         for name, x in zip(names.tolist(), spans):
-            out[:, x] = unpack_counts(answers[name], folds, len(x))
+            if counts is None:
+                out[x] = unpack(answers[name], len(x))
+            else:
+                k, f = cells(counts[:, x])
+                out[f, x[k]] = unpack(answers[name], len(k))
     return out
 
 

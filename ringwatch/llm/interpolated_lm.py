@@ -49,7 +49,8 @@ _BLOCK = pa.schema([("block", pa.int64()), ("kinds", pa.int64()), ("ids", pa.bin
 _BLOCK_DDL = "block long, kinds long, ids binary, codes binary, c1 binary, own1 binary, c2 binary, own2 binary"
 _BACK_DDL = "block long, bucket long, totals binary, own binary"
 _CELLS_DDL = "bucket long, q2 long, q1 long, weight long, log2 double, log1 double"
-_NOTHING = -(1 << 40)
+#: Places of a cell's estimate: 0 for none, else its logarithm above 2^-63, in steps.
+GRID = 64 * STEPS
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                     ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 SCORES_DDL = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
@@ -205,10 +206,17 @@ def word_totals(row: dict, totals: dict) -> np.ndarray:
     return np.append(B.unpack(row["c1"], row["kinds"]), totals["texts"][TRAIN].sum())
 
 
+def summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(distinct keys, sums of each of the values)."""
+    distinct, place = np.unique(key, return_inverse=True)
+    return distinct, *(np.bincount(place, v) for v in values)
+
+
 def held_out_cells(blocks: DataFrame, totals: dict) -> np.ndarray:
     """Cells of all held-out pairs of the training folds: bucket, weight, pair estimate, word estimate."""
 
     def run(batches):
+        held, waiting = [], 0
         for batch in batches:
             for row in B.rows_of(batch):
                 tokens, contexts, counts, _ = own_pairs(row)
@@ -218,32 +226,33 @@ def held_out_cells(blocks: DataFrame, totals: dict) -> np.ndarray:
                 of_fold = np.zeros(words.shape, np.int64)
                 of_fold[f, k] = B.unpack(row["own1"], len(k))
                 of_fold = np.column_stack([of_fold, totals["texts"]])
-                pairs, folds = B.cells(counts)
-                own2 = B.unpack(row["own2"], len(pairs))
-                for fold in TRAIN:
-                    here = np.flatnonzero(folds == fold)
-                    if not len(here):
-                        continue
-                    at = pairs[here]
-                    n, token, context = counts[fold, at], tokens[at], contexts[at]
-                    c1, pair = all1 - of_fold[fold], all2[at] - own2[here]
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        log2 = np.where(pair > 0, np.log2(pair) - np.log2(c1[context]), 0.0)
-                        log1 = np.where(c1[token] > 0, np.log2(c1[token]) - np.log2(totals["N"] - totals["tokens"][fold]), 0.0)
-                    q2 = np.where(pair > 0, np.floor(log2 * STEPS + 1e-9), _NOTHING).astype(np.int64)
-                    q1 = np.where(c1[token] > 0, np.floor(log1 * STEPS + 1e-9), _NOTHING).astype(np.int64)
-                    cell, back = np.unique(np.column_stack([bucket_of(c1[context]), q2, q1]), axis=0, return_inverse=True)
-                    back = back.ravel()
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(cell[:, k]) for k in range(3)), pa.array(np.bincount(back, n).astype(np.int64)),
-                         pa.array(np.bincount(back, n * log2)), pa.array(np.bincount(back, n * log1))],
-                        names=["bucket", "q2", "q1", "weight", "log2", "log1"])
+                at, fold = B.cells(counts)
+                learnt = fold != TEST_FOLD
+                pair = (all2[at] - B.unpack(row["own2"], len(at)))[learnt]
+                at, fold = at[learnt], fold[learnt]
+                n, token, context = counts[fold, at], tokens[at], contexts[at]
+                before, word = all1[context] - of_fold[fold, context], all1[token] - of_fold[fold, token]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    log2 = np.where(pair > 0, np.log2(pair) - np.log2(before), 0.0)
+                    log1 = np.where(word > 0, np.log2(word) - np.log2(totals["N"] - totals["tokens"])[fold], 0.0)
+                q2 = np.where(pair > 0, np.floor(log2 * STEPS + 1e-9) + GRID - 1, 0).astype(np.int64)
+                q1 = np.where(word > 0, np.floor(log1 * STEPS + 1e-9) + GRID - 1, 0).astype(np.int64)
+                held.append(summed((bucket_of(before) * GRID + q2) * GRID + q1, n, n * log2, n * log1))
+                waiting += len(held[-1][0])
+                if waiting > 1 << 22:
+                    held = [summed(*map(np.concatenate, zip(*held)))]
+                    waiting = len(held[0][0])
+        if held:
+            cell, *sums = summed(*map(np.concatenate, zip(*held)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (cell // GRID // GRID, cell // GRID % GRID, cell % GRID, sums[0].astype(np.int64), *sums[1:])],
+                names=["bucket", "q2", "q1", "weight", "log2", "log1"])
 
     rows = (blocks.mapInArrow(run, _CELLS_DDL).groupBy("bucket", "q2", "q1")
             .agg(F.sum("weight").alias("weight"), F.sum("log2").alias("log2"), F.sum("log1").alias("log1"))
             .orderBy("bucket", "q2", "q1").collect())
-    return np.array([(r.bucket, r.weight, 2.0 ** (r.log2 / r.weight) if r.q2 != _NOTHING else 0.0,
-                      2.0 ** (r.log1 / r.weight) if r.q1 != _NOTHING else 0.0) for r in rows]).reshape(-1, 4)
+    return np.array([(r.bucket, r.weight, 2.0 ** (r.log2 / r.weight) if r.q2 else 0.0,
+                      2.0 ** (r.log1 / r.weight) if r.q1 else 0.0) for r in rows]).reshape(-1, 4)
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

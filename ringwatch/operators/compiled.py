@@ -69,9 +69,13 @@ def _leaf_sql(node: Node, first: int = 0) -> tuple[str, int]:
     return f"CASE WHEN {test} THEN {left} ELSE {right} END", n + m
 
 
+#: Columns whose missing values the models read as 0, in training and in ``score_with``.
+ZERO_IF_MISSING = ("sender_seconds_since_last_send",)
+
+
 def _number(c: str) -> Column:
-    """A feature as the assembler sees it: missing values are NaN, and NaN is above every threshold."""
-    return F.coalesce(F.col(c).cast("double"), F.lit(float("nan")))
+    """A feature as the assembler sees it: missing values are 0 or NaN, and NaN is above every threshold."""
+    return F.coalesce(F.col(c).cast("double"), F.lit(0.0 if c in ZERO_IF_MISSING else float("nan")))
 
 
 @dataclass

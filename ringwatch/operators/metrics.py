@@ -136,6 +136,17 @@ def pr_auc_frame(scored: DataFrame) -> DataFrame:
     return cum.agg((F.sum(F.col("pos") * F.col("cp") / F.col("cn")) / F.sum("pos")).alias("pr_auc"))
 
 
+def pr_auc_by(scored: DataFrame, group: str) -> DataFrame:
+    """H2 for many rankings in one job: ``(group, pr_auc)``. One running sum over (group, score), less what lies before
+    each group; the rows of a large group stay spread over tasks."""
+    steps = (scored.groupBy(group, "score").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
+             .withColumn("_neg", -F.col("score")))
+    cum = prefix_sum(steps, [group, "_neg"], ["n", "pos"], ["cn", "cp"])
+    start = cum.groupBy(group).agg(F.min(F.col("cn") - F.col("n")).alias("_n0"), F.min(F.col("cp") - F.col("pos")).alias("_p0"))
+    part = F.col("pos") * (F.col("cp") - F.col("_p0")) / (F.col("cn") - F.col("_n0"))
+    return cum.join(start, group).groupBy(group).agg((F.sum(part) / F.sum("pos")).alias("pr_auc"))
+
+
 def pr_auc(scored: DataFrame) -> float:
     n, p = _totals(scored)
     if p == 0:

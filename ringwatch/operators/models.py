@@ -65,6 +65,16 @@ def _assert_no_labels(features) -> None:
         raise ValueError(f"label columns used as features: {bad}")
 
 
+def category_codes(train: DataFrame) -> DataFrame:
+    """K2: ``(feature, label, code)`` that the indexers learn from ``train``: labels by frequency, ties by name."""
+    out = None
+    for c in CATEGORY_COLUMNS:
+        labels = StringIndexer(inputCol=c, outputCol=f"{c}_code", handleInvalid="keep").fit(train).labels
+        rows = train.sparkSession.createDataFrame([(c, x, i) for i, x in enumerate(labels)], "feature string, label string, code bigint")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def fit_tree(train: DataFrame, features=TREE_FEATURES, seed: int = 42, max_iter: int = 20,
              max_depth: int = 5, step_size: float = 0.1, subsampling: float = 1.0) -> PipelineModel:
     """K1 + K2: indexers fitted on training rows only, then a weighted GBT."""

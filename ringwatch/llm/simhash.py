@@ -60,15 +60,21 @@ def fingerprint(text: str, words_each: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row per document; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text",
+                 text_hash: bool = False) -> DataFrame:
+    """(doc_id, fp): one row per document; fp is the fingerprint as a signed long. With ``text_hash`` also a hash of
+    the whole text."""
+    extra = [F.xxhash64("text").alias("text_hash")] if text_hash else []
+    schema = pa.schema([*FP_SCHEMA, *([("text_hash", pa.int64())] if text_hash else [])])
 
     def run(batches):
         for batch in batches:
             fp = np.array([fingerprint(t, words_each) for t in batch.column("text").to_pylist()], np.uint64)
-            yield arrow(FP_SCHEMA, doc_id=batch.column("doc_id"), fp=fp.view(np.int64))
+            hashes = {"text_hash": batch.column("text_hash")} if text_hash else {}
+            yield arrow(schema, doc_id=batch.column("doc_id"), fp=fp.view(np.int64), **hashes)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return id_and_text(docs, id_col, text_col).select("*", *extra).mapInArrow(
+        run, "doc_id long, fp long" + (", text_hash long" if text_hash else ""))
 
 
 def _masks(bits: int, flips: int) -> np.ndarray:
@@ -214,29 +220,39 @@ def simhash_components(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_dis
     """
     session(docs.sparkSession)
     fp = written(fingerprints(docs, words_each, id_col, text_col), "fingerprints")
+    full = _labelled(fp, max_distance).select("fp", "component_id")
+    return fp.join(full, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _labelled(fp: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint; ``root`` names the component, whether it has ids or not."""
     groups = written(fp.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     tree = components(written(links(groups.select("fp"), groups.count(), max_distance), "spanning-links"))
     named = tree.join(groups, tree["node"] == groups["fp"]).select("fp", "root", "first_id")
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
+    named = named.join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
     # Written first: then both sides of the last join are plain exchanges, and a fingerprint with many rows is split.
-    full = written(groups.join(named, groups["fp"] == named["_fp"], "left")
-                   .select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "fingerprint-components")
-    return fp.join(full, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return written(groups.join(named, groups["fp"] == named["_fp"], "left")
+                   .select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first_id").alias("component_id")),
+                   "fingerprint-components")
 
 
 def drop_near_copies(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. All columns stay.
-    Rows of a null id stay, since no id tells them apart; of repeated rows of the winner's id one stays."""
-    found = simhash_components(docs, words_each, max_distance, id_col, text_col)
-    stay = (found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-            .select(F.col("doc_id").alias("_id"), "_n"))
-    stay = written(stay, "near-winners")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    row = docs.select(F.struct(*names).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_key"))
-    once = row.join(stay.where("_n = 1"), row["_key"] == F.col("_id"), "left_semi").select("_row")
-    more = (row.join(stay.where("_n > 1"), row["_key"] == F.col("_id"), "left_semi")
-            .groupBy("_key").agg(F.first("_row").alias("_row")).select("_row"))
-    lost = row.where("_key IS NULL").select("_row")
-    return once.unionByName(more).unionByName(lost).select("_row.*")
+    """``docs`` with exactly one row of each component, all its columns kept: the one with the smallest id, null ids
+    last; of several texts under that id the one with the smallest hash, of equal rows any one. Rows that share
+    an id but not a component are told apart by their texts. An empty table gives an empty result."""
+    session(docs.sparkSession)
+    fp = written(fingerprints(docs, words_each, id_col, text_col, text_hash=True), "fingerprints")
+    full = _labelled(fp, max_distance).select(F.col("fp").alias("_fp"), "root")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    winners = (fp.join(full, fp["fp"] == full["_fp"]).groupBy("root").agg(first)
+               .select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    stay = written(fp.join(winners, same).groupBy("_id", "_hash").agg(F.count(F.lit(1)).alias("_n")), "near-winners")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                      F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("text_hash"))
+    once = row.join(stay.where("_n = 1"), same, "left_semi").select("_row")
+    more = (row.join(stay.where("_n > 1"), same, "left_semi")
+            .groupBy("doc_id", "text_hash").agg(F.first("_row").alias("_row")).select("_row"))
+    return once.unionByName(more).select("_row.*")

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from ringwatch.llm import quality as Q
@@ -65,3 +66,12 @@ def test_corner_cases(corner, docs):
     out = Q.keep_good(df)
     assert out.columns == df.columns and out.count() == sum(r.kept for r in rows)
     assert Q.quality_report(docs([])).count() == 0 and Q.keep_good(docs([])).count() == 0
+
+
+def test_few_kinds_does_not_depend_on_length():
+    r = random.Random(4)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3000)]
+    for n in (200, 7_000, 500_000):
+        assert Q.judge(" ".join(r.choice(words) for _ in range(n)), list(Q.RULES))["kept"]
+        low = Q.Doc(" ".join(r.choice(words[:20]) for _ in range(n)))
+        assert Q.few_kinds(low)

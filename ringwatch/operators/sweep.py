@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,20 +31,24 @@ def draw_settings(n: int = TREE_SETTINGS, seed: int = 42, choices: dict = TREE_C
 
 
 def halving_tree_sweep(train: DataFrame, valid: DataFrame, path: str, seed: int = 42, features=PARITY_FEATURES,
-                       settings: list[dict] | None = None, rungs: tuple[int, ...] = RUNGS) -> list[dict]:
+                       settings: list[dict] | None = None, rungs: tuple[int, ...] = RUNGS, at_once: int = 4) -> list[dict]:
     """Trials from best to worst: those of the last rung by average precision on ``valid``, then those that left earlier.
 
     ``path`` gets ``scores/rung=R`` (trial, txn_id, y, score) and ``runs``, one logged run per trial (A6)
-    with the rung it reached and its average precision there. Ties go to the earlier trial."""
+    with the rung it reached and its average precision there. Ties go to the earlier trial. ``at_once`` fits run
+    side by side; each writes a folder of its own."""
     settings = draw_settings(seed=seed) if settings is None else settings
     train, valid = materialised(train), materialised(valid)
     live, ranked = list(range(len(settings))), []
     for r, rounds in enumerate(rungs):
         at = f"{path}/scores/rung={r}"
-        for trial in live:
+
+        def fit(trial: int) -> None:
             model = CompiledTrees.of(fit_tree(train, features, seed, max_iter=rounds, **settings[trial]))
-            (model.score(valid).select(F.lit(trial).alias("trial"), "txn_id", F.col("is_laundering").cast("int").alias("y"), "score")
-             .write.mode("append").parquet(at))
+            model.score(valid).select("txn_id", F.col("is_laundering").cast("int").alias("y"), "score").write.parquet(f"{at}/trial={trial}")
+
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(fit, live))
         value = {x.trial: x.pr_auc for x in pr_auc_by(valid.sparkSession.read.parquet(at), "trial").collect()}  # a row per trial
         order = sorted(live, key=lambda t: (-value[t], t))
         live = order[:-(-len(order) // 2)] if r + 1 < len(rungs) else []

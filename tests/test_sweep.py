@@ -20,6 +20,7 @@ def test_halving_keeps_the_better_half(spark, tmp_path):
     rng = random.Random(3)
     rows = [(i, a := rng.random(), rng.random(), int(a + rng.random() > 1.4)) for i in range(300)]
     df = spark.createDataFrame(rows, "txn_id bigint, a double, b double, is_laundering int")
+    df = df.withColumn("sender_seconds_since_last_send", F.lit(0))
     settings = draw_settings(5, 1)
     assert len({tuple(s.items()) for s in settings}) == 5
     ranked = halving_tree_sweep(df.filter("txn_id % 2 = 0"), df.filter("txn_id % 2 = 1"), str(tmp_path), features=("a", "b"),

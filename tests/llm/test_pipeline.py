@@ -59,7 +59,7 @@ def test_entry_lists_every_operator():
     import __spark_entry__ as e
     names = set(e.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert {"op6_exact_dedup"} <= set(e.oracle_sql())
 

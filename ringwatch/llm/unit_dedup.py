@@ -1,16 +1,20 @@
 """Substring deduplication by hashing lines and sentences.
 
 A text is cut into units: at line ends, and within a line after a sentence mark
-followed by a space. Units are normalised (case, white space, edge punctuation),
-hashed to 128 bits and grouped over the whole corpus. The earliest occurrence,
-by (doc_id, offset), stays; every other occurrence is removed, and reported with
-its place in the original text. Units of fewer than ``min_words`` words are not
-grouped on their own (headings and short phrases recur in clean prose), but with
-their neighbours: for each, the least run of consecutive units of ``min_words``
-words or more that begins with it, and the one that ends with it. The short units
-of a run that came before are removed, so a repeated passage of that many words
-goes whole, however short its lines are, and each unit gone has an earlier copy.
-Units without words are passed over.
+followed by a space. Every unit with words is normalised (case, white space, edge
+punctuation) and hashed to 128 bits; units without words are passed over.
+
+What is removed are passages: consecutive units of together ``min_words`` words
+or more that have come before, word for word, in the same order. A unit of that
+many words is a passage by itself; a shorter one is looked at with its neighbours,
+in the least passage that begins with it and the least one that ends with it. The
+earliest occurrence, by (doc_id, hash of the text, row, offset), stays; every unit of a later one is
+removed, and reported with its place in the original text. ``min_words=1``
+removes every repeated unit, however short.
+
+The passages follow from two groupings: units that occur once are left out first,
+by digest alone; only stretches of units that come again are cut into passages,
+whose digests (of their units' digests) are grouped in turn.
 
 The default of 12 words comes from the sf0.1 documents: of documents that share a
 passage of 50 words or more with an earlier one, 98 % have a unit removed, of the
@@ -21,23 +25,27 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.llm.common import id_and_text, session, written
 
 MIN_WORDS = 12
+#: Rows of units gathered before they are cut into passages; a stretch is never cut, so a batch may be longer.
+STEP_ROWS = 50_000
 #: Where a unit ends: after a line feed, or after a sentence mark and the spaces behind it.
 _END = re.compile(r"\n|[.!?]+[ \t]+")
 _EDGES = b" \t\r\x0b\x0c.,;:!?\"'()[]"
 
-UNITS = pa.schema([("digest", pa.binary()), ("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
-                   ("words", pa.int32()), ("row", pa.int64()),
-                   ("parts", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("words", pa.int32())])))])
+UNITS = pa.schema([("digest", pa.binary()), ("doc_id", pa.int64()), ("version", pa.int64()), ("row", pa.int64()), ("no", pa.int32()),
+                   ("start", pa.int64()), ("end", pa.int64()), ("words", pa.int32())])
+UNITS_DDL = "digest binary, doc_id long, version long, row long, no int, start long, end long, words int"
+PARTS = ("no", "start", "end", "words")
+PASSAGES_DDL = ("digest binary, doc_id long, version long, row long, no array<int>, start array<long>, end array<long>, words array<int>")
 
 
 def unit_spans(text: str) -> list[tuple[int, int]]:
@@ -57,84 +65,126 @@ def normalised(unit: str) -> tuple[bytes, int]:
     return b" ".join(words).strip(_EDGES), len(words)
 
 
-def runs(found: list[tuple[int, int, bytes, int]], min_words: int) -> set[tuple[int, int]]:
-    """(first, last) of the least runs of ``min_words`` words that begin or end with a short unit."""
-    out, before = set(), [0]
-    for *_, n in found:
-        before.append(before[-1] + n)
-    for i, (*_, n) in enumerate(found):
-        if n < min_words:
-            last = bisect_left(before, before[i] + min_words) - 1
-            if last < len(found):
-                out.add((i, last))
-            first = bisect_right(before, before[i + 1] - min_words) - 1
-            if first >= 0:
-                out.add((first, i))
-    return out
+def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, doc_id, version, text): a number per row, and the text's hash, which ranks rows of equal id however they lie."""
+    return id_and_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id",
+                                                      F.xxhash64("text").alias("version"), "text")
 
 
-def units(docs: DataFrame, min_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per unit of ``min_words`` words or more: digest, doc_id, start, end (code points), words, row (the
-    document's number); and one per run of ``runs``, its units in ``parts`` (null for a unit). A bound given by the
-    caller is taken literally: shorter units stay out, and there are no runs."""
-    with_runs, min_words = min_words is None, MIN_WORDS if min_words is None else min_words
+def units(rows: DataFrame) -> DataFrame:
+    """One row per unit with words of ``numbered`` rows: digest, doc_id, version, row, no (from 0), start, end (code points), words."""
 
     def run(batches):
-        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             out: list[list] = [[] for _ in UNITS]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                row += 1
-                found = []
+            for row, doc_id, version, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "version", "text"))):
+                no = 0
                 for start, end in unit_spans(text):
                     form, n = normalised(text[start:end])
                     if n:
-                        found.append((start, end, form, n))
-                    if n >= min_words:
-                        for column, value in zip(out, (hashlib.blake2b(form, digest_size=16).digest(), doc_id, start, end, n, row, None)):
+                        for column, value in zip(out, (hashlib.blake2b(form, digest_size=16).digest(), doc_id, version, row, no, start, end, n)):
                             column.append(value)
-                for first, last in sorted(runs(found, min_words)) if with_runs else ():
-                    part = found[first:last + 1]
-                    digest = hashlib.blake2b(b"\n".join(p[2] for p in part), digest_size=16, person=b"run").digest()
-                    parts = [{"start": s, "end": e, "words": n} for s, e, _, n in part]
-                    for column, value in zip(out, (digest, doc_id, part[0][0], part[-1][1], sum(p[3] for p in part), row, parts)):
-                        column.append(value)
+                        no += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, UNITS)], schema=UNITS)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(
-        run, "digest binary, doc_id long, start long, end long, words int, row long, "
-             "parts array<struct<start: long, end: long, words: int>>")
-
-
-def repeated_units(docs: DataFrame, min_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per unit to remove: doc_id, start, end, words, keep_doc_id, keep_start, group_size. A short unit's
-    last three are those of the run that came first among its repeated ones.
-
-    Null ids rank last, so a unit of a document with an id stays if there is
-    one; ties in id (repeated rows) go by offset, and of equal (id, offset) the
-    copies beyond the first place are not told apart and stay. Null and empty
-    texts have no units; an empty table gives an empty result.
+    return rows.mapInArrow(run, UNITS_DDL)
+
+
+def spans(words: np.ndarray, fresh: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) of the least passages of ``min_words`` words that begin or end with each unit, each once;
+    none crosses a unit that is ``fresh``, the first of its stretch."""
+    n = len(words)
+    before = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    heads = np.flatnonzero(fresh)
+    stretch = np.cumsum(fresh) - 1
+    low, high = heads[stretch], np.append(heads[1:], n)[stretch] - 1
+    at = np.arange(n)
+    last = np.searchsorted(before, before[:-1] + min_words, "left") - 1
+    first = np.searchsorted(before, before[1:] - min_words, "right") - 1
+    begins, ends = last <= high, first >= low
+    pairs = np.unique(np.concatenate([at[begins] * n + last[begins], first[ends] * n + at[ends]]))
+    return pairs // n, pairs % n
+
+
+def _passages(t: pa.Table, min_words: int) -> pa.RecordBatch | None:
+    """Passages of whole stretches, units in order of (row, no)."""
+    row, no = t["row"].to_numpy(), t["no"].to_numpy()
+    fresh = np.concatenate([[True], (row[1:] != row[:-1]) | (no[1:] != no[:-1] + 1)])
+    first, last = spans(t["words"].to_numpy(), fresh, min_words)
+    if not len(first):
+        return None
+    digests = b"".join(t["digest"].to_pylist())
+    size = last - first + 1
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    units_of = pa.array(np.repeat(first - bounds[:-1], size) + np.arange(bounds[-1]))
+    lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), t[c].combine_chunks().take(units_of)) for c in PARTS]
+    names = [hashlib.blake2b(digests[16 * a:16 * b], digest_size=16).digest() for a, b in zip(first.tolist(), (last + 1).tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *(t[c].combine_chunks().take(pa.array(first)) for c in ("doc_id", "version", "row")), *lists],
+                                      names=["digest", "doc_id", "version", "row", *PARTS])
+
+
+def passages(repeated: DataFrame, min_words: int) -> DataFrame:
+    """One row per passage of units that come again: digest, doc_id, version, row and its units' no, start, end, words."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < STEP_ROWS:
+                continue
+            t = pa.Table.from_batches(held)
+            row = t["row"].to_numpy()
+            cut = int(np.searchsorted(row, row[-1]))  # the last document may go on in the next batch
+            if cut:
+                made = _passages(t.slice(0, cut), min_words)
+                if made is not None:
+                    yield made
+                held = t.slice(cut).to_batches()
+            # A document of many units waits until it is whole; look again when as much has come once more.
+            size = 0 if not cut else sum(b.num_rows for b in held)
+        if sum(b.num_rows for b in held):
+            made = _passages(pa.Table.from_batches(held), min_words)
+            if made is not None:
+                yield made
+
+    return repeated.repartition("row").sortWithinPartitions("row", "no").mapInArrow(run, PASSAGES_DDL)
+
+
+def _removed(rows: DataFrame, min_words: int) -> DataFrame:
+    """One row per unit to remove of ``numbered`` rows: row, doc_id, start, end, words, keep_doc_id, keep_start, group_size."""
+    if min_words < 1:
+        raise ValueError("min_words must be 1 or more")
+    session(rows.sparkSession)
+    every = written(units(rows), "units", "zstd")
+    # A digest may hold a third of all rows: counts are combined before the exchange, and
+    # the rows' side of the joins is split by adaptive execution.
+    again = every.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+    found = written(passages(every.join(again, "digest", "left_semi"), min_words), "passages", "zstd")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "row", F.col("no")[0].alias("no"), F.col("start").alias("starts"))
+    groups = (found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("group_size"))
+              .where("group_size > 1"))
+    later = (found.join(groups, "digest").where("NOT (row = first.row AND no[0] = first.no)")
+             .select("row", "doc_id", "first", "group_size", F.explode(F.arrays_zip(*PARTS, "first.starts")).alias("p")))
+    # Passages overlap: each unit once, with the earliest place kept.
+    return (later.groupBy("row", "doc_id", "p.start", "p.end", "p.words")
+            .agg(F.min(F.struct("first.none", "first.doc_id", "first.version", "first.row", F.col("p.starts").alias("start"), "group_size")).alias("keep"))
+            .select("row", "doc_id", "start", "end", "words", F.col("keep.doc_id").alias("keep_doc_id"),
+                    F.col("keep.start").alias("keep_start"), "keep.group_size"))
+
+
+def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per unit to remove: doc_id, start, end, words, keep_doc_id, keep_start, group_size. The last three are
+    those of the passage that came first among the unit's repeated ones.
+
+    Null ids rank last, so a passage of a document with an id stays if there is
+    one. Rows of equal id, equal rows too, are documents of their own, ranked by
+    their text's hash; so the result is the same however the rows lie. Null and empty texts have no
+    units, very long ones as many as they hold; an empty table gives an empty
+    result. Other columns, whatever their names, are not read.
     """
-    session(docs.sparkSession)
-    rows = written(units(docs, min_words, id_col, text_col), "units", "zstd")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start", F.col("parts.start").alias("starts"))
-    groups = (rows.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("group_size"))
-              .where("group_size > 1").select("digest", F.col("first.doc_id").alias("keep_doc_id"),
-                                              F.col("first.start").alias("keep_start"), F.col("first.starts").alias("keep_starts"), "group_size"))
-    # A unit may hold a third of all rows: the rows' side of the join is split by adaptive execution.
-    again = (rows.join(groups, "digest")
-             .where(~(F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start")))))
-    out = ("doc_id", "start", "end", "words", "keep_doc_id", "keep_start", "group_size")
-    # Runs overlap: each short unit once, by document row and place.
-    short = (again.where("parts IS NOT NULL")
-             .select("row", "doc_id", "keep_doc_id", "group_size", F.explode(F.arrays_zip("parts", "keep_starts")).alias("p"))
-             .where(F.col("p.parts.words") < (MIN_WORDS if min_words is None else min_words))
-             .groupBy("row", "doc_id", F.col("p.parts.start").alias("start"), F.col("p.parts.end").alias("end"),
-                      F.col("p.parts.words").alias("words"))
-             .agg(F.min(F.struct(F.col("keep_doc_id").isNull().alias("none"), "keep_doc_id",
-                                 F.col("p.keep_starts").alias("keep_start"), "group_size")).alias("keep")))
-    return again.where("parts IS NULL").select(*out).unionByName(
-        short.select("doc_id", "start", "end", "words", "keep.keep_doc_id", "keep.keep_start", "keep.group_size"))
+    return _removed(numbered(docs, id_col, text_col), min_words).drop("row")
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
@@ -146,11 +196,27 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def drop_repeated_units(docs: DataFrame, min_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, text without the removed units, and the removed spans (start, end) in the original.
-    A document's spans are no more than its own units, so they fit where its text does."""
-    gone = (repeated_units(docs, min_words, id_col, text_col).where("doc_id IS NOT NULL").groupBy("doc_id")
-            .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed")))
-    cut = F.udf(lambda text, spans: without(text, [(s["start"], s["end"]) for s in spans]) if spans else text, "string")
-    return (id_and_text(docs, id_col, text_col).join(gone, "doc_id", "left")
-            .select("doc_id", cut("text", "removed").alias("text"), "removed"))
+def drop_repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, text without the removed units, and the removed spans (start, end) in the
+    original (null: none).
+
+    Every row loses its own units only, rows of equal or null id too. A
+    document's spans are no more than its own units, so they fit where its text
+    does. Null texts come back as empty ones; an empty table gives an empty result.
+    """
+    session(docs.sparkSession)
+    rows = written(numbered(docs, id_col, text_col), "numbered")  # both readings below see the same numbers
+    gone = (_removed(rows, min_words).groupBy("row")
+            .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed")))
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+
+    def cut(batches):
+        for batch in batches:
+            spans_of = batch.column("removed").to_pylist()
+            texts = [without(t, [(s["start"], s["end"]) for s in spans]) if spans else t
+                     for t, spans in zip(batch.column("text").to_pylist(), spans_of)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(spans_of, schema.field("removed").type)],
+                                             schema=schema)
+
+    return (rows.join(gone, "row", "left").select("doc_id", "text", "removed")
+            .mapInArrow(cut, "doc_id long, text string, removed array<struct<start: long, end: long>>"))

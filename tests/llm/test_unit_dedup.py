@@ -1,22 +1,50 @@
+import random
 from collections import defaultdict
 
+import pytest
+import xxhash
+
 from ringwatch.llm import unit_dedup as U
 from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 
-def plain(pairs, min_words=5):
-    """Removed units by a straight reading: units in order of (id, offset), the first of each form stays."""
-    first, out = {}, []
-    found = [(i is None, i or 0, i, s, e, t) for i, t in pairs for s, e in U.unit_spans(t or "")]
-    for _, _, i, s, e, t in sorted(found, key=lambda x: x[:2] + (x[3],)):
-        form, n = U.normalised(t[s:e])
-        if n < min_words:
-            continue
-        if form not in first:
-            first[form] = (i, s)
-        elif first[form] != (i, s):
-            out.append((i, s, e, *first[form]))
-    return sorted(out, key=str)
+def plain(pairs, min_words):
+    """Units to remove by a straight reading of the definition: (row, id, start, end, keep id, keep start, group size)."""
+    places = defaultdict(set)
+    for row, (i, t) in enumerate(pairs):
+        version = xxhash.xxh64((t or "").encode(), seed=42).intdigest()
+        version -= (version >> 63) << 64
+        f = [(s, e, form, n) for s, e in U.unit_spans(t or "") for form, n in [U.normalised((t or "")[s:e])] if n]
+        for a in range(len(f)):
+            total = 0
+            for b in range(a, len(f)):  # least passage that begins with a
+                total += f[b][3]
+                if total >= min_words:
+                    places[tuple(u[2] for u in f[a:b + 1])].add(((i is None, i or 0, version, row, a), i, tuple(u[:2] for u in f[a:b + 1])))
+                    break
+            total = 0
+            for b in range(a, -1, -1):  # least passage that ends with a
+                total += f[b][3]
+                if total >= min_words:
+                    places[tuple(u[2] for u in f[b:a + 1])].add(((i is None, i or 0, version, row, b), i, tuple(u[:2] for u in f[b:a + 1])))
+                    break
+    best = {}
+    for found in places.values():
+        (first, keep_id, kept), *later = sorted(found, key=lambda x: x[0])
+        for (*_, row, _), i, spans in later:
+            for (s, e), (keep, _) in zip(spans, kept):
+                mine = (first[:4], keep, len(found), keep_id)
+                best[row, i, s, e] = min(best.get((row, i, s, e), mine), mine, key=lambda x: x[:3])
+    return [(*k, keep_id, keep, n) for k, (_, keep, n, keep_id) in best.items()]
+
+
+def lying(df):
+    """(id, text) of the rows."""
+    return [(r.doc_id, r.text) for r in df.collect()]
+
+
+def rows_of(df, min_words):
+    return sorted(((r.doc_id, r.start, r.end, r.keep_doc_id, r.keep_start, r.group_size) for r in U.repeated_units(df, min_words).collect()), key=str)
 
 
 def test_units_cover_the_text():
@@ -39,28 +67,69 @@ def test_passage_inside_lines_is_found_with_offsets(docs):
     assert "Eta theta" in "".join(b[r.start:r.end] for r in rows)
 
 
-def test_corner_cases(corner, docs):
-    df, pairs = corner
-    got = sorted(((r.doc_id, r.start, r.end, r.keep_doc_id, r.keep_start) for r in U.repeated_units(df, 5).collect()), key=str)
-    assert got == plain(pairs)
+@pytest.mark.parametrize("min_words", [1, 5, U.MIN_WORDS])
+def test_corner_cases(corner, docs, min_words):
+    df, _ = corner
+    assert rows_of(df, min_words) == sorted((x[1:] for x in plain(lying(df), min_words)), key=str)
+
+
+def test_empty_table(docs):
     assert U.repeated_units(docs([])).count() == 0 and U.drop_repeated_units(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("min_words", [1, 4, U.MIN_WORDS])
+def test_short_and_long_units_mixed(docs, min_words):
+    r = random.Random(8)
+    kinds = [" ".join(prose(100 + k, r.choice((1, 2, 3, 5, 8, 14))).replace(".", "").split()) for k in range(12)]
+    pairs = [(r.choice((None, *range(9))), "\n".join(r.choice(kinds) for _ in range(r.randint(0, 25)))) for _ in range(60)]
+    pairs += [(3, "\n".join([kinds[0]] * 40)), (2, "\n\n--\n".join(kinds)), (2, "\n".join(kinds))]
+    df = docs(pairs)
+    assert rows_of(df, min_words) == sorted((x[1:] for x in plain(lying(df), min_words)), key=str)
+
+
+def test_long_documents_cross_batches(docs, monkeypatch):
+    monkeypatch.setattr(U, "STEP_ROWS", 50)
+    long = "\n".join(prose(k, 3).replace(".", "") for k in range(700))
+    pairs = [(i, long if i % 3 else f"own {i}\n{long}") for i in range(5)] + [(9, prose(77, 40))]
+    df = docs(pairs)
+    assert rows_of(df, 10) == sorted((x[1:] for x in plain(lying(df), 10)), key=str)
+
+
+def test_equal_rows_and_ids(docs):
+    b = f"{prose(5, 14)}\n{prose(6, 15)}"
+    a = f"{prose(7, 20)}\n{prose(5, 14)}"
+    for pairs in ([(3, b), (3, b)], [(5, a), (5, b), (None, b), (None, b)]):
+        df, got = docs(pairs), {}
+        pairs = lying(df)
+        for r in U.drop_repeated_units(df).collect():
+            got.setdefault(r.doc_id, []).append(r.text)
+        gone = defaultdict(list)
+        for row, _, s, e, *_ in plain(pairs, U.MIN_WORDS):
+            gone[row].append((s, e))
+        want = {}
+        for row, (i, t) in enumerate(pairs):
+            want.setdefault(i, []).append(U.without(t, gone[row]))
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+        assert "" in got[sorted(pairs, key=lambda p: p[0] is None)[-1][0]]  # nothing of the last row is new
+
+
 def test_one_line_in_every_document(docs):
     line = "this very line stands in every document"
     pairs = [(i, f"{line}\n{prose(i, 30)}") for i in range(300)]
-    rows = U.repeated_units(docs(pairs), 5).collect()
-    assert sorted(((r.doc_id, r.start, r.end, r.keep_doc_id, r.keep_start) for r in rows), key=str) == plain(pairs)
+    df = docs(pairs)
+    assert rows_of(df, 5) == sorted((x[1:] for x in plain(lying(df), 5)), key=str)
+    rows = U.repeated_units(df, 5).collect()
     assert {r.doc_id for r in rows if r.group_size == 300} == set(range(1, 300))
 
 
 def test_cleaned_texts(corner):
-    df, pairs = corner
+    df, _ = corner
+    pairs = lying(df)
     gone = defaultdict(list)
-    for i, s, e, *_ in plain(pairs):
-        gone[i].append((s, e))
+    for row, _, s, e, *_ in plain(pairs, 5):
+        gone[row].append((s, e))
     got = sorted(((r.doc_id, r.text) for r in U.drop_repeated_units(df, 5).collect()), key=str)
-    assert got == sorted(((i, U.without(t or "", gone[i]) if i is not None else t or "") for i, t in pairs), key=str)
+    assert got == sorted(((i, U.without(t or "", gone[row])) for row, (i, t) in enumerate(pairs)), key=str)
 
 
 def test_short_units_stay(docs):

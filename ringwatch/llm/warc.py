@@ -82,45 +82,123 @@ def response_record(page_id: int | None, url: str, page: str) -> bytes:
                    ("WARC-Block-Digest", digest(block)), ("WARC-Payload-Digest", digest(payload))], block)
 
 
-_DROP = re.compile(r"<!--.*?-->|<(script|style|noscript|template|svg)\b[^>]*>.*?</\1\s*>", re.S | re.I)
+_HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|svg)\b", re.I)
+_CLOSER = {"": re.compile("-->"), **{k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "noscript", "template", "svg")}}
 _BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|main|aside|blockquote|pre|title|head|body|html)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[A-Za-z/!?][^>]*>")
 _BLANK = re.compile(r"[ \t\r\x0b\x0c\xa0]{2,}|[\t\r\x0b\x0c\xa0]")  # single spaces stay as they are
-_TITLE = re.compile(r"<title[^>]*>([^<]*)", re.I)
-_LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE = re.compile(r"<title[^>]*>", re.I)
+_HTML = re.compile(r"<html\b[^>]*>", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_ANCHOR = re.compile(r"<a\b[^>]*>", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_BARE = re.compile(r"[^\s>]+")
+
+
+def visible(page: str) -> str:
+    """``page`` with a space for every comment and every element whose content is not shown. One forward scan: an
+    opener without a closer behind it is left as it stands, and so are all later ones of its kind."""
+    out, at, look, unclosed = [], 0, 0, set()
+    while m := _HIDDEN.search(page, look):
+        kind, look = (m[1] or "").lower(), m.end()
+        if kind in unclosed:
+            continue
+        inner = look if not kind else page.find(">", look) + 1
+        closer = _CLOSER[kind].search(page, inner) if inner else None
+        if closer is None:
+            unclosed.add(kind)
+            continue
+        out += page[at:m.start()], " "
+        at = look = closer.end()
+    return "".join([*out, page[at:]])
+
+
+def _tags_to(pattern: re.Pattern, new: str, page: str) -> str:
+    """Every tag of ``pattern`` replaced. Beyond the last ``>`` no tag ends, so nothing there is tried."""
+    cut = page.rfind(">") + 1
+    return pattern.sub(new, page[:cut]) + page[cut:]
 
 
 def plain_text(page: str) -> str:
-    """Visible text: no scripts, styles or comments; a line per block element; entities resolved."""
-    page = _TAG.sub("", _BREAK.sub("\n", _DROP.sub(" ", page)))
+    """Visible text: no scripts, styles or comments; a line per block element; entities resolved. Openers that nothing
+    closes are taken as tags if a ``>`` follows and as text if none does; the time is linear in the page's length."""
+    page = _tags_to(_TAG, "", _tags_to(_BREAK, "\n", visible(page)))
     if "&" in page:
         page = html_entities.unescape(page)
     return "\n".join(line for line in (_BLANK.sub(" ", x).strip() for x in page.split("\n")) if line)
 
 
-def http_parts(block: bytes) -> tuple[str, dict[str, str], bytes]:
-    """(status line, headers, payload) of an HTTP response; without a header end all of it is payload."""
+def title_of(page: str) -> str:
+    m = _TITLE.search(page, 0, page.rfind(">") + 1)
+    if not m:
+        return ""
+    end = page.find("<", m.end())
+    return html_entities.unescape(page[m.end():end if end >= 0 else len(page)]).strip()
+
+
+def lang_of(page: str) -> str:
+    for tag in _HTML.finditer(page, 0, page.rfind(">") + 1):
+        if found := _LANG.findall(tag[0]):
+            return found[-1]
+    return ""
+
+
+def links_of(page: str) -> list[str]:
+    """The last href of every anchor tag; a quoted value may hold ``>``, one whose quote is not closed ends at a blank."""
+    out, missing, free = [], set(), 0
+    for tag in _ANCHOR.finditer(page, 0, page.rfind(">") + 1):
+        found = [m.end() for m in _HREF.finditer(tag[0])] if tag.start() >= free else []
+        if not found:
+            continue
+        at = tag.start() + found[-1]
+        quote = page[at:at + 1]
+        if quote in "\"'" and quote not in missing:
+            end = page.find(quote, at + 1)
+            if end >= 0:
+                out.append(page[at + 1:end])
+                free = end
+                continue
+            missing.add(quote)
+        if m := _BARE.match(page, at):
+            out.append(m[0])
+    return out
+
+
+def http_parts(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
+    """(status line, headers in order, payload) of an HTTP response; without a header end all of it is payload."""
     head, found, payload = block.partition(b"\r\n\r\n")
     if not found or not head.startswith(b"HTTP/"):
-        return "", {}, block
+        return "", [], block
     lines = head.decode("utf-8", "replace").split("\r\n")
-    return lines[0], {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}, payload
+    return lines[0], [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines[1:])], payload
+
+
+_CHARSET = re.compile(r"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
+
+
+def decoded(payload: bytes, headers: list[tuple[str, str]]) -> str:
+    """The payload by the charset that its Content-Type names; UTF-8 if it names none or none that is known."""
+    for name, value in headers:
+        if name.lower() == "content-type" and (m := _CHARSET.search(value)):
+            try:
+                return payload.decode(m[1], "replace")
+            except (LookupError, UnicodeError):  # unknown, or no charset of texts
+                break
+    return payload.decode("utf-8", "replace")
 
 
 def derive(response: bytes) -> tuple[bytes, bytes]:
     """(metadata record, conversion record) of a response record."""
     fields, block = parse(response)
     status, headers, payload = http_parts(block)
-    page = payload.decode("utf-8", "replace")
+    page = decoded(payload, headers)
     source, target = fields["warc-record-id"], fields.get("warc-target-uri", "")
     date, payload_digest = fields.get("warc-date", NO_DATE), fields.get("warc-payload-digest") or digest(payload)
     linked = [("WARC-Date", date), ("WARC-Target-URI", target), ("WARC-Refers-To", source),
               ("WARC-Source-Payload-Digest", payload_digest), ("WARC-Source-Block-Digest", fields.get("warc-block-digest") or digest(block))]
-    title, lang = _TITLE.search(page), _LANG.search(page)
-    about = json.dumps({"status": status, "http-headers": headers, "title": html_entities.unescape(title[1]).strip() if title else "",
-                        "lang": lang[1] if lang else "", "links": [a or b or c for a, b, c in _LINK.findall(page)]},
-                       ensure_ascii=False).encode("utf-8", "replace")
+    # A name may come several times (Set-Cookie, Link): the object holds its last value, the lines hold all in order.
+    about = json.dumps({"status": status, "http-headers": dict(headers), "http-header-lines": headers, "title": title_of(page),
+                        "lang": lang_of(page), "links": links_of(page)}, ensure_ascii=False).encode("utf-8", "replace")
     text = plain_text(page).encode("utf-8", "replace")
     make = lambda kind, content, block: record(
         [("WARC-Type", kind), ("WARC-Record-ID", record_id(kind, source)), *linked, ("Content-Type", content),
@@ -197,7 +275,9 @@ def derivatives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     A null or empty page gives records with empty text. Rows that repeat id,
     address and page give equal records; pages of a null id share only what
-    their address and content share. An empty table gives an empty result.
+    their address and content share. Very long and broken pages take time in
+    proportion to their length. Other columns are not read. An empty table gives
+    an empty result.
     """
     spark = pages.sparkSession
     return read_derivatives(spark, write_derivatives(responses(pages, id_col, url_col, html_col), scratch(spark, "warc")))

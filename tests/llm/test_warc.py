@@ -1,4 +1,8 @@
 import json
+import random
+import re
+import time
+from html.parser import HTMLParser
 
 import pytest
 
@@ -16,6 +20,77 @@ def test_plain_text():
     assert W.plain_text("<script>x") == "x"
 
 
+class Reader(HTMLParser):
+    """Independent reading of well-formed pages: text outside hidden elements, a line per block element, links."""
+    BLOCK = {"p", "div", "br", "li", "ul", "h1", "h2", "title", "head", "body", "html"}
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.hidden, self.parts, self.links = 0, [], []
+        self.feed(page)
+        self.close()
+        self.text = "\n".join(x for x in (re.sub(r"[ \t]+", " ", y).strip() for y in "".join(self.parts).split("\n")) if x)
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style")
+        self.parts += ["\n"] * (tag in self.BLOCK)
+        self.links += [v for k, v in attrs if tag == "a" and k == "href"]
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style"):
+            self.hidden -= 1
+            self.parts.append(" ")  # what is not shown separates words
+        self.parts += ["\n"] * (tag in self.BLOCK)
+
+    def handle_comment(self, data):
+        self.parts.append(" ")
+
+    def handle_data(self, data):
+        self.parts += [data] * (not self.hidden)
+
+
+def test_text_and_links_as_an_html_parser_reads_them():
+    r = random.Random(2)
+    for _ in range(200):
+        parts = []
+        for _ in range(r.randint(1, 30)):
+            t = r.choice(("p", "div", "li", "b", "i", "h1", "span"))
+            parts.append(r.choice((f"<{t}>{prose(r.randint(0, 99), 4)}</{t}>", f"<{t.upper()} class='x y'> caf&eacute; &amp; 1 &lt; 2</{t}>\n", "<br/>",
+                                   "<!-- a <b>c</b> -- d -->", "<script>if (a < b) { x = '<p>'; }</script>", "<STYLE>p > b {}</STYLE >", "plain ",
+                                   f'<a class="k" href="/u{r.randint(0, 9)}">l</a>', "<a href=\'v w\'>m</a>", "<a href=bare>n</a>", "<a name=z>o</a>")))
+        page = f"<html><head><title>T</title></head><body>{''.join(parts)}</body></html>"
+        want = Reader(page)
+        assert W.plain_text(page) == want.text
+        assert W.links_of(page) == want.links
+
+
+@pytest.mark.parametrize("broken", ["<!--", "<script>", "<script", "<a<a", "<title", "<html lang", "<a href=\"x", "<p", "<!--<script><style><svg>", "<a href='>"])
+@pytest.mark.parametrize("end", ["", ">"])
+def test_broken_pages_take_linear_time(broken, end):
+    page = broken * (2_000_000 // len(broken)) + end
+    start = time.process_time()
+    W.plain_text(page), W.title_of(page), W.lang_of(page), W.links_of(page)
+    assert time.process_time() - start < 8
+
+
+def test_broken_pages():
+    assert W.plain_text("a <!-- b") == "a <!-- b" and W.plain_text("a <!-- b> c") == "a c"
+    assert W.plain_text("<style>x <script>y</script> z") == "x z"
+    assert W.plain_text("one <b two") == "one <b two"
+    assert W.links_of('<a href="a>b">x</a><a href="open>y') == ["a>b", '"open']
+    assert W.title_of("<title>T") == "T" and W.title_of("<title") == ""
+
+
+def test_repeated_headers_and_charsets():
+    payload = "<p>café €</p>"
+    for charset, codec in (("ISO-8859-15", "iso-8859-15"), ('"utf-8"', "utf-8"), ("windows-1252", "cp1252"), ("none-such", "utf-8"), ("hex", "utf-8")):
+        block = (f"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nContent-Type: text/html; charset={charset}\r\nSet-Cookie: b=2\r\n\r\n").encode() + payload.encode(codec)
+        meta, conversion = (W.parse(x) for x in W.derive(W.record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>")], block)))
+        assert conversion[1].decode() == "café €"
+        lines = json.loads(meta[1])["http-header-lines"]
+        assert [v for k, v in lines if k == "Set-Cookie"] == ["a=1", "b=2"] and lines[1][0] == "Content-Type"
+
+
 def test_records_parse_back():
     raw = W.record([("WARC-Type", "x"), ("A", "b: c\r\nd")], b"\r\n\r\nblock\x00\r\n\r\n")
     fields, block = W.parse(raw)

@@ -44,6 +44,12 @@ QUOTES = "\"“”„«»‘’"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def folded(text: str) -> str:
+    """``text`` in lower case, a letter for each letter, so that offsets hold (a capital I with a dot gives one i)."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower()[0] for c in text)
+
+
 class Automaton:
     """Product of a lexicon trie and Levenshtein automata, its states made when first reached.
 
@@ -129,7 +135,7 @@ class Automaton:
 
     def hits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text number, start, end, term, edits) of every word in reach of a term, and the words of each text."""
-        joined = "\n".join(t.lower() if len(t.lower()) == len(t) else t for t in texts) + "\n"
+        joined = "\n".join(folded(t) for t in texts) + "\n"
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         cls = np.empty(len(points), np.uint16)
         small = points < 0x250

@@ -55,6 +55,19 @@ def test_hits_carry_the_right_term():
     assert [TERMS[t] for t in term] == ["moron", "idiot", "worthless"] and edits.tolist() == [1, 1, 1]
 
 
+def test_case_of_any_text_is_folded():
+    auto, weights = X.Automaton(TERMS), np.ones(len(TERMS))
+    for plain, odd in (("YOU IDIOT go", "YOU IDIOT İ go"), ("the MORON", "İİ the MORON"), ("IDİOT", "idiot")):
+        a, b = (auto.hits([t]) for t in (plain, odd))
+        assert len(a[0]) == len(b[0]) == 1 and a[3].tolist() == b[3].tolist() and a[4].tolist() == b[4].tolist()
+    text, odd = "İ they said. YOU IDIOT, go home", "I they said. YOU IDIOT, go home"
+    _, start, end, *_ = auto.hits([text])
+    assert text[start[0]:end[0]] == "IDIOT"
+    assert (X.text_features([text], auto, weights) == X.text_features([odd], auto, weights)).all()
+    for t in ("İSTANBUL ẞ ǅ Σ ΑΣ ﬁ", "\u0130" * 50, ""):
+        assert len(X.folded(t)) == len(t)
+
+
 def test_quotation_and_abuse():
     hit = lambda t, w="idiot": X.quoted(t, t.index(w), t.index(w) + len(w))
     assert hit("he wrote \"what an idiot\" in it") > 0.7 > 0.4 > hit("the idiot went home") > hit("you idiot go home")

@@ -206,7 +206,7 @@ TRAIN_DDL = "kind string, label long, held boolean, features array<double>"
 def training_rows(text: str, seed: str) -> list[tuple[str, int, bool, list[float]]]:
     """Labelled candidates: invented strings written into ``text`` at seeded word boundaries."""
     r = random.Random(seed)
-    gaps = [m.start() for m in re.finditer(" ", text[:20000])] or [0]
+    gaps = [m.start() for m in re.finditer(" ", text)] or [0]
     out = []
     for _ in range(EXAMPLES_EACH):
         kind, label = r.choice(KINDS), r.randint(0, 1)
@@ -301,10 +301,12 @@ class Detector:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Detector:
-    """Fit on a sample of about ``SAMPLE_DOCS`` documents; without texts there is nothing to add."""
+    """Fit on a sample of about ``SAMPLE_DOCS`` different texts, chosen by hash; without texts there is nothing to add."""
     spark: SparkSession = session(docs.sparkSession)
-    total = docs.count()
-    sample = id_and_text(docs, id_col, text_col).sample(fraction=min(1.0, SAMPLE_DOCS / max(1, total)), seed=4)
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    # By the text's hash, each text once: the same documents however the rows lie, and no more of them for many copies.
+    sample = (id_and_text(docs, id_col, text_col).where(F.pmod(F.xxhash64("text", F.lit(4)), F.lit(1 << 40)) < int(share * (1 << 40)))
+              .select("text").distinct())
 
     def run(batches):
         for batch in batches:
@@ -312,7 +314,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dete
                     for x in training_rows(t, hashlib.md5(t.encode("utf-8", "replace")).hexdigest())]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], f.type) for k, f in enumerate(TRAIN)], schema=TRAIN)
 
-    rows = written(sample.mapInArrow(run, TRAIN_DDL).coalesce(4), "pii-training")
+    # The examples, bounded by the sample, meet in four partitions whose rows and order follow from their values alone.
+    rows = written(sample.mapInArrow(run, TRAIN_DDL).repartition(4, "features").sortWithinPartitions(*TRAIN.names), "pii-training")
     have = {(r.held, r.label): r.n for r in rows.groupBy("held", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not all(have.get((h, y)) for h in (False, True) for y in (0, 1)):
         return Detector(None, {})

@@ -111,3 +111,19 @@ def test_addresses_are_proposed_whatever_else_the_text_holds():
         for text in (f"Write to: {s}", f"Write to: {s}, not @all or dot"):
             assert ("email", 10, 10 + len(s)) in pii.candidates(text), text
     assert not any(k == "email" for k, *_ in pii.candidates("that is no address. de"))
+
+
+def test_sample_does_not_follow_the_layout_nor_copies(docs):
+    pairs = [(i, prose(i, 60)) for i in range(80)]
+    one = P.fit(docs(pairs, 1))
+    many = P.fit(docs(pairs + [(1000 + i, pairs[3][1]) for i in range(200)], 9))
+    assert one.thresholds == many.thresholds
+    text = "mail jo [at] firma.de, tel (030) 555-1234 or 7536 7841 2781 3050, ref 5555 1234, 1999-12-24"
+    assert one.added(text, P.base_spans(text)) == many.added(text, P.base_spans(text))
+
+
+def test_examples_are_written_into_the_whole_text(monkeypatch):
+    seen = []
+    monkeypatch.setattr(P, "candidates", lambda t: seen.append(t) or [])
+    P.training_rows("x" * 30_000 + "".join(f" w{k}w" for k in range(9000)), "s")
+    assert seen and all("w" in t for t in seen) and len({t[-20:] for t in seen}) > 1

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringwatch.operators.quantiles import quantiles
+from ringwatch.operators.selection import select_quantiles
 from ringwatch.operators.summary import role_rows
 from ringwatch.sources.transfers import seconds_between
 
@@ -85,17 +86,15 @@ FLAG_RATES = ("is_cross_currency", "is_self_transfer", "is_same_bank")
 def feature_by_class(features: DataFrame) -> DataFrame:
     """Per label: rows, medians of key features, rates of the row flags.
 
-    Features and flags are stacked into one long column, counted once per
-    (label, feature, value), and medians and means both come from those counts.
+    Rows and rates come with the sketches of the medians' first pass; the second pass selects
+    the medians exactly. ``features`` is read twice: hand in a stored table.
     """
-    cols = list(FEATURE_MEDIANS) + list(FLAG_RATES)
-    q = quantiles(stack_columns(features, ["is_laundering"], cols), "value", {"median": ("linear", 0.5)},
-                  ["is_laundering", "feature"], moments=True)
-    wide = q.groupBy("is_laundering").pivot("feature", cols).agg(
-        F.first("median").alias("median"), F.first("mean").alias("mean"), F.first("n").alias("n"))
-    return wide.select("is_laundering", F.col(f"{cols[0]}_n").cast("bigint").alias("rows"),
-                       *[F.col(f"{c}_mean").alias(f"rate_{c}") for c in FLAG_RATES],
-                       *[F.col(f"{c}_median").alias(f"median_{c}") for c in FEATURE_MEDIANS])
+    rates = [F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(f"rate_{c}") for c in FLAG_RATES]]
+    q = select_quantiles(features, list(FEATURE_MEDIANS), {"median": ("linear", 0.5)}, ["is_laundering"], rates)
+    names = ["rows", *[f"rate_{c}" for c in FLAG_RATES]]
+    return q.groupBy("is_laundering").agg(
+        *[F.first(c).alias(c) for c in names],
+        *[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(f"median_{c}") for c in FEATURE_MEDIANS])
 
 
 def format_share(df: DataFrame) -> DataFrame:

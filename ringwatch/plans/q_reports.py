@@ -136,8 +136,8 @@ SELECT is_laundering, count(*) AS rows,
 FROM f GROUP BY is_laundering""")
 def q_feature_by_class(spark, sf_dir):
     feats = build_account_history_features(build_basic_features(T(spark, sf_dir, end=AS_OF)), AS_OF)
-    # The rank selection reads the features twice (bound sample, final pass):
-    # materialise the feature table once in the shared checkpoint folder.
+    # The rank selection reads the features twice (sketches, counts inside the
+    # brackets): materialise the feature table once in the shared checkpoint folder.
     ensure_checkpoint_dir(spark)
     feats = feats.select("is_laundering", "amount_paid", "sender_n_sent_before", "receiver_n_received_before",
                          "sender_sent_last_24h", "is_cross_currency", "is_self_transfer",

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,6 +137,38 @@ def validate(df: DataFrame, contract: Contract, mode: str = "raise"):
     raise ValueError(f"unknown mode {mode}")
 
 
+@dataclass(frozen=True)
+class Checked:
+    """What :func:`write_checked` stored: the rows that keep the contract, the others, and per rule its violations."""
+
+    good: DataFrame
+    quarantined: DataFrame
+    violations: dict[str, int]
+
+
+def write_checked(df: DataFrame, contract: Contract, path: str) -> Checked:
+    """Count violations, quarantine and write in one job with one scan of ``df``.
+
+    The table at ``path`` (which must not exist) gets two partitions, ``quarantined=false`` and
+    ``quarantined=true``; the counts are observed on the rows as they are written. The observation sits in the
+    write's own stage, where a task that is run again reports once. Empty input gives an empty
+    table and zero counts. A column named ``quarantined`` in ``df`` is an error.
+    """
+    check_schema(df, contract)
+    if "quarantined" in (c.lower() for c in df.columns):
+        raise ContractError(f"{contract.name}: column quarantined is taken")
+    seen = Observation(f"contract-{contract.name}")
+    names = list(contract.rules)
+    counts = [F.sum(F.when(contract.rules[r](), 1).otherwise(0)).cast("bigint").alias(r) for r in names]
+    (df.observe(seen, *counts).withColumn("quarantined", _any_violation(contract))
+     .write.partitionBy("quarantined").mode("error").parquet(path))
+    violations = {r: int(seen.get.get(r) or 0) for r in names}
+    schema = T.StructType([*df.schema.fields, T.StructField("quarantined", T.BooleanType())])
+    stored = df.sparkSession.read.schema(schema).parquet(path)
+    return Checked(stored.filter(~F.col("quarantined")).drop("quarantined"),
+                   stored.filter("quarantined").drop("quarantined"), violations)
+
+
 def validate_raw_transactions(df: DataFrame, mode: str = "raise"):
     return validate(df, RAW_TRANSACTIONS, mode)
 

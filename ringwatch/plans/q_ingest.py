@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ringwatch.functions.basic import build_basic_features
-from ringwatch.operators.contracts import FEATURES, RAW_TRANSACTIONS, violation_counts
+from ringwatch.operators.contracts import FEATURES, RAW_TRANSACTIONS, violation_counts, write_checked
 from ringwatch.operators.history import build_account_history_features
 from ringwatch.operators.joins import attach_pattern_ids
 from ringwatch.operators.split import assign_split, snapshot_index, time_slice, truncate_tail
 from ringwatch.operators.quantiles import quantiles
-from ringwatch.operators.summary import summarise
+from ringwatch.operators.summary import accounts_by_period, daily_account_sketches, role_rows, summarise
 from ringwatch.plans.catalog import register
 from ringwatch.plans.common import (
     AS_OF, SPLIT_FRACTIONS, SQL_AS_OF, SQL_TAIL_CUTOFF, T, TAIL_CUTOFF, T_with_pattern, frozen_split,
     round_doubles)
+from ringwatch.session import ensure_checkpoint_dir, shared_dir
 from ringwatch.sources.manifest import ISO, split_manifest_frame, store_once
 from ringwatch.sources.patterns import rings_from_transfers
 from ringwatch.sources.transfers import SOURCE_COLUMNS, TRANSFER_COLUMNS, load_transactions_csv, write_transfers_csv
@@ -45,6 +46,39 @@ def q_summary(spark, sf_dir):
     return round_doubles(s)
 
 
+# Three relative standard errors of a sketch of 2**12 registers: 3 * 1.04 / 64.
+SKETCH_BOUND = 0.04875
+_PERIOD_SQL = "CAST(date_trunc('week', timestamp) AS DATE)"
+
+
+@register("q_distinct_by_period", f"""
+WITH r AS (SELECT timestamp, from_account AS account FROM T UNION ALL SELECT timestamp, to_account FROM T),
+p AS (SELECT strftime({_PERIOD_SQL}, 'week %Y-%m-%d') AS period, account FROM r
+      UNION ALL SELECT strftime(timestamp, 'month %Y-%m'), account FROM r UNION ALL SELECT 'all', account FROM r)
+SELECT period, CAST(count(*) / 2 AS BIGINT) AS transfers, count(DISTINCT account) AS exact_accounts,
+  1 AS within_bound FROM p GROUP BY period""")
+def q_distinct_by_period(spark, sf_dir):
+    """Distinct accounts of every week, month and of all time from one table of daily sketches, beside the
+    exact counts; ``within_bound`` tells whether the estimate is off by at most ``SKETCH_BOUND``."""
+    t = T(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
+    stored = daily_account_sketches(t).checkpoint()
+
+    def periods(day):
+        return F.array(F.date_format(F.date_trunc("week", day), "'week' yyyy-MM-dd"),
+                       F.date_format(day, "'month' yyyy-MM"), F.lit("all"))
+
+    # A day's sketch goes into each of its three periods; the rows are days, not transfers.
+    days = stored.withColumn("_p", F.explode(periods("day")))
+    estimate = accounts_by_period(days, F.col("_p"))
+    exact = (role_rows(t, ["timestamp"]).select(F.to_date("timestamp").alias("day"), "account").distinct()
+             .select(F.explode(periods("day")).alias("period"), "account")
+             .groupBy("period").agg(F.countDistinct("account").alias("exact_accounts")))
+    off = F.abs(F.col("accounts") - F.col("exact_accounts")) / F.col("exact_accounts")
+    return estimate.join(exact, "period").select(
+        "period", "transfers", "exact_accounts", (off <= SKETCH_BOUND).cast("int").alias("within_bound"))
+
+
 def _dirty(spark, sf_dir):
     t = T(spark, sf_dir)
     i = F.col("txn_id")
@@ -135,6 +169,28 @@ g AS (SELECT *, CAST(receiver_n_received_before + 1 AS DOUBLE) / (sender_n_sent_
 """
 
 
+_CHECKED_SQL = f"""WITH {_DIRTY_SQL},
+counts AS ({_rule_sql(_RAW_RULES_SQL, 'dirty')})
+SELECT * FROM counts
+UNION ALL SELECT 'stored_good', CAST(sum(CASE WHEN {' OR '.join(f'coalesce({p}, false)' for p in _RAW_RULES_SQL.values())}
+  THEN 0 ELSE 1 END) AS BIGINT) FROM dirty
+UNION ALL SELECT 'stored_quarantined', CAST(sum(CASE WHEN {' OR '.join(f'coalesce({p}, false)' for p in _RAW_RULES_SQL.values())}
+  THEN 1 ELSE 0 END) AS BIGINT) FROM dirty"""
+
+
+@register("q_contract_write", _CHECKED_SQL)
+def q_contract_write(spark, sf_dir):
+    """I1 in the writing pass: rule counts from the job that wrote the table, and what the table then holds."""
+    import uuid
+
+    checked = write_checked(_dirty(spark, sf_dir), RAW_TRANSACTIONS, shared_dir(spark, "checked", uuid.uuid4().hex))
+    held = checked.good.select(F.lit("stored_good").alias("rule")).unionByName(
+        checked.quarantined.select(F.lit("stored_quarantined").alias("rule")))
+    held = held.groupBy("rule").agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
+    counted = spark.createDataFrame(list(checked.violations.items()), "rule string, violations bigint")
+    return counted.unionByName(held)
+
+
 @register("q_contract_features", _FEATURE_SQL)
 def q_contract_features(spark, sf_dir):
     feats = build_account_history_features(build_basic_features(T(spark, sf_dir, end=AS_OF)), AS_OF)

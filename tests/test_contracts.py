@@ -3,7 +3,8 @@ from conftest import transfer, ts
 from pyspark.sql import functions as F
 
 from ringwatch.functions.basic import build_basic_features
-from ringwatch.operators.contracts import ContractError, validate_features, validate_raw_transactions
+from ringwatch.operators.contracts import (RAW_TRANSACTIONS, ContractError, validate_features, validate_raw_transactions,
+                                           violation_counts, write_checked)
 from ringwatch.operators.history import build_account_history_features
 
 
@@ -60,3 +61,31 @@ def test_bad_features_raise(make_transfers, col, value):
     f = f.withColumn(col, F.lit(value).cast(dict(f.dtypes)[col]))
     with pytest.raises(ContractError):
         validate_features(f)
+
+
+def test_write_checked_counts_and_parts_in_one_pass(spark, make_transfers, tmp_path):
+    rows = [transfer(i, ts(i % 9), "A", f"B{i}", amount=-1.0 if i % 10 == 0 else 5.0, label=2 if i % 4 == 0 else 0)
+            for i in range(200)]
+    df = make_transfers(rows).repartition(3).withColumn("extra", F.col("txn_id") * 2)
+    out = write_checked(df, RAW_TRANSACTIONS, str(tmp_path / "t"))
+    want = {r["rule"]: r["violations"] for r in violation_counts(df, RAW_TRANSACTIONS).collect()}
+    assert out.violations == want and out.violations["amount_paid_negative"] == 20
+    bad = {r.txn_id for r in out.quarantined.collect()}
+    assert bad == {i for i in range(200) if i % 10 == 0 or i % 4 == 0}
+    assert {r.txn_id for r in out.good.collect()} == set(range(200)) - bad
+    assert out.good.columns == df.columns
+
+
+def test_write_checked_without_rows(make_transfers, tmp_path):
+    out = write_checked(make_transfers([]), RAW_TRANSACTIONS, str(tmp_path / "t"))
+    assert out.good.count() == 0 and out.quarantined.count() == 0 and not any(out.violations.values())
+
+
+def test_write_checked_without_violations(make_transfers, tmp_path):
+    out = write_checked(_good(make_transfers), RAW_TRANSACTIONS, str(tmp_path / "t"))
+    assert out.good.count() == 2 and out.quarantined.count() == 0
+
+
+def test_write_checked_refuses_a_taken_name(make_transfers, tmp_path):
+    with pytest.raises(ContractError, match="quarantined"):
+        write_checked(_good(make_transfers).withColumn("quarantined", F.lit(1)), RAW_TRANSACTIONS, str(tmp_path / "t"))

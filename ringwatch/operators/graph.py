@@ -272,9 +272,12 @@ def two_hop_mean_by_day(transfers: DataFrame, caps=(15, 10), seed: int = 42) ->
     state = daily_state(e)
     own = _own_state(state)
     targets = own.select("account", "day")
-    pairs2 = _sampled_pairs(targets, in_samples(e, caps[1], seed))
+    # One sample for both hops: arrays are in hash order, so a smaller cap's sample is the head of a larger one's.
+    widest = in_samples(e, max(caps), seed)
+    first, second = (widest.withColumn("sample", F.slice("sample", 1, c)) for c in caps)
+    pairs2 = _sampled_pairs(targets, second)
     points = targets.unionByName(pairs2.select(F.col("u").alias("account"), "day")).distinct()
-    h1 = _mean_state_at(points, in_samples(e, caps[0], seed), _later_state(state), "h1_")
+    h1 = _mean_state_at(points, first, _later_state(state), "h1_")
     at_payer = h1.withColumnRenamed("account", "u")
     h2 = pairs2.join(at_payer, ["u", "day"]).groupBy("account", "day").agg(
         *[F.avg(f"h1_{f}").alias(f"h2_{f}") for f in NODE_FEATURES])

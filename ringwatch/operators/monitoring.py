@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ringwatch.operators.history import HISTORY_FEATURES, build_account_history_features
 from ringwatch.operators.metrics import evaluate
+from ringwatch.operators.sampling import fanout_sample
 from ringwatch.operators.scaler import EdgeScaler
+from ringwatch.session import ensure_checkpoint_dir
 from ringwatch.sources.transfers import ntz_lit, seconds_between
 
 
@@ -51,18 +53,34 @@ def alert_queue(scored_features: DataFrame, reason_cols: list[str], scaler: Edge
                       F.col("txn_id").alias("top_txn_id"), reasons.alias("reasons"))
 
 
-def ego_network(edges: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFrame:
-    """The whole money-flow subgraph from ``seeds`` (column ``account``): at each hop
-    every out-edge of the frontier; the payees become the next frontier. The joins
-    carry no hint: a small frontier is broadcast by its measured size, and a hub's
-    edges are split by adaptive execution otherwise."""
-    frontier = seeds.select("account").distinct()
-    out = None
+def ego_network(edges: DataFrame, seeds: DataFrame, hops: int = 2, fanout: int | None = None,
+                seed: int = 42) -> DataFrame:
+    """The money-flow subgraph from ``seeds`` (column ``account``), breadth first: at each hop
+    the out-edges of the frontier, whose payees not reached before become the next frontier.
+
+    An account is expanded once, at its least distance, so every edge comes once with its least
+    hop, in cycles too. The walk ends with the hops or with an empty frontier. ``fanout``
+    keeps at most that many out-edges per account (F6: smallest hashes first, under ``seed``);
+    None keeps all. Null accounts are neither seeds nor reached. The frontier is
+    checkpointed per hop, so a hop's plan does not hold the hops before. The joins carry no
+    hint: a small frontier is broadcast by its measured size, and a hub's edges are split
+    by adaptive execution otherwise."""
+    ensure_checkpoint_dir(edges.sparkSession)
+    frontier = seeds.select("account").filter(F.col("account").isNotNull()).distinct().checkpoint()
+    reached, out = frontier, None
     for h in range(1, hops + 1):
-        step = (edges.join(frontier, edges["src"] == frontier["account"], "left_semi")
-                .select("txn_id", "src", "dst", F.lit(h).alias("hop")))
+        step = edges.join(frontier, edges["src"] == frontier["account"], "left_semi").select("txn_id", "src", "dst")
+        if fanout is not None:
+            step = fanout_sample(step, fanout, node="src", seed=seed)
+        step = step.withColumn("hop", F.lit(h)).checkpoint()
         out = step if out is None else out.unionByName(step)
-        frontier = step.select(F.col("dst").alias("account")).distinct()
+        if h == hops:
+            break
+        payees = step.select(F.col("dst").alias("account")).filter(F.col("account").isNotNull()).distinct()
+        frontier = payees.join(reached, "account", "left_anti").checkpoint()
+        if frontier.isEmpty():
+            break
+        reached = reached.unionByName(frontier)
     return out
 
 
@@ -132,10 +150,12 @@ def leak_audit(transfers: DataFrame, as_of: dt.datetime) -> DataFrame:
     node features and neighbour means of both hops (J4, J5), the scoring rows built
     from them (J6), and the scaler fitted on the window (D9). The result lists, per
     feature, how many values changed, keeping only non-zero counts: empty means no leak.
+    History and graph features are computed once per record and checkpointed; all views read that.
     """
     from ringwatch.operators.graph import NODE_FEATURES, edge_inputs, two_hop_mean_by_day
     from ringwatch.operators.scaler import EdgeScaler
 
+    ensure_checkpoint_dir(transfers.sparkSession)
     cut = ntz_lit(as_of)
     later = F.col("timestamp") >= cut
     midnight = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
@@ -156,10 +176,10 @@ def leak_audit(transfers: DataFrame, as_of: dt.datetime) -> DataFrame:
     day = F.col("day") <= F.lit(midnight.date())
 
     def views(t: DataFrame) -> list[tuple[str, DataFrame, str, list[str]]]:
-        past = build_account_history_features(t, None).filter(F.col("timestamp") < cut)
-        by_day = two_hop_mean_by_day(t)
+        past = build_account_history_features(t, None).filter(F.col("timestamp") < cut).checkpoint()
+        by_day = two_hop_mean_by_day(t).filter(day).checkpoint()
         rows = edge_inputs(past.withColumn("log_amount", F.log1p("amount_paid")), by_day, ["log_amount"], graph)
-        keyed = by_day.filter(day).withColumn("key", F.concat_ws("|", "account", F.col("day").cast("string")))
+        keyed = by_day.withColumn("key", F.concat_ws("|", "account", F.col("day").cast("string")))
         # Accounts that only later rows bring to the cut's own day are new in one record, not changed.
         return [("", past, "txn_id", history), ("by_day_", keyed, "key", graph),
                 ("inputs_", rows, "txn_id", [c for c in rows.columns if c not in ("txn_id", "is_laundering")]),

@@ -38,6 +38,8 @@ def register(name: str, oracle: str | None = None):
 
 def with_t(body: str) -> str:
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE T AS ({DUCKDB_T_SQL}),\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH T AS ({DUCKDB_T_SQL}),\n{body[5:]}"
     return f"WITH T AS ({DUCKDB_T_SQL})\n{body}"

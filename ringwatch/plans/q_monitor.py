@@ -59,16 +59,39 @@ def q_alert_queue(spark, sf_dir):
     return alert_queue(f, REASONS, scaler, QUEUE_K)
 
 
-@register("q_ego_network", f"""WITH e AS (SELECT txn_id, from_account AS src, to_account AS dst FROM T
+def _ego_sql(hops: int, edges: str) -> str:
+    """Walks of up to ``hops`` edges from the seeds; an edge's hop is its payer's least distance plus one."""
+    return f"""WITH RECURSIVE e0 AS (SELECT txn_id, from_account AS src, to_account AS dst FROM T
                                    WHERE timestamp < {SQL_AS_OF}),
+e AS ({edges}),
 seeds AS (SELECT from_account AS account FROM T GROUP BY 1 ORDER BY count(*) DESC, from_account LIMIT 3),
-h1 AS (SELECT txn_id, src, dst, 1 AS hop FROM e WHERE src IN (SELECT account FROM seeds)),
-h2 AS (SELECT txn_id, src, dst, 2 AS hop FROM e WHERE src IN (SELECT dst FROM h1))
-SELECT * FROM h1 UNION ALL SELECT * FROM h2""")
-def q_ego_network(spark, sf_dir):
+walk AS (SELECT account, 0 AS d FROM seeds
+         UNION SELECT e.dst, walk.d + 1 FROM walk JOIN e ON e.src = walk.account WHERE walk.d < {hops - 1}),
+dist AS (SELECT account, min(d) AS d FROM walk GROUP BY account)
+SELECT e.txn_id, e.src, e.dst, CAST(dist.d + 1 AS INTEGER) AS hop FROM e JOIN dist ON e.src = dist.account"""
+
+
+def _ego(spark, sf_dir, **kw):
     seeds = top_senders(T(spark, sf_dir), 3).select(F.col("from_account").alias("account"))
     edges = snapshot_edges(T(spark, sf_dir, end=AS_OF), AS_OF).select("txn_id", "src", "dst")
-    return ego_network(edges, seeds, hops=2).select("txn_id", "src", "dst", F.col("hop").cast("int").alias("hop"))
+    return ego_network(edges, seeds, **kw).select("txn_id", "src", "dst", F.col("hop").cast("int").alias("hop"))
+
+
+@register("q_ego_network", _ego_sql(2, "SELECT * FROM e0"))
+def q_ego_network(spark, sf_dir):
+    """Every edge within two hops, once."""
+    return _ego(spark, sf_dir, hops=2)
+
+
+EGO_FANOUT = 3
+
+
+@register("q_ego_network_sampled", _ego_sql(4, f"""SELECT txn_id, src, dst FROM (
+  SELECT *, row_number() OVER (PARTITION BY src ORDER BY {duckdb_uniform_from_key(SEED, 'txn_id')}, txn_id) AS rn FROM e0)
+  WHERE rn <= {EGO_FANOUT}"""))
+def q_ego_network_sampled(spark, sf_dir):
+    """N4 with F6's cap: four hops over at most three payments per payer."""
+    return _ego(spark, sf_dir, hops=4, fanout=EGO_FANOUT, seed=SEED)
 
 
 CURVE_K = list(range(100, 2001, 100))

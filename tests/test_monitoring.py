@@ -49,6 +49,31 @@ def test_ego_network_keeps_every_edge(spark):
     assert len(out) == 70 and {r.hop for r in out} == {1, 2}
 
 
+def test_ego_network_equals_breadth_first_search(spark):
+    """Cycles, self transfers, parallel edges, null accounts, seeds among each other's payees."""
+    rng = random.Random(11)
+    name = lambda: None if rng.random() < 0.05 else f"n{rng.randrange(25)}"
+    rows = [(i, name(), name()) for i in range(60)] + [(100, "n1", "n1"), (101, "n1", "n2"), (102, "n1", "n2")]
+    edges = spark.createDataFrame(rows, "txn_id long, src string, dst string")
+    seeds = spark.createDataFrame([("n1",), ("n2",), ("n1",), (None,)], "account string")
+    for hops in (1, 2, 5, 40):
+        dist, frontier = {"n1": 0, "n2": 0}, ["n1", "n2"]
+        for d in range(1, hops):
+            frontier = sorted({t for _, f, t in rows if f in frontier and t is not None} - dist.keys())
+            dist.update({a: d for a in frontier})
+        want = sorted((i, f, t or "", dist[f] + 1) for i, f, t in rows if f in dist)
+        got = sorted((r.txn_id, r.src, r.dst or "", r.hop) for r in ego_network(edges, seeds, hops).collect())
+        assert got == want
+
+
+def test_ego_network_with_a_cap(spark):
+    edges = spark.createDataFrame([(i, "hub", f"b{i}") for i in range(40)] + [(100 + i, f"b{i}", "hub") for i in range(40)],
+                                  "txn_id long, src string, dst string")
+    out = ego_network(edges, spark.createDataFrame([("hub",)], "account string"), 6, fanout=4).collect()
+    assert len(out) == 8 and len({r.txn_id for r in out}) == 8
+    assert {r.dst for r in out if r.hop == 1} == {r.src for r in out if r.hop == 2}
+
+
 def test_alert_reasons_are_scaled(spark):
     f = spark.createDataFrame([(1, "A", 9.0, 1000.0, 1.0), (2, "B", 8.0, 900.0, 0.0)], "txn_id long, from_account string, score double, big double, small double")
     scaler = EdgeScaler({"big": 7.0, "small": 0.0}, {"big": 1.0, "small": 0.1})

@@ -13,7 +13,9 @@ neighbours in the sorted run are linked and a run of any length costs one link
 per member, never all pairs. Each task hands on a spanning forest of its links;
 components follow by label propagation on those links, cut by written tables.
 A prefix that collects far more variants than the rest (a large group of near
-copies) is dealt to several tasks by a hash of the variant.
+copies) gets further leading bits until each part is small, so every variant is
+spelled out in one task only. That ends: at all 64 bits a prefix is one
+variant, which at most 2,081 distinct fingerprints have.
 """
 
 from __future__ import annotations
@@ -29,10 +31,11 @@ from ringwatch.llm.common import arrow, id_and_text, session, written
 SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
 SEED = 42
-#: Variants that a prefix is meant to gather, on average, and at most at a time in memory.
+#: Variants that a prefix is meant to gather, on average; with over four times as many it gets further bits.
 PREFIX_VARIANTS = 1 << 20
-BLOCK_VARIANTS = 1 << 22
 MAX_PREFIX_BITS = 32
+#: Bits by which a crowded prefix grows at a time.
+DEEPER_BITS = 4
 
 FP_SCHEMA = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 LINK_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -107,41 +110,25 @@ def _roots(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         label = new
 
 
-def linked(fp: np.ndarray, flips: np.ndarray, low_bits: int, half: int, max_distance: int,
-           salt: int = 0, salts: int = 1) -> np.ndarray:
+def linked(fp: np.ndarray, flips: np.ndarray, low_bits: int, half: int, max_distance: int) -> np.ndarray:
     """Spanning links (m x 2 fingerprints) of one prefix: ``fp`` distinct, ``flips`` the bits already
-    spent on the prefix. Only variants whose hash falls to ``salt`` of ``salts`` are looked at."""
+    spent on the prefix."""
     order = np.argsort(fp, kind="stable")
     fp, flips = fp[order], flips[order]
     n = len(fp)
-    masks = [_masks(low_bits, half - k) for k in range(half + 1)]
     low = fp & np.uint64((1 << low_bits) - 1)
-    total = int(sum((flips == k).sum() * len(masks[k]) for k in range(half + 1)))
-    blocks = max(1, -(-total // salts // BLOCK_VARIANTS))
-    pairs = [np.zeros(0, np.int64)]
-    for block in range(blocks):
-        values, owners = [], []
-        for k in range(half + 1):
-            who = np.flatnonzero(flips == k)
-            step = max(1, BLOCK_VARIANTS // len(masks[k]))
-            for at in range(0, len(who), step):
-                own = who[at:at + step]
-                v = (low[own][:, None] ^ masks[k][None]).ravel()
-                o = np.repeat(own, len(masks[k]))
-                if salts * blocks > 1:
-                    part = ((v * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(salts * blocks)
-                    mine = part == np.uint64(salt * blocks + block)
-                    v, o = v[mine], o[mine]
-                values.append(v)
-                owners.append(o)
-        v, o = np.concatenate(values), np.concatenate(owners)
-        del values, owners
-        ranked = np.argsort(v)
-        v = v[ranked]
-        same = np.flatnonzero(v[1:] == v[:-1])
-        a, b = o[ranked[same]], o[ranked[same + 1]]
-        pairs.append(np.unique(np.minimum(a, b) * n + np.maximum(a, b)))
-    code = np.unique(np.concatenate(pairs))
+    values, owners = [], []
+    for k in range(half + 1):
+        who, masks = np.flatnonzero(flips == k), _masks(low_bits, half - k)
+        values.append((low[who][:, None] ^ masks[None]).ravel())
+        owners.append(np.repeat(who, len(masks)))
+    v, o = np.concatenate(values), np.concatenate(owners)
+    del values, owners
+    ranked = np.argsort(v)
+    v = v[ranked]
+    same = np.flatnonzero(v[1:] == v[:-1])
+    a, b = o[ranked[same]], o[ranked[same + 1]]
+    code = np.unique(np.minimum(a, b) * n + np.maximum(a, b))
     lo, hi = code // n, code % n
     near = np.bitwise_count(fp[lo] ^ fp[hi]) <= max_distance
     lo, hi = lo[near], hi[near]
@@ -164,26 +151,41 @@ def links(fps: DataFrame, distinct: int, max_distance: int = MAX_DISTANCE) -> Da
     """(a, b): links that span every group of fingerprints connected at ``max_distance`` or less. ``fps``: distinct fp."""
     half = (max_distance + 1) // 2
     bits = prefix_bits(distinct, half)
-    low_bits = 64 - bits
-    masks = [m - (1 << 64) if m >= 1 << 63 else m for m in (int(x) << low_bits for x in _masks(bits, half))]
+    masks = [m - (1 << 64) if m >= 1 << 63 else m for m in (int(x) << (64 - bits) for x in _masks(bits, half))]
     rows = fps.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask")).select(
         "fp", F.bit_count("mask").cast("int").alias("flips"),
-        F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("mask")), low_bits).alias("prefix")
+        F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("mask")), 64 - bits).alias("prefix")
         if bits else F.lit(0).cast("long").alias("prefix"))
-    # Prefixes that gather several times the intended number are dealt to several tasks.
-    weight = F.element_at(F.array(*[F.lit(ball_size(low_bits, half - k)) for k in range(half + 1)]), F.col("flips") + 1)
-    hot = (rows.groupBy("prefix").agg(F.sum(weight).alias("variants"))
-           .where(F.col("variants") > 4 * PREFIX_VARIANTS)
-           .select("prefix", F.ceil(F.col("variants") / (2 * PREFIX_VARIANTS)).cast("int").alias("salts")))
-    dealt = (rows.join(hot, "prefix", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))))
+    parts = None
+    while True:
+        weight = F.element_at(F.array(*[F.lit(ball_size(64 - bits, half - k)) for k in range(half + 1)]), F.col("flips") + 1)
+        crowded = written(rows.groupBy("prefix").agg(F.sum(weight).alias("variants"))
+                          .where(F.col("variants") > 4 * PREFIX_VARIANTS).select("prefix"), "crowded-prefixes")
+        more = bits < 64 and bool(crowded.head(1))
+        part = (rows.join(crowded, "prefix", "left_anti") if more else rows).withColumn("bits", F.lit(bits))
+        parts = part if parts is None else parts.unionByName(part)
+        if not more:
+            break
+        step = min(DEEPER_BITS, 64 - bits)
+        rows = written(deeper(rows.join(crowded, "prefix", "left_semi"), bits, step, half), "crowded-rows")
+        bits += step
 
     def match(t: pa.Table) -> pa.Table:
-        found = linked(t["fp"].to_numpy().view(np.uint64), t["flips"].to_numpy(), low_bits, half, max_distance,
-                       t["salt"][0].as_py(), t["salts"][0].as_py()).view(np.int64)
+        found = linked(t["fp"].to_numpy().view(np.uint64), t["flips"].to_numpy(), 64 - t["bits"][0].as_py(), half,
+                       max_distance).view(np.int64)
         return pa.Table.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], schema=LINK_SCHEMA)
 
-    return dealt.groupBy("prefix", "salt").applyInArrow(match, "a long, b long")
+    return parts.groupBy("bits", "prefix").applyInArrow(match, "a long, b long")
+
+
+def deeper(rows: DataFrame, bits: int, step: int, half: int) -> DataFrame:
+    """(fp, flips, prefix) under prefixes ``step`` bits longer: the same variants, each under one longer prefix."""
+    own = F.shiftrightunsigned("fp", 64 - bits - step).bitwiseAND(F.lit((1 << step) - 1).cast("long"))
+    masks = F.array(*[F.lit(int(m)).cast("long") for m in _masks(step, half)])
+    spread = rows.withColumn("mask", F.explode(masks)).withColumn("now", F.col("flips") + F.bit_count("mask").cast("int"))
+    return spread.filter(F.col("now") <= half).select(
+        "fp", F.col("now").alias("flips"),
+        F.shiftleft("prefix", step).bitwiseOR(own.bitwiseXOR(F.col("mask"))).alias("prefix"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -74,21 +74,50 @@ def test_links_find_every_pair_at_every_prefix_width(spark, monkeypatch):
             sorted(f for f in fps if want[f] == g) for g in set(want.values()))
 
 
-def test_salted_and_blocked_prefixes_lose_no_link(monkeypatch):
-    r = random.Random(3)
-    centre = r.getrandbits(64)
-    fps = np.array(sorted({centre ^ (1 << a) ^ (1 << b) for a in range(0, 64, 3) for b in range(1, 64, 5)} | {centre}), np.uint64)
-    monkeypatch.setattr(S, "BLOCK_VARIANTS", 5000)
-    flips = np.zeros(len(fps), np.int32)
-    found = [S.linked(fps, flips, 64, 2, 4, salt, 3) for salt in range(3)]
-    pairs = np.concatenate(found)
-    index = {int(f): i for i, f in enumerate(fps)}
-    label = S._roots(len(fps), np.array([index[int(a)] for a in pairs[:, 0]]), np.array([index[int(b)] for b in pairs[:, 1]]))
-    want = groups(int(f) for f in fps)
-    assert len(set(label.tolist())) == len(set(want.values()))
-
-
-def test_hot_prefixes_are_dealt_to_several_tasks(spark, monkeypatch):
+def test_longer_prefixes_spell_each_variant_once(spark):
+    """Growing a prefix deals its variants out: the same set, none twice."""
+    r = np.random.default_rng(5)
+    fps = [int(x) for x in r.integers(-(1 << 63), 1 << 63, 12)]
+    rows = spark.createDataFrame([(f, 0, 0) for f in fps], "fp long, flips int, prefix long")
+
+    def variants(rows, bits):
+        out = []
+        for x in rows.collect():
+            low = (x.fp % (1 << 64)) & ((1 << 64 - bits) - 1)
+            out += [(x.fp, ((x.prefix % (1 << 64)) << 64 - bits) | (low ^ int(m))) for m in S._masks(64 - bits, 2 - x.flips)]
+        return sorted(out)
+
+    want = variants(rows, 0)
+    assert len(want) == 12 * 2081
+    bits = 0
+    for step in (3, 4, 4, 49, 4):
+        rows, bits = S.deeper(rows, bits, step, 2), bits + step
+        assert variants(rows, bits) == want
+    assert bits == 64
+
+
+def test_crowded_prefixes_down_to_single_variants(spark, monkeypatch):
+    """So low a bound that prefixes grow to all 64 bits: the links are still those of all pairs."""
+    monkeypatch.setattr(S, "PREFIX_VARIANTS", 2)
+    monkeypatch.setattr(S, "MAX_PREFIX_BITS", 4)
+    monkeypatch.setattr(S, "DEEPER_BITS", 20)
+    r = np.random.default_rng(6)
+    centre = int(r.integers(0, 1 << 63))
+    fps = {centre ^ sum(1 << int(b) for b in r.integers(0, 63, r.integers(0, 6))) for _ in range(60)}
+    fps |= {int(x) for x in r.integers(0, 1 << 63, 20)}
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    tree = {r.node: r.root for r in S.components(S.written(S.links(df, len(fps)), "t")).collect()}
+    label = groups(fps)
+    parts = {}
+    for f in fps:
+        parts.setdefault(label[f], set()).add(f)
+    found = {}
+    for f in fps:
+        found.setdefault(tree.get(f, f), set()).add(f)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, parts.values()))
+
+
+def test_crowded_prefixes_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(S, "PREFIX_VARIANTS", 3000)
     monkeypatch.setattr(S, "MAX_PREFIX_BITS", 2)
     fps = list(range(1, 60))

@@ -5,7 +5,9 @@ within the piece. Documents longer than a sequence give full sequences; what is
 left over (under one sequence each) is packed in groups of documents: pieces go
 in descending order to the cheapest sequence with enough room, and a piece that
 fits nowhere is cut at the largest room left. A group opens exactly as many
-sequences as its tokens need, so its padding is below one sequence.
+sequences as its tokens need, so its padding is below one sequence. A group holds
+less than one sequence of each of its documents, however long they are: full
+sequences stay out of it and pass in bundles of at most 256.
 """
 
 from __future__ import annotations
@@ -27,6 +29,11 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Documents of one packing group, on average.
 GROUP_DOCS = 1024
+#: Full sequences of one bundle, at most. Bundles are numbered within the task that cut them.
+BUNDLE = 256
+BUNDLES_PER_TASK = 1 << 32
+#: Sequence ids from here on are full sequences.
+FULL_IDS = 1 << 62
 
 PIECES = pa.schema([("part", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
@@ -76,9 +83,10 @@ def assign(lengths: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, int
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], parts: int, capacity: int, name: str, end_id: int,
-            keep_ids: bool) -> Iterator[pa.RecordBatch]:
+            keep_ids: bool, bundle: int) -> Iterator[pa.RecordBatch]:
     enc, end = encoder(name), np.array([end_id], "<u4").tobytes()
-    turn = TaskContext.get().partitionId() * 7919
+    turn, fulls = TaskContext.get().partitionId() * 7919, 0
+    first = -1 - TaskContext.get().partitionId() * BUNDLES_PER_TASK  # bundles count down from here
     width = 4 * capacity
     for batch in batches:
         out: dict[str, list] = {n: [] for n in PIECES.names}
@@ -88,29 +96,30 @@ def _pieces(batches: Iterator[pa.RecordBatch], parts: int, capacity: int, name:
             for at in range(0, len(ids), width):
                 piece = ids[at:at + width]
                 full = len(piece) == width
-                for n, v in zip(PIECES.names, (turn % parts, doc_id, at // 4, len(piece) // 4, zlib.crc32(piece),
+                group = turn % parts
+                if full:
+                    group, fulls = first - fulls // bundle, fulls + 1
+                for n, v in zip(PIECES.names, (group, doc_id, at // 4, len(piece) // 4, zlib.crc32(piece),
                                                len(ids) // 4, piece if keep_ids or not full else None)):
                     out[n].append(v)
         yield arrow(PIECES, **out)
 
 
-def _pack(t: pa.Table, capacity: int, keep_ids: bool) -> pa.Table:
+def _pack(t: pa.Table, capacity: int, keep_ids: bool, bundle: int) -> pa.Table:
     part, doc = t["part"][0].as_py(), t["doc_id"].to_pylist()
     start, length, crc, tokens = (t[c].to_numpy() for c in ("start", "length", "ids_crc32", "doc_tokens"))
     ids = t["ids"].to_pylist()
     rows: list[tuple] = []
-    base = part << 32
-    full = np.flatnonzero(length == capacity)
-    for k, i in enumerate(full.tolist()):
-        rows.append((doc[i], start[i], capacity, crc[i], tokens[i], base + k, 0, ids[i]))
-    rest = np.flatnonzero(length < capacity)
-    # The order of arrival must not matter: ties in length go by id and content.
-    rest = np.array(sorted(rest.tolist(), key=lambda i: (doc[i] is not None, doc[i] or 0, start[i], crc[i])), np.int64)
-    if len(rest):
-        for item, at, take, seq, offset in assign(length[rest], capacity):
-            i = int(rest[item])
+    # Ties in length go by id and content, so the order of arrival does not matter.
+    order = sorted(range(len(doc)), key=lambda i: (doc[i] is not None, doc[i] or 0, start[i], crc[i]))
+    if part < 0:  # a bundle of full sequences; their ids lie above those of the groups
+        base = FULL_IDS + (-1 - part) * bundle
+        rows = [(doc[i], start[i], capacity, crc[i], tokens[i], base + k, 0, ids[i]) for k, i in enumerate(order)]
+    else:
+        for item, at, take, seq, offset in assign(length[order], capacity):
+            i = order[item]
             piece = ids[i][4 * at:4 * (at + take)]
-            rows.append((doc[i], start[i] + at, take, zlib.crc32(piece), tokens[i], base + len(full) + seq, offset,
+            rows.append((doc[i], start[i] + at, take, zlib.crc32(piece), tokens[i], (part << 32) + seq, offset,
                          piece if keep_ids else None))
     totals: dict[int, int] = {}
     for r in rows:
@@ -120,17 +129,18 @@ def _pack(t: pa.Table, capacity: int, keep_ids: bool) -> pa.Table:
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, end_id: int = END_ID,
-         id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, bundle: int = BUNDLE) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     sequence_tokens, padded_tokens and the ids (little-endian unsigned 32-bit).
 
     Every document, null and empty texts too, ends with ``end_id`` and so has a
     piece. Rows are dealt to packing groups in turn, whatever their ids or
-    texts, so repeated rows and ties make no large group. An empty table gives
+    texts, so repeated rows and ties make no large group. A very long text adds bundles of full
+    sequences and one short piece to a group. Extra columns are left out. An empty table gives
     an empty result.
     """
     session(docs.sparkSession)
     parts = part_of(docs.count(), GROUP_DOCS)
     pieces = id_and_text(docs, id_col, text_col).mapInArrow(
-        lambda b: _pieces(b, parts, capacity, tokenizer, end_id, keep_ids), ddl(PIECES))
-    return pieces.groupBy("part").applyInArrow(lambda t: _pack(t, capacity, keep_ids), ddl(PACKED))
+        lambda b: _pieces(b, parts, capacity, tokenizer, end_id, keep_ids, bundle), ddl(PIECES))
+    return pieces.groupBy("part").applyInArrow(lambda t: _pack(t, capacity, keep_ids, bundle), ddl(PACKED))

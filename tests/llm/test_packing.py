@@ -75,3 +75,17 @@ def test_result_is_the_same_each_time(docs):
     df = docs([(i, prose(i, 50)) for i in range(60)]).persist()
     key = lambda: sorted((r.doc_id, r.start, r.sequence_id, r.offset) for r in P.pack(df).collect())
     assert key() == key()
+
+
+def test_long_documents_stay_out_of_groups(docs):
+    """Documents of many sequences: groups hold short pieces only, bundles of full ones are bounded, ids are unique."""
+    pairs = [(i, prose(i, 9000 if i % 7 == 0 else 40)) for i in range(30)] + [(7, prose(7, 9000)), (None, prose(5, 5000))]
+    df = docs(pairs).repartition(3)
+    check(P.pack(df, bundle=3).collect(), pairs)
+    pieces = P.id_and_text(df, "doc_id", "text").mapInArrow(
+        lambda b: P._pieces(b, 2, P.CAPACITY, P.TOKENIZER, P.END_ID, True, 3), P.ddl(P.PIECES)).collect()
+    by_part = defaultdict(list)
+    for r in pieces:
+        by_part[r.part].append(r.length)
+    assert all((p < 0) == (n == P.CAPACITY) for p, all_n in by_part.items() for n in all_n)
+    assert max(len(n) for p, n in by_part.items() if p < 0) == 3

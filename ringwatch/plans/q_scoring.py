@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ringwatch.functions.basic import build_basic_features
 from ringwatch.operators.compiled import CompiledLinear, CompiledTrees, explained_queue
 from ringwatch.operators.history import HISTORY_FEATURES, build_account_history_features
-from ringwatch.operators.metrics import evaluate, rank_randomly, to_scored
+from ringwatch.operators.metrics import evaluate, pr_auc_frame, rank_randomly, to_scored
 from ringwatch.operators.models import (CATEGORY_COLUMNS, PARITY_FEATURES, TREE_FEATURES, category_codes, fit_edge_scorer, fit_tree,
-                                        materialised, pr_auc_frame, score_with)
+                                        materialised, score_with)
 from ringwatch.operators.split import select_split, truncate_tail
 from ringwatch.operators.sweep import RUNGS, TREE_SETTINGS, halving_tree_sweep
 from ringwatch.sources.tracking import read_runs
@@ -29,10 +29,10 @@ _VALID_SQL = f"SELECT count(*) AS n FROM T, b WHERE timestamp >= train_end AND t
 
 
 def _slices(spark, sf_dir):
-    """Training and validation rows with their features, each computed once."""
+    """Training and validation rows with their features, computed once for both."""
     b = frozen_split(spark, sf_dir)
-    feats = truncate_tail(build_account_history_features(build_basic_features(T(spark, sf_dir, end=b[1])), b[1]), TAIL_CUTOFF)
-    return materialised(select_split(feats, "train", b)), materialised(select_split(feats, "validation", b))
+    feats = materialised(truncate_tail(build_account_history_features(build_basic_features(T(spark, sf_dir, end=b[1])), b[1]), TAIL_CUTOFF))
+    return select_split(feats, "train", b), select_split(feats, "validation", b)
 
 
 @register("q_compiled_scores", _BOUNDS_SQL + f""", v AS ({_VALID_SQL})

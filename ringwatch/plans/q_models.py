@@ -79,8 +79,8 @@ SELECT txn_id, {', '.join(f"round((p.{c} - (SELECT mean FROM mom WHERE feature =
 FROM prep p""")
 def q_scaler_transform(spark, sf_dir):
     """Training and validation rows scaled by the training moments."""
-    f, train = _features(spark, sf_dir)
-    sc = EdgeScaler.fit(train, _PF)
+    f = materialised(_features(spark, sf_dir)[0].select("txn_id", "timestamp", *_PF))
+    sc = EdgeScaler.fit(select_split(f, "train", frozen_split(spark, sf_dir)), _PF)
     return round_doubles(sc.transform(f.select("txn_id", *_PF), _PF))
 
 

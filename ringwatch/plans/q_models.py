@@ -92,24 +92,24 @@ def q_parity_columns(spark, sf_dir):
 
 
 def _model_frames(spark, sf_dir):
-    """Features as of val_end, then the train and validation slices, each computed once."""
+    """Features as of val_end, computed once, then the train and validation slices of them."""
     b = frozen_split(spark, sf_dir)
     feats = build_account_history_features(build_basic_features(T(spark, sf_dir, end=b[1])), b[1])
-    feats = attach_pattern_ids(truncate_tail(feats, TAIL_CUTOFF), rings_with_copies(spark, sf_dir))
-    return materialised(select_split(feats, "train", b)), materialised(select_split(feats, "validation", b))
+    feats = materialised(attach_pattern_ids(truncate_tail(feats, TAIL_CUTOFF), rings_with_copies(spark, sf_dir)))
+    return select_split(feats, "train", b), select_split(feats, "validation", b)
 
 
 def _graph_frames(spark, sf_dir, train, valid):
     """J6 inputs of both slices (node state and neighbour means of both hops at the day start, and the
-    14 parity columns scaled by the training moments) and the list of input columns."""
+    14 parity columns scaled by the training moments) and the list of input columns. Both slices are joined to the
+    node table in one job, whose rows are stored before the scaler reads them."""
     by_day = two_hop_mean_by_day(T(spark, sf_dir, end=frozen_split(spark, sf_dir)[1]))
     vcols = [c for c in by_day.columns if c not in ("account", "day")]
     cols = [f"{s}_{c}" for s in ("src", "dst") for c in vcols] + _PF
 
-    def inputs(df):
-        return edge_inputs(df, by_day, [*_PF, "pattern_id", "amount_paid"], vcols)
-
-    return *map(materialised, scaled_inputs(inputs(train), inputs(valid), _PF)), cols
+    rows = train.withColumn("_train", F.lit(True)).unionByName(valid.withColumn("_train", F.lit(False)))
+    both = materialised(edge_inputs(rows, by_day, [*_PF, "pattern_id", "amount_paid", "_train"], vcols))
+    return *scaled_inputs(both.filter("_train").drop("_train"), both.filter("NOT _train").drop("_train"), _PF), cols
 
 
 def _gains(spark, sf_dir):

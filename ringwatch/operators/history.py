@@ -72,15 +72,15 @@ class Opening:
 
 
 def build_account_history_features(df: DataFrame, as_of: dt.datetime | None, id_block: int = ID_BLOCK,
-                                   opening: Opening | None = None) -> DataFrame:
+                                   opening: Opening | None = None, met: DataFrame | None = None) -> DataFrame:
     """Append E1-E9 to every transfer strictly before ``as_of``. With ``opening``, everything in it
-    counts as earlier than the rows of ``df``."""
+    counts as earlier than the rows of ``df``. ``met``: the ``first_meetings`` of these rows, where the caller has them."""
     df = cut_as_of(df, as_of)
     cols = df.columns
     rows = df.withColumns({"_w": whole_part("amount_paid"), "_u": unit_part("amount_paid"), "_sb": _block(id_block)})
     base = rows.select("txn_id", "timestamp", "from_account", "to_account", "_w", "_u", "_sb")
-    s = _side(rows, base, "from_account", "to_account", SENDER_FEATURES[:3], True, id_block, opening)
-    r = _side(s, base, "to_account", "from_account", RECEIVER_FEATURES, False, id_block, opening)
+    s = _side(rows, base, "from_account", "to_account", SENDER_FEATURES[:3], True, id_block, opening, met)
+    r = _side(s, base, "to_account", "from_account", RECEIVER_FEATURES, False, id_block, opening, met)
     e1, e5 = F.col("sender_n_sent_before"), F.col("receiver_n_received_before")
     return r.select(*cols, *SENDER_FEATURES, *RECEIVER_FEATURES,
                     (e1 - F.col("_le24")).alias("sender_sent_last_24h"),
@@ -135,10 +135,11 @@ def _bucket_offsets(base: DataFrame, events: DataFrame, acct: str, sender: bool,
 
 
 def _side(rows: DataFrame, base: DataFrame, acct: str, other: str, names: tuple[str, ...], sender: bool,
-          id_block: int, opening: Opening | None) -> DataFrame:
+          id_block: int, opening: Opening | None, met: DataFrame | None) -> DataFrame:
     n, amt, dist = names
     key = [acct, "timestamp", "_sb"]
-    events = first_meetings(base, acct, other, opening).drop(other).withColumn("_sb", _block(id_block))
+    events = (first_meetings(base, acct, other, opening) if met is None else met).select(acct, "timestamp", "txn_id").withColumn(
+        "_sb", _block(id_block))
     carried = None if opening is None else opening.sent if sender else opening.received
     offsets = _bucket_offsets(base, events, acct, sender, carried)
     cols = rows.columns

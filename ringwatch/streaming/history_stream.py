@@ -8,7 +8,7 @@ micro-batch, in the shared output folder:
 
 * ``sent`` / ``received``: totals per (account, minute), sends of the last 24
   hours by the minute, everything older added up in one row per account;
-* ``pairs``: one row per (payer, payee) that have met;
+* ``met``: one row per (payer, payee) that first met in the micro-batch; together the pairs that have met;
 * ``marks``: per account the latest (timestamp, txn_id) applied.
 
 Lateness is decided once per transfer: one that lies behind the mark of either of
@@ -41,7 +41,9 @@ def _state(spark: SparkSession, out_path: str, epoch: int) -> dict[str, DataFram
     """The state tables after ``epoch`` (empty before the first batch)."""
     if epoch < 0:
         return {name: spark.createDataFrame([], schema) for name, schema in STATE.items()}
-    return {name: spark.read.schema(schema).parquet(f"{out_path}/state/{name}/epoch={epoch}") for name, schema in STATE.items()}
+    paths = {name: [f"{out_path}/state/{name}/epoch={epoch}"] for name in STATE}
+    paths["pairs"] = [f"{out_path}/met/epoch={e}" for e in range(epoch + 1)]
+    return {name: spark.read.schema(schema).parquet(*paths[name]) for name, schema in STATE.items()}
 
 
 def _store(df: DataFrame, out_path: str, name: str, epoch: int) -> DataFrame:
@@ -50,22 +52,22 @@ def _store(df: DataFrame, out_path: str, name: str, epoch: int) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def split_late(batch: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(on time, late): a transfer behind the mark of its payer or payee is late, as a whole."""
+def mark_late(batch: DataFrame, marks: DataFrame) -> DataFrame:
+    """``batch`` with ``_late``: a transfer behind the mark of its payer or payee is late, as a whole."""
     here = F.struct(F.col("timestamp"), F.col("txn_id"))
     for side in ("from_account", "to_account"):
         m = marks.select(F.col("account").alias(side), F.struct("timestamp", "txn_id").alias(f"_mark_{side}"))
         batch = batch.join(m, side, "left")
     late = F.coalesce(here < F.col("_mark_from_account"), F.lit(False)) | F.coalesce(here < F.col("_mark_to_account"), F.lit(False))
     keep = [c for c in batch.columns if not c.startswith("_mark_")]
-    return batch.filter(~late).select(*keep), batch.filter(late).select(*keep)
+    return batch.select(*keep, late.alias("_late"))
 
 
-def _totals(rows: DataFrame, acct: str, other: str, opening: Opening, carried: DataFrame, keep_day: bool) -> DataFrame:
+def _totals(rows: DataFrame, acct: str, met: DataFrame, carried: DataFrame, keep_day: bool) -> DataFrame:
     """State totals after the batch; minutes older than a day before the newest are added up per account."""
     new = (rows.select(F.col(acct).alias("account"), "timestamp", F.lit(1).alias("n"), whole_part("amount_paid").alias("w"),
                        unit_part("amount_paid").alias("u"), F.lit(0).alias("p"))
-           .unionByName(first_meetings(rows, acct, other, opening).select(
+           .unionByName(met.select(
                F.col(acct).alias("account"), "timestamp", F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("w"),
                F.lit(0).cast("bigint").alias("u"), F.lit(1).alias("p"))))
     both = new.unionByName(carried)
@@ -82,18 +84,16 @@ def _totals(rows: DataFrame, acct: str, other: str, opening: Opening, carried: D
 def apply_batch(batch: DataFrame, out_path: str, epoch: int, scorer=None) -> None:
     """One micro-batch: late rows out, decisions stored, state carried on."""
     spark = batch.sparkSession
-    arrived = _store(batch, out_path, "arrived", epoch)
     state = _state(spark, out_path, epoch - 1)
-    on_time, late = split_late(arrived, state["marks"])
-    _store(late, out_path, "late", epoch)
-    rows = _store(on_time, out_path, "on_time", epoch)
+    marked = _store(mark_late(batch, state["marks"]), out_path, "marked", epoch)
+    _store(marked.filter("_late").drop("_late"), out_path, "late", epoch)
+    rows = marked.filter("NOT _late").drop("_late")
     opening = Opening(state["sent"], state["received"], state["pairs"])
-    decisions = build_account_history_features(rows, None, opening=opening).select("txn_id", "amount_paid", *HISTORY_FEATURES)
+    met = _store(first_meetings(rows, "from_account", "to_account", opening), out_path, "met", epoch)
+    decisions = build_account_history_features(rows, None, opening=opening, met=met).select("txn_id", "amount_paid", *HISTORY_FEATURES)
     _store(scorer(decisions) if scorer is not None else decisions, out_path, "decisions", epoch)
-    _store(_totals(rows, "from_account", "to_account", opening, state["sent"], True), out_path, "state/sent", epoch)
-    _store(_totals(rows, "to_account", "from_account", opening, state["received"], False), out_path, "state/received", epoch)
-    met = rows.select("from_account", "to_account").distinct()
-    _store(state["pairs"].unionByName(met.join(state["pairs"], ["from_account", "to_account"], "left_anti")), out_path, "state/pairs", epoch)
+    _store(_totals(rows, "from_account", met, state["sent"], True), out_path, "state/sent", epoch)
+    _store(_totals(rows, "to_account", met, state["received"], False), out_path, "state/received", epoch)
     seen = rows.select(F.explode(F.array("from_account", "to_account")).alias("account"), "timestamp", "txn_id").unionByName(state["marks"])
     mark = seen.groupBy("account").agg(F.max(F.struct("timestamp", "txn_id")).alias("m"))
     _store(mark.select("account", "m.timestamp", "m.txn_id"), out_path, "state/marks", epoch)

@@ -74,3 +74,17 @@ def test_run_tracking_round_trip(spark, tmp_path):
     assert len(runs) == 1 and runs[0].run_id == rid
     assert runs[0].params["seed"] == "42" and runs[0].metrics["pr_auc"] == 0.1
     assert os.path.isdir(os.path.join(path, "experiment=other"))
+
+
+def test_each_meeting_is_stored_once_and_no_table_of_all_pairs_is_rewritten(spark, make_transfers, tmp_path):
+    from ringwatch.streaming.history_stream import apply_batch
+
+    days = [[("A", "B"), ("A", "C"), ("A", "B")], [("A", "B"), ("B", "A")], [("B", "A"), ("A", "C"), ("C", "C")]]
+    rows = [[transfer(10 * d + i, ts(24 * d + i), *p) for i, p in enumerate(day)] for d, day in enumerate(days)]
+    for epoch, day in enumerate(rows):
+        apply_batch(make_transfers(day), str(tmp_path), epoch)
+    met = spark.read.parquet(f"{tmp_path}/met")
+    assert sorted((r.epoch, r.from_account, r.to_account, r.txn_id) for r in met.collect()) == [
+        (0, "A", "B", 0), (0, "A", "C", 1), (1, "B", "A", 11), (2, "C", "C", 22)]
+    _compare(assemble_features(spark, str(tmp_path)), build_account_history_features(make_transfers(sum(rows, [])), None))
+    assert not (tmp_path / "state" / "pairs").exists()

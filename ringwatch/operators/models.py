@@ -18,6 +18,7 @@ protocol — same split, same features, same metric code — is what is kept.
 from __future__ import annotations
 
 import random
+import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.functions.basic import BASIC_FEATURES
 from ringwatch.operators.history import HISTORY_FEATURES
-from ringwatch.operators.metrics import pr_auc_frame
+from ringwatch.operators.metrics import pr_auc_by
 from ringwatch.operators.scaler import EdgeScaler
 from ringwatch.session import ensure_checkpoint_dir
 
@@ -119,17 +120,24 @@ def draw_trials(grid: dict[str, list], n_trials: int = TRIALS, seed: int = 42) -
 
 
 def _run_trials(trials: list[dict], fit, valid: DataFrame, log_path: str | None, experiment: str) -> list[dict]:
-    """Fit, score ``valid`` and log each trial; the objective is PR-AUC."""
+    """Fit, score ``valid`` and log each trial; the objective is PR-AUC. The scores of all trials are stored once, in one
+    table (trial, txn_id, y, score) that the check and the grouped average precision read."""
+    from ringwatch.session import shared_dir
     from ringwatch.sources.tracking import log_run
 
-    out = []
+    if not trials:
+        return []
+    spark = valid.sparkSession
+    path = shared_dir(spark, f"trial-scores-{uuid.uuid4().hex}")
     for i, p in enumerate(trials):
-        scored = score_with(fit(p), valid)
-        check_alignment(scored, valid)
-        result = {"trial": i, **p, "pr_auc": float(pr_auc_frame(scored).first()[0])}
-        if log_path:
-            log_run(valid.sparkSession, log_path, experiment, {"trial": i, **p}, {"pr_auc": result["pr_auc"]}, {"kind": "sweep"})
-        out.append(result)
+        score_with(fit(p), valid).select("txn_id", "y", "score").write.parquet(f"{path}/trial={i}")
+    scored = spark.read.parquet(path)
+    check_trials(scored, valid, len(trials))
+    value = {r.trial: r.pr_auc for r in pr_auc_by(scored, "trial").collect()}  # a row per trial
+    out = [{"trial": i, **p, "pr_auc": float(value[i])} for i, p in enumerate(trials)]
+    if log_path:
+        for r in out:
+            log_run(spark, log_path, experiment, {k: v for k, v in r.items() if k != "pr_auc"}, {"pr_auc": r["pr_auc"]}, {"kind": "sweep"})
     return out
 
 
@@ -155,12 +163,29 @@ def materialised(df: DataFrame) -> DataFrame:
 
 def check_alignment(scored: DataFrame, rows: DataFrame, key: str = "txn_id") -> None:
     """Every row has exactly one score: equal counts, and no row without a score."""
-    n, m, distinct = rows.count(), scored.count(), scored.select(key).distinct().count()
-    lost = rows.join(scored, key, "left_anti").count()
+    per = scored.groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
+    both = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).join(per, key, "full_outer")
+    counts = F.sum("_n"), F.sum("_m"), F.count("_m"), F.sum(F.when(F.col("_m").isNull(), F.col("_n")))
+    n, m, distinct, lost = both.agg(*[F.coalesce(c, F.lit(0)) for c in counts]).first()
     if n != m or m != distinct or lost:
         raise ValueError(f"scores do not match their rows: {n} rows, {m} scores, {distinct} of different rows, {lost} rows without one")
 
 
+def check_trials(scored: DataFrame, rows: DataFrame, trials: int, key: str = "txn_id") -> None:
+    """``check_alignment`` of every trial's scores in one job: each row has exactly one score of each trial."""
+    word = 62  # trials are marked in the bits of as many integers as they need
+    marks = {f"_b{w}": F.bit_or(F.when(F.floor(F.col("trial") / word) == w, F.expr(f"shiftleft(1L, CAST(trial % {word} AS INT))")))
+             for w in range(-(-trials // word))}
+    per = scored.groupBy(key).agg(F.count(F.lit(1)).alias("_m"), *[c.alias(n) for n, c in marks.items()])
+    right = (F.col("_n") == 1) & (F.col("_m") == trials)
+    for w, n in enumerate(marks):
+        right &= F.col(n) == (1 << min(word, trials - w * word)) - 1
+    both = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).join(per, key, "full_outer")
+    bad = both.agg(F.sum((~F.coalesce(right, F.lit(False))).cast("bigint"))).first()[0]
+    if bad:
+        raise ValueError(f"scores do not match their rows: {bad} ids without exactly one row and one score of each trial")
+
+
 def scaled_inputs(train: DataFrame, valid: DataFrame, edge_cols: list[str]) -> tuple[DataFrame, DataFrame]:
     """Both frames with ``edge_cols`` scaled by the moments of ``train`` alone."""
     scaler = EdgeScaler.fit(train, edge_cols)

@@ -211,6 +211,7 @@ def q_model_comparison(spark, sf_dir):
     """K6: random, amount, graph-off, graph (weighted LR on J6) and tree through one evaluate, on the same columns."""
     scores, valid, _, _ = _scores(spark, sf_dir)
     res = {"random": to_scored(valid, rank_randomly(valid, SEED)), "amount": to_scored(valid, rank_by_amount()), **scores}
+    res = {name: materialised(s) for name, s in res.items()}
     for s in res.values():
         check_alignment(s, valid)
-    return round_doubles(compare({name: evaluate(s, K_VALUES) for name, s in res.items()}))
+    return round_doubles(compare({name: evaluate(s, K_VALUES, materialize=False) for name, s in res.items()}))

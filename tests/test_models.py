@@ -56,3 +56,44 @@ def test_log_metrics_frame(spark, tmp_path):
     log_metrics_frame(flat, str(tmp_path / "runs"), "baselines", {"model": "amount"}, {"phase": "2"})
     r = read_runs(spark, str(tmp_path / "runs"), "baselines").first()
     assert r.metrics == {"pr_auc": 0.5, "n_rows": 10.0} and r.params == {"model": "amount"}
+
+
+def test_trials_are_checked_in_one_table(spark):
+    """Each trial scores each row once; a row scored twice by one trial and never by another is found, over more trials than bits."""
+    from ringwatch.operators.models import check_trials
+
+    rows = spark.createDataFrame([(1,), (2,), (3,)], "txn_id bigint")
+    for n in (2, 62, 130):
+        good = [(t, i) for t in range(n) for i in (1, 2, 3)]
+        check_trials(spark.createDataFrame(good, "trial int, txn_id bigint"), rows, n)
+        for bad in (good[:-1], good + [(0, 9)], [x for x in good if x != (n - 1, 2)] + [(0, 2)], good + [(0, None)]):
+            with pytest.raises(ValueError, match="do not match"):
+                check_trials(spark.createDataFrame(bad, "trial int, txn_id bigint"), rows, n)
+
+
+def test_alignment_counts_rows_scores_and_losses(spark):
+    from ringwatch.operators.models import check_alignment
+
+    rows = spark.createDataFrame([(1,), (2,), (3,)], "txn_id bigint")
+    check_alignment(spark.createDataFrame([(3,), (2,), (1,)], "txn_id bigint"), rows)
+    for ids, text in (([1, 2], "3 rows, 2 scores, 2 of different rows, 1 rows"), ([1, 2, 2], "3 rows, 3 scores, 2 of different rows, 1 rows"),
+                      ([1, 2, 4], "3 rows, 3 scores, 3 of different rows, 1 rows")):
+        with pytest.raises(ValueError, match=text):
+            check_alignment(spark.createDataFrame([(i,) for i in ids], "txn_id bigint"), rows)
+
+
+def test_sweep_checks_and_ranks_all_trials_together(spark, make_transfers, tmp_path, monkeypatch):
+    """One running sum for all trials, not one each; every value is the trial's own average precision."""
+    from ringwatch.operators import metrics
+    from ringwatch.operators.models import EDGE_GRID, draw_trials, fit_edge_scorer, sweep_edge_scorer
+
+    calls, real = [], metrics.prefix_sum
+    monkeypatch.setattr(metrics, "prefix_sum", lambda *a, **k: calls.append(1) or real(*a, **k))
+    f = _frame(make_transfers, 150).na.fill(0, ["sender_seconds_since_last_send"])
+    train, valid, cols = f.filter("txn_id % 3 != 0"), f.filter("txn_id % 3 = 0"), ["log_amount", "hour"]
+    got = sweep_edge_scorer(train, valid, cols, n_trials=3, log_path=str(tmp_path / "runs"))
+    assert len(calls) == 1
+    for r, p in zip(got, draw_trials(EDGE_GRID, 3)):
+        assert r["pr_auc"] == pytest.approx(metrics.pr_auc(score_with(fit_edge_scorer(train, cols, **p), valid)), abs=1e-12)
+    assert {int(r.params["trial"]): r.metrics["pr_auc"] for r in read_runs(spark, str(tmp_path / "runs")).collect()} == {
+        r["trial"]: r["pr_auc"] for r in got}

@@ -3,7 +3,7 @@
 Transfers arrive as Parquet files. Each micro-batch runs the batch plan of
 :mod:`ringwatch.operators.history` on its rows, opened with what earlier batches
 left behind, so a hot account is spread over tasks exactly as in the batch job
-and no row passes through Python. The state is three tables, one version per
+and no row passes through Python. The state is four tables, one version per
 micro-batch, in the shared output folder:
 
 * ``sent`` / ``received``: totals per (account, minute), sends of the last 24
@@ -17,8 +17,8 @@ goes to the ``late`` table, whole, and touches neither account. Every arriving
 transfer is in exactly one of ``decisions`` and ``late``.
 
 All tables of a micro-batch are written under its epoch with overwrite, and a
-batch reads only the versions of the epoch before, so a retried batch replaces
-its own output. (No ``withWatermark``: Spark would drop late rows.)
+batch reads only versions of earlier epochs (``met``: of all, the others: of the one before),
+so a retried batch replaces its own output. (No ``withWatermark``: Spark would drop late rows.)
 """
 
 from __future__ import annotations

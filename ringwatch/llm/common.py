@@ -71,19 +71,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """``df`` written once as a shared table and read back: cuts lineage, survives lost executors."""
+def written(df: DataFrame, name: str, compression: str = "snappy", path: str | None = None) -> DataFrame:
+    """``df`` written once as a shared table (at ``path``, to ``discard`` it early) and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = path or scratch(spark, name)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete this application's scratch tables; call it once the results are stored."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        f"{shared_root(spark)}/llm/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    discard(spark, f"{shared_root(spark)}/llm/{spark.sparkContext.applicationId}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

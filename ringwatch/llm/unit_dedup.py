@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.llm.common import id_and_text, session, written
+from ringwatch.llm.common import discard, id_and_text, scratch, session, written
 
 MIN_WORDS = 12
 #: Rows of units gathered before they are cut into passages; a stretch is never cut, so a batch may be longer.
@@ -41,11 +41,13 @@ STEP_ROWS = 50_000
 _END = re.compile(r"\n|[.!?]+[ \t]+")
 _EDGES = b" \t\r\x0b\x0c.,;:!?\"'()[]"
 
-UNITS = pa.schema([("digest", pa.binary()), ("doc_id", pa.int64()), ("version", pa.int64()), ("row", pa.int64()), ("no", pa.int32()),
-                   ("start", pa.int64()), ("end", pa.int64()), ("words", pa.int32())])
-UNITS_DDL = "digest binary, doc_id long, version long, row long, no int, start long, end long, words int"
-PARTS = ("no", "start", "end", "words")
-PASSAGES_DDL = ("digest binary, doc_id long, version long, row long, no array<int>, start array<long>, end array<long>, words array<int>")
+#: The two halves of a digest, as longs: exchanged, counted and compared without binary values.
+DIGEST = ["high", "low"]
+UNITS = pa.schema([("high", pa.int64()), ("low", pa.int64()), ("doc_id", pa.int64()), ("version", pa.int64()), ("row", pa.int64()),
+                   ("no", pa.int32()), ("start", pa.int32()), ("size", pa.int32()), ("words", pa.int32())])
+UNITS_DDL = "high long, low long, doc_id long, version long, row long, no int, start int, size int, words int"
+PARTS = ("start", "size", "words")
+PASSAGES_DDL = "high long, low long, doc_id long, version long, row long, no int, start array<int>, size array<int>, words array<int>"
 
 
 def unit_spans(text: str) -> list[tuple[int, int]]:
@@ -71,21 +73,29 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                                                       F.xxhash64("text").alias("version"), "text")
 
 
+def halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The two longs of each digest of 16 bytes."""
+    pairs = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+    return np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
+
+
 def units(rows: DataFrame) -> DataFrame:
-    """One row per unit with words of ``numbered`` rows: digest, doc_id, version, row, no (from 0), start, end (code points), words."""
+    """One row per unit with words of ``numbered`` rows: the digest's halves, doc_id, version, row, no (from 0), start, size (code points), words."""
 
     def run(batches):
         for batch in batches:
-            out: list[list] = [[] for _ in UNITS]
+            digests: list[bytes] = []
+            out: list[list] = [[] for _ in range(len(UNITS) - len(DIGEST))]
             for row, doc_id, version, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "version", "text"))):
                 no = 0
                 for start, end in unit_spans(text):
                     form, n = normalised(text[start:end])
                     if n:
-                        for column, value in zip(out, (hashlib.blake2b(form, digest_size=16).digest(), doc_id, version, row, no, start, end, n)):
+                        digests.append(hashlib.blake2b(form, digest_size=16).digest())
+                        for column, value in zip(out, (doc_id, version, row, no, start, end - start, n)):
                             column.append(value)
                         no += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, UNITS)], schema=UNITS)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((*halves(digests), *out), UNITS)], schema=UNITS)
 
     return rows.mapInArrow(run, UNITS_DDL)
 
@@ -113,18 +123,19 @@ def _passages(t: pa.Table, min_words: int) -> pa.RecordBatch | None:
     first, last = spans(t["words"].to_numpy(), fresh, min_words)
     if not len(first):
         return None
-    digests = b"".join(t["digest"].to_pylist())
+    digests = np.stack([t[c].to_numpy() for c in DIGEST], axis=1).tobytes()
     size = last - first + 1
     bounds = np.concatenate([[0], np.cumsum(size)])
     units_of = pa.array(np.repeat(first - bounds[:-1], size) + np.arange(bounds[-1]))
     lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), t[c].combine_chunks().take(units_of)) for c in PARTS]
     names = [hashlib.blake2b(digests[16 * a:16 * b], digest_size=16).digest() for a, b in zip(first.tolist(), (last + 1).tolist())]
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *(t[c].combine_chunks().take(pa.array(first)) for c in ("doc_id", "version", "row")), *lists],
-                                      names=["digest", "doc_id", "version", "row", *PARTS])
+    own = ("doc_id", "version", "row", "no")
+    return pa.RecordBatch.from_arrays([*map(pa.array, halves(names)), *(t[c].combine_chunks().take(pa.array(first)) for c in own), *lists],
+                                      names=[*DIGEST, *own, *PARTS])
 
 
 def passages(repeated: DataFrame, min_words: int) -> DataFrame:
-    """One row per passage of units that come again: digest, doc_id, version, row and its units' no, start, end, words."""
+    """One row per passage of units that come again: the digest's halves, doc_id, version, row, its first unit's no, its units' start, size, words."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         held: list[pa.RecordBatch] = []
@@ -157,21 +168,31 @@ def _removed(rows: DataFrame, min_words: int) -> DataFrame:
     if min_words < 1:
         raise ValueError("min_words must be 1 or more")
     session(rows.sparkSession)
-    every = written(units(rows), "units", "zstd")
-    # A digest may hold a third of all rows: counts are combined before the exchange, and
-    # the rows' side of the joins is split by adaptive execution.
-    again = every.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    found = written(passages(every.join(again, "digest", "left_semi"), min_words), "passages", "zstd")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "row", F.col("no")[0].alias("no"), F.col("start").alias("starts"))
-    groups = (found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("group_size"))
+    spark = rows.sparkSession
+    unit_path, again_path = scratch(spark, "units"), scratch(spark, "again")
+    every = written(units(rows), "units", "zstd", unit_path)
+    # A digest may hold a third of all rows: counts are combined before the exchange, and written, since adaptive
+    # execution splits the rows' side only of a join whose sides come straight from exchanges. Half a digest is
+    # enough here: a unit too many changes nothing, since a passage that holds one comes once.
+    again = written(every.groupBy("high").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("high"), "again", path=again_path)
+    found = written(passages(every.join(again, "high", "left_semi"), min_words), "passages", "zstd")
+    discard(spark, unit_path)
+    discard(spark, again_path)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "row", "no", F.col("start").alias("starts"))
+    groups = (found.groupBy(*DIGEST).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("group_size"))
               .where("group_size > 1"))
-    later = (found.join(groups, "digest").where("NOT (row = first.row AND no[0] = first.no)")
-             .select("row", "doc_id", "first", "group_size", F.explode(F.arrays_zip(*PARTS, "first.starts")).alias("p")))
+    # Passages travel whole and are taken apart where their row's others are.
+    kept = [F.col(f"first.{c}").alias(f"keep_{c}") for c in ("none", "doc_id", "version", "row", "starts")]
+    later = (found.join(groups, DIGEST).where("NOT (row = first.row AND no = first.no)")
+             .select("row", "doc_id", *PARTS, *kept, "group_size").repartition("row")
+             .select("*", F.posexplode("start").alias("at", "unit"))
+             .select("row", "doc_id", F.col("unit").alias("start"), F.expr("size[at]").alias("size"), F.expr("words[at]").alias("words"),
+                     F.struct(F.col("keep_none").alias("none"), F.col("keep_doc_id").alias("doc_id"), F.col("keep_version").alias("version"),
+                              F.col("keep_row").alias("row"), F.expr("keep_starts[at]").alias("start"), "group_size").alias("place")))
     # Passages overlap: each unit once, with the earliest place kept.
-    return (later.groupBy("row", "doc_id", "p.start", "p.end", "p.words")
-            .agg(F.min(F.struct("first.none", "first.doc_id", "first.version", "first.row", F.col("p.starts").alias("start"), "group_size")).alias("keep"))
-            .select("row", "doc_id", "start", "end", "words", F.col("keep.doc_id").alias("keep_doc_id"),
-                    F.col("keep.start").alias("keep_start"), "keep.group_size"))
+    return (later.groupBy("row", "doc_id", "start", "size", "words").agg(F.min("place").alias("keep"))
+            .select("row", "doc_id", F.col("start").cast("long").alias("start"), (F.col("start").cast("long") + F.col("size")).alias("end"), "words",
+                    F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.start").cast("long").alias("keep_start"), "keep.group_size"))
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,10 +1,13 @@
 import random
 from collections import defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 import xxhash
 
 from ringwatch.llm import unit_dedup as U
+from ringwatch.llm.common import scratch
 from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 
@@ -152,3 +155,29 @@ def test_passage_of_short_lines_goes_whole(docs):
         assert U.normalised(a[r.keep_start:].split("\n")[0])[0] == form
     got = {r.doc_id: r.text for r in U.drop_repeated_units(df).collect()}
     assert got == {1: a, 2: "another one\nand more\nnot this\n", 3: "so it ends.\nelsewhere"}
+
+
+def test_passages_travel_whole_and_units_are_not_kept(docs):
+    """Units are taken apart behind the last exchange, and the table of units is gone."""
+    line = "this very line stands in every document and is rather longer than a dozen words"
+    df = docs([(i, f"{line}\n{prose(i, 30)}\nfirst short line\nthen one more\nand the last of these three short lines ends here") for i in range(20)])
+    root = Path(urlparse(scratch(df.sparkSession, "x")).path).parent
+    before = set(root.glob("units-*"))
+    found = U.repeated_units(df)
+    rows = found.collect()
+    assert len(rows) == 4 * 19 and {r.keep_doc_id for r in rows} == {0}
+    assert set(root.glob("units-*")) == before
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
+    apart = next(k for k, x in enumerate(plan) if "Generate" in x)
+    exchanges = [k for k, x in enumerate(plan) if "Exchange " in x]
+    assert exchanges and apart < min(exchanges)  # from the result down
+    assert [f.dataType.simpleString() for f in found.schema] == ["bigint", "bigint", "bigint", "int", "bigint", "bigint", "bigint"]
+
+
+def test_half_a_digest_may_be_shared(docs, monkeypatch):
+    """Units that only look repeated change nothing."""
+    halves = U.halves
+    monkeypatch.setattr(U, "halves", lambda digests: (halves(digests)[0] % 2, halves(digests)[1]))
+    pairs = [(i % 7, "\n".join(prose(k % 9, 4 + k % 3) for k in range(i, i + 12))) for i in range(12)]
+    df = docs(pairs)
+    assert rows_of(df, 10) == sorted((x[1:] for x in plain(lying(df), 10)), key=str)

@@ -71,11 +71,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy", path: str | None = None) -> DataFrame:
-    """``df`` written once as a shared table (at ``path``, to ``discard`` it early) and read back: cuts lineage, survives lost executors."""
+#: Whether Spark deletes the shuffle files of a query when it ends.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, compression: str = "snappy", path: str | None = None, tidy: bool = False) -> DataFrame:
+    """``df`` written once as a shared table (at ``path``, to ``discard`` it early) and read back: cuts lineage, survives lost executors.
+    ``tidy``: the shuffle files of the writing job go when it ends, not when the driver happens to collect garbage."""
     spark = df.sparkSession
     path = path or scratch(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    before = spark.conf.get(_TIDY)
+    spark.conf.set(_TIDY, tidy or before == "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(_TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

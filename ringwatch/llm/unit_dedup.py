@@ -174,8 +174,8 @@ def _removed(rows: DataFrame, min_words: int) -> DataFrame:
     # A digest may hold a third of all rows: counts are combined before the exchange, and written, since adaptive
     # execution splits the rows' side only of a join whose sides come straight from exchanges. Half a digest is
     # enough here: a unit too many changes nothing, since a passage that holds one comes once.
-    again = written(every.groupBy("high").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("high"), "again", path=again_path)
-    found = written(passages(every.join(again, "high", "left_semi"), min_words), "passages", "zstd")
+    again = written(every.groupBy("high").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("high"), "again", path=again_path, tidy=True)
+    found = written(passages(every.join(again, "high", "left_semi"), min_words), "passages", "zstd", tidy=True)
     discard(spark, unit_path)
     discard(spark, again_path)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "row", "no", F.col("start").alias("starts"))

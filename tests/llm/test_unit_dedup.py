@@ -1,4 +1,5 @@
 import random
+import time
 from collections import defaultdict
 from pathlib import Path
 from urllib.parse import urlparse
@@ -7,7 +8,7 @@ import pytest
 import xxhash
 
 from ringwatch.llm import unit_dedup as U
-from ringwatch.llm.common import scratch
+from ringwatch.llm.common import scratch, written
 from tests.llm.fixtures import corner, docs, prose  # noqa: F401
 
 
@@ -181,3 +182,21 @@ def test_half_a_digest_may_be_shared(docs, monkeypatch):
     pairs = [(i % 7, "\n".join(prose(k % 9, 4 + k % 3) for k in range(i, i + 12))) for i in range(12)]
     df = docs(pairs)
     assert rows_of(df, 10) == sorted((x[1:] for x in plain(lying(df), 10)), key=str)
+
+
+def test_shuffle_files_go_with_the_job_that_wrote_them(docs):
+    """Disk does not hang on when the driver collects garbage."""
+    df = docs([(i, prose(i, 30)) for i in range(40)])
+    spark = df.sparkSession
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {p for d in disk.localDirsString() for p in Path(d).glob("*/shuffle_*.data")}
+
+    before = files()
+    back = written(df.repartition(3, "doc_id").groupBy("doc_id").count(), "counts", tidy=True)
+    for _ in range(50):
+        if files() - before:
+            time.sleep(0.1)
+    assert not files() - before and back.count() == 40
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -24,6 +25,8 @@ from ringwatch.llm.common import part_of, written
 
 #: Words of a block, at least, unless its task ends; words, phrases and bytes of words of one bucket, on average.
 BLOCK_WORDS, BUCKET_WORDS, BUCKET_PHRASES, BUCKET_BYTES = 1 << 20, 1 << 19, 1 << 20, 1 << 25
+#: Text added to a block at a time, so that it ends soon after its words are enough.
+PIECE_BYTES = 1 << 20
 BLANKS = b" \t\n\x0b\x0c\r"
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
@@ -77,18 +80,28 @@ def pack_counts(counts: np.ndarray) -> bytes:
         return pack(counts)
     fold_last = np.ascontiguousarray(counts.T)
     key, fold = np.nonzero(fold_last)
-    new = np.append(True, key[1:] != key[:-1])[:len(key)]
-    cells = squeezed((fold + 128 * new).astype(np.uint8).tobytes())
-    return len(cells).to_bytes(8, "little") + cells + pack(fold_last[key, fold] - 1)
+    return pack_cells(np.append(True, key[1:] != key[:-1])[:len(key)], fold, fold_last[key, fold])
+
+
+def pack_cells(new: np.ndarray, fold: np.ndarray, count: np.ndarray) -> bytes:
+    """``pack_counts`` of cells listed by key: whether each is its key's first, its fold and its count."""
+    marks = squeezed((fold.astype(np.uint8) | (new.astype(np.uint8) << 7)).tobytes())
+    return len(marks).to_bytes(8, "little") + marks + pack(count - 1)
+
+
+def unpack_cells(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``pack_cells`` was given."""
+    size = int.from_bytes(data[:8], "little")
+    marks = np.frombuffer(spread(data[8:8 + size]), np.uint8)
+    return marks >> 7 == 1, marks & 127, unpack(data[8 + size:], len(marks)) + 1
 
 
 def unpack_counts(data: bytes, folds: int, n: int) -> np.ndarray:
     if folds == 1:
         return unpack(data, n)[None]
-    size = int.from_bytes(data[:8], "little")
-    cells = np.frombuffer(spread(data[8:8 + size]), np.uint8)
+    new, fold, count = unpack_cells(data)
     out = np.zeros((folds, n), np.int64)
-    out[cells & 127, np.cumsum(cells >> 7, dtype=np.int64) - 1] = unpack(data[8 + size:], len(cells)) + 1
+    out[fold, np.cumsum(new) - 1] = count
     return out
 
 
@@ -174,17 +187,26 @@ def _block(number: int, grp: str, parts: list) -> pa.RecordBatch:
         schema=BLOCKS)
 
 
-def blocks(docs: DataFrame, breaks: bytes = b"", blanks: bytes = BLANKS) -> DataFrame:
+def pieces(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in slices with about ``most`` bytes of text, or one row with more."""
+    length = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(length, dtype=np.int64) // most
+    at = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    for x, y in zip(at.tolist(), at[1:].tolist()):
+        yield batch.slice(x, y - x)
+
+
+def blocks(docs: DataFrame, breaks: bytes = b"", blanks: bytes = BLANKS, path: str | None = None) -> DataFrame:
     """The blocks of ``docs`` (key long, group name grp, text), written once. ``block_codes`` gives the places
     of its texts' words in ``words``, with -1 after every text and, where ``breaks`` are given, at breaks; ``ids`` are
     the keys, as 64-bit numbers, in the order of the texts. A text is never cut; a block has one text at least."""
-    least = BLOCK_WORDS
+    least, most = BLOCK_WORDS, PIECE_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list] = {}
         held: dict[str, int] = {}
         number = TaskContext.get().partitionId() << 24
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, most)):
             names = np.array(batch.column("grp").to_pylist(), object)
             for name in sorted(set(names)):
                 rows = pa.array(np.flatnonzero(names == name))
@@ -206,7 +228,7 @@ def blocks(docs: DataFrame, breaks: bytes = b"", blanks: bytes = BLANKS) -> Data
             yield _block(number, name, waiting[name])
             number += 1
 
-    return written(docs.mapInArrow(run, BLOCKS_DDL), "blocks")
+    return written(docs.mapInArrow(run, BLOCKS_DDL), "blocks", path=path)
 
 
 def block_codes(data: bytes) -> np.ndarray:
@@ -225,8 +247,9 @@ def _spans(to: np.ndarray):
 
 
 def word_table(made: DataFrame, scoped: bool, counted: Callable[[dict], np.ndarray] | None = None, folds: int = 1,
-               learnt: list[int] | None = None, least: int = 0, keep_words: bool = False) -> tuple[DataFrame, int]:
-    """Exchange of words, written once, and its number of buckets.
+               learnt: list[int] | None = None, least: int = 0, keep_words: bool = False,
+               path: str | None = None, tidy: bool = False) -> tuple[DataFrame, int]:
+    """Exchange of words, written once (``path`` and ``tidy`` as in ``written``), and its number of buckets.
 
     ``counted`` gives a block's counts as a table (fold, word), by default all in one fold. One row per (block, bucket)
     answers the words that the block sent there, in its order: numbers, totals over the folds ``learnt`` (all by
@@ -281,7 +304,7 @@ def word_table(made: DataFrame, scoped: bool, counted: Callable[[dict], np.ndarr
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), WORDS_BACK)], schema=WORDS_BACK)
 
     sent = made.select("block", "grp", "kinds", "ids", "words", "codes").mapInArrow(send, SENT_WORDS_DDL)
-    return written(sent.groupBy("bucket").applyInArrow(settle, WORDS_BACK_DDL), "words"), buckets
+    return written(sent.groupBy("bucket").applyInArrow(settle, WORDS_BACK_DDL), "words", path=path, tidy=tidy), buckets
 
 
 def rows_of(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:

@@ -132,3 +132,40 @@ def test_weights_are_those_of_the_likelihood():
     grid = [(a / 50, b / 50, 1 - a / 50 - b / 50) for a in range(50) for b in range(50 - a)]
     assert value(lam) > max(value(g) for g in grid if min(g) > 0) - 1e-3
     assert (M.fit_weights(np.zeros((0, 4)), 0.1).sum(axis=1) > 0.999).all()
+
+
+def test_memory_of_a_block_is_a_few_arrays_of_its_tokens(spark, docs, monkeypatch, tmp_path):
+    """A worker's peak on one block, by tracemalloc; with tables (fold, pair) a token took up to 380 bytes."""
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+
+    frame, note = type(spark.range(1)), str(tmp_path)
+    each, both = frame.mapInArrow, PandasCogroupedOps.applyInArrow
+
+    def peak(f, name):
+        import os
+        import tracemalloc
+        import uuid
+
+        tracemalloc.start()
+        out = list(f())
+        with open(os.path.join(note, uuid.uuid4().hex), "w") as at:
+            at.write(f"{tracemalloc.get_traced_memory()[1]} {name}")
+        tracemalloc.stop()
+        return out
+
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, f, ddl: each(self, lambda batches: iter(peak(lambda: f(batches), f.__qualname__)), ddl))
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow",
+                        lambda self, f, ddl: both(self, lambda x, y: peak(lambda: [f(x, y)], f.__qualname__)[0], ddl))
+    r = np.random.default_rng(5)
+    pairs = [(i, " ".join(map(str, r.integers(0, 50_000, 2500)))) for i in range(200)]
+    M.scores(docs(pairs, 1)).write.format("noop").mode("overwrite").save()
+    peaks = {name: int(n) / 500_000 for n, name in (p.read_text().split(" ", 1) for p in tmp_path.iterdir())}
+    assert len(peaks) >= 6 and max(peaks.values()) < 130, peaks
+
+
+def test_blocks_end_soon_after_their_words_are_enough(spark, docs, monkeypatch):
+    """A batch of long texts makes several blocks, not one."""
+    monkeypatch.setattr(B, "BLOCK_WORDS", 1 << 16)
+    df = docs([(i, "a b " * 10_000) for i in range(100)], 1).selectExpr("doc_id AS key", "'' AS grp", "text")
+    sizes = [r.tokens for r in B.blocks(df).select("tokens").collect()]
+    assert sum(sizes) == 2_000_000 and max(sizes) < 700_000

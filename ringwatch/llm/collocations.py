@@ -5,11 +5,12 @@ phrase of k words is a candidate only where both its parts of k - 1 words are fr
 and the counts that the blocks report for it, each cut off at ``least``, reach ``least``
 together; no phrase with ``least`` occurrences is missed. The candidates go into
 double-array tries over the base-256 digits of their words' numbers; a trie holds
-``WAVE_PHRASES`` phrases at most, so a broadcast has a fixed bound, and further
+``WAVE_PHRASES`` phrases at most and ends where a prefix belongs to one phrase alone, so a
+broadcast and the driver's work on it have a fixed bound, and further
 candidates go to further tries. For each trie a pass over the blocks moves the states of
 all text positions on together, digit by digit, with numpy, counts the accepting
-states with ``bincount`` and sums the tasks' shards of the counts. Candidates and
-counts stay apart: the counts come from the tries alone.
+states with ``bincount`` and sums the tasks' shards of the counts beside their candidates.
+Candidates and counts stay apart: the counts come from the tries alone.
 
 Scores, the test against longer candidates and the ranking are joins and windows over the
 counted phrases, in exact decimals (word counts up to 10^15).
@@ -25,7 +26,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,11 +34,15 @@ from ringwatch.llm.common import arrow, part_of, scratch, session, written
 
 #: Bytes that end a piece (fixed values of the definition); blanks within one.
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
-#: Phrases of one trie: about 20 bytes each, so a broadcast stays below 100 MB.
-WAVE_PHRASES = 1 << 22
+#: Phrases of one trie: 20 to 50 bytes each, and two to three times as much while the driver builds it.
+WAVE_PHRASES = 1 << 21
 #: Counts of one row of a shard.
 SLICE = 1 << 16
 RADIX = 256
+#: Children from which on a node gets a window of its own; nodes placed at a time.
+WIDE, PLACED = 23, 1 << 17
+#: Keys of a chunk when pairs are marked.
+MARKED = 1 << 18
 
 _NUMBERED = pa.schema([("block", pa.int64()), ("codes", pa.binary()), ("ids", pa.binary()), ("kinds", pa.int64())])
 _NUMBERED_DDL = "block long, codes binary, ids binary, kinds long"
@@ -50,86 +54,102 @@ _OUT_DDL = "kind string, " + B.SENT_PHRASES_DDL
 class Trie:
     """Double-array trie of phrases of ``words.shape[1]`` words each (rows distinct, sorted).
 
-    From a state ``s`` digit ``d`` leads to ``base[s] + d`` if ``check`` there is ``s``. Nodes with many
-    children get a window of their own, the others are dealt to free places in rounds, single
-    children to what is left. ``leaf[p]`` is the accepting state of phrase ``p``."""
+    From a state ``s`` digit ``d`` leads to ``base[s] + d`` if ``check`` there is ``s``. Where a prefix belongs to one
+    phrase alone the trie ends: the state accepts that phrase if its codes (``tail``) are those of the text, and its
+    ``base`` is ``~number`` of the phrase. So there are at most two states per phrase. Nodes with many children get a
+    window of their own, the others are dealt to free places in rounds. ``numbers`` names the phrases (their rows by
+    default)."""
 
-    def __init__(self, words: np.ndarray):
-        self.alphabet, code = np.unique(words, return_inverse=True)
-        code = code.reshape(words.shape) + 1
+    def __init__(self, words: np.ndarray, numbers: np.ndarray | None = None):
+        n, self.words = words.shape
+        self.alphabet = np.unique(words)
+        self.tail = np.empty((self.words, n), np.int32)
+        for w in range(self.words):
+            self.tail[w] = np.searchsorted(self.alphabet, words[:, w]) + 1
         self.digits = max(1, -(-int(len(self.alphabet)).bit_length() // 8))
-        self.words = words.shape[1]
-        signs = np.concatenate([[code[:, w] >> (8 * k) & 255 for k in reversed(range(self.digits))]
-                                for w in range(self.words)])
-        n = len(words)
-        parents, digits, first = [], [], 1
-        above = np.zeros(n, np.int64)
-        new = np.zeros(n, bool)
-        new[:1] = True
-        for sign in signs:
-            new = new.copy()
-            new[1:] |= sign[1:] != sign[:-1]
-            node = first + np.cumsum(new) - 1
-            parents.append(above[new])
-            digits.append(sign[new])
-            first += int(new.sum())
-            above = node
-        parent, digit = np.concatenate(parents), np.concatenate(digits)
-        base, slot, size = self._place(parent, digit, first)
+        parents, digits, ends, first = [], [], [], 1
+        live, above = np.arange(n, dtype=np.int32), np.zeros(n, np.int32)
+        for code, k in ((c, k) for c in self.tail for k in reversed(range(self.digits))):
+            if not len(live):
+                break
+            sign = (code[live] >> (8 * k) & 255).astype(np.uint8)
+            new = np.ones(len(live), bool)
+            new[1:] = (above[1:] != above[:-1]) | (sign[1:] != sign[:-1])
+            at = np.flatnonzero(new).astype(np.int32)
+            parents.append(above[at])
+            digits.append(sign[at])
+            alone = np.diff(at, append=np.int32(len(live))) == 1
+            ends.append(np.where(alone, live[at], np.int32(-1)))
+            node = first + np.cumsum(new, dtype=np.int32) - 1
+            first += len(at)
+            more = ~alone[node - node[0]]
+            live, above = live[more], node[more]
+        del live, above
+        parent = np.concatenate(parents) if parents else np.zeros(0, np.int32)
+        end = np.concatenate([np.full(1, -1, np.int32), *ends])
+        del parents, ends
+        base, slot, size = self._place(parent, np.concatenate(digits) if digits else np.zeros(0, np.uint8), first)
+        accepts = np.flatnonzero(end >= 0)
+        base[accepts] = ~(end[accepts] if numbers is None else numbers[end[accepts]].astype(np.int32))
+        if numbers is not None:  # phrase by number, as states name them
+            self.tail[:, numbers] = self.tail.copy()
         self.base, self.check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
         self.base[slot] = base
         self.check[slot[1:]] = slot[parent]
-        self.leaf = slot[above].astype(np.int64)
+
+    @property
+    def leaf(self) -> np.ndarray:
+        """The accepting state of each phrase."""
+        at = np.flatnonzero(self.base < 0)
+        out = np.empty(len(at), np.int64)
+        out[~self.base[at]] = at
+        return out
 
     @staticmethod
     def _place(parent: np.ndarray, digit: np.ndarray, nodes: int):
-        """(base of each node, place of each node, places) for children given as (parent, digit) from node 1 on."""
+        """(base of each node, place of each node, places) for children given as (parent, digit) from node 1 on, by parent."""
         rng = np.random.default_rng(7)
-        order = np.argsort(parent, kind="stable")
-        owner, start, width = np.unique(parent[order], return_index=True, return_counts=True)
-        base = np.zeros(nodes, np.int64)
-        wide = np.flatnonzero(width >= 12)
-        base[owner[wide]] = 1 + RADIX * np.arange(len(wide))
-        size = 1 + RADIX * (len(wide) + 1) + 4 * int(width[width < 12].sum()) + 4 * RADIX
+        start = np.flatnonzero(np.diff(parent, prepend=np.int32(-1))).astype(np.int32)
+        owner, width = parent[start], np.diff(start, append=np.int32(len(parent)))
+        base, slot = np.zeros(nodes, np.int32), np.zeros(nodes, np.int32)
+        wide = np.flatnonzero(width >= WIDE)
+        # places beside the windows: of those for nodes as wide as w or wider at most 2 / w are taken, so that a try mostly fits
+        of = np.bincount(width[width < WIDE], minlength=WIDE) * np.arange(WIDE)
+        room = np.cumsum(of[::-1])[::-1] * np.maximum(1.5, np.arange(WIDE) / 2) * (of > 0)
+        size = 1 + RADIX * (len(wide) + 4) + int(room.max())
         used = np.zeros(size, bool)
         used[0] = True  # the root's
-        slot = np.zeros(nodes, np.int64)
 
         def children(which):
             each = width[which]
-            own = np.repeat(np.arange(len(which)), each)
-            at = np.repeat(start[which] - np.append(0, np.cumsum(each)[:-1]), each) + np.arange(each.sum())
-            return own, order[at]
-
-        own, kids = children(wide)
-        slot[kids + 1] = base[owner[wide]][own] + digit[kids]
-        used[slot[kids + 1]] = True
-        for w in range(11, 1, -1):
-            left = np.flatnonzero(width == w)
-            while len(left):
-                own, kids = children(left)
-                tried = rng.integers(1, size - RADIX, len(left))
-                places = tried[own] + digit[kids]
-                bad = used[places]
-                claim = np.full(size, -1, np.int64) if len(places) > size // 4 else None
-                if claim is None:
+            own = np.repeat(np.arange(len(which), dtype=np.int32), each)
+            at = np.arange(len(own), dtype=np.int32) + np.repeat(start[which] - np.append(0, np.cumsum(each)[:-1]).astype(np.int32), each)
+            return own, at
+
+        for x in range(0, len(wide), PLACED):
+            part = wide[x:x + PLACED]
+            base[owner[part]] = 1 + RADIX * np.arange(x, x + len(part))
+            own, kids = children(part)
+            slot[kids + 1] = base[owner[part]][own] + digit[kids]
+            used[slot[kids + 1]] = True
+        for w in range(WIDE - 1, 0, -1):
+            todo = np.flatnonzero(width == w).astype(np.int32)
+            for x in range(0, len(todo), PLACED):
+                left = todo[x:x + PLACED]
+                while len(left):
+                    own, kids = children(left)
+                    tried = rng.integers(1, size - RADIX, len(left), dtype=np.int32)
+                    places = tried[own] + digit[kids]
+                    bad = used[places]
                     seen, at, back = np.unique(places, return_index=True, return_inverse=True)
                     bad |= own[at][back] != own
-                else:
-                    claim[places] = own
-                    bad |= claim[places] != own
-                fails = np.zeros(len(left), bool)
-                fails[own[bad]] = True
-                ok = ~fails[own]
-                base[owner[left[~fails]]] = tried[~fails]
-                slot[kids[ok] + 1] = places[ok]
-                used[places[ok]] = True
-                left = left[fails]
-        one = np.flatnonzero(width == 1)
-        own, kids = children(one)
-        free = np.flatnonzero(~used[RADIX:size - RADIX])[:len(one)] + RADIX
-        base[owner[one]] = free - digit[kids]
-        slot[kids + 1] = free
+                    fails = np.zeros(len(left), bool)
+                    fails[own[bad]] = True
+                    ok = ~fails[own]
+                    base[owner[left[~fails]]] = tried[~fails]
+                    slot[kids[ok] + 1] = places[ok]
+                    used[places[ok]] = True
+                    left = left[fails]
         return base, slot, size
 
     def codes(self, ids: np.ndarray) -> np.ndarray:
@@ -146,12 +166,22 @@ class Trie:
             live[-w:] = False
         at = np.flatnonzero(live)
         state = np.zeros(len(at), np.int64)
+        found = []
         for w in range(self.words):
             for step in steps:
                 to = self.base[state] + step[at + w].astype(np.int64)
                 ok = self.check[to] == state
                 at, state = at[ok], to[ok]
-        return at, state
+                ends = self.base[state] < 0
+                if ends.any():
+                    here, its = at[ends], state[ends]
+                    own = ~self.base[its]
+                    for v in range(w, self.words):  # the digits and words that are left
+                        same = self.tail[v][own] == code[here + v]
+                        here, its, own = here[same], its[same], own[same]
+                    found.append((here, its))
+                    at, state = at[~ends], state[~ends]
+        return tuple(np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in range(2))
 
 
 def numbered_blocks(docs: DataFrame, least: int, text_col: str, lang_col: str):
@@ -206,7 +236,7 @@ def candidate_keys(sent: DataFrame, least: int, pairs: bool) -> DataFrame:
 
 
 def waves(keys: DataFrame, wave_phrases: int):
-    """The candidates in sets of at most ``wave_phrases``, or one bucket's, as (a, b) arrays of the driver."""
+    """The candidates in sets of at most ``wave_phrases``, or one bucket's, as (a, b, buckets, sizes) arrays of the driver."""
     sizes = sorted((r.bucket, r.n) for r in keys.where("n > 0").select("bucket", "n").collect())
     taken: list[int] = []
     held = 0
@@ -218,49 +248,72 @@ def waves(keys: DataFrame, wave_phrases: int):
         taken.append(bucket)
         held += n
     for chosen in sets + ([taken] if taken else []):
-        rows = keys.where(F.col("bucket").between(chosen[0], chosen[-1]) & (F.col("n") > 0)).collect()
+        rows = sorted(keys.where(F.col("bucket").between(chosen[0], chosen[-1]) & (F.col("n") > 0)).collect(), key=lambda r: r.bucket)
         yield (np.concatenate([np.cumsum(B.unpack(r.a).view(np.uint64), dtype=np.uint64) for r in rows]),
-               np.concatenate([B.unpack(r.b, r.n) for r in rows]))
+               np.concatenate([B.unpack(r.b, r.n) for r in rows]), [r.bucket for r in rows], [r.n for r in rows])
+
+
+def split_keys(a: np.ndarray, third: np.ndarray, span: int, size: int) -> np.ndarray:
+    """The word numbers of phrases of ``size`` words, a row each."""
+    out = np.empty((len(a), size), np.int64)
+    out[:, 0] = a // np.uint64(span)
+    out[:, 1] = a % np.uint64(span)
+    if size == 3:
+        out[:, 2] = third
+    return out
+
+
+def trie_of(a: np.ndarray, third: np.ndarray, span: int, size: int) -> Trie:
+    """The trie of the phrases (a, third), which are numbered as they come."""
+    order = np.lexsort((third, a) if size == 3 else (a,)).astype(np.int32)
+    return Trie(split_keys(a[order], third[order] if size == 3 else third, span, size), order)
+
+
+def pair_marks(keys: DataFrame, wave_phrases: int) -> np.ndarray:
+    """A bit per pair, of a fixed number at most: a position that fails is in no frequent pair."""
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    bits = 1 << min(27, max(16, int(total * 16).bit_length()))
+    marks = np.zeros(bits >> 3, np.uint8)
+    for a, *_ in waves(keys, wave_phrases):
+        for x in range(0, len(a), MARKED):
+            place = (B.mixed(a[x:x + MARKED]) % np.uint64(bits)).astype(np.int64)
+            np.bitwise_or.at(marks, place >> 3, (1 << (place & 7)).astype(np.uint8))
+    return marks
 
 
 def counted(numbered: DataFrame, sent: DataFrame, span: int, size: int, least: int, wave_phrases: int, emit_longer: int = 0):
     """(counted phrases (id1, id2, id3, f), messages on longer candidates or None): one pass over the blocks per trie.
 
     ``span`` scales the first word's number in a key; ``emit_longer`` is the number of buckets for phrases
-    one word longer, wanted only after the pairs."""
+    one word longer, wanted only after the pairs. Each bucket's counts go back to its candidates in ``keys``; the driver
+    holds one trie at a time, and no list of phrases."""
     spark = numbered.sparkSession
     keys = candidate_keys(sent, least, size == 3)
     counts_at, longer_at = scratch(spark, f"counts{size}"), scratch(spark, f"longer{size}")
     none = spark.createDataFrame([], "id1 long, id2 long, id3 long, f long")
     none.write.parquet(counts_at)
     marks = None
-    if emit_longer:  # a bit per pair, of a fixed number at most: a position that fails is in no frequent pair
-        total = keys.agg(F.sum("n")).first()[0] or 0
-        bits = 1 << min(27, max(16, int(total * 16).bit_length()))
-        marks = np.zeros(bits, bool)
-        for a, _ in waves(keys, wave_phrases):
-            marks[(B.mixed(a) % np.uint64(bits)).astype(np.int64)] = True
-        marks = spark.sparkContext.broadcast(np.packbits(marks, bitorder="little"))
+    if emit_longer:
+        marks = spark.sparkContext.broadcast(pair_marks(keys, wave_phrases))
         spark.createDataFrame([], B.SENT_PHRASES_DDL).write.parquet(longer_at)
-    for a, third in waves(keys, wave_phrases):
-        words = np.stack([(a // np.uint64(span)).astype(np.int64), (a % np.uint64(span)).astype(np.int64), third][:size], axis=1)
-        words = words[np.lexsort(words.T[::-1])]
-        held = spark.sparkContext.broadcast(Trie(words))
-        listed = spark.sparkContext.broadcast(words)
+
+    def count_pass(trie, names: list[int], sizes: list[int]) -> None:
+        edges = list(zip(names, np.append(0, np.cumsum(sizes)).tolist(), sizes))
+        phrases_held = sum(sizes)
 
         def run(batches):
-            trie = held.value
-            found = np.zeros(len(trie.base), np.int64)
+            own = trie.value
+            found = np.zeros(phrases_held, np.int64)
             mark = marks.value if marks else None
             seen = False
             for batch in batches:
                 for row in B.rows_of(batch):
                     text = tokens(row)
-                    at, state = trie.accepted(trie.codes(text))
+                    at, state = own.accepted(own.codes(text))
                     if not len(at):
                         continue
                     seen = True
-                    found += np.bincount(state, minlength=len(found))
+                    found += np.bincount(~own.base[state], minlength=phrases_held)
                     if marks is None:
                         continue
                     after = at[at < len(text) - 2] + 1
@@ -273,26 +326,40 @@ def counted(numbered: DataFrame, sent: DataFrame, span: int, size: int, least: i
                         out = B.sent_phrases(row["block"], x, y, np.minimum(n, least), emit_longer)
                         yield pa.RecordBatch.from_arrays([pa.array(["longer"] * out.num_rows), *out.columns], schema=_OUT)
             if seen:
-                mine = found[trie.leaf]
-                parts = [mine[x:x + SLICE] for x in range(0, len(mine), SLICE)]
-                n = len(parts)
-                yield arrow(_OUT, kind=["counts"] * n, bucket=list(range(n)), block=[TaskContext.get().partitionId()] * n,
-                            a=[b"\0"] * n, b=[b"\0"] * n, counts=[B.pack(p) for p in parts])
-
-        def add(table: pa.Table) -> pa.Table:
-            x = table.column("bucket")[0].as_py() * SLICE
-            rows = listed.value[x:x + SLICE]
-            total = sum(B.unpack(c, len(rows)) for c in table.column("counts").to_pylist())
+                for bucket, first, n in edges:
+                    starts = [x for x in range(0, n, SLICE) if found[first + x:first + min(n, x + SLICE)].any()]
+                    k = len(starts)
+                    yield arrow(_OUT, kind=["counts"] * k, bucket=[bucket] * k, block=starts, a=[b"\0"] * k, b=[b"\0"] * k,
+                                counts=[B.pack(found[first + x:first + min(n, x + SLICE)]) for x in starts])
+
+        def add(key: pa.Table, shards: pa.Table) -> pa.Table:
+            n = key.column("n")[0].as_py()
+            total = np.zeros(n, np.int64)
+            for x, c in zip(shards.column("block").to_pylist(), shards.column("counts").to_pylist()):
+                total[x:x + SLICE] += B.unpack(c, min(SLICE, n - x))
+            often = np.flatnonzero(total >= least)
+            a = np.cumsum(B.unpack(key.column("a")[0].as_py()).view(np.uint64), dtype=np.uint64)[often]
+            rows = split_keys(a, B.unpack(key.column("b")[0].as_py(), n)[often], span, size)
             rows = np.column_stack([rows, np.zeros((len(rows), 3 - size), np.int64)])
-            return pa.table([*(pa.array(rows[:, k]) for k in range(3)), pa.array(total)], names=["id1", "id2", "id3", "f"])
+            return pa.table([*(pa.array(rows[:, k]) for k in range(3)), pa.array(total[often])], names=["id1", "id2", "id3", "f"])
 
         got = written(numbered.mapInArrow(run, _OUT_DDL), "pass")
-        (got.where("kind = 'counts'").select("bucket", "counts").groupBy("bucket")
-         .applyInArrow(add, "id1 long, id2 long, id3 long, f long").where(F.col("f") >= least).write.mode("append").parquet(counts_at))
+        mine = keys.where(F.col("bucket").between(names[0], names[-1]) & (F.col("n") > 0))
+        (mine.groupBy("bucket").cogroup(got.where("kind = 'counts'").select("bucket", "block", "counts").groupBy("bucket"))
+         .applyInArrow(add, "id1 long, id2 long, id3 long, f long").write.mode("append").parquet(counts_at))
         if emit_longer:
             got.where("kind = 'longer'").drop("kind").write.mode("append").parquet(longer_at)
-        held.unpersist()
-        listed.unpersist()
+
+    for a, third, names, sizes in waves(keys, wave_phrases):
+        built = trie_of(a, third, span, size)
+        del a, third
+        trie = spark.sparkContext.broadcast(built)
+        del built
+        count_pass(trie, names, sizes)
+        trie.destroy()  # the driver's copy too
+        del trie
+    if marks:
+        marks.destroy()
     phrases = spark.read.schema(none.schema).parquet(counts_at)
     return phrases, spark.read.schema(B.SENT_PHRASES_DDL).parquet(longer_at) if emit_longer else None
 

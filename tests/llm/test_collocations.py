@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -94,3 +95,35 @@ def test_packing():
         v = r.integers(0, top, 100)
         assert (B.unpack(B.pack(v), 100) == v).all()
     assert len(B.unpack(B.pack(np.zeros(0, np.int64)))) == 0
+
+
+@pytest.mark.parametrize("size", [2, 3])
+def test_trie_takes_few_bytes_per_phrase(size):
+    """The driver builds a trie of millions of phrases: few states and bytes for each, whatever their words."""
+    r = np.random.default_rng(7)
+    words = np.unique(1 + (400_000 * r.random((200_000, size)) ** 2).astype(np.int64), axis=0)
+    tracemalloc.start()
+    trie = C.Trie(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * len(words)
+    assert len(trie.check) < 8 * len(words) and (trie.check >= 0).sum() <= 2 * len(words)
+    near = words.copy()
+    near[:, -1] += 1  # a unique prefix ends the path early; the rest of the phrase must still be the text's
+    known = set(map(tuple, words.tolist()))
+    at, state = trie.accepted(trie.codes(near.ravel()))
+    aligned = {int(p) // size for p in at if p % size == 0}
+    assert aligned == {i for i, p in enumerate(near.tolist()) if tuple(p) in known}
+
+
+def test_marks_of_pairs_are_the_bits_of_their_hashes(spark, monkeypatch):
+    monkeypatch.setattr(C, "MARKED", 7)
+    a = np.unique(np.random.default_rng(3).integers(1, 1 << 40, 500).astype(np.uint64))
+    rows = [(k, len(x), bytearray(B.pack(np.diff(x, prepend=np.uint64(0)))), bytearray(b"\0")) for k, x in enumerate(np.array_split(a, 3))]
+    keys = spark.createDataFrame(rows[::-1], C._KEYS_DDL)
+    assert [x[2:] for x in C.waves(keys, 400)] == [([0, 1], [167, 167]), ([2], [166])]  # whatever the order of the rows
+    marks = C.pair_marks(keys, 300)
+    bits = len(marks) * 8
+    want = np.zeros(bits, bool)
+    want[(B.mixed(a) % np.uint64(bits)).astype(np.int64)] = True
+    assert (np.unpackbits(marks, bitorder="little").astype(bool) == want).all()

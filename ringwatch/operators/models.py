@@ -119,40 +119,51 @@ def draw_trials(grid: dict[str, list], n_trials: int = TRIALS, seed: int = 42) -
     return [{k: rng.choice(v) for k, v in grid.items()} for _ in range(n_trials)]
 
 
-def _run_trials(trials: list[dict], fit, valid: DataFrame, log_path: str | None, experiment: str) -> list[dict]:
-    """Fit, score ``valid`` and log each trial; the objective is PR-AUC. The scores of all trials are stored once, in one
-    table (trial, txn_id, y, score) that the check and the grouped average precision read."""
-    from ringwatch.session import shared_dir
-    from ringwatch.sources.tracking import log_run
+def _rank_trials(trials: list[dict], scored: DataFrame, valid: DataFrame, log_path: str | None, experiment: str) -> list[dict]:
+    """Check the stored scores (trial, txn_id, y, score) of all trials, rank them by one grouped average precision and log each."""
+    from ringwatch.sources.tracking import log_runs
 
-    if not trials:
-        return []
-    spark = valid.sparkSession
-    path = shared_dir(spark, f"trial-scores-{uuid.uuid4().hex}")
-    for i, p in enumerate(trials):
-        score_with(fit(p), valid).select("txn_id", "y", "score").write.parquet(f"{path}/trial={i}")
-    scored = spark.read.parquet(path)
     check_trials(scored, valid, len(trials))
     value = {r.trial: r.pr_auc for r in pr_auc_by(scored, "trial").collect()}  # a row per trial
     out = [{"trial": i, **p, "pr_auc": float(value[i])} for i, p in enumerate(trials)]
     if log_path:
-        for r in out:
-            log_run(spark, log_path, experiment, {k: v for k, v in r.items() if k != "pr_auc"}, {"pr_auc": r["pr_auc"]}, {"kind": "sweep"})
+        log_runs(valid.sparkSession, log_path, experiment,
+                 [({k: v for k, v in r.items() if k != "pr_auc"}, {"pr_auc": r["pr_auc"]}, {"kind": "sweep"}) for r in out])
     return out
 
 
 def sweep(train: DataFrame, valid: DataFrame, n_trials: int = TRIALS, seed: int = 42, features=PARITY_FEATURES,
           log_path: str | None = None, experiment: str = "tree_sweep") -> list[dict]:
-    """K4 for the tree."""
+    """K4 for the tree: fit, score ``valid`` and log each trial; the objective is PR-AUC. The scores of all trials are stored
+    once, in one table that the check and the grouped average precision read."""
+    from ringwatch.session import shared_dir
+
+    trials = draw_trials(TREE_GRID, n_trials, seed)
+    if not trials:
+        return []
     train, valid = materialised(train), materialised(valid)
-    return _run_trials(draw_trials(TREE_GRID, n_trials, seed), lambda p: fit_tree(train, features, seed, **p), valid, log_path, experiment)
+    path = shared_dir(valid.sparkSession, f"trial-scores-{uuid.uuid4().hex}")
+    for i, p in enumerate(trials):
+        score_with(fit_tree(train, features, seed, **p), valid).select("txn_id", "y", "score").write.parquet(f"{path}/trial={i}")
+    return _rank_trials(trials, valid.sparkSession.read.parquet(path), valid, log_path, experiment)
 
 
 def sweep_edge_scorer(train_inputs: DataFrame, valid_inputs: DataFrame, input_cols: list[str], n_trials: int = TRIALS,
                       seed: int = 42, log_path: str | None = None, experiment: str = "edge_sweep") -> list[dict]:
-    """K4 for the graph model."""
-    return _run_trials(draw_trials(EDGE_GRID, n_trials, seed), lambda p: fit_edge_scorer(train_inputs, input_cols, **p),
-                       valid_inputs, log_path, experiment)
+    """K4 for the graph model. All trials are fitted in shared passes over the training rows and scored in one over the
+    validation rows; a setting drawn more than once is fitted once and scored, checked and logged for each of its trials."""
+    from ringwatch.operators.linear_fits import fit_linear, score_linear
+    from ringwatch.session import shared_dir
+
+    trials = draw_trials(EDGE_GRID, n_trials, seed)
+    if not trials:
+        return []
+    _assert_no_labels(input_cols)
+    settings = list({tuple(p.items()): p for p in trials}.values())
+    models = fit_linear(train_inputs, list(input_cols), settings)
+    path = shared_dir(valid_inputs.sparkSession, f"trial-scores-{uuid.uuid4().hex}")
+    score_linear([models[settings.index(p)] for p in trials], valid_inputs).write.parquet(path)
+    return _rank_trials(trials, valid_inputs.sparkSession.read.parquet(path), valid_inputs, log_path, experiment)
 
 
 def materialised(df: DataFrame) -> DataFrame:

@@ -24,14 +24,19 @@ RUN_SCHEMA = T.StructType([
 ])
 
 
+def log_runs(spark: SparkSession, path: str, experiment: str, runs: list[tuple[dict, dict, dict | None]]) -> list[str]:
+    """Append runs, given as (params, metrics, tags), in one write; returns their ids."""
+    now = dt.datetime.now(dt.UTC).replace(microsecond=0, tzinfo=None)
+    rows = [(uuid.uuid4().hex, now, {k: str(v) for k, v in params.items()}, {k: float(v) for k, v in metrics.items()},
+             {k: str(v) for k, v in (tags or {}).items()}, experiment) for params, metrics, tags in runs]
+    spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1).write.mode("append").partitionBy("experiment").parquet(path)
+    return [r[0] for r in rows]
+
+
 def log_run(spark: SparkSession, path: str, experiment: str, params: dict, metrics: dict,
             tags: dict | None = None) -> str:
     """Append one run; returns its id."""
-    run_id = uuid.uuid4().hex
-    row = (run_id, dt.datetime.now(dt.UTC).replace(microsecond=0, tzinfo=None), {k: str(v) for k, v in params.items()},
-           {k: float(v) for k, v in metrics.items()}, {k: str(v) for k, v in (tags or {}).items()}, experiment)
-    spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").partitionBy("experiment").parquet(path)
-    return run_id
+    return log_runs(spark, path, experiment, [(params, metrics, tags)])[0]
 
 
 def log_metrics_frame(flat: DataFrame, path: str, experiment: str, params: dict, tags: dict | None = None) -> str:

@@ -97,3 +97,48 @@ def test_sweep_checks_and_ranks_all_trials_together(spark, make_transfers, tmp_p
         assert r["pr_auc"] == pytest.approx(metrics.pr_auc(score_with(fit_edge_scorer(train, cols, **p), valid)), abs=1e-12)
     assert {int(r.params["trial"]): r.metrics["pr_auc"] for r in read_runs(spark, str(tmp_path / "runs")).collect()} == {
         r["trial"]: r["pr_auc"] for r in got}
+
+
+def test_shared_passes_fit_what_single_fits_do(spark, monkeypatch):
+    """Coefficients of every setting equal MLlib's own, drawn over uneven columns, a constant one and blocks of a few rows."""
+    from ringwatch.operators import linear_fits
+    from ringwatch.operators.compiled import CompiledLinear
+    from ringwatch.operators.models import fit_edge_scorer
+
+    monkeypatch.setattr(linear_fits, "BLOCK_ROWS", 37)
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        a, b, c = rng.gauss(3, 2), rng.expovariate(0.01), rng.random()
+        rows.append((i, a, b, c, 7.0, int(a / 2 + b / 100 + rng.gauss(0, 1) > 3.5)))
+    df = spark.createDataFrame(rows, "txn_id bigint, a double, b double, c double, k double, is_laundering int").repartition(3)
+    cols = ["a", "b", "c", "k"]
+    settings = [{"reg_param": r, "elastic_net": e, "weight_power": w} for r, e, w in ((0.001, 0.0, 1.0), (0.1, 0.5, 0.5), (0.03, 1.0, 0.0), (0.01, 0.5, 1.0))]
+    for s, got in zip(settings, linear_fits.fit_linear(df, cols, settings)):
+        own = CompiledLinear.of(fit_edge_scorer(df, cols, **s))
+        assert got.coefficients == pytest.approx(own.coefficients, rel=2e-3, abs=2e-4) and got.coefficients[3] == 0
+        assert got.intercept == pytest.approx(own.intercept, rel=2e-3, abs=2e-3)
+
+
+def test_shared_fits_of_one_class_and_bad_rows(spark):
+    from ringwatch.operators.linear_fits import fit_linear, score_linear
+
+    df = spark.createDataFrame([(1, 0.5, 0), (2, 1.5, 0)], "txn_id bigint, a double, is_laundering int")
+    s = [{"reg_param": 0.1, "elastic_net": 0.0, "weight_power": 1.0}] * 2
+    assert {(r.trial, r.txn_id, r.y, r.score) for r in score_linear(fit_linear(df, ["a"], s), df).collect()} == {
+        (t, i, 0, 0.0) for t in (0, 1) for i in (1, 2)}
+    with pytest.raises(ValueError, match="no training rows"):
+        fit_linear(df.limit(0), ["a"], s)
+    with pytest.raises(ValueError, match="not finite"):
+        fit_linear(spark.createDataFrame([(1, None, 0), (2, 1.5, 1)], df.schema), ["a"], s)
+
+
+def test_sweep_passes_over_the_rows_do_not_grow_with_trials(spark, make_transfers, monkeypatch):
+    from ringwatch.operators import linear_fits
+    from ringwatch.operators.models import sweep_edge_scorer
+
+    calls, real = [], linear_fits.summed
+    monkeypatch.setattr(linear_fits, "summed", lambda *a: calls.append(1) or real(*a))
+    f = _frame(make_transfers, 150).na.fill(0, ["sender_seconds_since_last_send"])
+    got = sweep_edge_scorer(f.filter("txn_id % 3 != 0"), f.filter("txn_id % 3 = 0"), ["log_amount", "hour"])
+    assert len(got) == 20 and len(calls) < 20

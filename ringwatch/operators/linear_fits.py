@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringwatch.operators.compiled import CompiledLinear, _number
@@ -31,9 +31,9 @@ MAX_PASSES, TOLERANCE = 50, 1e-8
 _SUMS_DDL = "part int, sums binary"
 
 
-def packed(df: DataFrame, cols: list[str], id_col: str | None = None) -> DataFrame:
-    """The rows' labels (``is_laundering``) and ``cols`` in blocks, written once; with ``id_col`` also that column."""
-    d, named = len(cols), id_col is not None
+def packed(df: DataFrame, cols: list[str], ids: Column | None = None, block_rows: int | None = None) -> tuple[str, DataFrame]:
+    """The rows' labels (``is_laundering``) and ``cols`` in blocks, written once, and where; with ``ids`` also those numbers."""
+    d, named, most = len(cols), ids is not None, block_rows or BLOCK_ROWS
 
     def run(batches):
         waiting, held = [], 0
@@ -42,28 +42,28 @@ def packed(df: DataFrame, cols: list[str], id_col: str | None = None) -> DataFra
             t = pa.Table.from_batches(waiting)
             columns = [c.to_numpy() for c in t.columns]
             x = np.stack(columns[1:1 + d]).astype("<f8") if d else np.zeros((0, t.num_rows))
-            ids = columns[-1].astype("<i8").tobytes() if named else b""
+            named_by = columns[-1].astype("<i8").tobytes() if named else b""
             return pa.RecordBatch.from_arrays([pa.array([t.num_rows]), pa.array([columns[0].astype("<f8").tobytes()], pa.binary()),
-                                               pa.array([x.tobytes()], pa.binary()), pa.array([ids], pa.binary())], names=["n", "y", "x", "ids"])
+                                               pa.array([x.tobytes()], pa.binary()), pa.array([named_by], pa.binary())], names=["n", "y", "x", "ids"])
 
         for batch in batches:
             while batch.num_rows:
-                part = batch.slice(0, BLOCK_ROWS - held)
+                part = batch.slice(0, most - held)
                 batch = batch.slice(part.num_rows)
                 waiting.append(part)
                 held += part.num_rows
-                if held == BLOCK_ROWS:
+                if held == most:
                     yield block()
                     waiting, held = [], 0
         if held:
             yield block()
 
     rows = df.select(F.col("is_laundering").cast("double").alias("_y"), *[_number(f"`{c}`" if "." in c else c).alias(f"_{i}") for i, c in enumerate(cols)],
-                     *([F.col(id_col).cast("long").alias("_id")] if named else []))
+                     *([ids.cast("long").alias("_id")] if named else []))
     path = shared_dir(df.sparkSession, f"packed-{uuid.uuid4().hex}")
     made = rows.mapInArrow(run, "n long, y binary, x binary, ids binary")
     made.write.option("parquet.enable.dictionary", "false").parquet(path)
-    return df.sparkSession.read.schema(made.schema).parquet(path)
+    return path, df.sparkSession.read.schema(made.schema).parquet(path)
 
 
 def arrays(batches, d: int):
@@ -189,7 +189,7 @@ class Fit:
 def fit_linear(train: DataFrame, cols: list[str], settings: list[dict]) -> list[CompiledLinear]:
     """The model of each setting (``reg_param``, ``elastic_net``, ``weight_power`` as in ``fit_edge_scorer``)."""
     d = len(cols)
-    blocks = packed(train, cols)
+    _, blocks = packed(train, cols)
     moments = Moments.of(blocks, d)
     n0, n1 = moments.n
     if not n0 + n1:
@@ -263,4 +263,4 @@ def score_linear(models: list[CompiledLinear], valid: DataFrame, id_col: str = "
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(y), t, np.int32)), pa.array(ids), label, pa.array(score)],
                                                  names=["trial", id_col, "y", "score"])
 
-    return packed(valid, cols, id_col).mapInArrow(run, f"trial int, {id_col} long, y int, score double")
+    return packed(valid, cols, F.col(id_col))[1].mapInArrow(run, f"trial int, {id_col} long, y int, score double")

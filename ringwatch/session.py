@@ -72,5 +72,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return os.path.join(root, "ringwatch", *parts)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -212,7 +212,10 @@ def fit_edge_scorer(train_inputs: DataFrame, input_cols: list[str], reg_param: f
     stages = [VectorAssembler(inputCols=input_cols, outputCol="features", handleInvalid="keep"),
               LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=50,
                                  regParam=reg_param, elasticNetParam=elastic_net)]
-    return Pipeline(stages=stages).fit(_weighted(train_inputs, w))
+    model = Pipeline(stages=stages).fit(_weighted(train_inputs, w))
+    # The training summary holds the session, which does not serialise once anything in it has been observed.
+    model.stages[-1]._java_obj.setSummary(train_inputs.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def compare(results: dict[str, DataFrame]) -> DataFrame:

@@ -41,7 +41,7 @@ def uniform(ids: np.ndarray, seed: int) -> np.ndarray:
 def thresholds(values: np.ndarray, weights: np.ndarray, expected: float, most: int) -> np.ndarray:
     """MLlib's candidate thresholds of one feature: midpoints of its sampled values, at most ``most``, of about equal weight
     between them. ``expected``: weight of the sample; what the values other than zero leave of it is the zeros'."""
-    given = (values != 0) & ~np.isnan(values)
+    given = values != 0
     at, place = np.unique(values[given], return_inverse=True)
     weight = np.bincount(place, weights[given], len(at))
     if not len(at):
@@ -125,13 +125,15 @@ class TreeFits:
 
         def classes(batches):
             n = np.zeros(3)
-            for y, _, _ in arrays(batches, d):
-                n += [(y == 0).sum(), (y == 1).sum(), (~np.isin(y, (0, 1))).sum()]
+            for y, x, _ in arrays(batches, d):
+                n += [(y == 0).sum(), (y == 1).sum(), (~np.isin(y, (0, 1))).sum() + (~np.isfinite(x)).sum()]
             yield 0, n
 
-        negative, positive, other = summed(rows, classes).get(0, np.zeros(3))
-        if other or not negative + positive:
-            raise ValueError(f"{int(other)} labels outside {{0, 1}}" if other else "no training rows")
+        negative, positive, bad = summed(rows, classes).get(0, np.zeros(3))
+        if bad:  # as MLlib does
+            raise ValueError(f"{int(bad)} labels outside {{0, 1}} or inputs that are missing or not finite")
+        if not negative + positive:
+            raise ValueError("no training rows")
         self.weight = float(negative / positive if positive and negative else 1.0)
         n = negative + positive
         share = SPLIT_ROWS / n if n > SPLIT_ROWS else 1.0

@@ -142,3 +142,16 @@ def test_sweep_passes_over_the_rows_do_not_grow_with_trials(spark, make_transfer
     f = _frame(make_transfers, 150).na.fill(0, ["sender_seconds_since_last_send"])
     got = sweep_edge_scorer(f.filter("txn_id % 3 != 0"), f.filter("txn_id % 3 = 0"), ["log_amount", "hour"])
     assert len(got) == 20 and len(calls) < 20
+
+
+def test_edge_scorer_scores_in_an_observed_session(spark):
+    from pyspark.sql import Observation
+
+    from ringwatch.operators.models import fit_edge_scorer
+
+    seen = Observation("rows")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 5}
+    df = spark.createDataFrame([(i, i % 7 + 0.5 * (i % 2), 1.0, i % 2) for i in range(40)], "txn_id bigint, a double, amount_paid double, is_laundering int")
+    scored = score_with(fit_edge_scorer(df, ["a"]), df)
+    assert scored.agg(F.max("score"), F.sum("y")).first()[1] == 20

@@ -76,8 +76,10 @@ def test_halving_takes_passes_by_round_not_by_trial(spark, tmp_path, monkeypatch
     calls, real = [], tree_fits.summed
     monkeypatch.setattr(tree_fits, "summed", lambda *a: calls.append(1) or real(*a))
     rng = random.Random(6)
-    rows = [(None if i % 50 == 0 else i, a := rng.random(), None if i % 9 == 0 else rng.random(), int(a + rng.random() > 1.4)) for i in range(200)]
+    rows = [(None if i % 50 == 0 else i, a := rng.random(), rng.random(), int(a + rng.random() > 1.4)) for i in range(200)]
     df = spark.createDataFrame(rows, "txn_id bigint, a double, b double, is_laundering int")
     settings = [{"max_depth": 2, "step_size": s, "subsampling": 0.7} for s in (0.1, 0.2, 0.3, 0.4)]
     ranked = halving_tree_sweep(df, df, str(tmp_path), features=("a", "b"), settings=settings, rungs=(1, 2))
     assert [r["rung"] for r in ranked] == [1, 1, 0, 0] and len(calls) <= 1 + 2 * 2
+    with pytest.raises(ValueError, match="missing"):  # as single fits
+        tree_fits.TreeFits(df.withColumn("b", F.when(F.col("a") < 0.5, F.col("b"))), ("a", "b"), settings)

@@ -1,6 +1,6 @@
 """K1, K4: the boosted trees of many settings grown together, in shared passes over binned training rows.
 
-The trees are those of ``fit_tree`` (MLlib's ``GBTClassifier``): at most ``BINS`` bins per feature with thresholds from
+The trees are those of ``fit_tree`` (MLlib's ``GBTClassifier``): about ``BINS`` bins per feature with thresholds from
 about 10,000 rows, regression trees by variance on the labels -1 and 1 and then on -gradient of the log-loss, a
 weight of ``pos_weight`` for positives, ``step_size`` for every tree but the first, rows drawn per tree at the rate
 ``subsampling``. MLlib bins the rows anew in each fit and takes a pass per level of each tree of each trial. Here rows are
@@ -39,7 +39,7 @@ def uniform(ids: np.ndarray, seed: int) -> np.ndarray:
 
 
 def thresholds(values: np.ndarray, weights: np.ndarray, expected: float, most: int) -> np.ndarray:
-    """MLlib's candidate thresholds of one feature: midpoints of its sampled values, at most ``most``, of about equal weight
+    """MLlib's candidate thresholds of one feature: midpoints of its sampled values, about ``most``, of about equal weight
     between them. ``expected``: weight of the sample; what the values other than zero leave of it is the zeros'."""
     given = values != 0
     at, place = np.unique(values[given], return_inverse=True)
@@ -187,12 +187,13 @@ class TreeFits:
 
     def _level(self, growing: dict[int, Tree]) -> None:
         d, seed, weight, stored = len(self.features), self.seed, self.weight, self._stored
+        width = 1 + max(map(len, self.cuts))  # a sample that weighs more than expected has more than BINS
         drawn = {t: self.settings[t]["subsampling"] for t in growing}
         values = {t: [w * np.array(x.value) for w, x in zip(self._weights(t), self.trees[t])] for t in growing}
         place = {t: [k for k, own in enumerate(stored) if own == t] for t in growing}
 
         def run(batches):
-            out = {t: np.zeros((d, len(x.open) * BINS, 2)) for t, x in growing.items()}
+            out = {t: np.zeros((d, len(x.open) * width, 2)) for t, x in growing.items()}
             for y, i, bins, leaves in _blocks(batches, d):
                 draws: dict[int, np.ndarray] = {}
                 sign = np.where(y == 1, 1.0, -1.0)
@@ -216,7 +217,7 @@ class TreeFits:
                     else:
                         target = sign
                     mine = np.flatnonzero(here)
-                    first, own, size = at[mine] * BINS, w[mine], len(tree.open) * BINS
+                    first, own, size = at[mine] * width, w[mine], len(tree.open) * width
                     both = own * target[mine]
                     for j in range(d):
                         cell = first + bins[j, mine]
@@ -227,7 +228,7 @@ class TreeFits:
 
         for t, sums in summed(self.blocks, run).items():
             tree = growing[t]
-            shaped = sums.reshape(d, len(tree.open), BINS, 2).transpose(1, 0, 2, 3)
+            shaped = sums.reshape(d, len(tree.open), width, 2).transpose(1, 0, 2, 3)
             tree.split(shaped, [len(c) for c in self.cuts], self.settings[t]["max_depth"])
 
     def _keep_leaves(self, live: list[int], grown: dict[int, Tree]) -> None:

@@ -83,3 +83,17 @@ def test_halving_takes_passes_by_round_not_by_trial(spark, tmp_path, monkeypatch
     assert [r["rung"] for r in ranked] == [1, 1, 0, 0] and len(calls) <= 1 + 2 * 2
     with pytest.raises(ValueError, match="missing"):  # as single fits
         tree_fits.TreeFits(df.withColumn("b", F.when(F.col("a") < 0.5, F.col("b"))), ("a", "b"), settings)
+
+
+def test_a_heavy_sample_has_more_bins(spark, monkeypatch):
+    import numpy as np
+
+    from ringwatch.operators import tree_fits
+
+    assert len(tree_fits.thresholds(np.arange(1.0, 201), np.full(200, 1.2), 200.0, 31)) > 31
+    monkeypatch.setattr(tree_fits, "thresholds", lambda *a: np.arange(40) / 40)
+    df = spark.createDataFrame([(i, i / 100, int(i > 97)) for i in range(100)], "txn_id bigint, a double, is_laundering int")
+    fits = tree_fits.TreeFits(df, ("a",), [{"max_depth": 2, "step_size": 0.1, "subsampling": 1.0}])
+    fits.grow([0], 1)
+    assert fits.cuts[0][fits.trees[0][0].bin[0]] == 0.975  # in the last bins
+    fits.close()
